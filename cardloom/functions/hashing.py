@@ -8,32 +8,30 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+_TWO_32 = 2**32
 
-_TWO_32 = float(2**32)
 
-
-def unit_uniform(salt: str, *keys: Column, method: str = "xxhash64") -> Column:
-    """A number in [0, 1) from ``salt`` and the keys.
+def unit_uniform(salt: str, *keys: str, method: str = "xxhash64") -> str:
+    """A DOUBLE in [0, 1) from ``salt`` and the key columns.
 
     ``xxhash64`` is the cheap form for large jobs. ``md5`` costs about ten times as much per
     row but can be recomputed by any SQL engine. NULL keys hash like an empty string.
     """
-    return _word(salt, keys, method) / F.lit(_TWO_32)
+    return f"({_word(salt, keys, method)} / {_TWO_32}D)"
 
 
-def bucket_of(buckets: int, salt: str, *keys: Column, method: str = "xxhash64") -> Column:
-    """A bucket number in [0, buckets), evenly spread over the keys."""
-    return (_word(salt, keys, method) % buckets).cast("int")
+def bucket_of(buckets: int, salt: str, *keys: str, method: str = "xxhash64") -> str:
+    """An INT in [0, buckets), evenly spread over the keys."""
+    return f"CAST({_word(salt, keys, method)} % {buckets} AS INT)"
 
 
-def _word(salt: str, keys: tuple[Column, ...], method: str) -> Column:
+def _word(salt: str, keys: tuple[str, ...], method: str) -> str:
     """32 hash bits as a BIGINT."""
     if method == "xxhash64":
-        return F.shiftrightunsigned(F.xxhash64(F.lit(salt), *keys), 32)
+        return f"shiftrightunsigned(xxhash64('{salt}', {', '.join(keys)}), 32)"
     if method == "md5":
-        text = F.concat_ws(":", F.lit(salt), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
-        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        text = ", ".join(f"coalesce(CAST({key} AS STRING), '')" for key in keys)
+        return f"CAST(conv(substring(md5(concat_ws(':', '{salt}', {text})), 1, 8), 16, 10) AS BIGINT)"
     raise ValueError(f"unknown hash method {method!r}")
 
 
@@ -48,10 +46,11 @@ def poisson_cdf(mean: float) -> list[float]:
     return table
 
 
-def poisson_draw(uniform: Column, mean: float) -> Column:
-    """Turn a uniform number into a Poisson count by inverting the distribution function."""
+def poisson_draw(uniform: str, mean: float) -> str:
+    """Turn a uniform number into a Poisson count by inverting the distribution function.
+
+    ``uniform`` is best a column, as it is compared with each limit in turn.
+    """
     table = poisson_cdf(mean)
-    draw = F.when(uniform < F.lit(table[0]), F.lit(0))
-    for count, limit in enumerate(table[1:], start=1):
-        draw = draw.when(uniform < F.lit(limit), F.lit(count))
-    return draw.otherwise(F.lit(len(table)))
+    steps = " ".join(f"WHEN {uniform} < {limit!r}D THEN {count}" for count, limit in enumerate(table))
+    return f"CASE {steps} ELSE {len(table)} END"

@@ -1,19 +1,16 @@
-"""The cleaning rules and the profile checks, each stated once as a named predicate."""
+"""The cleaning rules and the profile checks, each stated once as a named condition."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, functions as F
-
 
 class Rule(NamedTuple):
     """A row keeps its place only where ``passes`` is true; NULL counts as a failure."""
 
     name: str
-    passes: Column
+    passes: str
 
 
 def parity_rules() -> list[Rule]:
@@ -23,13 +20,13 @@ def parity_rules() -> list[Rule]:
     since NaN sorts above all numbers, and so does a NULL transaction id.
     """
     return [
-        Rule("tx_datetime", F.col("tx_datetime").isNotNull()),
-        Rule("customer_id", F.col("customer_id") >= 0),
-        Rule("terminal_id", F.col("terminal_id") > 0),
-        Rule("tx_amount", F.col("tx_amount") >= 0),
-        Rule("tx_time_seconds", F.col("tx_time_seconds") >= 0),
-        Rule("tx_fraud", F.col("tx_fraud").isin(0, 1)),
-        Rule("tx_fraud_scenario", F.col("tx_fraud_scenario").isin(0, 1, 2, 3)),
+        Rule("tx_datetime", "tx_datetime IS NOT NULL"),
+        Rule("customer_id", "customer_id >= 0"),
+        Rule("terminal_id", "terminal_id > 0"),
+        Rule("tx_amount", "tx_amount >= 0"),
+        Rule("tx_time_seconds", "tx_time_seconds >= 0"),
+        Rule("tx_fraud", "tx_fraud IN (0, 1)"),
+        Rule("tx_fraud_scenario", "tx_fraud_scenario IN (0, 1, 2, 3)"),
     ]
 
 
@@ -39,44 +36,39 @@ def strict_rules(first_day: str = "2018-01-01", end_day: str = "2025-01-01") ->
     The years are a timestamp range, not ``year(...)``, so that the scan can skip Parquet
     row groups by their statistics.
     """
-    day = F.col("tx_datetime")
     return [
-        Rule("transaction_id", F.col("transaction_id").isNotNull()),
-        Rule("tx_datetime", (day >= F.lit(first_day).cast("timestamp")) & (day < F.lit(end_day).cast("timestamp"))),
-        Rule("customer_id", F.col("customer_id") >= 0),
-        Rule("terminal_id", F.col("terminal_id") > 0),
-        Rule("tx_amount", (F.col("tx_amount") >= 0) & ~F.isnan("tx_amount")),
-        Rule("tx_time_seconds", F.col("tx_time_seconds") >= 0),
-        Rule("tx_time_days", F.col("tx_time_days") >= 0),
-        Rule("tx_fraud", F.col("tx_fraud").isin(0, 1)),
-        Rule("tx_fraud_scenario", F.col("tx_fraud_scenario").between(0, 3)),
+        Rule("transaction_id", "transaction_id IS NOT NULL"),
+        Rule("tx_datetime", f"tx_datetime >= TIMESTAMP '{first_day}' AND tx_datetime < TIMESTAMP '{end_day}'"),
+        Rule("customer_id", "customer_id >= 0"),
+        Rule("terminal_id", "terminal_id > 0"),
+        Rule("tx_amount", "tx_amount >= 0 AND NOT isnan(tx_amount)"),
+        Rule("tx_time_seconds", "tx_time_seconds >= 0"),
+        Rule("tx_time_days", "tx_time_days >= 0"),
+        Rule("tx_fraud", "tx_fraud IN (0, 1)"),
+        Rule("tx_fraud_scenario", "tx_fraud_scenario BETWEEN 0 AND 3"),
     ]
 
 
-def all_pass(rules: Sequence[Rule]) -> Column:
-    return reduce(lambda a, b: a & b, [rule.passes for rule in rules])
+def all_pass(rules: Sequence[Rule]) -> str:
+    return " AND ".join(f"({rule.passes})" for rule in rules)
 
 
-def failing_names(rules: Sequence[Rule]) -> Column:
+def failing_names(rules: Sequence[Rule]) -> str:
     """Array of the names of the rules that a row fails, in rule order."""
-    marks = [F.when(~F.coalesce(rule.passes, F.lit(False)), F.lit(rule.name)) for rule in rules]
-    return F.array_compact(F.array(*marks))
-
-
-def violation_checks() -> dict[str, Column]:
-    """The eight checks of the data-quality profile.
-
-    Their limits differ from the rules above (zero amounts and zero seconds are reported
-    although cleaning keeps them). Month and day can only be out of range in theory.
-    """
-    day = F.col("tx_datetime")
-    return {
-        "year_out_of_range": (F.year(day) < 2018) | (F.year(day) > 2024),
-        "month_out_of_range": (F.month(day) < 1) | (F.month(day) > 12),
-        "day_out_of_range": (F.dayofmonth(day) < 1) | (F.dayofmonth(day) > 31),
-        "transaction_id_not_positive": F.col("transaction_id") <= 0,
-        "customer_id_negative": F.col("customer_id") < 0,
-        "terminal_id_negative": F.col("terminal_id") < 0,
-        "tx_amount_not_positive": F.col("tx_amount") <= 0,
-        "tx_time_seconds_not_positive": F.col("tx_time_seconds") <= 0,
-    }
+    marks = ", ".join(f"CASE WHEN coalesce({rule.passes}, false) THEN NULL ELSE '{rule.name}' END" for rule in rules)
+    return f"array_compact(array({marks}))"
+
+
+# The eight checks of the data-quality profile. Their limits differ from the
+# rules above: zero amounts and zero seconds are reported although cleaning keeps them.
+# Month and day can be out of range only in theory.
+VIOLATION_CHECKS = {
+    "year_out_of_range": "year(tx_datetime) < 2018 OR year(tx_datetime) > 2024",
+    "month_out_of_range": "month(tx_datetime) < 1 OR month(tx_datetime) > 12",
+    "day_out_of_range": "day(tx_datetime) < 1 OR day(tx_datetime) > 31",
+    "transaction_id_not_positive": "transaction_id <= 0",
+    "customer_id_negative": "customer_id < 0",
+    "terminal_id_negative": "terminal_id < 0",
+    "tx_amount_not_positive": "tx_amount <= 0",
+    "tx_time_seconds_not_positive": "tx_time_seconds <= 0",
+}

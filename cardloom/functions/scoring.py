@@ -1,13 +1,10 @@
-"""A linear fraud score as a column expression."""
+"""A linear fraud score on raw columns."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, functions as F
-
 
 class LinearModel(NamedTuple):
     """Coefficients on raw columns; what a logistic model boils down to when scoring."""
@@ -16,14 +13,14 @@ class LinearModel(NamedTuple):
     intercept: float
     threshold: float = 0.5
 
-    def margin(self) -> Column:
-        terms = [F.col(name) * F.lit(float(w)) for name, w in self.weights.items()]
-        return reduce(lambda a, b: a + b, terms) + F.lit(float(self.intercept))
+    def margin(self) -> str:
+        terms = [f"{name} * {float(weight)!r}D" for name, weight in self.weights.items()]
+        return " + ".join([*terms, f"{float(self.intercept)!r}D"])
 
-    def score(self) -> Column:
+    def score(self) -> str:
         """Probability of fraud."""
-        return 1 / (1 + F.exp(-self.margin()))
+        return f"1D / (1D + exp(-({self.margin()})))"
 
-    def prediction(self) -> Column:
+    def prediction(self) -> str:
         """1.0 above the threshold, else 0.0; NULL when a feature is missing."""
-        return (self.score() > self.threshold).cast("double")
+        return f"CAST({self.score()} > {float(self.threshold)!r}D AS DOUBLE)"

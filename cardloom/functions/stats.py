@@ -4,74 +4,58 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
 
-
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Quotient as DOUBLE, NULL where the denominator is zero."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double"))
-
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
 
-def _ratio_or(numerator: Column, denominator: Column, default) -> Column:
-    default = default if isinstance(default, Column) else F.lit(float(default))
-    return F.coalesce(ratio(numerator, denominator), default)
 
-
-def hard_area_under_pr(tp: Column, fp: Column, fn: Column, tn: Column) -> Column:
+def hard_area_under_pr(tp: str = "tp", fp: str = "fp", fn: str = "fn", tn: str = "tn") -> str:
     """Area under the precision-recall curve when the score is a 0/1 prediction.
 
     Such a curve has one inner point: (recall, precision) of the predicted-positive rows.
     It starts at recall 0 with the same precision and ends where all rows are accepted.
     """
-    positives, total = tp + fn, tp + fp + fn + tn
-    base = _ratio_or(positives, total, 0)
-    precision = _ratio_or(tp, tp + fp, base)
-    recall = _ratio_or(tp, positives, 0)
-    last = F.when(positives > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    return recall * precision + (last - recall) * (precision + base) / 2
+    base = f"coalesce({ratio(f'{tp} + {fn}', f'{tp} + {fp} + {fn} + {tn}')}, 0D)"
+    precision = f"coalesce({ratio(tp, f'{tp} + {fp}')}, {base})"
+    recall = f"coalesce({ratio(tp, f'{tp} + {fn}')}, 0D)"
+    last = f"if({tp} + {fn} > 0, 1D, 0D)"
+    return f"{recall} * {precision} + ({last} - {recall}) * ({precision} + {base}) / 2D"
 
 
-def hard_area_under_roc(tp: Column, fp: Column, fn: Column, tn: Column) -> Column:
+def hard_area_under_roc(tp: str = "tp", fp: str = "fp", fn: str = "fn", tn: str = "tn") -> str:
     """Area under the ROC curve when the score is a 0/1 prediction."""
-    positives, negatives = tp + fn, fp + tn
-    recall = _ratio_or(tp, positives, 0)
-    fall_out = _ratio_or(fp, negatives, 0)
-    last_y = F.when(positives > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    last_x = F.when(negatives > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    recall = f"coalesce({ratio(tp, f'{tp} + {fn}')}, 0D)"
+    fall_out = f"coalesce({ratio(fp, f'{fp} + {tn}')}, 0D)"
+    last_y, last_x = f"if({tp} + {fn} > 0, 1D, 0D)", f"if({fp} + {tn} > 0, 1D, 0D)"
     return (
-        fall_out * recall / 2
-        + (last_x - fall_out) * (recall + last_y) / 2
-        + (F.lit(1.0) - last_x) * (last_y + 1) / 2
+        f"{fall_out} * {recall} / 2D + ({last_x} - {fall_out}) * ({recall} + {last_y}) / 2D"
+        f" + (1D - {last_x}) * ({last_y} + 1D) / 2D"
     )
 
 
-def t_two_sided_p(t: Column, freedom: Column) -> Column:
+def t_two_sided_p(t: str, freedom: str) -> str:
     """P(|T| >= |t|) for a whole number of degrees of freedom.
 
     For whole degrees of freedom the distribution function is a finite trigonometric
     series, so no numeric integration and no Python worker is needed.
     """
-    nu = freedom.cast("double")
-    theta = F.atan(F.abs(t) / F.sqrt(nu))
-    sin, cos = F.sin(theta), F.cos(theta)
-    even = freedom % 2 == 0
-    terms = F.floor((nu - 2) / 2).cast("int")
-    start = F.when(even, F.lit(1.0)).otherwise(cos)
-
-    def step(acc: Column, j: Column) -> Column:
-        factor = F.when(even, (2 * j - 1) / (2 * j)).otherwise((2 * j) / (2 * j + 1))
-        term = acc["term"] * factor * cos * cos
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    initial = F.struct(start.alias("term"), start.alias("total"))
-    steps = F.when(terms >= 1, F.sequence(F.lit(1), terms)).otherwise(F.array().cast("array<int>"))
-    total = F.aggregate(steps, initial, step, lambda acc: acc["total"])
+    theta = f"atan(abs({t}) / sqrt(CAST({freedom} AS DOUBLE)))"
+    even = f"{freedom} % 2 = 0"
+    terms = f"CAST(floor(({freedom} - 2) / 2) AS INT)"
+    steps = f"if({terms} >= 1, sequence(1, {terms}), CAST(array() AS ARRAY<INT>))"
+    start = f"if({even}, 1D, cos({theta}))"
+    factor = f"if({even}, (2D * j - 1D) / (2D * j), (2D * j) / (2D * j + 1D))"
+    term = f"acc.term * {factor} * pow(cos({theta}), 2)"
+    total = (
+        f"aggregate({steps}, named_struct('term', {start}, 'total', {start}), "
+        f"(acc, j) -> named_struct('term', {term}, 'total', acc.total + {term}), acc -> acc.total)"
+    )
     inside = (
-        F.when(even, sin * total)
-        .when(freedom == 1, 2 * theta / math.pi)
-        .otherwise(2 / math.pi * (theta + sin * total))
+        f"CASE WHEN {even} THEN sin({theta}) * {total} WHEN {freedom} = 1 THEN 2D * {theta} / pi() "
+        f"ELSE 2D / pi() * ({theta} + sin({theta}) * {total}) END"
     )
-    return F.greatest(F.lit(0.0), 1 - inside)
+    return f"greatest(0D, 1D - ({inside}))"
 
 
 def t_inside(t: float, freedom: int) -> float:
@@ -93,7 +77,7 @@ def t_critical(confidence: float, freedom: int) -> float:
     low, high = 0.0, 1.0
     while t_inside(high, freedom) < confidence:
         high *= 2
-    for _ in range(80):
+    for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if t_inside(middle, freedom) < confidence else (low, middle)
     return (low + high) / 2

@@ -17,16 +17,13 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def with_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that fail a rule, with the names of the failed rules in ``reasons``."""
-    return df.withColumn("reasons", failing_names(rules)).filter(F.size("reasons") > 0)
+    return df.selectExpr("*", f"{failing_names(rules)} AS reasons").filter("size(reasons) > 0")
 
 
 def count_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows failing each rule, ``(reason, rows)``; one pass, counts combined before the shuffle."""
-    return (
-        df.select(F.explode(failing_names(rules)).alias("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    reasons = df.selectExpr(f"explode({failing_names(rules)}) AS reason")
+    return reasons.groupBy("reason").agg(F.expr("count(*) AS rows"))
 
 
 def deduplicate(df: DataFrame, key: str = KEY, earliest_by: str = EVENT_TIME) -> DataFrame:
@@ -37,7 +34,7 @@ def deduplicate(df: DataFrame, key: str = KEY, earliest_by: str = EVENT_TIME) ->
     survivor is the same on every run. NULL is a key like any other.
     """
     rest = [c for c in df.columns if c not in (key, earliest_by)]
-    first = F.min(F.struct(earliest_by, *rest)).alias("first")
+    first = F.expr(f"min(struct({', '.join([earliest_by, *rest])})) AS first")
     return df.groupBy(key).agg(first).select(key, "first.*").select(*df.columns)
 
 

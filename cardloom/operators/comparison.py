@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions.hashing import bucket_of, poisson_draw, unit_uniform
 from cardloom.functions.stats import t_critical, t_two_sided_p
@@ -31,13 +31,16 @@ def bootstrap_counts(predictions: DataFrame, replicates: int = REPLICATES, fract
     the same chance. So one pass draws that total, expands it, and counts; the shuffle
     carries one partial count per task, model and sample.
     """
-    mean = replicates * fraction
-    row = (F.col(MODEL), F.col(key))
-    drawn = poisson_draw(unit_uniform("draws", *row, method=method), mean)
-    narrow = predictions.select(MODEL, key, label, "prediction", drawn.alias("drawn")).filter(F.col("drawn") > 0)
-    copies = narrow.select("*", F.explode(F.sequence(F.lit(1), F.col("drawn"))).alias("copy"))
-    replicate = bucket_of(replicates, "replicate", *row, F.col("copy"), method=method)
-    return confusion_counts(copies.withColumn("replicate", replicate), by=[MODEL, "replicate"], label=label)
+    uniform = unit_uniform("draws", MODEL, key, method=method)
+    drawn = (
+        predictions.selectExpr(MODEL, key, label, "prediction", f"{uniform} AS u")
+        .selectExpr("*", f"{poisson_draw('u', replicates * fraction)} AS drawn")
+        .filter("drawn > 0")
+    )
+    copies = drawn.selectExpr(MODEL, key, label, "prediction", "explode(sequence(1, drawn)) AS copy")
+    replicate = bucket_of(replicates, "replicate", MODEL, key, "copy", method=method)
+    placed = copies.selectExpr(MODEL, label, "prediction", f"{replicate} AS replicate")
+    return confusion_counts(placed, by=[MODEL, "replicate"], label=label)
 
 
 def bootstrap_counts_by_cell(predictions: DataFrame, replicates: int = REPLICATES, fraction: float = FRACTION,
@@ -48,9 +51,9 @@ def bootstrap_counts_by_cell(predictions: DataFrame, replicates: int = REPLICATE
     rows of a cell add up to one Poisson draw of the cell. After a single aggregate only
     ``models * 4 * replicates`` draws remain, whatever the size of the table.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("cell"), F.col(c).alias("rows")) for c in CELLS])
-    counts = confusion_counts(predictions, by=[MODEL], label=label).select(MODEL, F.inline(cells))
-    samples = counts.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    cells = ", ".join(f"named_struct('cell', '{c}', 'rows', {c})" for c in CELLS)
+    counts = confusion_counts(predictions, by=[MODEL], label=label).selectExpr(MODEL, f"inline(array({cells}))")
+    samples = counts.selectExpr("*", f"explode(sequence(0, {replicates - 1})) AS replicate")
 
     @F.pandas_udf("bigint")
     def draw(model: pd.Series, cell: pd.Series, replicate: pd.Series, rows: pd.Series) -> pd.Series:
@@ -60,51 +63,44 @@ def bootstrap_counts_by_cell(predictions: DataFrame, replicates: int = REPLICATE
         ])
 
     drawn = samples.withColumn("drawn", draw(MODEL, "cell", "replicate", "rows"))
-    return drawn.groupBy(MODEL, "replicate").agg(
-        *[F.sum(F.when(F.col("cell") == c, F.col("drawn"))).alias(c) for c in CELLS]
-    )
+    return drawn.groupBy(MODEL, "replicate").agg(*[F.expr(f"sum(if(cell = '{c}', drawn, 0L)) AS {c}") for c in CELLS])
 
 
 def sample_scores(counts: DataFrame, swapped: bool = False) -> DataFrame:
     """Area under the precision-recall curve of each sample: ``(model, replicate, score)``."""
     areas = hard_areas(swap_roles(counts) if swapped else counts)
-    return areas.select(MODEL, "replicate", F.col("area_under_pr").alias("score"))
+    return areas.selectExpr(MODEL, "replicate", "area_under_pr AS score")
 
 
 def score_intervals(scores: DataFrame, confidence: float = CONFIDENCE, replicates: int = REPLICATES) -> DataFrame:
     """Confidence interval of the mean score of each model, from Student's t."""
-    limits = [t_critical(confidence, freedom) for freedom in range(1, replicates)]
+    limits = ", ".join(f"{t_critical(confidence, freedom)!r}D" for freedom in range(1, replicates))
     stats = scores.groupBy(MODEL).agg(
-        F.count("score").alias("samples"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")
+        F.expr("count(score) AS samples"), F.expr("avg(score) AS mean"), F.expr("stddev_pop(score) AS spread")
     )
-    limit = F.get(F.array(*[F.lit(t) for t in limits]), (F.col("samples") - 2).cast("int"))
-    half = limit * F.col("spread") / F.sqrt(F.col("samples").cast("double"))
-    return stats.select(
-        MODEL, "samples", "mean", (F.col("mean") - half).alias("low"), (F.col("mean") + half).alias("high")
+    half = f"get(array({limits}), CAST(samples AS INT) - 2) * spread / sqrt(CAST(samples AS DOUBLE))"
+    return stats.selectExpr(MODEL, "samples", "mean", f"{half} AS half").selectExpr(
+        MODEL, "samples", "mean", "mean - half AS low", "mean + half AS high"
     )
 
 
 def compare_models(scores: DataFrame, baseline: str, candidate: str) -> DataFrame:
     """Two-sample t-test with pooled variance, one row: means, t, degrees of freedom, p."""
-
-    def of(name: str) -> Column:
-        return F.when(F.col(MODEL) == name, F.col("score"))
-
-    sides = scores.agg(
-        F.count(of(baseline)).alias("n0"), F.avg(of(baseline)).alias("mean_baseline"),
-        F.var_samp(of(baseline)).alias("v0"),
-        F.count(of(candidate)).alias("n1"), F.avg(of(candidate)).alias("mean_candidate"),
-        F.var_samp(of(candidate)).alias("v1"),
+    sides = []
+    for side, name in (("baseline", baseline), ("candidate", candidate)):
+        of = f"CASE WHEN {MODEL} = '{name}' THEN score END"
+        sides += [f"count({of}) AS n_{side}", f"avg({of}) AS mean_{side}", f"var_samp({of}) AS var_{side}"]
+    pooled = (
+        "try_divide((n_baseline - 1) * var_baseline + (n_candidate - 1) * var_candidate, "
+        "CAST(n_baseline + n_candidate - 2 AS DOUBLE))"
     )
-    n0, n1 = F.col("n0"), F.col("n1")
-    pooled = F.try_divide((n0 - 1) * F.col("v0") + (n1 - 1) * F.col("v1"), (n0 + n1 - 2).cast("double"))
-    error = F.sqrt(pooled * (1 / n0.cast("double") + 1 / n1.cast("double")))
-    tested = sides.select(
+    error = f"sqrt({pooled} * (1D / n_baseline + 1D / n_candidate))"
+    tested = scores.agg(*map(F.expr, sides)).selectExpr(
         "mean_baseline", "mean_candidate",
-        F.try_divide(F.col("mean_baseline") - F.col("mean_candidate"), error).alias("t"),
-        (n0 + n1 - 2).cast("int").alias("freedom"),
+        f"try_divide(mean_baseline - mean_candidate, {error}) AS t",
+        "CAST(n_baseline + n_candidate - 2 AS INT) AS freedom",
     )
-    return tested.withColumn("p_value", t_two_sided_p(F.col("t"), F.col("freedom")))
+    return tested.selectExpr("*", f"{t_two_sided_p('t', 'freedom')} AS p_value")
 
 
 def promotion_gate(test: DataFrame, alpha: float = ALPHA) -> DataFrame:
@@ -113,12 +109,13 @@ def promotion_gate(test: DataFrame, alpha: float = ALPHA) -> DataFrame:
     ``differs`` is the bare test, which a significantly worse candidate passes too;
     ``promote`` also asks for a better mean.
     """
-    differs = F.coalesce(F.col("p_value") < alpha, F.lit(False))
-    improved = F.coalesce(F.col("mean_candidate") > F.col("mean_baseline"), F.lit(False))
-    return test.select("*", differs.alias("differs"), (differs & improved).alias("promote"))
+    differs = f"coalesce(p_value < {alpha!r}D, false)"
+    return test.selectExpr(
+        "*", f"{differs} AS differs", f"{differs} AND coalesce(mean_candidate > mean_baseline, false) AS promote"
+    )
 
 
 def score_histogram(scores: DataFrame, bins: int = 20) -> DataFrame:
     """Samples per model and equal-width score bin over [0, 1]: ``(model, bin, samples)``."""
-    bin_of = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int").alias("bin")
-    return scores.groupBy(MODEL, bin_of).agg(F.count(F.lit(1)).alias("samples"))
+    binned = scores.selectExpr(MODEL, f"least(CAST(floor(score * {bins}) AS INT), {bins - 1}) AS bin")
+    return binned.groupBy(MODEL, "bin").agg(F.expr("count(*) AS samples"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions.stats import hard_area_under_pr, hard_area_under_roc, ratio
 from cardloom.schema import AMOUNT, EVENT_TIME, LABEL
@@ -18,44 +18,40 @@ MAX_FALSE_NEGATIVE_RATE = 0.02
 MAX_MONTHLY_LOSS = 500_000.0
 
 
+def _add(df: DataFrame, **columns: str) -> DataFrame:
+    """Add or replace columns given as SQL text."""
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+
+
 def confusion_counts(df: DataFrame, by: Sequence[str] = (), label: str = LABEL,
                      prediction: str = "prediction") -> DataFrame:
     """``(by..., tp, fp, fn, tn)`` in one pass."""
-    actual, predicted = F.col(label), F.col(prediction)
-    return df.groupBy(*by).agg(
-        F.count_if((actual == 1) & (predicted == 1)).alias("tp"),
-        F.count_if((actual == 0) & (predicted == 1)).alias("fp"),
-        F.count_if((actual == 1) & (predicted == 0)).alias("fn"),
-        F.count_if((actual == 0) & (predicted == 0)).alias("tn"),
-    )
-
-
-def _cells() -> tuple[Column, ...]:
-    return tuple(F.col(name) for name in CELLS)
+    actual_and_predicted = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
+    return df.groupBy(*by).agg(*[
+        F.expr(f"count_if({label} = {y} AND {prediction} = {p}) AS {cell}")
+        for cell, (y, p) in actual_and_predicted.items()
+    ])
 
 
 def classification_metrics(counts: DataFrame) -> DataFrame:
     """Add accuracy, precision, recall and F1; NULL where a rate has no base."""
-    tp, fp, fn, tn = _cells()
-    return counts.withColumns({
-        "accuracy": ratio(tp + tn, tp + fp + fn + tn),
-        "precision": ratio(tp, tp + fp),
-        "recall": ratio(tp, tp + fn),
-        "f1": ratio(2 * tp, 2 * tp + fp + fn),
-    })
+    return _add(
+        counts,
+        accuracy=ratio("tp + tn", "tp + fp + fn + tn"),
+        precision=ratio("tp", "tp + fp"),
+        recall=ratio("tp", "tp + fn"),
+        f1=ratio("2 * tp", "2 * tp + fp + fn"),
+    )
 
 
 def hard_areas(counts: DataFrame) -> DataFrame:
     """Add the areas under ROC and PR of the 0/1 predictions."""
-    return counts.withColumns({
-        "area_under_roc": hard_area_under_roc(*_cells()),
-        "area_under_pr": hard_area_under_pr(*_cells()),
-    })
+    return _add(counts, area_under_roc=hard_area_under_roc(), area_under_pr=hard_area_under_pr())
 
 
 def swap_roles(counts: DataFrame) -> DataFrame:
     """Counts as seen when the prediction is taken for the truth and the other way round."""
-    return counts.withColumns({"fp": F.col("fn"), "fn": F.col("fp")})
+    return _add(counts, fp="fn", fn="fp")
 
 
 def swapped_metrics(counts: DataFrame) -> DataFrame:
@@ -66,22 +62,20 @@ def swapped_metrics(counts: DataFrame) -> DataFrame:
     """
     swapped = hard_areas(classification_metrics(swap_roles(counts)))
     names = [c for c in counts.columns if c not in CELLS]
-    zero = F.lit(0.0)
-    return swapped.select(
+    return swapped.selectExpr(
         *names,
-        F.coalesce("accuracy", zero).alias("acc"),
-        F.coalesce("f1", zero).alias("f1"),
-        F.coalesce("precision", zero).alias("precision"),
-        F.coalesce("recall", zero).alias("recall"),
-        F.col("area_under_roc").alias("auc"),
-        F.col("area_under_pr").alias("arp"),
+        "coalesce(accuracy, 0D) AS acc", "coalesce(f1, 0D) AS f1",
+        "coalesce(precision, 0D) AS precision", "coalesce(recall, 0D) AS recall",
+        "area_under_roc AS auc", "area_under_pr AS arp",
     )
 
 
-def _class_sums(df: DataFrame, keys: Sequence, label: str) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")
-    )
+def _class_sums(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.expr(f"count_if({label} = 1) AS p"), F.expr(f"count_if({label} = 0) AS n"))
+
+
+def _partition(columns: Sequence[str]) -> str:
+    return f"PARTITION BY {', '.join(columns)}" if columns else ""
 
 
 def _areas_from_steps(steps: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -90,15 +84,13 @@ def _areas_from_steps(steps: DataFrame, by: Sequence[str]) -> DataFrame:
     The point before a step is the cumulated count without the step's own rows, so the areas
     are plain sums and need no ordering here.
     """
-    p, n, cum_p, cum_n = F.col("p"), F.col("n"), F.col("cum_p"), F.col("cum_n")
-    precision = ratio(cum_p, cum_p + cum_n)
-    before = F.coalesce(ratio(cum_p - p, cum_p - p + cum_n - n), precision)
-    roc = F.sum(n.cast("double") * (cum_p.cast("double") - p.cast("double") / 2))
-    pr = F.sum(p.cast("double") * (precision + before) / 2)
-    positives, negatives = F.sum("p").cast("double"), F.sum("n").cast("double")
+    precision = ratio("cum_p", "cum_p + cum_n")
+    before = f"coalesce({ratio('cum_p - p', 'cum_p - p + cum_n - n')}, {precision})"
+    roc = "sum(CAST(n AS DOUBLE) * (CAST(cum_p AS DOUBLE) - CAST(p AS DOUBLE) / 2D))"
+    pr = f"sum(CAST(p AS DOUBLE) * ({precision} + {before}) / 2D)"
     return steps.groupBy(*by).agg(
-        F.try_divide(roc, positives * negatives).alias("area_under_roc"),
-        F.try_divide(pr, positives).alias("area_under_pr"),
+        F.expr(f"try_divide({roc}, CAST(sum(p) AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS area_under_roc"),
+        F.expr(f"try_divide({pr}, CAST(sum(p) AS DOUBLE)) AS area_under_pr"),
     )
 
 
@@ -109,11 +101,12 @@ def score_areas(df: DataFrame, by: Sequence[str] = (), score: str = "score", lab
     After the first aggregate at most ``bins`` rows per group are left; the running sums
     work on those only.
     """
-    bin_of = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).alias("bin")
-    steps = _class_sums(df.filter(F.col(score).isNotNull()), [*by, bin_of], label)
-    falling = Window.partitionBy(*by).orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cumulated = steps.withColumns({"cum_p": F.sum("p").over(falling), "cum_n": F.sum("n").over(falling)})
-    return _areas_from_steps(cumulated, by)
+    binned = df.filter(f"{score} IS NOT NULL").selectExpr(
+        *by, label, f"least(CAST(floor({score} * {bins}) AS INT), {bins - 1}) AS bin"
+    )
+    falling = f"OVER ({_partition(by)} ORDER BY bin DESC ROWS UNBOUNDED PRECEDING)"
+    steps = _class_sums(binned, [*by, "bin"], label)
+    return _areas_from_steps(_add(steps, cum_p=f"sum(p) {falling}", cum_n=f"sum(n) {falling}"), by)
 
 
 def score_areas_exact(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = LABEL) -> DataFrame:
@@ -124,51 +117,45 @@ def score_areas_exact(df: DataFrame, by: Sequence[str] = (), score: str = "score
     totals of the parts before it, of which there is one row per part. The parts are staged,
     so that a task run again finds the same boundaries.
     """
-    steps = _class_sums(df.filter(F.col(score).isNotNull()), [*by, score], label)
-    ranged = steps.repartitionByRange(*by, F.col(score).desc()).withColumn("part", F.spark_partition_id())
+    steps = _class_sums(df.filter(f"{score} IS NOT NULL"), [*by, score], label)
+    ranged = steps.repartitionByRange(*by, F.expr(score).desc()).selectExpr("*", "spark_partition_id() AS part")
     parts = stage(ranged, "score-steps")
-    earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    offsets = (
-        parts.groupBy(*by, "part").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-        .select(*by, "part",
-                F.coalesce(F.sum("p").over(earlier), zero).alias("p_before"),
-                F.coalesce(F.sum("n").over(earlier), zero).alias("n_before"))
+    earlier = f"OVER ({_partition(by)} ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = _class_totals(parts, [*by, "part"]).selectExpr(
+        *by, "part", f"coalesce(sum(p) {earlier}, 0L) AS p_before", f"coalesce(sum(n) {earlier}, 0L) AS n_before"
+    )
+    inside = f"OVER ({_partition([*by, 'part'])} ORDER BY {score} DESC ROWS UNBOUNDED PRECEDING)"
+    # One row per part and group: never more than the number of shuffle partitions per group.
+    shifted = parts.join(F.broadcast(offsets), [*by, "part"])
+    return _areas_from_steps(
+        _add(shifted, cum_p=f"p_before + sum(p) {inside}", cum_n=f"n_before + sum(n) {inside}"), by
     )
-    inside = Window.partitionBy(*by, "part").orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per part: never more than the number of shuffle partitions per group.
-    cumulated = parts.join(F.broadcast(offsets), [*by, "part"]).withColumns({
-        "cum_p": F.col("p_before") + F.sum("p").over(inside),
-        "cum_n": F.col("n_before") + F.sum("n").over(inside),
-    })
-    return _areas_from_steps(cumulated, by)
+
+
+def _class_totals(steps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return steps.groupBy(*keys).agg(F.expr("sum(p) AS p"), F.expr("sum(n) AS n"))
 
 
 def error_rates(counts: DataFrame, max_fp_rate: float = MAX_FALSE_POSITIVE_RATE,
                 max_fn_rate: float = MAX_FALSE_NEGATIVE_RATE) -> DataFrame:
     """Add the error rates (of normal and of fraud rows) and whether they meet the limits."""
-    tp, fp, fn, tn = _cells()
-    rated = counts.withColumns({"fp_rate": ratio(fp, fp + tn), "fn_rate": ratio(fn, tp + fn)})
-    return rated.withColumn(
-        "meets_limits",
-        F.coalesce((F.col("fp_rate") < max_fp_rate) & (F.col("fn_rate") < max_fn_rate), F.lit(False)),
-    )
+    rated = _add(counts, fp_rate=ratio("fp", "fp + tn"), fn_rate=ratio("fn", "tp + fn"))
+    meets = f"coalesce(fp_rate < {max_fp_rate!r}D AND fn_rate < {max_fn_rate!r}D, false)"
+    return _add(rated, meets_limits=meets)
 
 
 def monthly_missed_loss(df: DataFrame, by: Sequence[str] = (), limit: float = MAX_MONTHLY_LOSS,
                         label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """Amount of fraud that was not predicted, by month, against a limit."""
-    missed = df.filter((F.col(label) == 1) & (F.col(prediction) == 0))
-    month = F.date_format(F.date_trunc("month", F.col(EVENT_TIME)), "yyyy-MM").alias("month")
-    return (
-        missed.groupBy(*by, month)
-        .agg(F.count(F.lit(1)).alias("missed"), F.sum(AMOUNT).alias("loss"))
-        .withColumn("within_limit", F.col("loss") < F.lit(float(limit)))
+    missed = df.filter(f"{label} = 1 AND {prediction} = 0").selectExpr(
+        *by, f"date_format({EVENT_TIME}, 'yyyy-MM') AS month", AMOUNT
     )
+    totals = missed.groupBy(*by, "month").agg(F.expr("count(*) AS missed"), F.expr(f"sum({AMOUNT}) AS loss"))
+    return _add(totals, within_limit=f"loss < {float(limit)!r}D")
 
 
 def metrics_long(metrics: DataFrame, run: str) -> DataFrame:
     """Metric columns as rows ``(run, metric, value)``, ready to append to a run table."""
     names = [c for c in metrics.columns if c != run]
-    as_double = metrics.select(F.col(run).alias("run"), *[F.col(c).cast("double").alias(c) for c in names])
+    as_double = metrics.selectExpr(f"{run} AS run", *[f"CAST({c} AS DOUBLE) AS {c}" for c in names])
     return as_double.unpivot("run", names, "metric", "value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cardloom.schema import SCENARIO
 
@@ -49,9 +49,8 @@ def fit_features(train: DataFrame, with_scenario: bool = False, on_unseen: str =
 
 def vector_columns(df: DataFrame, vector: str, prefix: str, size: int, digits: int | None = None) -> DataFrame:
     """Spread the first ``size`` entries of a vector over columns ``<prefix>0``, ``<prefix>1``, ..."""
-    values = vector_to_array(vector)
-    columns = {}
-    for i in range(size):
-        entry = F.get(values, F.lit(i))
-        columns[f"{prefix}{i}"] = entry if digits is None else F.round(entry, digits)
-    return df.withColumns(columns)
+    spread = df.withColumn("_values", vector_to_array(vector))
+    entries = [f"get(_values, {i})" for i in range(size)]
+    if digits is not None:
+        entries = [f"round({entry}, {digits})" for entry in entries]
+    return spread.selectExpr(*df.columns, *[f"{entry} AS {prefix}{i}" for i, entry in enumerate(entries)])

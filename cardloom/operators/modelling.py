@@ -7,8 +7,9 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardloom.operators.features import FEATURES, NUMERIC_FEATURES, feature_stages, fit_features
 from cardloom.schema import LABEL
@@ -55,26 +56,25 @@ def coefficient_rows(model: PipelineModel) -> DataFrame:
     """Coefficients and intercept as ``(term, coefficient)``."""
     lr = last_stage(model)
     rows = [*zip(term_names(model), map(float, lr.coefficients)), ("intercept", float(lr.intercept))]
-    return _session(model).createDataFrame(rows, "term STRING, coefficient DOUBLE")
+    return SparkSession.active().createDataFrame(rows, "term STRING, coefficient DOUBLE")
 
 
 def summary_rows(model: PipelineModel, run: str) -> DataFrame:
     """Accuracy and area under ROC on the training rows as ``(run, metric, value)``."""
     summary = last_stage(model).summary
     rows = [(run, "training_accuracy", summary.accuracy), (run, "training_area_under_roc", summary.areaUnderROC)]
-    return _session(model).createDataFrame(rows, "run STRING, metric STRING, value DOUBLE")
+    return SparkSession.active().createDataFrame(rows, "run STRING, metric STRING, value DOUBLE")
 
 
 def param_rows(model: PipelineModel, run: str) -> DataFrame:
     """Parameters of the classifier as ``(run, param, value)``."""
     rows = [(run, p.name, str(v)) for p, v in last_stage(model).extractParamMap().items()]
-    return _session(model).createDataFrame(rows, "run STRING, param STRING, value STRING")
+    return SparkSession.active().createDataFrame(rows, "run STRING, param STRING, value STRING")
 
 
-def _session(model: PipelineModel):
-    from pyspark.sql import SparkSession
-
-    return SparkSession.active()
+def fraud_probability() -> Column:
+    """Probability of class 1 from the classifier's output vector."""
+    return F.get(vector_to_array("probability"), F.lit(1))
 
 
 def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = False, on_unseen: str = "error",

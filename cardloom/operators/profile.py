@@ -4,26 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cardloom.functions.rules import violation_checks
+from cardloom.functions.rules import VIOLATION_CHECKS
 from cardloom.schema import KEY, LABEL, SCENARIO
 
 
 def profile_missing(df: DataFrame) -> DataFrame:
     """NaN and NULL counts of each column that is not a timestamp: ``(column, nans, nulls)``."""
-    names = [f.name for f in df.schema if not isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
-    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     counts = []
-    for name in names:
-        nans = F.count_if(F.isnan(name)) if name in floating else F.lit(0).cast("bigint")
-        nulls = F.count_if(F.col(name).isNull())
-        counts.append(F.struct(F.lit(name).alias("column"), nans.alias("nans"), nulls.alias("nulls")))
-    return df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+    for field in df.schema:
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            continue
+        floating = isinstance(field.dataType, (T.DoubleType, T.FloatType))
+        nans = f"count_if(isnan({field.name}))" if floating else "0L"
+        counts.append(
+            f"named_struct('column', '{field.name}', 'nans', {nans}, 'nulls', count_if({field.name} IS NULL))"
+        )
+    return df.agg(F.expr(f"array({', '.join(counts)}) AS counts")).selectExpr("inline(counts)")
 
 
 def profile_violations(df: DataFrame) -> DataFrame:
     """Row count and the number of rows breaking each check: ``(rows, <check>...)``."""
-    counts = [F.count_if(broken).alias(name) for name, broken in violation_checks().items()]
-    return df.agg(F.count(F.lit(1)).alias("rows"), *counts)
+    counts = [F.expr(f"count_if({broken}) AS {name}") for name, broken in VIOLATION_CHECKS.items()]
+    return df.agg(F.expr("count(*) AS rows"), *counts)
 
 
 def profile_domains(df: DataFrame, columns: tuple[str, ...] = (LABEL, SCENARIO)) -> DataFrame:
@@ -31,22 +33,21 @@ def profile_domains(df: DataFrame, columns: tuple[str, ...] = (LABEL, SCENARIO))
 
     The table is first counted by the value combinations; only those few rows are unpivoted.
     """
-    combinations = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    combinations = df.groupBy(*columns).agg(F.expr("count(*) AS n"))
+    pairs = ", ".join(f"named_struct('column', '{c}', 'value', {c})" for c in columns)
     return (
-        combinations.select(F.inline(pairs), "n")
+        combinations.selectExpr(f"inline(array({pairs}))", "n")
         .groupBy("column", "value")
-        .agg(F.sum("n").alias("rows"))
+        .agg(F.expr("sum(n) AS rows"))
     )
 
 
 def profile_key_count(df: DataFrame, key: str = KEY) -> DataFrame:
     """Number of distinct keys, a NULL key counting as one, exact."""
-    has_null = F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))
-    return df.agg((F.count_distinct(key) + has_null).alias("distinct_keys"))
+    return df.agg(F.expr(f"count(DISTINCT {key}) + coalesce(max(CAST({key} IS NULL AS INT)), 0) AS distinct_keys"))
 
 
 def profile_key_count_approx(df: DataFrame, key: str = KEY, relative_error: float = 0.02) -> DataFrame:
     """The same by a fixed-size sketch, without a shuffle of the keys."""
-    has_null = F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))
-    return df.agg((F.approx_count_distinct(key, relative_error) + has_null).alias("distinct_keys"))
+    sketch = f"approx_count_distinct({key}, {float(relative_error)!r}D)"
+    return df.agg(F.expr(f"{sketch} + coalesce(max(CAST({key} IS NULL AS INT)), 0) AS distinct_keys"))

@@ -16,31 +16,36 @@ def sample_rows(df: DataFrame, fraction: float, salt: str = "sample", key: Seque
 
     Rows with equal keys are taken or left together, so ``key`` should identify the row.
     """
-    return df.filter(unit_uniform(salt, *map(F.col, key), method=method) < F.lit(float(fraction)))
+    return df.filter(f"{unit_uniform(salt, *key, method=method)} < {float(fraction)!r}D")
+
+
+def _limits(weights: Sequence[float]) -> list[float]:
+    """Upper limits of the parts in [0, 1]; weights are scaled to sum to one."""
+    limits, reached = [], 0.0
+    for weight in weights:
+        reached += weight
+        limits.append(reached / sum(weights))
+    return [*limits[:-1], 1.0]
 
 
 def assign_split(df: DataFrame, weights: dict[str, float], salt: str = "split", key: Sequence[str] = (KEY,),
                  method: str = "xxhash64", column: str = "split") -> DataFrame:
-    """Add the name of the part each row falls in; weights are scaled to sum to one."""
-    total = sum(weights.values())
-    u = unit_uniform(salt, *map(F.col, key), method=method)
-    names, upper, label = list(weights), 0.0, None
-    for name in names[:-1]:
-        upper += weights[name] / total
-        label = F.when(u < upper, name) if label is None else label.when(u < upper, name)
-    return df.withColumn(column, label.otherwise(names[-1]) if label is not None else F.lit(names[0]))
+    """Add the name of the part each row falls in."""
+    drawn = df.selectExpr("*", f"{unit_uniform(salt, *key, method=method)} AS _u")
+    parts = " ".join(f"WHEN _u < {limit!r}D THEN '{name}'" for name, limit in zip(weights, _limits(weights.values())))
+    return drawn.selectExpr(*df.columns, f"CASE {parts} END AS {column}")
 
 
 def split_rows(df: DataFrame, weights: Sequence[float], salt: str = "split", key: Sequence[str] = (KEY,),
                method: str = "xxhash64") -> list[DataFrame]:
     """The parts as separate frames. Each is a filter on the same scan."""
-    named = {str(i): w for i, w in enumerate(weights)}
-    marked = assign_split(df, named, salt, key, method, column="_part")
-    return [marked.filter(F.col("_part") == name).drop("_part") for name in named]
+    u = unit_uniform(salt, *key, method=method)
+    limits = _limits(weights)
+    return [df.filter(f"{u} >= {low!r}D AND {u} < {high!r}D") for low, high in zip([0.0, *limits], limits)]
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
+    return df.groupBy(label).agg(F.expr("count(*) AS rows"))
 
 
 def _minority_factor(df: DataFrame, label: str) -> Column:
@@ -48,10 +53,8 @@ def _minority_factor(df: DataFrame, label: str) -> Column:
 
     At least 1: a sample without fraud, or with more fraud than normal rows, is left alone.
     """
-    normal = F.count_if(F.col(label) == 0)
-    fraud = F.count_if(F.col(label) == 1)
-    factor = F.greatest(F.lit(1).cast("bigint"), F.coalesce(F.floor(F.try_divide(normal, fraud)), F.lit(1)))
-    return df.agg(factor.cast("bigint").alias("factor")).scalar()
+    times = f"floor(try_divide(count_if({label} = 0), count_if({label} = 1)))"
+    return df.agg(F.expr(f"greatest(1L, coalesce(CAST({times} AS BIGINT), 1L)) AS factor")).scalar()
 
 
 def oversample_minority(df: DataFrame, label: str = LABEL, copy_column: str | None = None) -> DataFrame:
@@ -60,14 +63,13 @@ def oversample_minority(df: DataFrame, label: str = LABEL, copy_column: str | No
     ``copy_column`` keeps the number of the copy (1 for every normal row). The counts are
     taken inside the query; nothing comes back to the driver.
     """
-    name = copy_column or "_copy"
-    one = F.lit(1).cast("bigint")
-    copies = F.when(F.col(label) == 1, _minority_factor(df, label)).otherwise(one)
-    repeated = df.filter(F.col(label).isin(0, 1)).withColumn(name, F.explode(F.sequence(one, copies)))
-    return repeated if copy_column else repeated.drop(name)
+    known = df.filter(f"{label} IN (0, 1)").withColumn("_factor", _minority_factor(df, label))
+    copies = f"explode(sequence(1L, if({label} = 1, _factor, 1L))) AS {copy_column or '_copy'}"
+    repeated = known.selectExpr(*df.columns, copies)
+    return repeated if copy_column else repeated.drop("_copy")
 
 
 def class_weights(df: DataFrame, label: str = LABEL, weight: str = "class_weight") -> DataFrame:
     """The same balance as a weight column, without more rows."""
-    factor = _minority_factor(df, label)
-    return df.withColumn(weight, F.when(F.col(label) == 1, factor).otherwise(F.lit(1)).cast("double"))
+    factor = df.withColumn("_factor", _minority_factor(df, label))
+    return factor.selectExpr(*df.columns, f"CAST(if({label} = 1, _factor, 1L) AS DOUBLE) AS {weight}")

@@ -47,13 +47,15 @@ DIGITS = 6
 
 def _present(df: DataFrame, round_all: bool = False) -> DataFrame:
     """Timestamps as UTC wall-clock time; with ``round_all`` every DOUBLE to six digits."""
-    changes = {}
+    columns = []
     for field in df.schema:
         if isinstance(field.dataType, T.TimestampType):
-            changes[field.name] = F.col(field.name).cast("timestamp_ntz")
+            columns.append(f"CAST({field.name} AS TIMESTAMP_NTZ) AS {field.name}")
         elif round_all and isinstance(field.dataType, T.DoubleType):
-            changes[field.name] = F.round(field.name, DIGITS)
-    return df.withColumns(changes) if changes else df
+            columns.append(f"round({field.name}, {DIGITS}) AS {field.name}")
+        else:
+            columns.append(f"`{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def _cleaned(spark: SparkSession, sf_dir: str, strict: bool = True) -> DataFrame:
@@ -67,11 +69,11 @@ def _staged_clean(spark: SparkSession, sf_dir: str, strict: bool = True) -> Data
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of both fixed models: ``(model, score, prediction)`` beside the transaction."""
-    each = F.array(*[
-        F.struct(F.lit(name).alias("model"), m.score().alias("score"), m.prediction().alias("prediction"))
+    each = ", ".join(
+        f"named_struct('model', '{name}', 'score', {m.score()}, 'prediction', {m.prediction()})"
         for name, m in MODELS.items()
-    ])
-    return _cleaned(spark, sf_dir).select("*", F.inline(each))
+    )
+    return _cleaned(spark, sf_dir).selectExpr("*", f"inline(array({each}))")
 
 
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,11 +95,8 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = read_rejected_lines(spark, _feed_path(spark, sf_dir), transactions_schema(wide_ids=True))
-    fields = F.split("line", ",")
-    return rejected.select(
-        F.get(fields, F.lit(0)).cast("bigint").alias(KEY),
-        F.get(fields, F.lit(3)).alias("terminal_text"),
-        F.size(fields).alias("field_count"),
+    return rejected.selectExpr("split(line, ',') AS fields").selectExpr(
+        f"CAST(get(fields, 0) AS BIGINT) AS {KEY}", "get(fields, 3) AS terminal_text", "size(fields) AS field_count"
     )
 
 
@@ -109,9 +108,10 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "by-day")
-    write_table(_cleaned(spark, sf_dir).withColumn("tx_date", F.to_date("tx_datetime")), path, partition_by="tx_date")
-    back = read_table(spark, path)
-    return back.groupBy("tx_date").agg(F.count(F.lit(1)).alias("rows"), F.sum(KEY).alias("key_sum"))
+    dated = _cleaned(spark, sf_dir).selectExpr("*", "CAST(tx_datetime AS DATE) AS tx_date")
+    write_table(dated, path, partition_by="tx_date")
+    by_day = read_table(spark, path).groupBy("tx_date")
+    return by_day.agg(F.expr("count(*) AS rows"), F.expr(f"sum({KEY}) AS key_sum"))
 
 
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,10 +135,9 @@ def dedup_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: cleaned and de-duplicated transactions, counted by scenario."""
-    return (
-        _cleaned(spark, sf_dir, strict=False)
-        .groupBy("tx_fraud_scenario")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("tx_fraud").alias("frauds"), F.sum(KEY).alias("key_sum"))
+    by_scenario = _cleaned(spark, sf_dir, strict=False).groupBy("tx_fraud_scenario")
+    return by_scenario.agg(
+        F.expr("count(*) AS rows"), F.expr("sum(tx_fraud) AS frauds"), F.expr(f"sum({KEY}) AS key_sum")
     )
 
 
@@ -148,7 +147,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.with_reject_reasons(load_transactions(spark, sf_dir), strict_rules())
-    return _present(rows.select(KEY, "tx_datetime", F.array_join("reasons", ",").alias("reasons")))
+    return _present(rows.selectExpr(KEY, "tx_datetime", "array_join(reasons, ',') AS reasons"))
 
 
 def profile_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +202,7 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _staged_clean(spark, sf_dir)
     indexed = scenario_indexer().fit(rows).transform(rows)
-    return indexed.select(KEY, "tx_fraud_scenario", F.col(SCENARIO_INDEX).cast("int").alias(SCENARIO_INDEX))
+    return indexed.selectExpr(KEY, "tx_fraud_scenario", f"CAST({SCENARIO_INDEX} AS INT) AS {SCENARIO_INDEX}")
 
 
 def onehot_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +285,7 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second pair of 0/1 columns: ``toxic`` judged by low ``quality``."""
-    labels = read_table(spark, f"{sf_dir}/labels.parquet").select("toxic", (1 - F.col("quality")).alias("guess"))
+    labels = read_table(spark, f"{sf_dir}/labels.parquet").selectExpr("toxic", "1 - quality AS guess")
     counts = evaluation.confusion_counts(labels, label="toxic", prediction="guess")
     return _present(evaluation.hard_areas(evaluation.classification_metrics(counts)), round_all=True)
 
@@ -413,8 +412,7 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     The scored rows come from the batch form, so each transaction has its earliest time.
     """
     path = scratch_path(spark, "scored-table")
-    scored = _cleaned(spark, sf_dir).select("*", CANDIDATE.score().alias("score"),
-                                            CANDIDATE.prediction().alias("prediction"))
+    scored = score_stream(_cleaned(spark, sf_dir), CANDIDATE)
     write_table(scored, path)
     windows = window_metrics(spark.readStream.schema(scored.schema).parquet(path))
     closed = drain_to_files(windows, scratch_path(spark, "windows"), scratch_path(spark, "windows-state"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.functions.rules import parity_rules, strict_rules
 from cardloom.operators.cleaning import clean, count_reject_reasons
@@ -25,7 +25,7 @@ def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True,
     schema = transactions_schema(wide_ids)
     rows = clean(read_feed(spark, feed, schema, glob), strict_rules() if strict else parity_rules())
     if by_day:
-        rows = rows.withColumn("tx_date", F.to_date("tx_datetime"))
+        rows = rows.selectExpr("*", "CAST(tx_datetime AS DATE) AS tx_date")
     write_table(rows, output, partition_by="tx_date" if by_day else None)
     if rejects:
         write_table(read_rejected_lines(spark, feed, schema, glob), rejects)

@@ -7,14 +7,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardloom.operators.comparison import (
     MODEL, bootstrap_counts_by_cell, compare_models, promotion_gate, sample_scores, score_intervals,
 )
 from cardloom.operators.evaluation import classification_metrics, confusion_counts, hard_areas, metrics_long
-from cardloom.operators.modelling import fit_scorer, param_rows, save_model, tune
+from cardloom.operators.modelling import fit_scorer, fraud_probability, param_rows, save_model, tune
 from cardloom.plans.train import WEIGHT, TrainOptions, prepare
 from cardloom.schema import KEY, LABEL
 from cardloom.session import build_session
@@ -36,8 +35,7 @@ def predictions(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
     """Predictions of several models in long form: ``(model, key, label, score, prediction)``."""
     parts = [
         model.transform(rows).select(
-            F.lit(name).alias(MODEL), KEY, LABEL,
-            F.get(vector_to_array("probability"), F.lit(1)).alias("score"), "prediction",
+            F.lit(name).alias(MODEL), KEY, LABEL, fraud_probability().alias("score"), "prediction",
         )
         for name, model in models.items()
     ]

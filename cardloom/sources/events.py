@@ -7,11 +7,12 @@ their number grows with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.schema import COLUMNS
 
-EPOCH_START = 1704067200  # 2024-01-01T00:00:00Z, first day of the events
+# 2024-01-01T00:00:00Z, the first day of the events, in seconds.
+EPOCH_START = 1704067200
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
@@ -20,34 +21,24 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     Works on batch and streaming frames. The copies come from ``explode`` rather than a
     union, so the events are scanned once.
     """
-    event_id = F.col("event_id")
-    scenario = (
-        F.when(F.col("value") > 150, 1)
-        .when(event_id % 37 == 0, 2)
-        .when(F.col("user_id") % 29 == 0, 3)
-        .otherwise(0)
+    prepared = events.selectExpr(
+        "event_id", "user_id", "value", "CAST(ts AS TIMESTAMP) AS ts",
+        "CASE WHEN value > 150 THEN 1 WHEN event_id % 37 = 0 THEN 2 WHEN user_id % 29 = 0 THEN 3 ELSE 0 END"
+        " AS scenario",
+        f"unix_seconds(CAST(ts AS TIMESTAMP)) - {EPOCH_START} AS seconds",
+        "explode(if(event_id % 10 = 0, array(0, 1), array(0))) AS copy",
     )
-    ts = F.col("ts").cast("timestamp")
-    seconds = F.unix_seconds(ts) - F.lit(EPOCH_START)
-    copies = F.when(event_id % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (
-        events.select("event_id", "user_id", "value", ts.alias("ts"), scenario.alias("scenario"),
-                      seconds.alias("seconds"), F.explode(copies).alias("copy"))
-        .select(
-            event_id.alias("transaction_id"),
-            F.when(event_id % 71 == 0, None)
-            .otherwise(F.col("ts") + F.make_dt_interval(F.col("copy"))).alias("tx_datetime"),
-            F.when(event_id % 53 == 0, F.lit(-1)).otherwise(F.col("user_id")).alias("customer_id"),
-            (event_id % 1000).alias("terminal_id"),
-            F.when(event_id % 41 == 0, -F.col("value"))
-            .when(event_id % 89 == 0, F.lit(float("nan")))
-            .otherwise(F.col("value")).alias("tx_amount"),
-            F.col("seconds").cast("int").alias("tx_time_seconds"),
-            F.floor(F.col("seconds") / 86400).cast("int").alias("tx_time_days"),
-            F.when(event_id % 67 == 0, 2)
-            .when(F.col("scenario") > 0, 1).otherwise(0).alias("tx_fraud"),
-            F.when(event_id % 61 == 0, 7).otherwise(F.col("scenario")).alias("tx_fraud_scenario"),
-        )
+    return prepared.selectExpr(
+        "event_id AS transaction_id",
+        "CASE WHEN event_id % 71 = 0 THEN NULL ELSE ts + make_dt_interval(copy) END AS tx_datetime",
+        "if(event_id % 53 = 0, -1L, user_id) AS customer_id",
+        "event_id % 1000 AS terminal_id",
+        "CASE WHEN event_id % 41 = 0 THEN -value WHEN event_id % 89 = 0 THEN double('NaN') ELSE value END"
+        " AS tx_amount",
+        "CAST(seconds AS INT) AS tx_time_seconds",
+        "CAST(floor(seconds / 86400) AS INT) AS tx_time_days",
+        "CASE WHEN event_id % 67 = 0 THEN 2 WHEN scenario > 0 THEN 1 ELSE 0 END AS tx_fraud",
+        "if(event_id % 61 = 0, 7, scenario) AS tx_fraud_scenario",
     )
 
 
@@ -77,18 +68,18 @@ def feed_lines(transactions: DataFrame) -> DataFrame:
     The malformed kinds are the ones a feed shows: text in a number, a month 13, a line cut
     short and a line with a field too many.
     """
-    key = F.col("transaction_id")
-    date = F.date_format("tx_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    fields = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in COLUMNS}
-    fields["tx_datetime"] = F.coalesce(F.when(key % 103 == 0, F.lit("2024-13-01 00:00:00")).otherwise(date), F.lit(""))
-    fields["terminal_id"] = F.when(key % 97 == 0, F.lit("Err")).otherwise(fields["terminal_id"])
-    whole = F.concat_ws(",", *fields.values())
-    short = F.concat_ws(",", *list(fields.values())[:5])
+    fields = {name: f"coalesce(CAST({name} AS STRING), '')" for name in COLUMNS}
+    fields["tx_datetime"] = (
+        "CASE WHEN transaction_id % 103 = 0 THEN '2024-13-01 00:00:00' "
+        "ELSE coalesce(date_format(tx_datetime, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), '') END"
+    )
+    fields["terminal_id"] = f"if(transaction_id % 97 = 0, 'Err', {fields['terminal_id']})"
+    texts = list(fields.values())
     body = (
-        F.when(key % 101 == 0, short)
-        .when(key % 107 == 0, F.concat(whole, F.lit(",99")))
-        .otherwise(whole)
+        f"CASE WHEN transaction_id % 101 = 0 THEN concat_ws(',', {', '.join(texts[:5])}) "
+        f"WHEN transaction_id % 107 = 0 THEN concat_ws(',', {', '.join(texts)}, '99') "
+        f"ELSE concat_ws(',', {', '.join(texts)}) END"
     )
-    comment = F.concat(F.lit("# before "), key.cast("string"))
-    lines = F.when(key % 109 == 0, F.array(comment, body)).otherwise(F.array(body))
-    return transactions.select(F.explode(lines).alias("value"))
+    lines = transactions.selectExpr("transaction_id", f"{body} AS body")
+    comment = "concat('# before ', transaction_id)"
+    return lines.selectExpr(f"explode(if(transaction_id % 109 = 0, array({comment}, body), array(body))) AS value")

@@ -19,21 +19,16 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 def encode_messages(df: DataFrame, key: str = KEY) -> DataFrame:
     """Rows to ``(key, value)``; the value is the whole row as JSON, NULL fields included."""
-    return df.select(
-        F.col(key).cast("string").alias("key"),
-        F.to_json(F.struct(*df.columns), {**_JSON, "ignoreNullFields": "false"}).alias("value"),
-    )
+    value = F.to_json(F.struct(*df.columns), {**_JSON, "ignoreNullFields": "false"})
+    return df.select(F.expr(f"CAST({key} AS STRING) AS key"), value.alias("value"))
 
 
 def decode_messages(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
     """``(key, value)`` messages to rows. Values that are no JSON of this schema are dropped."""
     schema = schema or transactions_schema(wide_ids=True)
-    parsed = F.from_json(F.col("value").cast("string"), _with_corrupt(schema), {**_JSON, "mode": "PERMISSIVE"})
-    return (
-        df.select(parsed.alias("row"))
-        .filter(F.col("row").isNotNull() & F.col("row._corrupt_record").isNull())
-        .select(*[F.col(f"row.{name}").alias(name) for name in schema.names])
-    )
+    parsed = F.from_json(F.expr("CAST(value AS STRING)"), _with_corrupt(schema), {**_JSON, "mode": "PERMISSIVE"})
+    valid = df.select(parsed.alias("row")).filter("row IS NOT NULL AND row._corrupt_record IS NULL")
+    return valid.select(*[f"row.{name}" for name in schema.names])
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cardloom.functions.rules import Rule, all_pass, strict_rules
 from cardloom.functions.scoring import LinearModel
+from cardloom.operators.modelling import fraud_probability
 from cardloom.schema import EVENT_TIME, KEY, LABEL
 from cardloom.session import use_scalable_state
 
@@ -23,21 +24,21 @@ def clean_stream(
     rules: Sequence[Rule] | None = None,
     watermark: str = "40 days",
     key: str = KEY,
-    salts: int = 1,
+    salts: int = 8,
 ) -> DataFrame:
     """Rule filter and de-duplication of newly arrived rows.
 
     Copies of a transaction are recognised as long as they arrive within the watermark, which
-    also bounds the state. A transaction repeated so often that its copies fill a large part
-    of a batch would all land in one task: with ``salts`` above 1, copies are first dropped
-    within ``salts`` sub-groups in parallel, and only the survivors meet in the group of the
-    key. That costs a second state, so it is for feeds known to repeat themselves.
+    also bounds the state. The copies of one transaction may fill a large part of a batch and
+    would then all land in one task. So they are first dropped within ``salts`` sub-groups in
+    parallel, and only the survivors meet in the group of the key. That keeps a second state;
+    ``salts=1`` leaves the first step out, for feeds known not to repeat themselves.
     """
     passed = rows.filter(all_pass(rules or strict_rules())).withWatermark(EVENT_TIME, watermark)
     if salts > 1:
         # The sub-group of a row need not be repeatable: the second step is exact for any.
-        salt = (F.rand() * salts).cast("int")
-        passed = passed.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+        salted = passed.selectExpr("*", f"CAST(rand() * {salts} AS INT) AS _salt")
+        passed = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
     return passed.dropDuplicatesWithinWatermark([key])
 
 
@@ -45,32 +46,26 @@ def score_stream(rows: DataFrame, model: PipelineModel | LinearModel, keep: Sequ
     """Apply a saved model to a stream: transaction columns plus ``score`` and ``prediction``."""
     keep = list(keep or rows.columns)
     if isinstance(model, LinearModel):
-        return rows.select(*keep, model.score().alias("score"), model.prediction().alias("prediction"))
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.transform(rows)
-    fraud_probability = F.get(vector_to_array("probability"), F.lit(1))
-    return scored.select(*keep, fraud_probability.alias("score"), "prediction")
+        return rows.selectExpr(*keep, f"{model.score()} AS score", f"{model.prediction()} AS prediction")
+    return model.transform(rows).select(*keep, fraud_probability().alias("score"), "prediction")
 
 
 def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
     """Model metrics per tumbling window, emitted once the window is closed."""
-    predicted = F.count_if(F.col("prediction") == 1)
-    return (
+    counted = (
         scored.withWatermark(EVENT_TIME, watermark)
         .groupBy(F.window(EVENT_TIME, window).alias("w"))
         .agg(
-            F.count(F.lit(1)).alias("rows"),
-            predicted.alias("predicted_fraud"),
-            F.avg("score").alias("mean_score"),
-            F.count_if(F.col(LABEL) == 1).alias("known_fraud"),
-        )
-        .select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "rows", "predicted_fraud", "known_fraud", "mean_score",
-            (F.col("predicted_fraud") / F.col("rows")).alias("predicted_fraud_rate"),
+            F.expr("count(*) AS rows"),
+            F.expr("count_if(prediction = 1) AS predicted_fraud"),
+            F.expr(f"count_if({LABEL} = 1) AS known_fraud"),
+            F.expr("avg(score) AS mean_score"),
         )
     )
+    return counted.selectExpr(
+        "w.start AS window_start", "w.end AS window_end", "rows", "predicted_fraud", "known_fraud", "mean_score",
+        "predicted_fraud / rows AS predicted_fraud_rate",
+    )
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
