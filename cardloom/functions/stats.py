@@ -35,12 +35,12 @@ def hard_area_under_roc(tp: str = "tp", fp: str = "fp", fn: str = "fn", tn: str
 
 
 def t_two_sided_p(t: str, freedom: str) -> str:
-    """P(|T| >= |t|) for a whole number of degrees of freedom.
+    """P(|T| >= |t|) for a whole number of degrees of freedom; NULL for a NULL ``t``.
 
     For whole degrees of freedom the distribution function is a finite trigonometric
     series, so no numeric integration and no Python worker is needed.
     """
-    theta = f"atan(abs({t}) / sqrt(CAST({freedom} AS DOUBLE)))"
+    theta = f"atan(try_divide(abs({t}), sqrt(CAST({freedom} AS DOUBLE))))"
     even = f"{freedom} % 2 = 0"
     terms = f"CAST(floor(({freedom} - 2) / 2) AS INT)"
     steps = f"if({terms} >= 1, sequence(1, {terms}), CAST(array() AS ARRAY<INT>))"
@@ -55,7 +55,7 @@ def t_two_sided_p(t: str, freedom: str) -> str:
         f"CASE WHEN {even} THEN sin({theta}) * {total} WHEN {freedom} = 1 THEN 2D * {theta} / pi() "
         f"ELSE 2D / pi() * ({theta} + sin({theta}) * {total}) END"
     )
-    return f"greatest(0D, 1D - ({inside}))"
+    return f"if({t} IS NULL, NULL, greatest(0D, 1D - ({inside})))"
 
 
 def t_inside(t: float, freedom: int) -> float:

@@ -85,7 +85,10 @@ def score_intervals(scores: DataFrame, confidence: float = CONFIDENCE, replicate
 
 
 def compare_models(scores: DataFrame, baseline: str, candidate: str) -> DataFrame:
-    """Two-sample t-test with pooled variance, one row: means, t, degrees of freedom, p."""
+    """Two-sample t-test with pooled variance, one row: means, t, degrees of freedom, p.
+
+    Without any spread, t is infinite if the means differ and NULL if they do not.
+    """
     sides = []
     for side, name in (("baseline", baseline), ("candidate", candidate)):
         of = f"CASE WHEN {MODEL} = '{name}' THEN score END"
@@ -94,11 +97,14 @@ def compare_models(scores: DataFrame, baseline: str, candidate: str) -> DataFram
         "try_divide((n_baseline - 1) * var_baseline + (n_candidate - 1) * var_candidate, "
         "CAST(n_baseline + n_candidate - 2 AS DOUBLE))"
     )
-    error = f"sqrt({pooled} * (1D / n_baseline + 1D / n_candidate))"
+    error = f"sqrt({pooled} * (try_divide(1D, n_baseline) + try_divide(1D, n_candidate)))"
     tested = scores.agg(*map(F.expr, sides)).selectExpr(
-        "mean_baseline", "mean_candidate",
-        f"try_divide(mean_baseline - mean_candidate, {error}) AS t",
+        "mean_baseline", "mean_candidate", "mean_baseline - mean_candidate AS gap", f"{error} AS error",
         "CAST(n_baseline + n_candidate - 2 AS INT) AS freedom",
+    ).selectExpr(
+        "mean_baseline", "mean_candidate",
+        "if(error = 0 AND gap <> 0, sign(gap) * double('Infinity'), try_divide(gap, error)) AS t",
+        "freedom",
     )
     return tested.selectExpr("*", f"{t_two_sided_p('t', 'freedom')} AS p_value")
 
