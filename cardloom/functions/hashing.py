@@ -20,6 +20,15 @@ def unit_uniform(salt: str, *keys: str, method: str = "xxhash64") -> str:
     return f"({_word(salt, keys, method)} / {_TWO_32}D)"
 
 
+def drawn_once(number: str) -> str:
+    """Generator expression that fixes a number as a column of its own.
+
+    The optimizer may copy an expression to every place that uses it, filters included, and
+    would then hash a row once per use. It does not look through a generator.
+    """
+    return f"explode(array({number}))"
+
+
 def bucket_of(buckets: int, salt: str, *keys: str, method: str = "xxhash64") -> str:
     """An INT in [0, buckets), evenly spread over the keys."""
     return f"CAST({_word(salt, keys, method)} % {buckets} AS INT)"

@@ -17,13 +17,17 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def with_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that fail a rule, with the names of the failed rules in ``reasons``."""
-    return df.selectExpr("*", f"{failing_names(rules)} AS reasons").filter("size(reasons) > 0")
+    failing = df.filter(f"NOT coalesce({all_pass(rules)}, false)")
+    return failing.selectExpr("*", f"{failing_names(rules)} AS reasons")
 
 
 def count_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rows failing each rule, ``(reason, rows)``; one pass, counts combined before the shuffle."""
-    reasons = df.selectExpr(f"explode({failing_names(rules)}) AS reason")
-    return reasons.groupBy("reason").agg(F.expr("count(*) AS rows"))
+    """Rows failing each rule, ``(reason, rows)``: one counter per rule in a single pass."""
+    counters = ", ".join(
+        f"named_struct('reason', '{rule.name}', 'rows', count_if(NOT coalesce({rule.passes}, false)))" for rule in rules
+    )
+    counted = df.agg(F.expr(f"array({counters}) AS counters"))
+    return counted.selectExpr("inline(counters)").filter("rows > 0")
 
 
 def deduplicate(df: DataFrame, key: str = KEY, earliest_by: str = EVENT_TIME) -> DataFrame:

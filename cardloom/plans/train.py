@@ -52,16 +52,22 @@ class Trained:
 
 
 def prepare(cleaned: DataFrame, options: TrainOptions) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows. The sample is staged, as every later pass reads it."""
-    rows = stage(sample_rows(cleaned, options.fraction, method=options.method)
-                 if options.fraction < 1 else cleaned, "training")
+    """Training and test rows.
+
+    A fit passes over its rows several times. What those passes should not repeat is staged:
+    the sampling scan, and the balance with its count of the classes.
+    """
+    rows = cleaned
+    if options.fraction < 1:
+        rows = stage(sample_rows(cleaned, options.fraction, method=options.method), "sample")
     if options.balance_before_split:
         # The copy number is part of the key, so that copies are split one by one.
-        copies = oversample_minority(rows, copy_column="_copy")
+        copies = stage(oversample_minority(rows, copy_column="_copy"), "balanced")
         train, test = split_rows(copies, SPLIT, key=(KEY, "_copy"), method=options.method)
         return train.drop("_copy"), test.drop("_copy")
     train, test = split_rows(rows, SPLIT, method=options.method)
-    return (oversample_minority(train) if options.oversample else class_weights(train, weight=WEIGHT)), test
+    balanced = oversample_minority(train) if options.oversample else class_weights(train, weight=WEIGHT)
+    return stage(balanced, "balanced"), test
 
 
 def train_model(cleaned: DataFrame, options: TrainOptions = TrainOptions()) -> Trained:

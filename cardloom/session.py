@@ -93,5 +93,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/cardloom/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder.
+
+    All paths of one application share a folder named after it, to be removed with it.
+    """
+    return f"{shared_dir(spark)}/cardloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

@@ -6,8 +6,10 @@ own: feed -> clean transactions -> scored transactions -> window metrics.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -24,22 +26,39 @@ def clean_stream(
     rules: Sequence[Rule] | None = None,
     watermark: str = "40 days",
     key: str = KEY,
-    salts: int = 8,
+    combine: bool = True,
 ) -> DataFrame:
     """Rule filter and de-duplication of newly arrived rows.
 
     Copies of a transaction are recognised as long as they arrive within the watermark, which
     also bounds the state. The copies of one transaction may fill a large part of a batch and
-    would then all land in one task. So they are first dropped within ``salts`` sub-groups in
-    parallel, and only the survivors meet in the group of the key. That keeps a second state;
-    ``salts=1`` leaves the first step out, for feeds known not to repeat themselves.
+    would then all land in one task; ``combine`` thins them out before the shuffle.
     """
-    passed = rows.filter(all_pass(rules or strict_rules())).withWatermark(EVENT_TIME, watermark)
-    if salts > 1:
-        # The sub-group of a row need not be repeatable: the second step is exact for any.
-        salted = passed.selectExpr("*", f"CAST(rand() * {salts} AS INT) AS _salt")
-        passed = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
-    return passed.dropDuplicatesWithinWatermark([key])
+    passed = rows.filter(all_pass(rules or strict_rules()))
+    if combine:
+        passed = passed.mapInArrow(_earliest_and_latest(key), passed.schema)
+    return passed.withWatermark(EVENT_TIME, watermark).dropDuplicatesWithinWatermark([key])
+
+
+def _earliest_and_latest(key: str):
+    """Keep at most two rows per key of each Arrow batch.
+
+    The earliest is the one to keep, but it may be later than the watermark allows; the
+    latest is then still in time if any of the copies is.
+    """
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if pc.count_distinct(batch.column(key), mode="all").as_py() == batch.num_rows:
+                yield batch
+                continue
+            ordered = batch.take(pc.sort_indices(batch, [(EVENT_TIME, "ascending")]))
+            places = pa.table({"key": ordered.column(key), "place": pa.array(range(batch.num_rows))})
+            ends = places.group_by("key").aggregate([("place", "min"), ("place", "max")])
+            kept = pa.chunked_array([*ends["place_min"].chunks, *ends["place_max"].chunks])
+            yield ordered.take(pc.unique(kept).sort())
+
+    return thin
 
 
 def score_stream(rows: DataFrame, model: PipelineModel | LinearModel, keep: Sequence[str] = ()) -> DataFrame:

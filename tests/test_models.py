@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 
 from cardloom.functions.scoring import LinearModel
 from cardloom.operators.evaluation import classification_metrics, confusion_counts
@@ -73,6 +74,17 @@ def test_linear_model_equals_the_pipeline(spark, cleaned):
     assert both.selectExpr("max(d)", "bool_and(same)").first() == (pytest.approx(0, abs=1e-9), True)
 
 
+def test_unregularised_fit_has_no_gradient(cleaned):
+    """At the optimum the residuals are orthogonal to every feature, weights included."""
+    rows = class_weights(cleaned)
+    model = fit_scorer(rows, "class_weight", regParam=0.0, elasticNetParam=0.0, maxIter=300, tol=1e-12)
+    residual = model.transform(rows).select(
+        "*", fraud_probability().alias("p"), vector_to_array("features").alias("x")
+    ).selectExpr("class_weight * (tx_fraud - p) AS r", "x")
+    sums = residual.selectExpr("avg(r)", "avg(r * x[0])", "avg(r * x[1])", "avg(r * x[2])").first()
+    assert all(abs(value) < 1e-4 for value in sums)
+
+
 def test_tuning_covers_the_grid(cleaned):
     tuned = tune(class_weights(cleaned), "class_weight", parallelism=4)
     rows = tuned.candidates.collect()
