@@ -122,12 +122,13 @@ def score_areas_exact(df: DataFrame, by: Sequence[str] = (), score: str = "score
     parts = stage(ranged, "score-steps")
     earlier = f"OVER ({_partition(by)} ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = _class_totals(parts, [*by, "part"]).selectExpr(
-        *by, "part", f"coalesce(sum(p) {earlier}, 0L) AS p_before", f"coalesce(sum(n) {earlier}, 0L) AS n_before"
+        *[f"{c} AS _{c}" for c in by], "part AS _part",
+        f"coalesce(sum(p) {earlier}, 0L) AS p_before", f"coalesce(sum(n) {earlier}, 0L) AS n_before",
     )
     inside = f"OVER ({_partition([*by, 'part'])} ORDER BY {score} DESC ROWS UNBOUNDED PRECEDING)"
-    # The join shares its partitioning with the window below. The offsets are small, but their
-    # number grows with the groups, so whether to broadcast them is left to their size.
-    shifted = parts.join(offsets, [*by, "part"])
+    # Null-safe, as NULL may name a group. The offsets are small, but their number grows with
+    # the groups, so whether to broadcast them is left to their size.
+    shifted = parts.join(offsets, F.expr(" AND ".join(f"{c} <=> _{c}" for c in [*by, "part"])))
     return _areas_from_steps(
         _add(shifted, cum_p=f"p_before + sum(p) {inside}", cum_n=f"n_before + sum(n) {inside}"), by
     )

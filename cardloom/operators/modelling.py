@@ -26,6 +26,7 @@ TRAIN_RATIO = 0.75
 class Tuned(NamedTuple):
     model: PipelineModel
     candidates: DataFrame
+    sub_models: list[LogisticRegressionModel] | None
 
 
 def classifier(weight: str | None = None, **params) -> LogisticRegression:
@@ -78,11 +79,12 @@ def fraud_probability() -> Column:
 
 
 def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = False, on_unseen: str = "error",
-         parallelism: int = 2, seed: int = 7, base: LogisticRegression | None = None) -> Tuned:
+         parallelism: int = 2, seed: int = 7, base: LogisticRegression | None = None,
+         keep_sub_models: bool = False) -> Tuned:
     """Search the grid on one train/validation split by area under the precision-recall curve.
 
     The features are fitted and applied once, and only label, weight and vector are staged;
-    every fit then reads that narrow table. Sub-models stay out of the driver.
+    every fit then reads that narrow table. The models that lose are dropped unless asked for.
     """
     features = fit_features(train, with_scenario, on_unseen)
     columns = [LABEL, FEATURES, *([weight] if weight else [])]
@@ -98,7 +100,7 @@ def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = Fals
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderPR")
     search = TrainValidationSplit(
         estimator=lr, estimatorParamMaps=grid, evaluator=evaluator,
-        trainRatio=TRAIN_RATIO, parallelism=parallelism, seed=seed,
+        trainRatio=TRAIN_RATIO, parallelism=parallelism, seed=seed, collectSubModels=keep_sub_models,
     )
     found = search.fit(prepared)
     best = max(range(len(grid)), key=found.validationMetrics.__getitem__)
@@ -111,7 +113,8 @@ def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = Fals
         rows, "candidate INT, reg_param DOUBLE, fit_intercept BOOLEAN, elastic_net DOUBLE, "
               "area_under_pr DOUBLE, is_best BOOLEAN",
     )
-    return Tuned(PipelineModel([*features.stages, found.bestModel]), candidates)
+    sub_models = found.subModels if keep_sub_models else None
+    return Tuned(PipelineModel([*features.stages, found.bestModel]), candidates, sub_models)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

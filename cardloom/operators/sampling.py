@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardloom.functions.hashing import drawn_once, unit_uniform
+from cardloom.functions.hashing import drawn_once, poisson_draw, unit_uniform
 from cardloom.schema import KEY, LABEL
 
 
@@ -19,6 +19,15 @@ def sample_rows(df: DataFrame, fraction: float, salt: str = "sample", key: Seque
     return df.filter(f"{unit_uniform(salt, *key, method=method)} < {float(fraction)!r}D")
 
 
+def sample_with_replacement(df: DataFrame, fraction: float, salt: str = "replacement", key: Sequence[str] = (KEY,),
+                            method: str = "xxhash64") -> DataFrame:
+    """Each row Poisson(fraction) times, independently; no shuffle."""
+    uniform = unit_uniform(salt, *key, method=method)
+    drawn = df.selectExpr("*", f"{drawn_once(uniform)} AS _u").selectExpr("*", f"{poisson_draw('_u', fraction)} AS _n")
+    taken = drawn.filter("_n > 0").selectExpr(*df.columns, "explode(sequence(1, _n)) AS _copy")
+    return taken.drop("_copy")
+
+
 def _limits(weights: Sequence[float]) -> list[float]:
     """Upper limits of the parts in [0, 1]; weights are scaled to sum to one."""
     limits, reached = [], 0.0

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardloom.functions.rules import parity_rules, strict_rules
@@ -23,7 +22,9 @@ from cardloom.operators.features import (
 from cardloom.operators.modelling import (
     coefficient_rows, fit_scorer, load_model, save_model, summary_rows, tune,
 )
-from cardloom.plans.train import SAMPLE_FRACTION, WEIGHT, TrainOptions, known_model_options, prepare, train_model
+from cardloom.plans.clean import clean_new_files
+from cardloom.plans.monitor import monitor
+from cardloom.plans.train import WEIGHT, TrainOptions, known_model_options, prepare, train_model
 from cardloom.plans.validate import validate
 from cardloom.schema import COLUMNS, KEY, transactions_schema
 from cardloom.session import scratch_path, use_utc
@@ -31,7 +32,7 @@ from cardloom.sources.events import feed_lines, load_transactions, stream_transa
 from cardloom.sources.feed import read_feed, read_rejected_lines, write_feed_lines
 from cardloom.sources.messages import decode_messages, encode_messages
 from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import clean_stream, drain_to_files, score_stream, window_metrics
+from cardloom.streaming.jobs import clean_stream, drain_to_files, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +174,10 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(sampling.sample_rows(_cleaned(spark, sf_dir), 0.01, method=PORTABLE))
 
 
+def sample_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _present(sampling.sample_with_replacement(_cleaned(spark, sf_dir), 0.01, method=PORTABLE))
+
+
 def sample_first_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = sampling.split_rows(_cleaned(spark, sf_dir), (0.01, 0.95), salt="subset", method=PORTABLE)
     return _present(parts[0])
@@ -389,6 +394,13 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained_clean(spark, sf_dir).select(*[c for c in COLUMNS if c != "tx_datetime"])
 
 
+def stream_clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental cleaning of the text feed."""
+    table = clean_new_files(spark, _feed_path(spark, sf_dir), scratch_path(spark, "clean-feed"),
+                            scratch_path(spark, "clean-feed-state"), wide_ids=True)
+    return table.select(*[c for c in COLUMNS if c != "tx_datetime"])
+
+
 def _drained_scores(spark: SparkSession, sf_dir: str, model) -> DataFrame:
     rows = score_stream(clean_stream(stream_transactions(spark, sf_dir)), model, keep=COLUMNS)
     return drain_to_files(rows, scratch_path(spark, "scored"), scratch_path(spark, "scored-state"))
@@ -415,8 +427,7 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "scored-table")
     scored = score_stream(_cleaned(spark, sf_dir), CANDIDATE)
     write_table(scored, path)
-    windows = window_metrics(spark.readStream.schema(scored.schema).parquet(path))
-    closed = drain_to_files(windows, scratch_path(spark, "windows"), scratch_path(spark, "windows-state"))
+    closed = monitor(spark, path, scratch_path(spark, "windows"), scratch_path(spark, "windows-state"))
     return _present(closed, round_all=True)
 
 
@@ -424,13 +435,13 @@ _QUERIES: tuple[Query, ...] = (
     clean_counts, csv_scan, csv_rejects, parquet_roundtrip, partitioned_roundtrip, message_roundtrip,
     clean_rules, clean_rules_strict, dedup_transactions, reject_reasons, rejected_rows,
     profile_nulls, profile_violations, profile_domains, profile_key_count,
-    sample_rows, sample_first_part, train_test_split, class_counts, oversample_minority, class_weights,
+    sample_rows, sample_with_replacement, sample_first_part, train_test_split, class_counts, oversample_minority, class_weights,
     index_scenario, onehot_scenario, assemble_features, minmax_scale, feature_pipeline,
     train_baseline, train_known_model, train_summary, tune_candidate, model_reload_score, score_transactions,
     confusion_matrix, label_confusion, classification_metrics, classification_metrics_swapped, hard_auc,
     score_auc, score_auc_exact, bootstrap_counts, bootstrap_aupr, bootstrap_aupr_swapped, bootstrap_by_cell,
     score_histogram, score_interval, ab_ttest, promotion_gate, metrics_long, kpi_error_rates,
-    monthly_missed_loss, validate_models, stream_clean, stream_score, stream_score_model, stream_window_metrics,
+    monthly_missed_loss, validate_models, stream_clean, stream_clean_feed, stream_score, stream_score_model, stream_window_metrics,
 )
 
 

@@ -126,13 +126,13 @@ areas AS (
 )"""
 
 
-def _poisson_case() -> str:
+def _poisson_case(mean: float = 1.0) -> str:
     total, parts = 0.0, []
-    for k in range(13):
-        total += math.exp(-1.0) / math.factorial(k)
+    for k in range(14):
+        total += math.exp(-mean) * mean**k / math.factorial(k)
         if 1.0 - total <= 2.0**-32:
             break
-        parts.append(f"WHEN u < {total!r} THEN {k}")
+        parts.append(f"WHEN u < {total!r}::DOUBLE THEN {k}")
     return "CASE " + " ".join(parts) + f" ELSE {len(parts)} END"
 
 
@@ -320,6 +320,10 @@ GROUP BY tx_fraud_scenario""",
 SELECT count(*) AS distinct_keys FROM (SELECT DISTINCT transaction_id FROM dirty)""",
     "sample_rows": f"""WITH {_CLEAN}
 SELECT {_COLUMNS} FROM cleaned WHERE {_unit('sample', 'transaction_id')} < 0.01""",
+    "sample_with_replacement": f"""WITH {_CLEAN},
+drawn AS (SELECT *, {_unit('replacement', 'transaction_id')} AS u FROM cleaned),
+counted AS (SELECT *, {_poisson_case(0.01)} AS k FROM drawn)
+SELECT {_COLUMNS} FROM counted JOIN range(1, 14) r(copy) ON r.copy <= k""",
     "sample_first_part": f"""WITH {_CLEAN}
 SELECT {_COLUMNS} FROM cleaned WHERE {_unit('subset', 'transaction_id')} < 0.01::DOUBLE / 0.96::DOUBLE""",
     "train_test_split": f"""WITH {_CLEAN}
@@ -408,6 +412,10 @@ FROM predicted WHERE tx_fraud = 1 AND prediction = 0 GROUP BY 1, 2""",
 SELECT transaction_id, customer_id, terminal_id, tx_amount, tx_time_seconds, tx_time_days, tx_fraud,
        tx_fraud_scenario
 FROM cleaned""",
+    "stream_clean_feed": f"""WITH {_CLEAN}
+SELECT transaction_id, customer_id, terminal_id, tx_amount, tx_time_seconds, tx_time_days, tx_fraud,
+       tx_fraud_scenario
+FROM cleaned WHERE NOT {_BROKEN}""",
     "stream_score": f"""WITH {_SCORED}
 SELECT transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predicted WHERE model = 'candidate'""",
     "stream_window_metrics": f"""WITH {_SCORED},

@@ -11,8 +11,9 @@ from cardloom.operators.cleaning import clean, count_reject_reasons
 from cardloom.operators.profile import profile_domains, profile_key_count, profile_missing, profile_violations
 from cardloom.schema import transactions_schema
 from cardloom.session import build_session
-from cardloom.sources.feed import read_feed, read_rejected_lines
+from cardloom.sources.feed import read_feed, read_feed_stream, read_rejected_lines
 from cardloom.sources.tables import read_table, write_table
+from cardloom.streaming.jobs import clean_stream, drain_to_files
 
 
 def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True, wide_ids: bool = False,
@@ -32,6 +33,17 @@ def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True,
     return read_table(spark, output)
 
 
+def clean_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str, strict: bool = True,
+                    wide_ids: bool = False, glob: str = "*.txt", watermark: str = "40 days") -> DataFrame:
+    """Clean the files that arrived since the last run and append them to the table.
+
+    The checkpoint remembers the files read and the transactions seen within the watermark.
+    """
+    rows = read_feed_stream(spark, feed, transactions_schema(wide_ids), glob)
+    cleaned = clean_stream(rows, strict_rules() if strict else parity_rules(), watermark)
+    return drain_to_files(cleaned, output, checkpoint)
+
+
 def profile(rows: DataFrame) -> dict[str, DataFrame]:
     """All data-quality reports on uncleaned rows."""
     return {
@@ -51,11 +63,15 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--parity-rules", action="store_true")
     args.add_argument("--wide-ids", action="store_true")
     args.add_argument("--by-day", action="store_true")
+    args.add_argument("--checkpoint", help="clean only files that are new since the last run with this folder")
     args.add_argument("--profile", action="store_true", help="print the profile of the feed")
     opts = args.parse_args(argv)
     spark = build_session("clean")
-    clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, opts.wide_ids,
-               rejects=opts.rejects, by_day=opts.by_day)
+    if opts.checkpoint:
+        clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, opts.wide_ids)
+    else:
+        clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, opts.wide_ids,
+                   rejects=opts.rejects, by_day=opts.by_day)
     if opts.profile:
         for report in profile(read_feed(spark, opts.feed, transactions_schema(opts.wide_ids))).values():
             report.show(truncate=False)

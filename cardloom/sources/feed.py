@@ -8,24 +8,20 @@ the verdict on a line is then the same whatever the query selects afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from cardloom.schema import transactions_schema
 
 CORRUPT = "_malformed_line"
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType, glob: str, comment: str) -> DataFrame:
+def _scan(reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType, glob: str,
+          comment: str) -> DataFrame:
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(with_corrupt)
-        .option("header", False)
-        .option("comment", comment)
-        .option("pathGlobFilter", glob)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    options = {"header": False, "comment": comment, "pathGlobFilter": glob, "mode": "PERMISSIVE",
+               "columnNameOfCorruptRecord": CORRUPT}
+    return reader.schema(with_corrupt).options(**options).csv(path)
 
 
 def _reads_every_column(schema: T.StructType) -> str:
@@ -34,6 +30,10 @@ def _reads_every_column(schema: T.StructType) -> str:
     return f"{empty_fields} <= {len(schema.names)}"
 
 
+def _well_formed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    return rows.filter(f"{CORRUPT} IS NULL AND {_reads_every_column(schema)}").drop(CORRUPT)
+
+
 def read_feed(
     spark: SparkSession,
     path: str,
@@ -43,8 +43,23 @@ def read_feed(
 ) -> DataFrame:
     """Well-formed feed rows; malformed lines are dropped."""
     schema = schema or transactions_schema()
-    rows = _scan(spark, path, schema, glob, comment)
-    return rows.filter(f"{CORRUPT} IS NULL AND {_reads_every_column(schema)}").drop(CORRUPT)
+    return _well_formed(_scan(spark.read, path, schema, glob, comment), schema)
+
+
+def read_feed_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    glob: str = "*.txt",
+    comment: str = "#",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """The same rows as a stream of the files that arrive in the folder."""
+    schema = schema or transactions_schema()
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _well_formed(_scan(reader, path, schema, glob, comment), schema)
 
 
 def read_rejected_lines(
@@ -56,7 +71,7 @@ def read_rejected_lines(
 ) -> DataFrame:
     """The malformed lines that :func:`read_feed` drops, as ``(line)``."""
     schema = schema or transactions_schema()
-    rows = _scan(spark, path, schema, glob, comment)
+    rows = _scan(spark.read, path, schema, glob, comment)
     return rows.filter(f"{CORRUPT} IS NOT NULL AND {_reads_every_column(schema)}").selectExpr(f"{CORRUPT} AS line")
 
 

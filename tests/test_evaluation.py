@@ -110,6 +110,12 @@ def test_score_areas_of_groups_with_clustered_scores(spark):
     assert got["a"].area_under_pr == pytest.approx(got["b"].area_under_pr)
 
 
+def test_null_names_a_group_too(spark):
+    rows = scored(spark).selectExpr("if(score < 0.4, NULL, 'm') AS model", "*")
+    assert {r.model for r in score_areas_exact(rows, by=["model"]).collect()} == {None, "m"}
+    assert {r.model for r in score_areas(rows, by=["model"]).collect()} == {None, "m"}
+
+
 def test_score_areas_with_one_class(spark):
     row = score_areas(scored(spark).filter("tx_fraud = 0")).first()
     assert row.area_under_roc is None and row.area_under_pr is None

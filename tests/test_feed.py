@@ -4,7 +4,7 @@ import pytest
 
 from cardloom.functions.rules import parity_rules, strict_rules
 from cardloom.operators.cleaning import clean
-from cardloom.plans.clean import clean_feed, profile
+from cardloom.plans.clean import clean_feed, clean_new_files, profile
 from cardloom.sources.feed import read_feed, read_rejected_lines
 from cardloom.sources.tables import read_table
 
@@ -86,6 +86,19 @@ def test_clean_job_by_day(spark, feed, tmp_path):
     assert [str(r.tx_date) for r in table.select("tx_date").distinct().collect()] == ["2019-08-22"]
 
 
+def test_new_files_are_appended(spark, feed, tmp_path):
+    def drain():
+        table = clean_new_files(spark, feed, str(tmp_path / "out"), str(tmp_path / "state"))
+        return sorted(r.transaction_id for r in table.collect())
+
+    assert drain() == [1, 11]
+    (tmp_path / "feed" / "c.txt").write_text(
+        "11,2019-08-22 06:51:03,1,5,0.0,0,63,1,3\n20,2019-08-22 06:51:03,1,5,0.0,0,63,0,0\nbroken\n"
+    )
+    assert drain() == [1, 11, 20]  # 11 was seen before
+    assert drain() == [1, 11, 20]
+
+
 def test_empty_feed(spark, tmp_path):
     folder = tmp_path / "feed"
     folder.mkdir()

@@ -10,7 +10,7 @@ from cardloom.operators.modelling import (
     coefficient_rows, fit_scorer, fraud_probability, last_stage, load_model, param_rows, save_model, summary_rows, tune,
 )
 from cardloom.operators.sampling import class_weights
-from cardloom.plans import clean, stream, train, validate
+from cardloom.plans import clean, monitor, stream, train, validate
 from cardloom.plans.train import TrainOptions, known_model_options, prepare, train_model
 from cardloom.sources.events import feed_lines, load_transactions
 from cardloom.sources.feed import write_feed_lines
@@ -86,7 +86,8 @@ def test_unregularised_fit_has_no_gradient(cleaned):
 
 
 def test_tuning_covers_the_grid(cleaned):
-    tuned = tune(class_weights(cleaned), "class_weight", parallelism=4)
+    tuned = tune(class_weights(cleaned), "class_weight", parallelism=4, keep_sub_models=True)
+    assert len(tuned.sub_models) == 18
     rows = tuned.candidates.collect()
     assert len(rows) == 18 and len({(r.reg_param, r.fit_intercept, r.elastic_net) for r in rows}) == 18
     best = [r for r in rows if r.is_best]
@@ -144,6 +145,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     query = stream.start(spark, model, "parquet", "parquet", str(tmp_path / "state"), table, str(tmp_path / "scored"))
     query.awaitTermination()
     assert read_table(spark, str(tmp_path / "scored")).count() == rows.count()
+    windows = monitor.monitor(spark, str(tmp_path / "scored"), str(tmp_path / "windows"), str(tmp_path / "w-state"))
+    assert 20 < windows.count() <= 31
 
 
 def test_write_table_modes(spark, tmp_path):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from cardloom.functions.hashing import bucket_of, poisson_cdf, poisson_draw, unit_uniform
 from cardloom.operators.sampling import (
-    assign_split, class_counts, class_weights, oversample_minority, sample_rows, split_rows,
+    assign_split, class_counts, class_weights, oversample_minority, sample_rows, sample_with_replacement,
+    split_rows,
 )
 
 
@@ -88,6 +89,14 @@ def test_weights_are_scaled(spark):
     assert first == pytest.approx(100000 / 96, rel=0.12)
 
 
+def test_sample_with_replacement(spark):
+    taken = sample_with_replacement(keys(spark), 0.5)
+    assert taken.columns == ["transaction_id"]
+    assert taken.count() == pytest.approx(10000, rel=0.04)
+    times = {r["count"] for r in taken.groupBy("transaction_id").count().select("count").distinct().collect()}
+    assert {1, 2, 3} <= times
+
+
 def labelled(spark, normal, fraud):
     return spark.range(normal + fraud).selectExpr("id AS transaction_id", f"CAST(id < {fraud} AS INT) AS tx_fraud")
 
