@@ -59,6 +59,14 @@ def failing_names(rules: Sequence[Rule]) -> str:
     return f"array_compact(array({marks}))"
 
 
+def reason_counters(rules: Sequence[Rule]) -> str:
+    """Aggregate: array of ``(reason, rows)``, one counter per rule."""
+    counters = ", ".join(
+        f"named_struct('reason', '{rule.name}', 'rows', count_if(NOT coalesce({rule.passes}, false)))" for rule in rules
+    )
+    return f"array({counters})"
+
+
 # The eight checks of the data-quality profile. Their limits differ from the
 # rules above: zero amounts and zero seconds are reported although cleaning keeps them.
 # Month and day can be out of range only in theory.

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.functions.rules import Rule, all_pass, failing_names
+from cardloom.functions.rules import Rule, all_pass, failing_names, reason_counters
 from cardloom.schema import EVENT_TIME, KEY
 
 
@@ -23,11 +23,8 @@ def with_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def count_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows failing each rule, ``(reason, rows)``: one counter per rule in a single pass."""
-    counters = ", ".join(
-        f"named_struct('reason', '{rule.name}', 'rows', count_if(NOT coalesce({rule.passes}, false)))" for rule in rules
-    )
-    counted = df.agg(F.expr(f"array({counters}) AS counters"))
-    return counted.selectExpr("inline(counters)").filter("rows > 0")
+    counted = df.agg(F.expr(f"{reason_counters(rules)} AS reasons"))
+    return counted.selectExpr("inline(reasons)").filter("rows > 0")
 
 
 def deduplicate(df: DataFrame, key: str = KEY, earliest_by: str = EVENT_TIME) -> DataFrame:

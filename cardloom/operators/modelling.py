@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -11,8 +12,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cardloom.functions.scoring import LinearModel
 from cardloom.operators.features import FEATURES, NUMERIC_FEATURES, feature_stages, fit_features
-from cardloom.schema import LABEL
+from cardloom.schema import KEY, LABEL
 from cardloom.sources.tables import stage
 
 # The baseline model and the search grid.
@@ -78,6 +80,24 @@ def fraud_probability() -> Column:
     return F.get(vector_to_array("probability"), F.lit(1))
 
 
+def score_rows(rows: DataFrame, model: PipelineModel | LinearModel, keep: Sequence[str] = ()) -> DataFrame:
+    """Apply a model to a table or a stream: the columns to keep plus ``score`` and ``prediction``."""
+    keep = list(keep or rows.columns)
+    if isinstance(model, LinearModel):
+        return rows.selectExpr(*keep, f"{model.score()} AS score", f"{model.prediction()} AS prediction")
+    return model.transform(rows).select(*keep, fraud_probability().alias("score"), "prediction")
+
+
+def score_with_all(rows: DataFrame, models: Mapping[str, PipelineModel | LinearModel],
+                   keep: Sequence[str] = (KEY, LABEL)) -> DataFrame:
+    """Scores of several models in long form, ``(keep..., model, score, prediction)``, from one scan."""
+    scored, structs = rows, []
+    for i, (name, model) in enumerate(models.items()):
+        scored = score_rows(scored, model).withColumnsRenamed({"score": f"_score{i}", "prediction": f"_prediction{i}"})
+        structs.append(f"named_struct('model', '{name}', 'score', _score{i}, 'prediction', _prediction{i})")
+    return scored.selectExpr(*keep, f"inline(array({', '.join(structs)}))")
+
+
 def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = False, on_unseen: str = "error",
          parallelism: int = 2, seed: int = 7, base: LogisticRegression | None = None,
          keep_sub_models: bool = False) -> Tuned:

@@ -2,30 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cardloom.functions.rules import VIOLATION_CHECKS
+from cardloom.functions.rules import VIOLATION_CHECKS, Rule, reason_counters
 from cardloom.schema import KEY, LABEL, SCENARIO
 
 
-def profile_missing(df: DataFrame) -> DataFrame:
-    """NaN and NULL counts of each column that is not a timestamp: ``(column, nans, nulls)``."""
-    counts = []
-    for field in df.schema:
+def _missing_counters(schema: T.StructType) -> str:
+    counters = []
+    for field in schema:
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             continue
         floating = isinstance(field.dataType, (T.DoubleType, T.FloatType))
         nans = f"count_if(isnan({field.name}))" if floating else "0L"
-        counts.append(
+        counters.append(
             f"named_struct('column', '{field.name}', 'nans', {nans}, 'nulls', count_if({field.name} IS NULL))"
         )
-    return df.agg(F.expr(f"array({', '.join(counts)}) AS counts")).selectExpr("inline(counts)")
+    return f"array({', '.join(counters)})"
+
+
+def _violation_counters() -> dict[str, str]:
+    return {"rows": "count(*)"} | {name: f"count_if({broken})" for name, broken in VIOLATION_CHECKS.items()}
+
+
+def profile_missing(df: DataFrame) -> DataFrame:
+    """NaN and NULL counts of each column that is not a timestamp: ``(column, nans, nulls)``."""
+    return df.agg(F.expr(f"{_missing_counters(df.schema)} AS missing")).selectExpr("inline(missing)")
 
 
 def profile_violations(df: DataFrame) -> DataFrame:
     """Row count and the number of rows breaking each check: ``(rows, <check>...)``."""
-    counts = [F.expr(f"count_if({broken}) AS {name}") for name, broken in VIOLATION_CHECKS.items()]
-    return df.agg(F.expr("count(*) AS rows"), *counts)
+    return df.agg(*[F.expr(f"{counter} AS {name}") for name, counter in _violation_counters().items()])
+
+
+def profile_counters(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Missing values, violations and reject reasons counted together: one scan, one row.
+
+    ``missing`` and ``reasons`` are arrays to ``inline``, ``violations`` is a struct.
+    """
+    violations = ", ".join(f"'{name}', {counter}" for name, counter in _violation_counters().items())
+    return df.agg(
+        F.expr(f"{_missing_counters(df.schema)} AS missing"),
+        F.expr(f"named_struct({violations}) AS violations"),
+        F.expr(f"{reason_counters(rules)} AS reasons"),
+    )
 
 
 def profile_domains(df: DataFrame, columns: tuple[str, ...] = (LABEL, SCENARIO)) -> DataFrame:

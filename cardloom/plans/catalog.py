@@ -20,7 +20,7 @@ from cardloom.operators.features import (
     fit_features, scenario_encoder, scenario_indexer, vector_columns,
 )
 from cardloom.operators.modelling import (
-    coefficient_rows, fit_scorer, load_model, save_model, summary_rows, tune,
+    coefficient_rows, fit_scorer, load_model, save_model, score_rows, score_with_all, summary_rows, tune,
 )
 from cardloom.plans.clean import clean_new_files
 from cardloom.plans.monitor import monitor
@@ -32,7 +32,7 @@ from cardloom.sources.events import feed_lines, load_transactions, stream_transa
 from cardloom.sources.feed import read_feed, read_rejected_lines, write_feed_lines
 from cardloom.sources.messages import decode_messages, encode_messages
 from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import clean_stream, drain_to_files, score_stream
+from cardloom.streaming.jobs import clean_stream, drain_to_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,11 +70,7 @@ def _staged_clean(spark: SparkSession, sf_dir: str, strict: bool = True) -> Data
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of both fixed models: ``(model, score, prediction)`` beside the transaction."""
-    each = ", ".join(
-        f"named_struct('model', '{name}', 'score', {m.score()}, 'prediction', {m.prediction()})"
-        for name, m in MODELS.items()
-    )
-    return _cleaned(spark, sf_dir).selectExpr("*", f"inline(array({each}))")
+    return score_with_all(_cleaned(spark, sf_dir), MODELS, keep=COLUMNS)
 
 
 def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +107,7 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "by-day")
     dated = _cleaned(spark, sf_dir).selectExpr("*", "CAST(tx_datetime AS DATE) AS tx_date")
     write_table(dated, path, partition_by="tx_date")
-    by_day = read_table(spark, path).groupBy("tx_date")
+    by_day = read_table(spark, path).groupBy(F.expr("CAST(tx_date AS STRING) AS tx_date"))
     return by_day.agg(F.expr("count(*) AS rows"), F.expr(f"sum({KEY}) AS key_sum"))
 
 
@@ -272,8 +268,8 @@ def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = train_model(_staged_clean(spark, sf_dir), TrainOptions(method=PORTABLE))
     path = scratch_path(spark, "model")
     save_model(trained.model, path)
-    first = score_stream(trained.test, trained.model).withColumnsRenamed({"score": "score_0", "prediction": "label_0"})
-    both = score_stream(first, load_model(path))
+    first = score_rows(trained.test, trained.model).withColumnsRenamed({"score": "score_0", "prediction": "label_0"})
+    both = score_rows(first, load_model(path))
     return both.selectExpr(KEY, "tx_fraud", "score = score_0 AND prediction = label_0 AS same_result")
 
 
@@ -402,7 +398,7 @@ def stream_clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drained_scores(spark: SparkSession, sf_dir: str, model) -> DataFrame:
-    rows = score_stream(clean_stream(stream_transactions(spark, sf_dir)), model, keep=COLUMNS)
+    rows = score_rows(clean_stream(stream_transactions(spark, sf_dir)), model, keep=COLUMNS)
     return drain_to_files(rows, scratch_path(spark, "scored"), scratch_path(spark, "scored-state"))
 
 
@@ -425,7 +421,7 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     The scored rows come from the batch form, so each transaction has its earliest time.
     """
     path = scratch_path(spark, "scored-table")
-    scored = score_stream(_cleaned(spark, sf_dir), CANDIDATE)
+    scored = score_rows(_cleaned(spark, sf_dir), CANDIDATE)
     write_table(scored, path)
     closed = monitor(spark, path, scratch_path(spark, "windows"), scratch_path(spark, "windows-state"))
     return _present(closed, round_all=True)

@@ -291,7 +291,7 @@ SELECT transaction_id,
 FROM dirty WHERE {_BROKEN}""",
     "parquet_roundtrip": f"WITH {_CLEAN_PARITY} SELECT {_COLUMNS} FROM cleaned",
     "partitioned_roundtrip": f"""WITH {_CLEAN}
-SELECT CAST(tx_datetime AS DATE) AS tx_date, count(*) AS rows, CAST(sum(transaction_id) AS BIGINT) AS key_sum
+SELECT strftime(tx_datetime, '%Y-%m-%d') AS tx_date, count(*) AS rows, CAST(sum(transaction_id) AS BIGINT) AS key_sum
 FROM cleaned GROUP BY 1""",
     "message_roundtrip": f"WITH {_DIRTY} SELECT {_COLUMNS} FROM dirty",
     "clean_rules": f"WITH {_DIRTY} SELECT {_COLUMNS} FROM dirty WHERE {_PARITY}",

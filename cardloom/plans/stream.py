@@ -7,10 +7,10 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cardloom.operators.modelling import load_model
+from cardloom.operators.modelling import load_model, score_rows
 from cardloom.session import build_session, use_scalable_state
 from cardloom.sources.messages import read_stream, stream_writer
-from cardloom.streaming.jobs import clean_stream, score_stream
+from cardloom.streaming.jobs import clean_stream
 
 
 def start(spark: SparkSession, model_path: str, source_format: str, sink_format: str, checkpoint: str,
@@ -20,7 +20,7 @@ def start(spark: SparkSession, model_path: str, source_format: str, sink_format:
     """Start scoring. Without ``every``, the input at hand is processed and the query stops."""
     use_scalable_state(spark)
     rows = read_stream(spark, source_format, path=source, options=source_options)
-    scored = score_stream(clean_stream(rows, watermark=watermark), load_model(model_path), keep=rows.columns)
+    scored = score_rows(clean_stream(rows, watermark=watermark), load_model(model_path), keep=rows.columns)
     writer = stream_writer(scored, sink_format, checkpoint, sink, sink_options)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()

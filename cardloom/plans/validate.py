@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,9 +12,8 @@ from cardloom.operators.comparison import (
     MODEL, bootstrap_counts_by_cell, compare_models, promotion_gate, sample_scores, score_intervals,
 )
 from cardloom.operators.evaluation import classification_metrics, confusion_counts, hard_areas, metrics_long
-from cardloom.operators.modelling import fit_scorer, fraud_probability, param_rows, save_model, tune
+from cardloom.operators.modelling import fit_scorer, param_rows, save_model, score_with_all, tune
 from cardloom.plans.train import WEIGHT, TrainOptions, prepare
-from cardloom.schema import KEY, LABEL
 from cardloom.session import build_session
 from cardloom.sources.tables import read_table, stage, write_table
 
@@ -31,17 +29,6 @@ class Validation:
     decision: DataFrame
 
 
-def predictions(models: dict[str, PipelineModel], rows: DataFrame) -> DataFrame:
-    """Predictions of several models in long form: ``(model, key, label, score, prediction)``."""
-    parts = [
-        model.transform(rows).select(
-            F.lit(name).alias(MODEL), KEY, LABEL, fraud_probability().alias("score"), "prediction",
-        )
-        for name, model in models.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), parallelism: int = 2,
              strict_gate: bool = True) -> Validation:
     """Fit both models on the training rows and compare them on the test rows."""
@@ -49,7 +36,7 @@ def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), paralle
     weight = WEIGHT if WEIGHT in train.columns else None
     baseline = fit_scorer(train, weight, options.with_scenario)
     candidate = tune(train, weight, options.with_scenario, parallelism=parallelism).model
-    scored = stage(predictions({BASELINE: baseline, CANDIDATE: candidate}, test), "predictions")
+    scored = stage(score_with_all(test, {BASELINE: baseline, CANDIDATE: candidate}), "predictions")
     metrics = metrics_long(hard_areas(classification_metrics(confusion_counts(scored, by=[MODEL]))), MODEL)
     scores = sample_scores(bootstrap_counts_by_cell(scored))
     gate = promotion_gate(compare_models(scores, BASELINE, CANDIDATE))

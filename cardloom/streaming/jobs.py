@@ -1,4 +1,4 @@
-"""Incremental cleaning, stream scoring and windowed monitoring.
+"""Incremental cleaning and windowed monitoring; scoring is the same as for tables.
 
 Each step reads one stream and writes another, so they can be run and restarted on their
 own: feed -> clean transactions -> scored transactions -> window metrics.
@@ -10,13 +10,10 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cardloom.functions.rules import Rule, all_pass, strict_rules
-from cardloom.functions.scoring import LinearModel
-from cardloom.operators.modelling import fraud_probability
 from cardloom.schema import EVENT_TIME, KEY, LABEL
 from cardloom.session import use_scalable_state
 
@@ -61,14 +58,6 @@ def _earliest_and_latest(key: str):
     return thin
 
 
-def score_stream(rows: DataFrame, model: PipelineModel | LinearModel, keep: Sequence[str] = ()) -> DataFrame:
-    """Apply a saved model to a stream: transaction columns plus ``score`` and ``prediction``."""
-    keep = list(keep or rows.columns)
-    if isinstance(model, LinearModel):
-        return rows.selectExpr(*keep, f"{model.score()} AS score", f"{model.prediction()} AS prediction")
-    return model.transform(rows).select(*keep, fraud_probability().alias("score"), "prediction")
-
-
 def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
     """Model metrics per tumbling window, emitted once the window is closed."""
     counted = (

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardloom.functions.scoring import LinearModel
+from cardloom.operators.modelling import score_rows
 from cardloom.schema import transactions_schema
 from cardloom.sources.messages import decode_messages, encode_messages, stream_writer
-from cardloom.streaming.jobs import clean_stream, drain_to_files, run_available, score_stream, window_metrics
+from cardloom.streaming.jobs import clean_stream, drain_to_files, run_available, window_metrics
 
 START = datetime(2024, 1, 1)
 
@@ -75,7 +76,7 @@ def test_windows_are_emitted_once_closed(folder, tmp_path):
     model = LinearModel({"tx_amount": 1.0}, -50.0)
     folder.add(tx(1, 0.1, tx_amount=100.0, tx_fraud=1), tx(2, 0.2), tx(3, 1.5, tx_amount=60.0))
     folder.add(tx(4, 0.9, tx_amount=70.0), tx(5, 3.5))
-    scored = score_stream(folder.stream(), model)
+    scored = score_rows(folder.stream(), model)
     out = drain_to_files(window_metrics(scored), str(tmp_path / "out"), str(tmp_path / "state"))
     got = {r.window_start.day: (r.rows, r.predicted_fraud, r.known_fraud) for r in out.collect()}
     assert got == {1: (3, 2, 1), 2: (1, 1, 0)}  # day 4 is still open
@@ -83,7 +84,7 @@ def test_windows_are_emitted_once_closed(folder, tmp_path):
 
 def test_linear_scores(make_transactions):
     rows = make_transactions(tx(1, tx_amount=50.0), tx(2, tx_amount=51.0), tx(3, tx_amount=None))
-    got = score_stream(rows, LinearModel({"tx_amount": 1.0}, -50.0), keep=["transaction_id"]).collect()
+    got = score_rows(rows, LinearModel({"tx_amount": 1.0}, -50.0), keep=["transaction_id"]).collect()
     assert [(r.transaction_id, r.prediction) for r in got] == [(1, 0.0), (2, 1.0), (3, None)]
     assert got[0].score == 0.5
 
