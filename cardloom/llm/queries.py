@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm.exact_dedup import exact_dedup
+from cardloom.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,10 +19,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, distance=4, seed=42)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
 
 
 QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
     "op9_exact_dedup": op9_exact_dedup,
 }
