@@ -7,11 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm.exact_dedup import exact_dedup
+from cardloom.llm.packing import pack
 from cardloom.llm.simhash import near_duplicates
 
+WORD_TOKENIZER = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,11 +27,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, distance=4, seed=42)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(WORD_TOKENIZER))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
 
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_packing": op3_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
