@@ -143,26 +143,28 @@ def pack(
     The result depends on the rows alone, not on their order or partitions, except for which of
     several identical rows is which.
     """
-    rows = docs.select(F.col(quoted(key)).alias("_id"), F.col(quoted(text)).alias("_text"))
+    id_type = docs.select(F.col(quoted(key))).schema[0].dataType.simpleString()
+    # pandas has no missing integers: a NULL key travels as a flag beside a zero.
+    rows = docs.select(F.col(quoted(key)).alias("_id"), F.col(quoted(text)).alias("_text")).selectExpr(
+        "_id IS NULL AS _missing", f"coalesce(_id, CAST(0 AS {id_type})) AS _id", "_text")
     total = rows.selectExpr("coalesce(sum(octet_length(_text)), 0) + 8 * count(*)").first()[0]
     groups = max(1, -(-total // group_bytes))
     dealt = with_token_ids(rows, tokenizer, "_text", end).selectExpr(
-        "_id", "_ids", f"pmod(xxhash64(_id, _text, 'pack'), {groups}L) AS _group")
-    id_type = rows.schema["_id"].dataType.simpleString()
+        "_missing", "_id", "_ids", f"pmod(xxhash64(_missing, _id, _text, 'pack'), {groups}L) AS _group")
 
     def pieces(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.assign(_missing=frame["_id"].isna()).sort_values(["_missing", "_id", "_ids"], kind="stable")
-        dtype, ids, keys = encoder(tokenizer).dtype, frame["_ids"].tolist(), frame["_id"].tolist()
+        frame = frame.sort_values(["_missing", "_id", "_ids"], kind="stable")
+        dtype, ids, keys = encoder(tokenizer).dtype, frame["_ids"].tolist(), frame[["_missing", "_id"]].to_records(index=False).tolist()
         first, found = int(frame["_group"].iloc[0]) * SEQUENCES, []
         sizes = [len(packed) // dtype.itemsize for packed in ids]
         for number, sequence in enumerate(pack_group(sizes, length)):
             offset = 0
             for doc, start, size in sequence:
                 part = np.frombuffer(ids[doc], dtype, size, start * dtype.itemsize).astype("<u4")
-                found.append((keys[doc], start, size, zlib.crc32(part.tobytes()), sizes[doc], first + number, offset))
+                found.append((*keys[doc], start, size, zlib.crc32(part.tobytes()), sizes[doc], first + number, offset))
                 offset += size
         return pd.DataFrame(found, columns=[
-            "_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+            "_missing", "_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    packed = dealt.groupBy("_group").applyInPandas(pieces, f"_id {id_type}, {PIECES}")
-    return packed.withColumnRenamed("_id", key)
+    packed = dealt.groupBy("_group").applyInPandas(pieces, f"_missing boolean, _id {id_type}, {PIECES}")
+    return packed.selectExpr(f"CASE WHEN NOT _missing THEN _id END AS {quoted(key)}", *packed.columns[2:])

@@ -10,7 +10,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from cardloom.llm import toxicity
 from cardloom.llm.exact_dedup import exact_dedup
+from cardloom.llm.mixing import mix
 from cardloom.llm.packing import pack
 from cardloom.llm.simhash import near_duplicates
 
@@ -31,6 +33,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+# Rows whose labels are held out, as SQL on the document's id.
+HELD_OUT = "crc32(CAST({} AS STRING)) % 4 = 2"
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels", "doc_id", "toxic"), f"NOT ({HELD_OUT})")
+    return toxicity.score(docs, model, keep=["doc_id"]).selectExpr(
+        "doc_id", f"{HELD_OUT.format('doc_id')} AS held_out", "score", "predicted")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents", "doc_id", "source", "text"), keep=["doc_id"])
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
 
@@ -38,5 +55,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op6_mixing": op6_mixing,
     "op9_exact_dedup": op9_exact_dedup,
 }

@@ -7,6 +7,39 @@ import string
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 ORACLE_SQL: dict[str, str] = {
+    # The budget of a source ends where the running sum of its words in order of the hash reaches it.
+    "op6_mixing": r"""
+        WITH sizes AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+            FROM documents),
+        weighed AS (
+            SELECT source, sum(size)::BIGINT AS source_size, (2 * sum(size))::DOUBLE AS cap,
+                   row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place,
+                   CASE place % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
+            FROM sizes GROUP BY source),
+        ranked AS (
+            SELECT *, 1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE AS total, sum(weight) OVER () AS weights,
+                   coalesce(sum(cap) OVER prior, 0) AS cap_before, coalesce(sum(weight) OVER prior, 0) AS weight_before
+            FROM weighed
+            WINDOW prior AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        marked AS (SELECT *, cap * (weights - weight_before) <= (total - cap_before) * weight AS capped FROM ranked),
+        summed AS (
+            SELECT *, coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0) AS cap_sum,
+                   weights - coalesce(sum(weight) FILTER (WHERE capped) OVER (), 0) AS weight_left
+            FROM marked),
+        targets AS (
+            SELECT source, source_size,
+                   CASE WHEN capped THEN cap ELSE (total - cap_sum) * weight / weight_left END AS target
+            FROM summed),
+        budgets AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS passes
+            FROM targets)
+        SELECT doc_id, size, source_size, target,
+               (passes * size + greatest(0, least(size, floor(target)::BIGINT - passes * source_size
+                   - (sum(size) OVER (PARTITION BY s.source ORDER BY hash
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size))))::BIGINT AS taken
+        FROM sizes s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source""",
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
