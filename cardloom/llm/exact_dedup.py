@@ -72,6 +72,17 @@ def exact_dedup(
     return unpacked(result, columns, keep_id="_keep", group_size="_size", kept="_kept", text_sha256="_sha")
 
 
+def distinct_texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that stay."""
+    names = docs.columns
+    held = docs.select(
+        F.struct(*(F.col(quoted(name)) for name in names if name != text)).alias("_held"),
+        F.col(quoted(key)).alias("_held_key"), F.col(quoted(text)).alias("_held_text"))
+    kept = exact_dedup(held, "_held_text", "_held_key", keep=["_held", "_held_text"]).where("kept")
+    return kept.select(*(
+        F.col("_held_text").alias(text) if name == text else F.col("_held")[name].alias(name) for name in names))
+
+
 def key_loads(source: DataFrame) -> DataFrame:
     """Bytes of text by key; combined before the shuffle. A row counts 16 bytes besides its text."""
     return source.groupBy("_key").agg(F.expr("sum(16 + octet_length(coalesce(_text, '')))").alias("load"))
