@@ -49,6 +49,8 @@ FEATURES = (
 
 SAMPLE_ROWS = 20_000  # labelled rows to learn from at most, however many there are
 LEARNED_WORDS = 200
+LEAF_SHARE = 0.02  # of the fitted rows in a leaf at least: labels have errors that a small leaf would learn
+PRIOR_WEIGHT = 3
 THRESHOLD = 0.3
 
 
@@ -147,18 +149,23 @@ def fit(
 ) -> ToxicityModel:
     """Learn from ``rows`` labelled texts at most: word weights, trees and calibration on separate parts."""
     sample = stage(labelled_sample(docs, labels, learn_where, rows, text, key), "toxicity-sample")
-    learned = learn_words(sample.where("part < 3"))
+    learned = learn_words(sample.where("part < 2"))
     ready = stage(with_features(sample, "_text", learned).select("label", "part", "_features"), "toxicity-features")
     stats = ready.selectExpr(
-        "coalesce(avg(label), 0D)", "count_if(part >= 3 AND part < 8 AND label = 0)",
-        "count_if(part >= 3 AND part < 8 AND label = 1)", "count_if(part >= 8)").first()
+        "coalesce(avg(label), 0D)", "count_if(part >= 2 AND part < 8 AND label = 0)",
+        "count_if(part >= 2 AND part < 8 AND label = 1)", "count_if(part >= 8)").first()
     if not all(stats[1:]):
         return ToxicityModel(learned, None, None, float(stats[0]))
     vectors = ready.withColumn("_vector", array_to_vector("_features")).coalesce(4)
-    trees = GBTClassifier(featuresCol="_vector", labelCol="label", maxDepth=3, maxIter=20, stepSize=0.2, seed=seed).fit(
-        vectors.where("part >= 3 AND part < 8"))
+    trees = GBTClassifier(featuresCol="_vector", labelCol="label", maxDepth=3, maxIter=15, stepSize=0.2, seed=seed,
+                          minInstancesPerNode=max(8, round((stats[1] + stats[2]) * LEAF_SHARE))).fit(
+        vectors.where("part >= 2 AND part < 8"))
     rest = trees.transform(vectors.where("part >= 8")).select("label", vector_to_array("probability")[1].alias("_p1"))
-    calibration = IsotonicRegression(featuresCol="_p1", labelCol="label", predictionCol="_score").fit(rest)
+    # A few pseudo-observations say that the trees are right: they matter while there are few rows.
+    prior = docs.sparkSession.range(1, 20).selectExpr("id / 20D AS label", "id / 20D AS _p1", f"{PRIOR_WEIGHT}D AS weight")
+    calibration = IsotonicRegression(
+        featuresCol="_p1", labelCol="label", predictionCol="_score", weightCol="weight",
+    ).fit(rest.selectExpr("label", "_p1", "1D AS weight").union(prior))
     return ToxicityModel(learned, trees, calibration, float(stats[0]))
 
 
