@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm import toxicity
 from cardloom.llm.exact_dedup import exact_dedup
+from cardloom.llm.line_dedup import dedup_lines
 from cardloom.llm.mixing import mix
 from cardloom.llm.packing import pack
 from cardloom.llm.simhash import near_duplicates
+from cardloom.llm.url_filter import Rule, judge_urls
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -48,6 +50,27 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents", "doc_id", "source", "text"), keep=["doc_id"])
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"]).drop("kept_text")
+
+
+# Fixed: the contract's rules.
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+# Names in a host that stand for gambling, pills and adult pages; for URLs that no rule fits.
+BLOCKED_WORDS = ("casino", "free-bets", "cheap-pills", "adult")
+BLOCKED_GLOBS = [f"*{word}*{rest}" for word in BLOCKED_WORDS for rest in ("", "/**")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, BLOCKED_GLOBS, keep=["page_id"])
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
 
@@ -57,5 +80,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
 }
