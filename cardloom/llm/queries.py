@@ -16,9 +16,12 @@ from cardloom.llm.line_dedup import dedup_lines
 from cardloom.llm.mixing import mix
 from cardloom.llm.packing import pack
 from cardloom.llm.simhash import near_duplicates
+from cardloom.llm.token_counts import count_tokens
 from cardloom.llm.url_filter import Rule, judge_urls
+from cardloom.llm.weighted_sampling import fingerprints
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +34,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, distance=4, seed=42)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(WORD_TOKENIZER))
 
@@ -75,12 +82,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("source", "lang", "text")
+    return count_tokens(_table(spark, sf_dir, "documents", "doc_id", *fields), public_tokenizers.path(BYTE_RANKS),
+                        public_tokenizers.PATTERN, fields)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_token_counts": op10_token_counts,
 }
