@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import toxicity
+from cardloom.llm import chat, toxicity
 from cardloom.llm.exact_dedup import exact_dedup
 from cardloom.llm.line_dedup import dedup_lines
 from cardloom.llm.mixing import mix
@@ -53,6 +53,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", f"{HELD_OUT.format('doc_id')} AS held_out", "score", "predicted")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as transcripts of several styles, and their roles recovered."""
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    model = chat.fit(turns.where(f"NOT ({HELD_OUT.format('conv_id')})"))
+    return chat.format_chats(chat.transcripts(turns), model, keep=["conv_id", "part"]).drop("turns")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents", "doc_id", "source", "text"), keep=["doc_id"])
 
@@ -93,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_chat_format": op5_chat_format,
     "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_url_filter": op8_url_filter,
