@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted
+from cardloom.llm.common import quoted, text_batches
 
 # Fixed: the roles of a canonical turn, and the words that announce them.
 ROLES = ("system", "user", "assistant")
@@ -187,6 +187,7 @@ def transcripts(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
             yield pd.Series([write_transcript([(turn["role"], turn["text"]) for turn in turns], int(style))[0]
                              for turns, style in zip(many, styles)])
 
+    text_batches(conversations.sparkSession)
     found = gathered_turns(conversations, key)
     return found.select(F.col("_id").alias(key), "part", written("turns", "style").alias("transcript"))
 
@@ -203,6 +204,7 @@ def fit(conversations: DataFrame, key: str = "conv_id") -> ChatModel:
                 found.append(count_states(observe(text.split("\n"))[0], np.array(states, np.int64)))
             yield pd.Series(found)
 
+    text_batches(conversations.sparkSession)
     summed = gathered_turns(conversations, key).select(F.posexplode(counts("turns", "style")).alias("at", "n"))
     total = np.zeros(_slots()[0], np.int64)
     for row in summed.groupBy("at").agg(F.sum("n").alias("n")).collect():
@@ -227,6 +229,7 @@ def format_chats(rows: DataFrame, model: ChatModel, transcript: str = "transcrip
             yield pd.DataFrame({"turns": [[{"role": role, "text": text} for role, text in turns] for turns in found],
                                 "rendered": [render(turns) for turns in found]})
 
+    text_batches(rows.sparkSession)
     result = rows.select(F.struct(*(F.col(quoted(name)) for name in columns)).alias("_row"),
                          parsed(F.col(quoted(transcript))).alias("_new"))
     clash = {"n_turns", "roles", "turns", "rendered"}

@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardloom.sources.tables import stage
 
-__all__ = ["ascii_lower", "quoted", "shuffle_partitions", "stage", "unpacked", "word_count"]
+__all__ = ["ascii_lower", "quoted", "shuffle_partitions", "stage", "text_batches", "unpacked", "word_count"]
 
-# Fixed: white space is space and \t \n \v \f \r; nothing else splits words.
-WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
 
 
 def quoted(name: str) -> str:
@@ -37,6 +36,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of BATCH_ROWS rows at most.
+
+    A batch is held by the JVM and by the worker at once, so the default of 10,000 rows takes
+    hundreds of megabytes per core where texts are long. A lower setting is left alone.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def unpacked(df: DataFrame, columns: list[str], **results: str) -> DataFrame:
     """The input's ``columns`` out of ``_row``, then the results (name to SQL)."""
     clash = {name.lower() for name in results}

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import ascii_lower, quoted, stage, unpacked
+from cardloom.llm.common import ascii_lower, quoted, stage, text_batches, unpacked
 
 WHITE = r"' \t\n\u000B\f\r'"
 
@@ -79,6 +79,7 @@ def dedup_lines(
                 found.append((kept, len(parts), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
             yield pd.DataFrame(found, columns=["kept_text", "n_lines", "n_dropped", "kept_sha256"])
 
+    text_batches(docs.sparkSession)
     joined = rows.join(drops, F.expr("_id <=> _of AND _check = _of_check"), "left")
     result = joined.select("_row", reassembled("_text", "drops").alias("_new"))
     return unpacked(result, columns, kept_text="_new.kept_text", n_lines="_new.n_lines",

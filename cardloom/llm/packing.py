@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted
+from cardloom.llm.common import quoted, text_batches
 from cardloom.llm.tokens import encoder
 
 LENGTH = 4096
@@ -126,6 +126,7 @@ def with_token_ids(docs: DataFrame, tokenizer: str, text: str = "text", end: int
         for texts in batches:
             yield pd.Series([ids.encode(text) + closing for text in texts])
 
+    text_batches(docs.sparkSession)
     return docs.withColumn("_ids", ids_of(F.col(quoted(text))))
 
 

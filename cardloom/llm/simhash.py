@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted, stage
+from cardloom.llm.common import quoted, stage, text_batches
 from cardloom.llm.components import connected_components
 
 BITS = 64
@@ -61,6 +61,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 4, seed
                 (fingerprint(text.encode(), shingle, seed) if text else 0 for text in texts), np.uint64, len(texts))
             yield pd.Series(found.view(np.int64))
 
+    text_batches(docs.sparkSession)
     return docs.withColumn("_fp", fingerprints(F.col(quoted(text))))
 
 

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted
+from cardloom.llm.common import quoted, text_batches
 
 RULES = ("majority", "start", "end")
 SEPARATOR = "\n"
@@ -122,6 +122,7 @@ def count_tokens(
                     for (field, section, start), size, count in zip(sections, np.diff(bounds), tokens)])
             yield pd.Series(results)
 
+    text_batches(docs.sparkSession)
     labels = ", ".join("'" + field.replace("\\", "\\\\").replace("'", "\\'") + "'" for field in fields)
     return rows.select("_row", F.explode(counted(*names)).alias("s")).selectExpr(
         f"_row.key AS {quoted(key)}", f"array({labels})[s.field] AS field", "CAST(s.section AS BIGINT) AS section",

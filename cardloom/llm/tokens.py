@@ -15,7 +15,7 @@ from typing import Any
 
 import numpy as np
 
-KNOWN = 200_000  # pieces and words remembered in a worker, about 60 MB; then it starts afresh
+KNOWN = 120_000  # words, and as many pieces, remembered in a worker: 40 MB at most; then it starts afresh
 _LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")  # no apostrophe: contractions split
 
 

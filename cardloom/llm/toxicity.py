@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted, stage, unpacked
+from cardloom.llm.common import quoted, stage, text_batches, unpacked
 
 # Fixed: insults and abuse, one word each. No word that is an everyday word of another language.
 LEXICON = frozenset("""
@@ -97,6 +97,7 @@ def with_features(docs: DataFrame, text: str, learned: dict[bytes, float]) -> Da
         for texts in batches:
             yield pd.Series([text_features(text, learned) for text in texts])
 
+    text_batches(docs.sparkSession)
     return docs.withColumn("_features", features(F.col(quoted(text))))
 
 
@@ -156,7 +157,9 @@ def fit(
         "count_if(part >= 2 AND part < 8 AND label = 1)", "count_if(part >= 8)").first()
     if not all(stats[1:]):
         return ToxicityModel(learned, None, None, float(stats[0]))
-    vectors = ready.withColumn("_vector", array_to_vector("_features")).coalesce(4)
+    # A bounded sample, in one order: then a second fit gives the same trees.
+    vectors = ready.coalesce(1).sortWithinPartitions("part", "label", "_features").withColumn(
+        "_vector", array_to_vector("_features"))
     trees = GBTClassifier(featuresCol="_vector", labelCol="label", maxDepth=3, maxIter=15, stepSize=0.2, seed=seed,
                           minInstancesPerNode=max(8, round((stats[1] + stats[2]) * LEAF_SHARE))).fit(
         vectors.where("part >= 2 AND part < 8"))

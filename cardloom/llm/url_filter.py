@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted, unpacked
+from cardloom.llm.common import quoted, text_batches, unpacked
 
 CELLS = 1 << 22  # bytes of URLs in a step's matrix at most, padding included
 _SLASH = ord("/")
@@ -79,6 +79,8 @@ class Automaton:
     def matches(self, urls: list[bytes]) -> np.ndarray:
         """A row for each URL, a column for each glob."""
         found = np.zeros((len(urls), len(self.ends)), bool)
+        if not self.ends:
+            return found
         order = sorted(range(len(urls)), key=lambda i: len(urls[i]))
         at = 0
         while at < len(order):
@@ -146,6 +148,7 @@ def judge_urls(
                 "host": [host for host, _ in parts], "path": [path for _, path in parts], "rule": names[first],
                 "verdict": np.where(ruled, np.append(verdicts, None)[first], default)})
 
+    text_batches(pages.sparkSession)
     rows = pages.select(F.struct(*(F.col(quoted(name)) for name in columns)).alias("_row"),
                         judged(F.col(quoted(url))).alias("_new"))
     return unpacked(rows, columns, host="_new.host", path="_new.path", rule="_new.rule", verdict="_new.verdict")

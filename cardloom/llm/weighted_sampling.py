@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cardloom.llm.common import quoted, shuffle_partitions
+from cardloom.llm.common import quoted, shuffle_partitions, text_batches
 
 SAMPLES = 128
 TERMS = 4096  # terms whose draws are held at once
@@ -183,6 +183,7 @@ def fingerprints(
                     "near_edited": [likeness(doc[3], one) for (doc, _, _), one in zip(pairs, new)],
                     "near_next": [likeness(doc[3], following) for doc, _, following in pairs]})
 
+    text_batches(docs.sparkSession)
     found = with_following(docs, text, key, range_bytes).mapInPandas(compare, RESULT)
     return found.withColumnRenamed("doc_id", key)
 
