@@ -108,7 +108,8 @@ def count_tokens(
         coder, sizes = encoding(ranks, pattern)
         for columns in batches:
             results = []
-            for values in zip(*columns):
+            # A lone column comes as itself, not in a tuple.
+            for values in zip(*((columns,) if isinstance(columns, pd.Series) else columns)):
                 text, sections = sections_of([value or "" for value in values], split_at)
                 if not sections:
                     results.append([])

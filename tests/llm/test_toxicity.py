@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from cardloom.llm import toxicity
+
+WORDS = [f"plain{i}" for i in range(300)]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Clean and toxic texts with one label in twenty wrong."""
+    rng, rows, labels = random.Random(1), [], []
+    for i in range(1200):
+        words = [rng.choice(WORDS) for _ in range(rng.randint(5, 80))]
+        toxic = i % 5 == 0
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(["idiot", "You moron", "sc um", "pathetic", "id1ot", "l0ser"]))
+        rows.append((i, " ".join(words), toxic))
+        labels.append((i, int(toxic) if rng.random() > 0.05 else int(not toxic)))
+    return (spark.createDataFrame(rows, "doc_id long, text string, truth boolean"),
+            spark.createDataFrame(labels, "doc_id long, toxic int"))
+
+
+def test_held_out_accuracy(labelled):
+    docs, labels = labelled
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).where("crc32(CAST(doc_id AS STRING)) % 4 = 2").collect()
+    wrong = [r for r in scored if r.truth != bool(r.predicted)]
+    assert len(scored) > 200 and len(wrong) <= 0.02 * len(scored)
+    assert sum(1 for r in wrong if not r.truth) <= 2
+    assert all(0 <= r.score <= 1 for r in scored)
+
+
+def test_held_out_labels_are_not_read(labelled):
+    docs, labels = labelled
+    turned = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(doc_id AS STRING)) % 4 = 2 THEN 1 - toxic ELSE toxic END AS toxic")
+    one, other = (toxicity.score(docs, toxicity.fit(docs, given)).select("doc_id", "score") for given in (labels, turned))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_features():
+    names = toxicity.FEATURES
+    got = dict(zip(names, toxicity.text_features("You IDIOT! sh0uting 1d!ot scum.", {b"scum": 2.0})))
+    assert got["distinct_hits"] == 2 and got["near_second_person"] == 1.0 and got["disguised_log"] > 0
+    assert got["learned_weight"] == 2.0 and got["capital_rate"] > 0 and got["exclamation_rate"] > 0
+    assert set(toxicity.text_features(None, {})) == {0.0} == set(toxicity.text_features("", {}))
+    assert not any(toxicity.text_features("an obscuman clownery of idiocy", {})[:5])  # whole words only
+
+
+def test_messy_rows_and_no_labels(spark, messy, empty, labelled):
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels)
+    wide = messy.selectExpr("*", "1 AS score", "2 AS prediction", "3 AS _vector", "4 AS features")
+    got = toxicity.score(wide, model)
+    assert got.count() == messy.count() and got.columns == [*messy.columns, "prediction", "_vector", "features", "score", "predicted"]
+    assert got.where("score IS NULL OR score < 0 OR score > 1 OR predicted IS NULL").isEmpty()
+    same = {r.score for r in got.where("text IS NULL OR text = ''").collect()}
+    assert len(same) == 1
+    assert toxicity.score(empty, model).count() == 0
+    none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
+    assert {r.score for r in toxicity.score(messy, toxicity.fit(messy, none)).collect()} == {0.0}
+    one_class = spark.createDataFrame([(1, 1), (2, 1), (4, 1), (7, 1)], "doc_id long, toxic int")
+    assert {r.predicted for r in toxicity.score(messy, toxicity.fit(messy, one_class, "true")).collect()} == {1}
+
+
+def test_clean_keeps_columns_and_clean_rows(labelled):
+    docs, labels = labelled
+    kept = toxicity.clean(docs, toxicity.fit(docs, labels))
+    assert kept.columns == docs.columns
+    assert kept.where("NOT truth").count() >= 0.99 * docs.where("NOT truth").count()
+    assert kept.where("truth").count() <= 0.05 * docs.where("truth").count()
+
+
+def test_the_sample_is_bounded(labelled):
+    docs, labels = labelled
+    assert toxicity.labelled_sample(docs, labels, "true", 100).count() <= 100
