@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.llm.common import quoted, shuffle_partitions, text_batches
 
 SAMPLES = 128
-TERMS = 4096  # terms whose draws are held at once
-CHARS = 1 << 19  # of texts fingerprinted together, so that they share the draws of their terms
+TERMS = 16384  # terms whose draws are held at once
+CHARS = 1 << 20  # of texts fingerprinted together, so that they share the draws of their terms
 RANGE_BYTES = 64 << 20
 MAX_RANGES = 1 << 16  # bounds sent to every task: eight bytes each
 _CHANCE = 1 / 256
@@ -163,25 +163,30 @@ def fingerprints(
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: tuple | None = None  # the row whose next one has not come yet, with its signature
         for rows in _portions(batches):
+            pairs: list[tuple] = []  # a row, or None for the one that waited, and the row after it
+            before = None if waiting is None else waiting[0]
+            for at, (where, ahead, _, _) in enumerate(rows):
+                if before is not None:
+                    assert before == where, "a range ends with the first row of the next"
+                    pairs.append((at - 1 if at else None, at))
+                before = None if ahead else where
             texts = [row[3] for row in rows]
-            known = dict(zip(range(len(rows)), signatures([one.encode() for one in texts], samples)))
-            pairs = []
-            for at, (where, ahead, identity, content) in enumerate(rows):
-                if waiting is not None:
-                    assert waiting[0] == where, "a range ends with the first row of the next"
-                    pairs.append((waiting, content, known[at]))
-                waiting = None if ahead else (where, identity, content, known[at])
+            changed = [edited_text(waiting[2] if one is None else texts[one], texts[at]) for one, at in pairs]
+            # Texts and edited texts together: they share most terms.
+            found = signatures([text.encode() for text in texts + changed], samples)
+            docs_of = [waiting if one is None else (rows[one][0], rows[one][2], texts[one], found[one]) for one, _ in pairs]
             if pairs:
-                changed = [edited_text(doc[2], following) for doc, following, _ in pairs]
-                new = signatures([one.encode() for one in changed], samples)
+                new = found[len(texts):]
                 yield pd.DataFrame({
-                    "doc_id": pd.array([None if doc[1] is pd.NA else doc[1] for doc, _, _ in pairs], dtype="Int64"),
-                    "n_chars": [len(doc[2]) for doc, _, _ in pairs],
+                    "doc_id": pd.array([doc[1] for doc in docs_of], dtype="Int64"),
+                    "n_chars": [len(doc[2]) for doc in docs_of],
                     "edited_sha256": [hashlib.sha256(one.encode()).hexdigest() for one in changed],
-                    "fingerprint": [doc[3].tobytes().hex() for doc, _, _ in pairs],
+                    "fingerprint": [doc[3].tobytes().hex() for doc in docs_of],
                     "edited_fingerprint": [one.tobytes().hex() for one in new],
-                    "near_edited": [likeness(doc[3], one) for (doc, _, _), one in zip(pairs, new)],
-                    "near_next": [likeness(doc[3], following) for doc, _, following in pairs]})
+                    "near_edited": [likeness(doc[3], one) for doc, one in zip(docs_of, new)],
+                    "near_next": [likeness(doc[3], found[at]) for doc, (_, at) in zip(docs_of, pairs)]})
+            where, ahead, identity, content = rows[-1]
+            waiting = None if ahead else (where, identity, content, found[len(rows) - 1])
 
     text_batches(docs.sparkSession)
     found = with_following(docs, text, key, range_bytes).mapInPandas(compare, RESULT)
