@@ -45,21 +45,30 @@ def _word(salt: str, keys: tuple[str, ...], method: str) -> str:
 
 
 def poisson_cdf(mean: float) -> list[float]:
-    """P(K <= k) for k = 0, 1, ... until the rest is below the resolution of 32 bits."""
-    term = total = math.exp(-mean)
-    table = [total]
-    while 1.0 - total > 1.0 / _TWO_32:
-        term *= mean / len(table)
-        total += term
-        table.append(total)
+    """P(K <= k) for k = 0, 1, ... until the rest is below the resolution of 32 bits.
+
+    Terms are exponentials of logarithms, so that a large mean does not underflow; twelve
+    standard deviations above it nothing is left, whatever the rounding of the sum.
+    """
+    table, total = [], 0.0
+    for count in range(math.ceil(mean + 12 * math.sqrt(mean)) + 30):
+        if mean > 0:
+            total += math.exp(count * math.log(mean) - mean - math.lgamma(count + 1))
+        else:
+            total = 1.0
+        table.append(min(total, 1.0))
+        if 1.0 - total <= 1.0 / _TWO_32:
+            break
     return table
 
 
 def poisson_draw(uniform: str, mean: float) -> str:
     """Turn a uniform number into a Poisson count by inverting the distribution function.
 
-    ``uniform`` is best a column, as it is compared with each limit in turn.
+    ``uniform`` is best a column, as it is compared with each limit in turn. Counts less likely
+    than one number in 2^32 are left out.
     """
     table = poisson_cdf(mean)
-    steps = " ".join(f"WHEN {uniform} < {limit!r}D THEN {count}" for count, limit in enumerate(table))
+    steps = " ".join(f"WHEN {uniform} < {limit!r}D THEN {count}" for count, limit in enumerate(table)
+                     if limit > 1.0 / _TWO_32)
     return f"CASE {steps} ELSE {len(table)} END"

@@ -30,15 +30,16 @@ def parity_rules() -> list[Rule]:
     ]
 
 
-def strict_rules(first_day: str = "2018-01-01", end_day: str = "2025-01-01") -> list[Rule]:
-    """What the rules are meant to say.
+def strict_rules(first_day: str = "2018-01-01", end_day: str | None = None) -> list[Rule]:
+    """What the rules are meant to say. Without ``end_day`` any later date passes.
 
     The years are a timestamp range, not ``year(...)``, so that the scan can skip Parquet
     row groups by their statistics.
     """
+    days = f"tx_datetime >= TIMESTAMP '{first_day}'" + (f" AND tx_datetime < TIMESTAMP '{end_day}'" if end_day else "")
     return [
         Rule("transaction_id", "transaction_id IS NOT NULL"),
-        Rule("tx_datetime", f"tx_datetime >= TIMESTAMP '{first_day}' AND tx_datetime < TIMESTAMP '{end_day}'"),
+        Rule("tx_datetime", days),
         Rule("customer_id", "customer_id >= 0"),
         Rule("terminal_id", "terminal_id > 0"),
         Rule("tx_amount", "tx_amount >= 0 AND NOT isnan(tx_amount)"),

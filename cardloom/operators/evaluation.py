@@ -148,9 +148,12 @@ def error_rates(counts: DataFrame, max_fp_rate: float = MAX_FALSE_POSITIVE_RATE,
 
 def monthly_missed_loss(df: DataFrame, by: Sequence[str] = (), limit: float = MAX_MONTHLY_LOSS,
                         label: str = LABEL, prediction: str = "prediction") -> DataFrame:
-    """Amount of fraud that was not predicted, by month, against a limit."""
-    missed = df.filter(f"{label} = 1 AND {prediction} = 0").selectExpr(
-        *by, f"date_format({EVENT_TIME}, 'yyyy-MM') AS month", AMOUNT
+    """Amount of fraud that was not predicted, by month, against a limit.
+
+    Fraud without a prediction was missed too; a missing amount adds nothing to the loss.
+    """
+    missed = df.filter(f"{label} = 1 AND NOT coalesce({prediction} = 1, false)").selectExpr(
+        *by, f"date_format({EVENT_TIME}, 'yyyy-MM') AS month", f"nanvl(coalesce({AMOUNT}, 0D), 0D) AS {AMOUNT}"
     )
     totals = missed.groupBy(*by, "month").agg(F.expr("count(*) AS missed"), F.expr(f"sum({AMOUNT}) AS loss"))
     return _add(totals, within_limit=f"loss < {float(limit)!r}D")

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -81,11 +82,29 @@ def fraud_probability() -> Column:
 
 
 def score_rows(rows: DataFrame, model: PipelineModel | LinearModel, keep: Sequence[str] = ()) -> DataFrame:
-    """Apply a model to a table or a stream: the columns to keep plus ``score`` and ``prediction``."""
+    """Apply a model to a table or a stream: the columns to keep plus ``score`` and ``prediction``.
+
+    Every row comes back. One with a missing feature, NULL or NaN, has neither score nor prediction.
+    """
     keep = list(keep or rows.columns)
     if isinstance(model, LinearModel):
-        return rows.selectExpr(*keep, f"{model.score()} AS score", f"{model.prediction()} AS prediction")
-    return model.transform(rows).select(*keep, fraud_probability().alias("score"), "prediction")
+        return rows.selectExpr(
+            *keep, f"nullif({model.score()}, double('NaN')) AS score",
+            f"CASE WHEN NOT isnan({model.margin()}) THEN {model.prediction()} END AS prediction")
+    scored = _keeping_all_rows(model).transform(rows).select(*keep, fraud_probability().alias("score"), "prediction")
+    return scored.selectExpr(
+        *keep, "CASE WHEN NOT isnan(score) THEN score END AS score",
+        "CASE WHEN NOT isnan(score) THEN prediction END AS prediction")
+
+
+def _keeping_all_rows(model: PipelineModel) -> PipelineModel:
+    """The same model, whose assemblers pass rows with missing features on instead of skipping them."""
+    def keeping(step):
+        if isinstance(step, PipelineModel):
+            return _keeping_all_rows(step)
+        return step.copy({step.handleInvalid: "keep"}) if isinstance(step, VectorAssembler) else step
+
+    return PipelineModel([keeping(step) for step in model.stages])
 
 
 def score_with_all(rows: DataFrame, models: Mapping[str, PipelineModel | LinearModel],

@@ -123,7 +123,14 @@ def clean_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_rules_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _present(cleaning.apply_rules(load_transactions(spark, sf_dir), strict_rules()))
+    rules = strict_rules("2018-01-01", "2025-01-01")
+    return _present(cleaning.apply_rules(load_transactions(spark, sf_dir), rules))
+
+
+def clean_rules_open_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions moved by ten years: the default rules have no last day."""
+    later = load_transactions(spark, sf_dir).withColumn("tx_datetime", F.expr("tx_datetime + INTERVAL '10' YEAR"))
+    return _present(cleaning.apply_rules(later, strict_rules()))
 
 
 def dedup_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +285,11 @@ def score_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(scored, round_all=True)
 
 
+def score_missing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions cleaned by the parity rules, some without an amount: each gets a row."""
+    return _present(score_rows(_cleaned(spark, sf_dir, strict=False), CANDIDATE, keep=[KEY, "tx_fraud"]), round_all=True)
+
+
 # ---- evaluation
 
 
@@ -429,11 +441,11 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: tuple[Query, ...] = (
     clean_counts, csv_scan, csv_rejects, parquet_roundtrip, partitioned_roundtrip, message_roundtrip,
-    clean_rules, clean_rules_strict, dedup_transactions, reject_reasons, rejected_rows,
+    clean_rules, clean_rules_strict, clean_rules_open_end, dedup_transactions, reject_reasons, rejected_rows,
     profile_nulls, profile_violations, profile_domains, profile_key_count,
     sample_rows, sample_with_replacement, sample_first_part, train_test_split, class_counts, oversample_minority, class_weights,
     index_scenario, onehot_scenario, assemble_features, minmax_scale, feature_pipeline,
-    train_baseline, train_known_model, train_summary, tune_candidate, model_reload_score, score_transactions,
+    train_baseline, train_known_model, train_summary, tune_candidate, model_reload_score, score_transactions, score_missing_features,
     confusion_matrix, label_confusion, classification_metrics, classification_metrics_swapped, hard_auc,
     score_auc, score_auc_exact, bootstrap_counts, bootstrap_aupr, bootstrap_aupr_swapped, bootstrap_by_cell,
     score_histogram, score_interval, ab_ttest, promotion_gate, metrics_long, kpi_error_rates,

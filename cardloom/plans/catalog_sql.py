@@ -296,6 +296,8 @@ FROM cleaned GROUP BY 1""",
     "message_roundtrip": f"WITH {_DIRTY} SELECT {_COLUMNS} FROM dirty",
     "clean_rules": f"WITH {_DIRTY} SELECT {_COLUMNS} FROM dirty WHERE {_PARITY}",
     "clean_rules_strict": f"WITH {_DIRTY} SELECT {_COLUMNS} FROM dirty WHERE {_STRICT}",
+    "clean_rules_open_end": f"""WITH {_DIRTY}
+SELECT * REPLACE (tx_datetime + INTERVAL 10 YEAR AS tx_datetime) FROM (SELECT {_COLUMNS} FROM dirty WHERE {_STRICT})""",
     "dedup_transactions": f"WITH {_CLEAN_PARITY} SELECT {_COLUMNS} FROM cleaned",
     "reject_reasons": _reasons_sql(),
     "rejected_rows": _rejected_sql(),
@@ -361,6 +363,13 @@ SELECT transaction_id, """ + ", ".join(
 SELECT transaction_id, tx_fraud, TRUE AS same_result FROM cleaned WHERE {_unit('split', 'transaction_id')} >= 0.8""",
     "score_transactions": f"""WITH {_SCORED}
 SELECT model, transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predicted""",
+    "score_missing_features": f"""WITH {_CLEAN_PARITY},
+known AS (SELECT *, CASE WHEN NOT isnan(tx_amount) THEN tx_amount END AS amount FROM cleaned),
+scored AS (SELECT transaction_id, tx_fraud, 1 / (1 + exp(-(amount * 0.03::DOUBLE + tx_time_seconds * 0.0000001::DOUBLE
+           + (-4.0)::DOUBLE))) AS score FROM known)
+SELECT transaction_id, tx_fraud, round(score, 6) AS score,
+       CASE WHEN score > 0.5 THEN 1.0::DOUBLE WHEN score <= 0.5 THEN 0.0::DOUBLE END AS prediction
+FROM scored""",
     "confusion_matrix": f"WITH {_CONFUSION} SELECT model, tp, fp, fn, tn FROM confusion",
     "label_confusion": f"""WITH confusion AS (SELECT 'labels' AS model, {_LABEL_CELLS} FROM labels),
 {_hard_areas('confusion', 'model')}

@@ -11,22 +11,27 @@ from cardloom.operators.cleaning import clean
 from cardloom.operators.profile import profile_counters, profile_domains, profile_key_count
 from cardloom.schema import transactions_schema
 from cardloom.session import build_session
-from cardloom.sources.feed import read_feed, read_feed_stream, read_rejected_lines
+from cardloom.sources.feed import read_feed, read_feed_stream, read_rejected_lines, read_rejects_stream
 from cardloom.sources.tables import read_table, stage, write_table
 from cardloom.streaming.jobs import clean_stream, drain_to_files
 
+DAYS = ("2018-01-01", None)  # the first day that passes, and the first that does no more, if any
+TX_DATE = "CAST(tx_datetime AS DATE) AS tx_date"
 
-def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True, wide_ids: bool = False,
-               glob: str = "*.txt", rejects: str | None = None, by_day: bool = False) -> DataFrame:
+
+def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True, wide_ids: bool = True,
+               glob: str = "*.txt", rejects: str | None = None, by_day: bool = False,
+               days: tuple[str, str | None] = DAYS) -> DataFrame:
     """Clean a feed into a Parquet table and return that table.
 
-    ``strict=False`` applies the rules of the known cleaned dataset. ``rejects`` also keeps the
-    malformed lines; ``by_day`` partitions the table by transaction date.
+    ``strict=False`` applies the rules of the known cleaned dataset, else ``days`` are the first day
+    and the day after the last, if any. ``rejects`` also keeps the malformed lines; ``by_day``
+    partitions the table by transaction date.
     """
     schema = transactions_schema(wide_ids)
-    rows = clean(read_feed(spark, feed, schema, glob), strict_rules() if strict else parity_rules())
+    rows = clean(read_feed(spark, feed, schema, glob), strict_rules(*days) if strict else parity_rules())
     if by_day:
-        rows = rows.selectExpr("*", "CAST(tx_datetime AS DATE) AS tx_date")
+        rows = rows.selectExpr("*", TX_DATE)
     write_table(rows, output, partition_by="tx_date" if by_day else None)
     if rejects:
         write_table(read_rejected_lines(spark, feed, schema, glob), rejects)
@@ -34,14 +39,22 @@ def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True,
 
 
 def clean_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str, strict: bool = True,
-                    wide_ids: bool = False, glob: str = "*.txt", watermark: str = "40 days") -> DataFrame:
+                    wide_ids: bool = True, glob: str = "*.txt", watermark: str = "40 days",
+                    rejects: str | None = None, by_day: bool = False, days: tuple[str, str | None] = DAYS) -> DataFrame:
     """Clean the files that arrived since the last run and append them to the table.
 
-    The checkpoint remembers the files read and the transactions seen within the watermark.
+    The checkpoint remembers the files read and the transactions that arrived within the
+    watermark. ``rejects`` gets the malformed lines of these files and, as JSON, the rows that
+    fail a rule, each with its reasons; it has a checkpoint of its own below the other.
     """
-    rows = read_feed_stream(spark, feed, transactions_schema(wide_ids), glob)
-    cleaned = clean_stream(rows, strict_rules() if strict else parity_rules(), watermark)
-    return drain_to_files(cleaned, output, checkpoint)
+    schema, rules = transactions_schema(wide_ids), strict_rules(*days) if strict else parity_rules()
+    cleaned = clean_stream(read_feed_stream(spark, feed, schema, glob), rules, watermark)
+    if by_day:
+        cleaned = cleaned.selectExpr("*", TX_DATE)
+    table = drain_to_files(cleaned, output, checkpoint, partition_by="tx_date" if by_day else None)
+    if rejects:
+        drain_to_files(read_rejects_stream(spark, feed, rules, schema, glob), rejects, f"{checkpoint}/rejects")
+    return table
 
 
 def profile(rows: DataFrame) -> dict[str, DataFrame]:
@@ -65,20 +78,24 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--output", required=True)
     args.add_argument("--rejects")
     args.add_argument("--parity-rules", action="store_true")
-    args.add_argument("--wide-ids", action="store_true")
+    args.add_argument("--narrow-ids", action="store_true", help="ids are INT; larger ones are malformed")
+    args.add_argument("--first-day", default=DAYS[0])
+    args.add_argument("--end-day", help="reject transactions from this day on")
+    args.add_argument("--watermark", default="40 days", help="how long copies of a transaction are recognised")
     args.add_argument("--by-day", action="store_true")
     args.add_argument("--checkpoint", help="clean only files that are new since the last run with this folder")
-    args.add_argument("--profile", action="store_true", help="print the profile of the feed")
+    args.add_argument("--profile", metavar="FOLDER", help="write the reports of the feed below this folder")
     opts = args.parse_args(argv)
-    spark = build_session("clean")
+    spark, days = build_session("clean"), (opts.first_day, opts.end_day)
     if opts.checkpoint:
-        clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, opts.wide_ids)
+        clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
+                        watermark=opts.watermark, rejects=opts.rejects, by_day=opts.by_day, days=days)
     else:
-        clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, opts.wide_ids,
-                   rejects=opts.rejects, by_day=opts.by_day)
+        clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, not opts.narrow_ids,
+                   rejects=opts.rejects, by_day=opts.by_day, days=days)
     if opts.profile:
-        for report in profile(read_feed(spark, opts.feed, transactions_schema(opts.wide_ids))).values():
-            report.show(truncate=False)
+        for name, report in profile(read_feed(spark, opts.feed, transactions_schema(not opts.narrow_ids))).items():
+            write_table(report, f"{opts.profile}/{name}")
     spark.stop()
 
 

@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from cardloom.functions.rules import strict_rules
 from cardloom.operators.modelling import load_model, score_rows
 from cardloom.session import build_session, use_scalable_state
 from cardloom.sources.messages import read_stream, stream_writer
@@ -16,11 +17,11 @@ from cardloom.streaming.jobs import clean_stream
 def start(spark: SparkSession, model_path: str, source_format: str, sink_format: str, checkpoint: str,
           source: str | None = None, sink: str | None = None, source_options: dict[str, str] | None = None,
           sink_options: dict[str, str] | None = None, watermark: str = "40 days",
-          every: str | None = None) -> StreamingQuery:
+          every: str | None = None, first_day: str = "2018-01-01", end_day: str | None = None) -> StreamingQuery:
     """Start scoring. Without ``every``, the input at hand is processed and the query stops."""
     use_scalable_state(spark)
     rows = read_stream(spark, source_format, path=source, options=source_options)
-    scored = score_rows(clean_stream(rows, watermark=watermark), load_model(model_path), keep=rows.columns)
+    scored = score_rows(clean_stream(rows, strict_rules(first_day, end_day), watermark), load_model(model_path), keep=rows.columns)
     writer = stream_writer(scored, sink_format, checkpoint, sink, sink_options)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
@@ -41,11 +42,14 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
     args.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
     args.add_argument("--watermark", default="40 days")
+    args.add_argument("--first-day", default="2018-01-01")
+    args.add_argument("--end-day", help="leave out transactions from this day on")
     args.add_argument("--every", help="trigger interval; without it, stop after the input at hand")
     opts = args.parse_args(argv)
     spark = build_session("stream")
     start(spark, opts.model, opts.source_format, opts.sink_format, opts.checkpoint, opts.source, opts.sink,
-          _options(opts.source_option), _options(opts.sink_option), opts.watermark, opts.every).awaitTermination()
+          _options(opts.source_option), _options(opts.sink_option), opts.watermark, opts.every,
+          opts.first_day, opts.end_day).awaitTermination()
 
 
 if __name__ == "__main__":

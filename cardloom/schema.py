@@ -28,10 +28,10 @@ SCENARIO = "tx_fraud_scenario"
 ID_COLUMNS = (KEY, "customer_id", "terminal_id")
 
 
-def transactions_schema(wide_ids: bool = False) -> T.StructType:
+def transactions_schema(wide_ids: bool = True) -> T.StructType:
     """Schema of the transactions table.
 
-    ``wide_ids`` stores the three id columns as BIGINT, needed once ids pass 2^31.
+    The three id columns are BIGINT, or INT without ``wide_ids``; an id beyond 2^31 is then malformed.
     """
     schema = T.StructType()
     for name, data_type in FIELD_TYPES.items():

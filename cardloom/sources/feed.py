@@ -8,9 +8,12 @@ the verdict on a line is then the same whatever the query selects afterwards.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, types as T
 from pyspark.sql.streaming import DataStreamReader
 
+from cardloom.functions.rules import Rule, failing_names
 from cardloom.schema import transactions_schema
 
 CORRUPT = "_malformed_line"
@@ -75,6 +78,26 @@ def read_rejected_lines(
     return rows.filter(f"{CORRUPT} IS NOT NULL AND {_reads_every_column(schema)}").selectExpr(f"{CORRUPT} AS line")
 
 
+def read_rejects_stream(
+    spark: SparkSession,
+    path: str,
+    rules: Sequence[Rule],
+    schema: T.StructType | None = None,
+    glob: str = "*.txt",
+    comment: str = "#",
+) -> DataFrame:
+    """What cleaning the stream leaves out: ``(line, reasons)``.
+
+    A malformed line has the reason ``malformed``; a row that fails rules is given as JSON with their names.
+    """
+    schema = schema or transactions_schema()
+    rows = _scan(spark.readStream, path, schema, glob, comment).filter(_reads_every_column(schema))
+    return rows.selectExpr(
+        f"coalesce({CORRUPT}, to_json(struct({', '.join(schema.names)}))) AS line",
+        f"CASE WHEN {CORRUPT} IS NOT NULL THEN array('malformed') ELSE {failing_names(rules)} END AS reasons",
+    ).filter("size(reasons) > 0")
+
+
 def write_feed_lines(lines: DataFrame, path: str) -> None:
     """Write a one-column DataFrame of lines as ``*.txt`` feed files."""
     lines.write.mode("overwrite").text(path)

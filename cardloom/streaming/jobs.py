@@ -17,6 +17,8 @@ from cardloom.functions.rules import Rule, all_pass, strict_rules
 from cardloom.schema import EVENT_TIME, KEY, LABEL
 from cardloom.session import use_scalable_state
 
+ARRIVED = "_arrived"
+
 
 def clean_stream(
     rows: DataFrame,
@@ -28,21 +30,21 @@ def clean_stream(
     """Rule filter and de-duplication of newly arrived rows.
 
     Copies of a transaction are recognised as long as they arrive within the watermark, which
-    also bounds the state. The copies of one transaction may fill a large part of a batch and
-    would then all land in one task; ``combine`` thins them out before the shuffle.
+    also bounds the state. The watermark follows the clock of arrival, not the transactions'
+    own times: a wrong date in one row must not make all others late. Across batches the copy
+    that arrives first stays. The copies of one transaction may fill a large part of a batch and
+    would then all land in one task; ``combine`` thins them out before the shuffle, and keeps the
+    earliest of those it sees together.
     """
     passed = rows.filter(all_pass(rules or strict_rules()))
     if combine:
-        passed = passed.mapInArrow(_earliest_and_latest(key), passed.schema)
-    return passed.withWatermark(EVENT_TIME, watermark).dropDuplicatesWithinWatermark([key])
-
+        passed = passed.mapInArrow(_earliest(key), passed.schema)
+    arrived = passed.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, watermark)
+    return arrived.dropDuplicatesWithinWatermark([key]).drop(ARRIVED)
 
-def _earliest_and_latest(key: str):
-    """Keep at most two rows per key of each Arrow batch.
 
-    The earliest is the one to keep, but it may be later than the watermark allows; the
-    latest is then still in time if any of the copies is.
-    """
+def _earliest(key: str):
+    """Keep one row per key of each Arrow batch: the earliest."""
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,9 +53,8 @@ def _earliest_and_latest(key: str):
                 continue
             ordered = batch.take(pc.sort_indices(batch, [(EVENT_TIME, "ascending")]))
             places = pa.table({"key": ordered.column(key), "place": pa.array(range(batch.num_rows))})
-            ends = places.group_by("key").aggregate([("place", "min"), ("place", "max")])
-            kept = pa.chunked_array([*ends["place_min"].chunks, *ends["place_max"].chunks])
-            yield ordered.take(pc.unique(kept).sort())
+            firsts = places.group_by("key").aggregate([("place", "min")])["place_min"]
+            yield ordered.take(pc.unique(firsts).sort())
 
     return thin
 
@@ -83,11 +84,11 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def drain_to_files(rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
+def drain_to_files(rows: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> DataFrame:
     """Run a stream over the available input into a Parquet table and return that table."""
     use_scalable_state(rows.sparkSession)
-    run_available(
-        rows.writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
-    )
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    run_available(writer.option("checkpointLocation", checkpoint))
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -26,7 +26,8 @@ def test_parity_keeps_nan_and_far_years_strict_does_not(make_transactions):
         return {r.transaction_id for r in apply_rules(rows, rules).collect()}
 
     assert ids(parity_rules()) == {1, 2, 3, None, 8}
-    assert ids(strict_rules()) == {1}
+    assert ids(strict_rules(end_day="2025-01-01")) == {1}
+    assert ids(strict_rules()) == {1, 3}
 
 
 def test_year_limits(make_transactions):
@@ -36,7 +37,7 @@ def test_year_limits(make_transactions):
         {"transaction_id": 3, "tx_datetime": datetime(2024, 12, 31, 23, 59, 59)},
         {"transaction_id": 4, "tx_datetime": datetime(2025, 1, 1)},
     )
-    assert {r.transaction_id for r in apply_rules(rows, strict_rules()).collect()} == {2, 3}
+    assert {r.transaction_id for r in apply_rules(rows, strict_rules(end_day="2025-01-01")).collect()} == {2, 3}
 
 
 def test_every_rejected_row_has_a_reason(make_transactions):
@@ -96,7 +97,7 @@ def test_key_counts(spark):
 def test_strict_rules_reach_the_parquet_scan(spark, make_transactions, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
     make_transactions({}).write.parquet(str(tmp_path / "t"))
-    filtered = apply_rules(spark.read.parquet(str(tmp_path / "t")), strict_rules()).select("transaction_id")
+    filtered = apply_rules(spark.read.parquet(str(tmp_path / "t")), strict_rules(end_day="2025-01-01")).select("transaction_id")
     plan = filtered._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters"):]
     for part in ("GreaterThanOrEqual(tx_datetime", "LessThan(tx_datetime", "GreaterThanOrEqual(customer_id,0)",

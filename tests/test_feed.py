@@ -64,13 +64,15 @@ def test_parity_rules_on_the_edge_feed(spark, feed):
 
 
 def test_strict_rules_on_the_edge_feed(spark, feed):
-    kept = clean(read_feed(spark, feed), strict_rules()).collect()
+    kept = clean(read_feed(spark, feed), strict_rules(end_day="2025-01-01")).collect()
     assert sorted(r.transaction_id for r in kept) == [1, 11]
+    open_end = clean(read_feed(spark, feed), strict_rules()).collect()
+    assert sorted(r.transaction_id for r in open_end) == [1, 11, 15]
     assert {r.customer_id for r in kept if r.transaction_id == 1} == {0}  # the earlier of the two
 
 
 def test_schema_is_as_declared(spark, feed):
-    assert [t for _, t in read_feed(spark, feed).dtypes] == ["int", "timestamp", "int", "int", "double"] + ["int"] * 4
+    assert [t for _, t in read_feed(spark, feed).dtypes] == ["bigint", "timestamp", "bigint", "bigint", "double"] + ["int"] * 4
 
 
 def test_clean_job_writes_table_and_rejects(spark, feed, tmp_path):
@@ -78,12 +80,13 @@ def test_clean_job_writes_table_and_rejects(spark, feed, tmp_path):
     table = clean_feed(spark, feed, out, strict=False, rejects=bad)
     assert table.count() == 7
     assert read_table(spark, bad).count() == 5
-    assert clean_feed(spark, feed, out, strict=True).count() == 2  # overwritten, not appended
+    assert clean_feed(spark, feed, out, strict=True).count() == 3  # overwritten, not appended
+    assert clean_feed(spark, feed, out, days=("2018-01-01", "2025-01-01")).count() == 2
 
 
 def test_clean_job_by_day(spark, feed, tmp_path):
     table = clean_feed(spark, feed, str(tmp_path / "clean"), by_day=True)
-    assert [str(r.tx_date) for r in table.select("tx_date").distinct().collect()] == ["2019-08-22"]
+    assert {str(r.tx_date) for r in table.select("tx_date").distinct().collect()} == {"2019-08-22", "2031-08-22"}
 
 
 def test_new_files_are_appended(spark, feed, tmp_path):
@@ -91,12 +94,12 @@ def test_new_files_are_appended(spark, feed, tmp_path):
         table = clean_new_files(spark, feed, str(tmp_path / "out"), str(tmp_path / "state"))
         return sorted(r.transaction_id for r in table.collect())
 
-    assert drain() == [1, 11]
+    assert drain() == [1, 11, 15]
     (tmp_path / "feed" / "c.txt").write_text(
         "11,2019-08-22 06:51:03,1,5,0.0,0,63,1,3\n20,2019-08-22 06:51:03,1,5,0.0,0,63,0,0\nbroken\n"
     )
-    assert drain() == [1, 11, 20]  # 11 was seen before
-    assert drain() == [1, 11, 20]
+    assert drain() == [1, 11, 15, 20]  # 11 was seen before
+    assert drain() == [1, 11, 15, 20]
 
 
 def test_empty_feed(spark, tmp_path):
@@ -126,4 +129,4 @@ def test_profile_of_the_edge_feed(spark, feed):
     domains = {(r.column, r.value): r.rows for r in reports["domains"].collect()}
     assert domains[("tx_fraud", 2)] == 1 and domains[("tx_fraud_scenario", 4)] == 1
     reasons = {r.reason: r.rows for r in reports["reject_reasons"].collect()}
-    assert reasons["transaction_id"] == 2 and reasons["tx_datetime"] == 3 and reasons["tx_time_days"] == 1
+    assert reasons["transaction_id"] == 2 and reasons["tx_datetime"] == 2 and reasons["tx_time_days"] == 1

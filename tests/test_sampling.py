@@ -66,6 +66,11 @@ def test_poisson_draw(spark, mean):
     assert got[1] == pytest.approx(mean, rel=0.07)
 
 
+def test_poisson_table_of_a_large_mean_ends():
+    table = poisson_cdf(5000.0)
+    assert table[-1] == pytest.approx(1) and table[5000] == pytest.approx(0.5, abs=0.01) and len(table) < 6000
+
+
 def test_split_is_a_partition_of_the_rows(spark):
     rows = keys(spark)
     parts = split_rows(rows, (0.8, 0.2))

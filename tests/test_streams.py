@@ -63,13 +63,14 @@ def test_restart_goes_on_where_it_stopped(folder, tmp_path):
     assert sorted(r.transaction_id for r in drain().collect()) == [1, 2, 3]
 
 
-def test_rows_later_than_the_watermark_are_dropped(folder, tmp_path):
-    folder.add(tx(1, 100))
-    folder.add(tx(4, 100))  # a batch judges lateness by the watermark before its predecessor
-    folder.add(tx(2, 1), tx(3, 1), tx(3, 95), tx(3, 50))  # 99 days late, one copy of 3 only 5 days
-    rows = clean_stream(folder.stream(), watermark="10 days")
-    out = drain_to_files(rows, str(tmp_path / "out"), str(tmp_path / "state"))
-    assert sorted(r.transaction_id for r in out.collect()) == [1, 3, 4]
+def test_a_wrong_date_costs_no_other_row(folder, tmp_path):
+    def drain():
+        return drain_to_files(clean_stream(folder.stream()), str(tmp_path / "out"), str(tmp_path / "state"))
+
+    folder.add(tx(1), tx(99, 365 * 7))  # seven years ahead, which the rules permit
+    assert drain().count() == 2
+    folder.add(*[tx(number, 1) for number in range(2, 12)], tx(1, 2))
+    assert sorted(r.transaction_id for r in drain().collect()) == [*range(1, 12), 99]
 
 
 def test_windows_are_emitted_once_closed(folder, tmp_path):
@@ -89,6 +90,37 @@ def test_linear_scores(make_transactions):
     assert got[0].score == 0.5
 
 
+def test_rows_without_a_feature_come_back_unscored(spark, make_transactions):
+    from cardloom.operators.modelling import fit_scorer
+
+    train = make_transactions(*[tx(i, tx_amount=float(i), tx_time_seconds=i, tx_time_days=i % 7, tx_fraud=int(i > 20)) for i in range(40)])
+    rows = make_transactions(tx(1), tx(2, tx_amount=None), tx(3, tx_amount=float("nan")), tx(4, tx_time_days=None))
+    fitted = fit_scorer(train, regParam=0.1, maxIter=5)
+    for model, none in ((fitted, {2, 3, 4}), (LinearModel({"tx_amount": 1.0}, -5.0), {2, 3})):
+        got = score_rows(rows, model, keep=["transaction_id"]).collect()
+        assert {r.transaction_id for r in got} == {1, 2, 3, 4}
+        assert {r.transaction_id for r in got if r.score is None and r.prediction is None} == none
+
+
+def test_rejects_and_days_of_new_files(spark, tmp_path):
+    from cardloom.plans.clean import clean_new_files
+
+    feed, places = tmp_path / "feed", [str(tmp_path / name) for name in ("out", "state", "bad")]
+    feed.mkdir()
+    lines = ["3000000000,2024-01-01 00:00:00,1,5,3.0,4,4,1,1", "no line", "2,2024-01-02 00:00:00,-1,5,3.0,4,4,1,1"]
+
+    def run():
+        return clean_new_files(spark, str(feed), places[0], places[1], rejects=places[2], by_day=True)
+
+    (feed / "a.txt").write_text("\n".join(lines))
+    assert [r.transaction_id for r in run().collect()] == [3000000000]
+    (feed / "b.txt").write_text("4,2026-01-01 00:00:00,1,0,3.0,4,4,1,1")
+    run()
+    bad = {tuple(r.reasons): r.line for r in spark.read.parquet(places[2]).collect()}
+    assert set(bad) == {("malformed",), ("customer_id",), ("terminal_id",)} and bad[("malformed",)] == "no line"
+    assert (tmp_path / "out" / "tx_date=2024-01-01").is_dir()
+
+
 def test_messages_round_trip(make_transactions):
     rows = make_transactions(tx(1, tx_datetime=datetime(2024, 1, 1, 1, 2, 3, 456789)), tx(2, tx_amount=None),
                              tx(3, tx_amount=1e-9))
