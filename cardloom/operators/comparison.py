@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions.hashing import bucket_of, drawn_once, poisson_draw, unit_uniform
-from cardloom.functions.stats import t_critical, t_two_sided_p
+from cardloom.functions.stats import t_critical, t_critical_large, t_two_sided_p
 from cardloom.operators.evaluation import CELLS, confusion_counts, hard_areas, swap_roles
 from cardloom.schema import KEY, LABEL
 
@@ -73,12 +73,19 @@ def sample_scores(counts: DataFrame, swapped: bool = False) -> DataFrame:
 
 
 def score_intervals(scores: DataFrame, confidence: float = CONFIDENCE, replicates: int = REPLICATES) -> DataFrame:
-    """Confidence interval of the mean score of each model, from Student's t."""
+    """Confidence interval of the mean score of each model, from Student's t.
+
+    Up to ``replicates`` samples the limits are exact, beyond that an expansion in the number of samples.
+    """
     limits = ", ".join(f"{t_critical(confidence, freedom)!r}D" for freedom in range(1, replicates))
     stats = scores.groupBy(MODEL).agg(
         F.expr("count(score) AS samples"), F.expr("avg(score) AS mean"), F.expr("stddev_pop(score) AS spread")
     )
-    half = f"get(array({limits}), CAST(samples AS INT) - 2) * spread / sqrt(CAST(samples AS DOUBLE))"
+    limit = (
+        f"CASE WHEN samples <= {replicates} THEN get(array({limits}), CAST(samples AS INT) - 2) "
+        f"ELSE {t_critical_large(confidence, 'samples - 1')} END"
+    )
+    half = f"{limit} * spread / sqrt(CAST(samples AS DOUBLE))"
     return stats.selectExpr(MODEL, "samples", "mean", f"{half} AS half").selectExpr(
         MODEL, "samples", "mean", "mean - half AS low", "mean + half AS high"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,9 +11,10 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cardloom.functions.hashing import unit_uniform
 from cardloom.functions.scoring import LinearModel
 from cardloom.operators.features import FEATURES, NUMERIC_FEATURES, feature_stages, fit_features
 from cardloom.schema import KEY, LABEL
@@ -122,12 +124,16 @@ def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = Fals
          keep_sub_models: bool = False) -> Tuned:
     """Search the grid on one train/validation split by area under the precision-recall curve.
 
-    The features are fitted and applied once, and only label, weight and vector are staged;
-    every fit then reads that narrow table. The models that lose are dropped unless asked for.
+    The split is by a hash of the transaction, so it does not depend on partitions, and copies of
+    a row stay on one side. The fits are weighted; the area counts each validation row once.
+    The features are fitted and applied once, and only label, weight, vector and side are
+    staged; every fit then reads that narrow table. The best point is fitted again on all rows.
+    The models that lose are dropped unless asked for.
     """
     features = fit_features(train, with_scenario, on_unseen)
     columns = [LABEL, FEATURES, *([weight] if weight else [])]
-    prepared = stage(features.transform(train).select(*columns), "tuning")
+    side = f"{unit_uniform(f'tune-{seed}', KEY)} < {TRAIN_RATIO!r}D AS _fit"
+    prepared = stage(features.transform(train).selectExpr(*columns, side), "tuning")
     lr = base or classifier(weight)
     grid = (
         ParamGridBuilder()
@@ -137,23 +143,31 @@ def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = Fals
         .build()
     )
     evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderPR")
-    search = TrainValidationSplit(
-        estimator=lr, estimatorParamMaps=grid, evaluator=evaluator,
-        trainRatio=TRAIN_RATIO, parallelism=parallelism, seed=seed, collectSubModels=keep_sub_models,
-    )
-    found = search.fit(prepared)
-    best = max(range(len(grid)), key=found.validationMetrics.__getitem__)
+    fits, kept = prepared.where("_fit"), prepared.where("NOT _fit")
+    models: list = [None] * len(grid)
+    areas = [0.0] * len(grid)
+
+    def measure(point: tuple) -> None:
+        at, model = point
+        areas[at] = evaluator.evaluate(model.transform(kept))
+        models[at] = model if keep_sub_models else None
+
+    todo = lr.fitMultiple(fits, grid)
+    with ThreadPool(min(parallelism, len(grid))) as pool:  # each thread takes the next point and fits it
+        for _ in pool.imap_unordered(lambda _: measure(next(todo)), range(len(grid))):
+            pass
+    best = max(range(len(grid)), key=areas.__getitem__)
     rows = [
         (i, point[lr.regParam], point[lr.fitIntercept], point[lr.elasticNetParam],
-         float(found.validationMetrics[i]), i == best)
+         float(areas[i]), i == best)
         for i, point in enumerate(grid)
     ]
     candidates = train.sparkSession.createDataFrame(
         rows, "candidate INT, reg_param DOUBLE, fit_intercept BOOLEAN, elastic_net DOUBLE, "
               "area_under_pr DOUBLE, is_best BOOLEAN",
     )
-    sub_models = found.subModels if keep_sub_models else None
-    return Tuned(PipelineModel([*features.stages, found.bestModel]), candidates, sub_models)
+    chosen = lr.copy(grid[best]).fit(prepared)
+    return Tuned(PipelineModel([*features.stages, chosen]), candidates, models if keep_sub_models else None)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

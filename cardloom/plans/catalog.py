@@ -32,7 +32,7 @@ from cardloom.sources.events import feed_lines, load_transactions, stream_transa
 from cardloom.sources.feed import read_feed, read_rejected_lines, write_feed_lines
 from cardloom.sources.messages import decode_messages, encode_messages
 from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import clean_stream, drain_to_files
+from cardloom.streaming.jobs import clean_stream, drain_to_files, window_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -439,6 +439,11 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(closed, round_all=True)
 
 
+def window_metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same metrics of a table, in which no window is open."""
+    return _present(window_metrics(score_rows(_cleaned(spark, sf_dir), CANDIDATE)), round_all=True)
+
+
 _QUERIES: tuple[Query, ...] = (
     clean_counts, csv_scan, csv_rejects, parquet_roundtrip, partitioned_roundtrip, message_roundtrip,
     clean_rules, clean_rules_strict, clean_rules_open_end, dedup_transactions, reject_reasons, rejected_rows,
@@ -450,6 +455,7 @@ _QUERIES: tuple[Query, ...] = (
     score_auc, score_auc_exact, bootstrap_counts, bootstrap_aupr, bootstrap_aupr_swapped, bootstrap_by_cell,
     score_histogram, score_interval, ab_ttest, promotion_gate, metrics_long, kpi_error_rates,
     monthly_missed_loss, validate_models, stream_clean, stream_clean_feed, stream_score, stream_score_model, stream_window_metrics,
+    window_metrics_all,
 )
 
 

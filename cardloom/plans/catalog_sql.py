@@ -77,6 +77,18 @@ scored AS (
 ),
 predicted AS (SELECT *, CASE WHEN score > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM scored)"""
 
+_WINDOWS = f"""{_SCORED},
+windows AS (
+    SELECT date_trunc('day', tx_datetime)::TIMESTAMP AS window_start,
+           date_trunc('day', tx_datetime)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+           count(*) AS rows, count(*) FILTER (WHERE prediction = 1) AS predicted_fraud,
+           count(*) FILTER (WHERE tx_fraud = 1) AS known_fraud, avg(score) AS mean_score
+    FROM predicted WHERE model = 'candidate' GROUP BY 1, 2
+)"""
+_WINDOW_COLUMNS = """
+SELECT window_start, window_end, rows, predicted_fraud, known_fraud, round(mean_score, 6) AS mean_score,
+       round(predicted_fraud::DOUBLE / rows, 6) AS predicted_fraud_rate"""
+
 _CELLS = """count(*) FILTER (WHERE {y} = 1 AND {p} = 1) AS tp,
            count(*) FILTER (WHERE {y} = 0 AND {p} = 1) AS fp,
            count(*) FILTER (WHERE {y} = 1 AND {p} = 0) AS fn,
@@ -427,15 +439,7 @@ SELECT transaction_id, customer_id, terminal_id, tx_amount, tx_time_seconds, tx_
 FROM cleaned WHERE NOT {_BROKEN}""",
     "stream_score": f"""WITH {_SCORED}
 SELECT transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predicted WHERE model = 'candidate'""",
-    "stream_window_metrics": f"""WITH {_SCORED},
-windows AS (
-    SELECT date_trunc('day', tx_datetime)::TIMESTAMP AS window_start,
-           date_trunc('day', tx_datetime)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
-           count(*) AS rows, count(*) FILTER (WHERE prediction = 1) AS predicted_fraud,
-           count(*) FILTER (WHERE tx_fraud = 1) AS known_fraud, avg(score) AS mean_score
-    FROM predicted WHERE model = 'candidate' GROUP BY 1, 2
-)
-SELECT window_start, window_end, rows, predicted_fraud, known_fraud, round(mean_score, 6) AS mean_score,
-       round(predicted_fraud::DOUBLE / rows, 6) AS predicted_fraud_rate
-FROM windows WHERE window_end <= (SELECT max(tx_datetime) FROM cleaned) - INTERVAL 1 DAY""",
+    "window_metrics_all": f"WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows",
+    "stream_window_metrics": f"""WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows
+WHERE window_end <= (SELECT max(tx_datetime) FROM cleaned) - INTERVAL 1 DAY""",
 }

@@ -118,3 +118,14 @@ def test_swapped_scores_differ_and_histogram_is_complete(spark):
     histogram = score_histogram(sample_scores(counts)).collect()
     assert sum(r.samples for r in histogram) == 100
     assert all(0 <= r.bin < 20 for r in histogram)
+
+
+def test_intervals_of_many_samples(spark):
+    from cardloom.functions.stats import t_critical
+    from cardloom.operators.comparison import score_intervals
+
+    rows = spark.range(250).selectExpr("'m' AS model", "id AS replicate", "id / 250D AS score")
+    got = score_intervals(rows).first()
+    spread = rows.selectExpr("stddev_pop(score)").first()[0]
+    half = t_critical(0.95, 249) * spread / 250**0.5
+    assert got.samples == 250 and got.high - got.mean == pytest.approx(half, rel=1e-6)

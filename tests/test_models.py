@@ -154,3 +154,19 @@ def test_write_table_modes(spark, tmp_path):
     for mode, count in (("overwrite", 3), ("append", 6), ("overwrite", 3)):
         write_table(spark.range(3), path, mode=mode)
         assert read_table(spark, path).count() == count
+
+
+def test_tuning_does_not_depend_on_partitions(spark, cleaned):
+    from cardloom.operators.modelling import tune
+    from cardloom.operators.sampling import class_weights
+
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in (3, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            rows = class_weights(cleaned.repartition(partitions, "transaction_id"))
+            tuned = tune(rows, "class_weight", parallelism=4)
+            found.append([round(r.area_under_pr, 6) for r in tuned.candidates.orderBy("candidate").collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
