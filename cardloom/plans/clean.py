@@ -10,7 +10,7 @@ from cardloom.functions.rules import parity_rules, strict_rules
 from cardloom.operators.cleaning import clean
 from cardloom.operators.profile import profile_counters, profile_domains, profile_key_count
 from cardloom.schema import transactions_schema
-from cardloom.session import build_session
+from cardloom.session import job
 from cardloom.sources.feed import read_feed, read_feed_stream, read_rejected_lines, read_rejects_stream
 from cardloom.sources.tables import read_table, stage, write_table
 from cardloom.streaming.jobs import clean_stream, drain_to_files
@@ -86,17 +86,17 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--checkpoint", help="clean only files that are new since the last run with this folder")
     args.add_argument("--profile", metavar="FOLDER", help="write the reports of the feed below this folder")
     opts = args.parse_args(argv)
-    spark, days = build_session("clean"), (opts.first_day, opts.end_day)
-    if opts.checkpoint:
-        clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
-                        watermark=opts.watermark, rejects=opts.rejects, by_day=opts.by_day, days=days)
-    else:
-        clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, not opts.narrow_ids,
-                   rejects=opts.rejects, by_day=opts.by_day, days=days)
-    if opts.profile:
-        for name, report in profile(read_feed(spark, opts.feed, transactions_schema(not opts.narrow_ids))).items():
-            write_table(report, f"{opts.profile}/{name}")
-    spark.stop()
+    days = opts.first_day, opts.end_day
+    with job("clean") as spark:
+        if opts.checkpoint:
+            clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
+                            watermark=opts.watermark, rejects=opts.rejects, by_day=opts.by_day, days=days)
+        else:
+            clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, not opts.narrow_ids,
+                       rejects=opts.rejects, by_day=opts.by_day, days=days)
+        if opts.profile:
+            for name, report in profile(read_feed(spark, opts.feed, transactions_schema(not opts.narrow_ids))).items():
+                write_table(report, f"{opts.profile}/{name}")
 
 
 if __name__ == "__main__":

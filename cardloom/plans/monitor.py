@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.session import build_session
+from cardloom.session import job
 from cardloom.streaming.jobs import drain_to_files, window_metrics
 
 
@@ -26,9 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--window", default="1 day")
     args.add_argument("--watermark", default="1 day")
     opts = args.parse_args(argv)
-    spark = build_session("monitor")
-    monitor(spark, opts.scored, opts.output, opts.checkpoint, opts.window, opts.watermark)
-    spark.stop()
+    with job("monitor") as spark:
+        monitor(spark, opts.scored, opts.output, opts.checkpoint, opts.window, opts.watermark)
 
 
 if __name__ == "__main__":

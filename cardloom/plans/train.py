@@ -13,7 +13,7 @@ from cardloom.operators.features import fit_features
 from cardloom.operators.modelling import classifier, fit_scorer, param_rows, save_model, summary_rows
 from cardloom.operators.sampling import class_weights, oversample_minority, sample_rows, split_rows
 from cardloom.schema import KEY
-from cardloom.session import build_session
+from cardloom.session import job
 from cardloom.sources.tables import read_table, stage, write_table
 
 WEIGHT = "class_weight"
@@ -108,10 +108,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--fraction", type=float, default=1.0)
     args.add_argument("--known-model", action="store_true", help="repeat the known order of steps")
     opts = args.parse_args(argv)
-    spark = build_session("train")
-    options = known_model_options() if opts.known_model else TrainOptions(fraction=opts.fraction)
-    run(spark, opts.cleaned, opts.model, opts.metrics, opts.params, opts.run, options)
-    spark.stop()
+    with job("train") as spark:
+        options = known_model_options() if opts.known_model else TrainOptions(fraction=opts.fraction)
+        run(spark, opts.cleaned, opts.model, opts.metrics, opts.params, opts.run, options)
 
 
 if __name__ == "__main__":

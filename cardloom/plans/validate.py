@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,7 +16,7 @@ from cardloom.operators.comparison import (
 from cardloom.operators.evaluation import classification_metrics, confusion_counts, hard_areas, metrics_long
 from cardloom.operators.modelling import fit_scorer, param_rows, save_model, score_with_all, tune
 from cardloom.plans.train import WEIGHT, TrainOptions, prepare
-from cardloom.session import build_session
+from cardloom.session import job
 from cardloom.sources.tables import read_table, stage, write_table
 
 BASELINE, CANDIDATE = "baseline", "candidate"
@@ -45,11 +47,22 @@ def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), paralle
 
 
 def run(spark: SparkSession, cleaned_path: str, output: str, options: TrainOptions = TrainOptions(),
-        strict_gate: bool = True) -> bool:
-    """Run the validation, write its tables below ``output`` and the accepted model as ``best_model``."""
+        strict_gate: bool = True, run_id: str | None = None) -> bool:
+    """Run the validation, write its tables below ``output`` and the accepted model as ``best_model``.
+
+    Metrics and parameters are appended; each row has the run's id and time.
+    """
     result = validate(read_table(spark, cleaned_path), options, strict_gate=strict_gate)
-    write_table(result.metrics, f"{output}/metrics", mode="append")
-    write_table(param_rows(result.candidate, CANDIDATE), f"{output}/params", mode="append")
+    run_id = run_id or uuid.uuid4().hex
+    started = datetime.now(timezone.utc)
+
+    def of_this_run(rows: DataFrame) -> DataFrame:
+        return rows.select("*", F.lit(run_id).alias("run_id"), F.lit(started).alias("run_time"))
+
+    decided = result.decision.selectExpr(f"'{CANDIDATE}' AS run", "'is_valid' AS metric", "CAST(is_valid AS DOUBLE) AS value")
+    write_table(of_this_run(result.metrics.unionByName(decided)), f"{output}/metrics", mode="append")
+    for model, name in ((result.baseline, BASELINE), (result.candidate, CANDIDATE)):
+        write_table(of_this_run(param_rows(model, name)), f"{output}/params", mode="append")
     write_table(score_intervals(result.scores), f"{output}/intervals")
     write_table(result.scores, f"{output}/scores")
     write_table(result.decision, f"{output}/decision")
@@ -68,10 +81,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--fraction", type=float, default=1.0)
     args.add_argument("--any-difference", action="store_true", help="accept any significant difference")
     opts = args.parse_args(argv)
-    spark = build_session("validate")
-    accepted = run(spark, opts.cleaned, opts.output, TrainOptions(fraction=opts.fraction), not opts.any_difference)
-    print("candidate accepted" if accepted else "candidate rejected")
-    spark.stop()
+    with job("validate") as spark:
+        accepted = run(spark, opts.cleaned, opts.output, TrainOptions(fraction=opts.fraction), not opts.any_difference)
+        print("candidate accepted" if accepted else "candidate rejected")
 
 
 if __name__ == "__main__":

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,10 +68,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def use_scalable_state(spark: SparkSession) -> SparkSession:
-    """Choose the RocksDB state store unless the session already names a provider."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    current = spark.conf.get(provider)
-    if current.endswith("HDFSBackedStateStoreProvider"):
+    """Choose the RocksDB state store unless the session already names a provider, whichever it is."""
+    if "spark.sql.streaming.stateStore.providerClass" not in spark.conf.getAll:
         for key, value in STREAM_STATE_CONF.items():
             spark.conf.set(key, value)
     return spark
@@ -86,7 +87,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):  # not local-cluster, whose executors are processes of their own
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="cardloom-"))
     return context.getCheckpointDir().rstrip("/")
@@ -95,6 +96,31 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder.
 
-    All paths of one application share a folder named after it, to be removed with it.
+    All paths of one application share a folder named after it; the jobs remove it when they end.
     """
-    return f"{shared_dir(spark)}/cardloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cardloom/{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def job(app_name: str) -> Iterator[SparkSession]:
+    """A session for one job. At its end, also a bad one, its scratch paths go and the session stops."""
+    spark = build_session(app_name)
+    try:
+        yield spark
+    finally:
+        remove_scratch(spark)
+        spark.stop()
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged; nothing it has staged may be read afterwards."""
+    try:
+        root = _scratch_root(spark)
+    except ValueError:  # no shared folder, so nothing was staged
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from cardloom.session import object_store_conf, scratch_path, shared_dir, use_scalable_state, use_utc
+from cardloom.session import _scratch_root, object_store_conf, remove_scratch, scratch_path, shared_dir, use_scalable_state, use_utc
+from cardloom.sources.tables import stage
 
 
 def test_object_store_settings_hold_only_what_is_given():
@@ -34,6 +36,17 @@ def test_a_cluster_must_name_the_shared_dir():
     assert shared_dir(session("yarn", checkpoint="hdfs:///ck/")) == "hdfs:///ck"
     assert shared_dir(session("yarn", configured="s3a://bucket/ck")) == "s3a://bucket/ck"
     assert "cardloom-" in shared_dir(session("local[4]"))
+    with pytest.raises(ValueError):
+        shared_dir(session("local-cluster[2,1,1024]"))
+
+
+def test_scratch_is_removed(spark):
+    kept = stage(spark.range(3), "gone")
+    folder = Path(_scratch_root(spark).removeprefix("file:"))
+    assert kept.count() == 3 and folder.is_dir()
+    remove_scratch(spark)
+    assert not folder.exists()
+    remove_scratch(spark)  # nothing there any more
 
 
 def test_session_settings(spark):
