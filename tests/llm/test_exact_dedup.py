@@ -38,7 +38,7 @@ def test_messy_rows(messy):
 
 
 @pytest.mark.parametrize("options", [
-    {"bucket_bytes": 50}, {"bucket_bytes": 40, "text_key": "octet_length({}) % 3"},
+    {"bucket_bytes": 20_000}, {"bucket_bytes": 8000, "text_key": "octet_length({}) % 3"},
 ])
 def test_small_buckets_and_colliding_keys_change_nothing(messy, documents, options):
     check(messy.union(documents), **options)

@@ -44,7 +44,7 @@ def expected(rows):
         yield key, text or "", ws.edited_text(text or "", following), following
 
 
-@pytest.mark.parametrize("range_bytes", [1 << 26, 100])
+@pytest.mark.parametrize("range_bytes", [1 << 26, 30_000])
 def test_every_row_meets_its_next_one(messy, documents, range_bytes):
     for docs in (messy, documents):
         rows = [tuple(row) for row in docs.collect()]
