@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.llm.common import quoted, shuffle_partitions, text_batches
 
 SAMPLES = 128
-TERMS = 16384  # terms whose draws are held at once
-CHARS = 1 << 20  # of texts fingerprinted together, so that they share the draws of their terms
+TERMS = 2048  # terms whose draws are held at once
+CHARS = 1 << 18  # of texts fingerprinted together, so that they share the draws of their terms
 RANGE_BYTES = 64 << 20
 MAX_RANGES = 1 << 16  # bounds sent to every task: eight bytes each
 _CHANCE = 1 / 256
@@ -31,9 +31,12 @@ _CHANCE = 1 / 256
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _uniform(hashes: np.ndarray, samples: int, which: int) -> np.ndarray:
@@ -53,14 +56,16 @@ class Draws:
         # Most terms occur once, and then t is 0.
         self.once = self.log_c + self.r * self.b - self.r
 
-    def log_a(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        value, level = self.once[terms], np.zeros((len(terms), self.r.shape[1]), np.float32)
+    def log_a(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ln a of each term; the place of each in t, or -1; t of the terms that occur more than once."""
+        value, place = self.once[terms], np.full(len(terms), -1)
         many = np.flatnonzero(weights > 1)
-        if len(many):
-            at = terms[many]
-            level[many] = t = np.floor(np.log(weights[many]).astype(np.float32)[:, None] / self.r[at] + self.b[at])
-            value[many] = self.log_c[at] - self.r[at] * (t - self.b[at]) - self.r[at]
-        return value, level
+        place[many] = np.arange(len(many))
+        at = terms[many]
+        r, b = self.r[at], self.b[at]
+        t = np.floor(np.log(weights[many]).astype(np.float32)[:, None] / r + b)
+        value[many] = self.log_c[at] - r * (t - b) - r
+        return value, place, t
 
 
 def signatures(texts: list[bytes], samples: int = SAMPLES) -> np.ndarray:
@@ -75,6 +80,7 @@ def signatures(texts: list[bytes], samples: int = SAMPLES) -> np.ndarray:
     weights = [np.fromiter(bag.values(), np.float64, len(bag)) for bag in bags]
     best = np.full((len(texts), samples), np.inf, np.float32)
     winner, level = np.zeros((len(texts), samples), np.uint64), np.zeros((len(texts), samples), np.float32)
+    columns = np.arange(samples)
     for start in range(0, len(vocabulary), TERMS):
         draws = Draws(hashes[start:start + TERMS], samples)
         for row, (terms, counts) in enumerate(zip(members, weights)):
@@ -82,12 +88,15 @@ def signatures(texts: list[bytes], samples: int = SAMPLES) -> np.ndarray:
             if not inside.any():
                 continue
             terms = terms[inside] - start
-            value, t = draws.log_a(terms, counts[inside])
-            first, columns = value.argmin(axis=0), np.arange(samples)
-            lower = value[first, columns] < best[row]
-            best[row, lower] = value[first, columns][lower]
-            winner[row, lower] = hashes[start:start + TERMS][terms[first]][lower]
-            level[row, lower] = t[first, columns][lower]
+            value, many, t = draws.log_a(terms, counts[inside])
+            first = value.argmin(axis=0)
+            least = value[first, columns]
+            lower = least < best[row]
+            np.copyto(best[row], least, where=lower)
+            np.copyto(winner[row], hashes[start + terms[first]], where=lower)
+            # A term that occurs once has level 0; the others' levels are in ``t`` by their place in ``many``.
+            levels = t[many[first], columns] if len(t) else np.float32(0)
+            np.copyto(level[row], np.where(many[first] >= 0, levels, np.float32(0)), where=lower)
     kept = winner + level.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (_mix(kept + np.arange(samples, dtype=np.uint64)[None, :]) >> np.uint64(56)).astype(np.uint8)
 
