@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardloom.llm.common import ascii_lower, quoted, stage, text_batches, unpacked
 
-WHITE = r"' \t\n\u000B\f\r'"
+WHITE = r"' \t\n\u000B\u000C\r'"  # SQL literals have no \f
 
 
 def hashed_lines(rows: DataFrame, least: int) -> DataFrame:

@@ -44,6 +44,17 @@ def test_given_and_messy_documents(documents, messy, make_docs, documents_needed
             expected(rows, documents_needed))
 
 
+def test_lines_that_begin_or_end_in_f_or_form_feeds(make_docs):
+    docs = make_docs(
+        "First line of text\nten chars f\na long list of\nfive and f", "first line of text\nTEN CHARS F\na long list o\nFIVE AND F",
+        "\x0cfirst line of text\x0c\nf at start\nfffffffffff\na long list oF\x0c", "F AT START\n \x0c f at start\x0c\nfffffffff\nffffffffffF",
+        "form\x0cfeed inside\n\x0cfour words\x0c", "formfeed inside\nfour words")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = dedup_lines(docs).collect()
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256, r.kept_text) for r in got) == Counter(expected(rows))
+    assert {r.doc_id: r.n_dropped for r in got} == {0: 0, 1: 3, 2: 2, 3: 3, 4: 0, 5: 1}
+
+
 def test_a_line_in_a_third_of_all_documents(make_docs):
     docs = make_docs(*[f"own line number {i}\n" + ("a very common line" if i % 3 == 0 else "") for i in range(300)])
     got = dedup_lines(docs).collect()
