@@ -10,6 +10,7 @@ one canonical form.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,24 +38,63 @@ PART_TURNS = 256  # a longer conversation is parsed in parts of so many turn num
 
 _MARKER = re.compile(r"\s*(?:[#*\[<|]+\s*)?([^\W\d_]{1,20})\s*(?:[*\]>|]+\s*)?(?::\s*|(?<=[\]>|])\s*$|(?<=[\]>|])\s+)")
 _ROLE_OF = {word: ROLES.index(role) for role, words in WORDS.items() for word in words.split()}
+_RANK = {word: rank for words in WORDS.values() for rank, word in enumerate(words.split())}
+
+
+def _speakers(found: list[re.Match | None]) -> tuple[dict[str, int], set[str]]:
+    """The words that mark speakers in a transcript, with their markers, and those of them that are surely no text.
+
+    Any line may begin like a marker ('Note: ...', 'Answer: ...'), so a word is judged by the
+    whole transcript: speakers take turns. Roles mark the speakers if a role's word is the first,
+    else the kind whose two commonest words take more turns. A role has one word: the one in most
+    runs of lines marked for that role, of equals the one named first in WORDS. Of names that take
+    turns (twice or more) two count, besides one that only opens the transcript. Where fewer than
+    two do so all count, and the third and later ones may still be text.
+    """
+    words = [match[1] for match in found if match]
+    cases = [word.islower() for word in words if word.lower() in _ROLE_OF]
+    named, roles, before, role_before, run = Counter(), Counter(), None, None, set()
+    for word in words:
+        role = _ROLE_OF.get(word.lower())
+        if role is None:
+            named[word] += word != before
+            before = word
+        elif word.islower() == cases[0]:
+            run = run if role == role_before else set()
+            roles[word.lower()] += word.lower() not in run
+            run.add(word.lower())
+            role_before = role
+    leading: dict[int, str] = {}
+    for word in sorted(roles, key=lambda word: (-roles[word], _RANK[word])):
+        leading.setdefault(_ROLE_OF[word], word)
+    by_role = {word: 1 + role for role, word in leading.items()}
+    first_is_name = bool(words) and words[0].lower() not in _ROLE_OF
+    if named and by_role and first_is_name and len(named) == len(by_role) == 1:
+        return by_role | {words[0]: 4}, {*by_role, words[0]}
+    ahead = sum(sorted((roles[word] for word in by_role), reverse=True)[:2]) - sum(n for _, n in named.most_common(2))
+    if by_role and (not first_is_name or ahead > 0 or len(named) < 2):
+        return by_role, set(by_role)
+    names = list(named)  # in order of appearance
+    often = sorted((name for name in names if named[name] > 1), key=lambda name: -named[name])[:2]
+    if len(often) == 2:
+        names = [name for name in names if name in often or name == names[0] and named[name] == 1]
+    return {name: 4 + min(2, at) for at, name in enumerate(names)}, set(names if len(often) == 2 else names[:2])
 
 
 def observe(lines: list[str]) -> tuple[np.ndarray, list[str]]:
     """The features of each line, a row of FEATURES each, and the lines without their markers."""
-    seen: dict[str, int] = {}
+    found = [_MARKER.match(line) for line in lines]
+    found = [match if match and (match[1].lower() in _ROLE_OF or match[1][0].isupper()) else None for match in found]
+    markers, sure = _speakers(found)
+    lower = next((match[1].islower() for match in found if match and match[1].lower() in _ROLE_OF), None)
     rows, bare = [], []
-    for at, line in enumerate(lines):
-        found, marker = _MARKER.match(line), 0
-        if found:
-            word = found[1]
-            if word.lower() in _ROLE_OF:
-                marker = 1 + _ROLE_OF[word.lower()]
-            elif word[0].isupper():
-                marker = 4 + min(2, seen.setdefault(word, len(seen)))
-            else:
-                found = None
-        bare.append(line[found.end():] if found else line)
-        size = sum(len(bare[-1]) > limit for limit in SIZES)
+    for at, (line, match) in enumerate(zip(lines, found)):
+        word = match[1] if match else ""
+        if word.lower() in _ROLE_OF:
+            word = word.lower() if word.islower() == lower else ""
+        marker = markers.get(word, 0)
+        size = sum(len(line) - (match.end() if marker else 0) > limit for limit in SIZES)
+        bare.append(line[match.end():] if marker and word in sure else line)
         rows.append((marker, size, int(line.rstrip().endswith("?")), int(at > 0 and not lines[at - 1].strip()), int(at == 0)))
     return np.array(rows, np.int64).reshape(len(lines), len(FEATURES)), bare
 
@@ -67,11 +107,13 @@ class ChatModel:
     follow: np.ndarray
     emit: tuple[np.ndarray, ...]
 
-    def decode(self, observed: np.ndarray) -> np.ndarray:
-        """The likeliest states, by Viterbi; of equally likely ones the first."""
+    def decode(self, observed: np.ndarray, opening: np.ndarray | None = None) -> np.ndarray:
+        """The likeliest states, by Viterbi; of equally likely ones the first. Lines of ``opening`` open a turn."""
         if not len(observed):
             return np.zeros(0, np.int64)
         scores = sum(table[:, observed[:, number]] for number, table in enumerate(self.emit)).T
+        if opening is not None:
+            scores = np.where(opening[:, None] & ~np.array([opens for _, opens in STATES]), -np.inf, scores)
         back = np.zeros(scores.shape, np.int64)
         best = self.start + scores[0]
         for line in range(1, len(scores)):
@@ -148,14 +190,19 @@ def write_transcript(turns: list[tuple[str | None, str | None]], style: int) ->
 
 
 def read_turns(transcript: str, model: ChatModel) -> list[tuple[str, str]]:
-    """Turns ``(role, text)`` of a transcript. A turn ends where a line opens one or the role changes."""
-    observed, bare = observe(transcript.split("\n"))
+    """Turns ``(role, text)`` of a transcript. A turn ends where a line opens one or the role changes.
+
+    A line with the marker of a sure speaker opens a turn, and only such a line loses its marker.
+    """
+    whole = transcript.split("\n")
+    observed, bare = observe(whole)
     turns: list[tuple[str, list[str]]] = []
-    for state, line in zip(model.decode(observed), bare):
+    opening = np.array([line != without for line, without in zip(whole, bare)])
+    for state, without in zip(model.decode(observed, opening), bare):
         role, opens = STATES[state]
         if opens or not turns or turns[-1][0] != role:
             turns.append((role, []))
-        turns[-1][1].append(line)
+        turns[-1][1].append(without)
     return [(role, "\n".join(lines).strip()) for role, lines in turns]
 
 

@@ -53,6 +53,24 @@ def test_marked_transcripts_round_trip(model, style):
     assert chat.read_turns(text, model) == given
 
 
+@pytest.mark.parametrize("style", range(6))
+def test_later_lines_that_look_like_markers_keep_their_text(model, style):
+    given = [
+        ("user", "Sum it up?\nNote: keep the receipt\nAnswer: in one line"), ("assistant", "Yes.\nTotal: 5 EUR\nAnswer: five\nmodel: gpt"),
+        ("user", "And then?\n[Hint] ask\n# Plan > go"), ("assistant", "Done.\nNote: keep it\nNote: and this"),
+        ("user", "Thanks a lot.\nResponse: none\nPlease go on?"), ("assistant", "Good.")]
+    if style == 5:
+        given = given[:3]  # the fourth turn has no marker there
+    assert chat.read_turns(chat.write_transcript(given, style)[0], model) == given
+
+
+def test_text_of_a_single_exchange_is_not_lost(model):
+    for style in range(5):
+        given = [("user", "Sum it up?"), ("assistant", "Yes.\nNote: keep the receipt\nAnswer: five")]
+        got = chat.read_turns(chat.write_transcript(given, style)[0], model)
+        assert "\n".join(text for _, text in got) == "\n".join(text for _, text in given)
+
+
 def test_rendering_marks_are_unambiguous():
     text = chat.render([("user", "say <|end|> now"), ("assistant", "no")])
     assert text.count("<|end|>") == 2 and text.startswith("<|user|>\nsay <end> now\n<|end|>\n<|assistant|>")
