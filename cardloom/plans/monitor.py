@@ -7,15 +7,31 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.session import job
-from cardloom.streaming.jobs import drain_to_files, window_metrics
+from cardloom.sources.tables import write_table
+from cardloom.streaming.jobs import drain_to_files, late_rows, misdated_rows, window_metrics
+
+ARRIVED = "_arrived"
 
 
 def monitor(spark: SparkSession, scored: str, output: str, checkpoint: str, window: str = "1 day",
             watermark: str = "1 day") -> DataFrame:
-    """Append the windows that closed since the last run and return the table of windows."""
-    schema = spark.read.parquet(scored).schema
-    rows = spark.readStream.schema(schema).parquet(scored)
-    return drain_to_files(window_metrics(rows, window, watermark), output, checkpoint)
+    """Append the windows that closed since the last run and return the table of windows.
+
+    Rows dated after the time at which their file was written, or without a date, are appended
+    to ``OUTPUT-misdated``; that time is the same in every run. ``OUTPUT-late`` has the number of
+    rows, by closed window, that came too late for it, counted anew by each run.
+    """
+    table = spark.read.parquet(scored)
+
+    def with_arrival(rows: DataFrame) -> DataFrame:
+        return rows.selectExpr("*", f"_metadata.file_modification_time AS {ARRIVED}")
+
+    rows = with_arrival(spark.readStream.schema(table.schema).parquet(scored))
+    windows = drain_to_files(window_metrics(rows, window, watermark, ARRIVED), output, checkpoint)
+    drain_to_files(misdated_rows(rows, ARRIVED), f"{output}-misdated", f"{checkpoint}/misdated")
+    late = late_rows(with_arrival(spark.read.schema(table.schema).parquet(scored)), windows, window, watermark, ARRIVED)
+    write_table(late, f"{output}-late")
+    return windows
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -59,8 +59,21 @@ def _earliest(key: str):
     return thin
 
 
-def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """Model metrics per tumbling window, emitted once the window is closed."""
+def misdated_rows(scored: DataFrame, arrived: str = "current_timestamp()") -> DataFrame:
+    """The rows that ``window_metrics`` leaves out of a stream: dated after their arrival, or without a date."""
+    return scored.filter(f"{EVENT_TIME} IS NULL OR {EVENT_TIME} > {arrived}")
+
+
+def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1 day",
+                   arrived: str = "current_timestamp()") -> DataFrame:
+    """Model metrics per tumbling window, emitted once the window is closed.
+
+    Of a stream, rows dated after ``arrived`` (SQL) do not come in: one of them would move the
+    watermark and make all true rows late. ``misdated_rows`` has them, ``late_rows`` counts
+    what the watermark leaves out.
+    """
+    if scored.isStreaming:
+        scored = scored.filter(f"{EVENT_TIME} <= {arrived}")
     counted = (
         scored.withWatermark(EVENT_TIME, watermark)
         .groupBy(F.window(EVENT_TIME, window).alias("w"))
@@ -77,6 +90,24 @@ def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1
     )
 
 
+def late_rows(scored: DataFrame, windows: DataFrame, window: str = "1 day", watermark: str = "1 day",
+              arrived: str = "current_timestamp()") -> DataFrame:
+    """``(window_start, window_end, late)``: rows of closed windows that came too late for ``windows``.
+
+    ``scored`` is the whole table behind the stream. A window is closed if it was emitted or ends
+    before the watermark of the newest row. One pass over the times of the table.
+    """
+    dated = scored.filter(f"{EVENT_TIME} <= {arrived}")
+    held = dated.groupBy(F.window(EVENT_TIME, window).alias("w")).agg(
+        F.expr("count(*) AS held"), F.expr(f"max({EVENT_TIME}) AS newest"))
+    newest = held.agg(F.max("newest").alias("top"))
+    emitted = windows.groupBy("window_start").agg(F.expr("sum(rows) AS emitted"))
+    compared = held.selectExpr("w.start AS window_start", "w.end AS window_end", "held").join(
+        emitted, "window_start", "left").crossJoin(newest)
+    return compared.where(f"emitted IS NOT NULL OR window_end <= top - INTERVAL {watermark}").selectExpr(
+        "window_start", "window_end", "held - coalesce(emitted, 0) AS late").where("late > 0")
+
+
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what has arrived since the last run, then stop."""
     query = writer.trigger(availableNow=True).start()

@@ -83,6 +83,24 @@ def test_windows_are_emitted_once_closed(folder, tmp_path):
     assert got == {1: (3, 2, 1), 2: (1, 1, 0)}  # day 4 is still open
 
 
+def test_a_wrong_date_makes_no_true_row_late_in_monitoring(folder, tmp_path, spark):
+    from cardloom.plans.monitor import monitor
+
+    model, scored, out = LinearModel({"tx_amount": 1.0}, -50.0), str(tmp_path / "scored"), str(tmp_path / "out")
+
+    def run(*rows):
+        score_rows(folder.make(*rows), model).coalesce(1).write.mode("append").parquet(scored)
+        windows = monitor(spark, scored, out, str(tmp_path / "state"))
+        return ({r.window_start.day: r.rows for r in windows.collect()},
+                {r.window_start.day: r.late for r in spark.read.parquet(f"{out}-late").collect()})
+
+    far = datetime.now() + timedelta(days=5 * 365)
+    assert run(tx(1, 0.1), tx(2, 0.2), tx(99, tx_datetime=far), tx(98, tx_datetime=None)) == ({}, {})
+    assert run(tx(3, 0.9), tx(4, 1.5), tx(5, 3.5)) == ({1: 3, 2: 1}, {})
+    assert run(tx(6, 0.5), tx(7, 1.1), tx(8, 1.2), tx(9, 3.6)) == ({1: 3, 2: 1}, {1: 1, 2: 2})
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{out}-misdated").collect()) == [98, 99]
+
+
 def test_linear_scores(make_transactions):
     rows = make_transactions(tx(1, tx_amount=50.0), tx(2, tx_amount=51.0), tx(3, tx_amount=None))
     got = score_rows(rows, LinearModel({"tx_amount": 1.0}, -50.0), keep=["transaction_id"]).collect()
