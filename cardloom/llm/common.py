@@ -6,13 +6,16 @@ column of any name may come along. A result column replaces an input column of i
 
 from __future__ import annotations
 
+import itertools
 import string
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardloom.sources.tables import stage
 
-__all__ = ["ascii_lower", "quoted", "shuffle_partitions", "stage", "text_batches", "unpacked", "word_count"]
+__all__ = ["ascii_lower", "by_key", "quoted", "shuffle_partitions", "stage", "text_batches", "unpacked", "word_count"]
 
 BATCH_ROWS = 1000
 
@@ -52,3 +55,25 @@ def unpacked(df: DataFrame, columns: list[str], **results: str) -> DataFrame:
     clash = {name.lower() for name in results}
     kept = [F.col("_row")[name].alias(name) for name in columns if name.lower() not in clash]
     return df.select(*kept, *(F.expr(sql).alias(name) for name, sql in results.items()))
+
+
+def by_key(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Sorted batches cut so that each piece holds all rows of its keys; a key's rows may span batches."""
+    rest: list[pd.DataFrame] = []
+    for batch in itertools.chain(batches, [None]):
+        if batch is None:
+            done = pd.concat(rest, ignore_index=True) if rest else None
+            rest = []
+        elif not len(batch):
+            continue
+        else:
+            last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1).to_numpy()
+            start = len(batch) if not last.all() else 0
+            if start:  # the last key starts behind the last row of another
+                start = int(len(last) - last[::-1].argmin())
+            done = pd.concat([*rest, batch.iloc[:start]], ignore_index=True) if start else None
+            rest = [batch.iloc[start:]] if start else [*rest, batch]
+            if start == 0 and len(rest) > 1 and (rest[-2][keys].iloc[-1] != batch[keys].iloc[0]).any():
+                done, rest = pd.concat(rest[:-1], ignore_index=True), rest[-1:]
+        if done is not None and len(done):
+            yield done

@@ -16,6 +16,7 @@ from cardloom.llm.line_dedup import dedup_lines
 from cardloom.llm.mixing import mix
 from cardloom.llm.packing import pack
 from cardloom.llm.simhash import near_duplicates
+from cardloom.llm.spelling import variants, vocabulary
 from cardloom.llm.token_counts import count_tokens
 from cardloom.llm.url_filter import Rule, judge_urls
 from cardloom.llm.weighted_sampling import fingerprints
@@ -95,6 +96,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN, fields)
 
 
+# Fixed: the contract deletes a letter of one run in 31, by the hash of document and run.
+_RUN_HASH = "crc32(concat(coalesce(CAST(_id AS STRING), ''), ':', _run))"
+DAMAGED_RUN = (f"CASE WHEN {_RUN_HASH} % 31 = 0 THEN concat(substring(_run, 1, CAST({_RUN_HASH} % length(_run) AS INT)), "
+               f"substring(_run, CAST({_RUN_HASH} % length(_run) AS INT) + 2)) ELSE _run END")
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return variants(vocabulary(docs, min_length=7, min_count=2, edit=DAMAGED_RUN), ratio=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_fingerprints": op2_fingerprints,
@@ -106,4 +118,5 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_spelling": op11_spelling,
 }
