@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardloom.llm.common import by_key, quoted, stage
 
-GROUPS = 16
+GROUPS = 32
 DEEPEST = 8  # levels in a key at most; a count takes a byte of it
 CROWDED = 1 << 15  # words and visitors of a key beyond which it is dealt by halves
 BLOCK = 1 << 16  # (node, word) states that a step of the search expands together
@@ -58,6 +58,14 @@ def vectors(words: list[str]) -> np.ndarray:
     return np.minimum(counts, 255).astype(np.uint8)
 
 
+def _ends(words: list[str]) -> np.ndarray:
+    """A row for each word: its length, its first three letters and its last three as numbers."""
+    packed = [(len(word), ord(word[0]) << 42 | ord(word[1]) << 21 | ord(word[2]),
+               ord(word[-3]) << 42 | ord(word[-2]) << 21 | ord(word[-1])) if len(word) > 2 else (len(word), 0, 0)
+              for word in words]
+    return np.array(packed, np.int64).reshape(-1, 3)
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether one inserted, deleted or replaced code point turns ``a`` into ``b``."""
     if len(a) > len(b):
@@ -175,10 +183,13 @@ def _near_in_keys(rows: pd.DataFrame, order: list[int]) -> list[tuple[str, str,
     where = rows[["key", "half"]]
     place = np.cumsum((where != where.shift()).any(axis=1).to_numpy())
     halves, counts = rows["half"].tolist(), vectors(words)[:, order]
-    stored = np.flatnonzero(home)
+    stored, ends = np.flatnonzero(home), _ends(words)
     found = []
     for inside, searching in _Trie(place[stored], counts[stored]).search(place, counts):
-        for a, b in zip(stored[inside].tolist(), searching.tolist()):
+        # One edit leaves the first half or the last as it is; most candidates fail this at three letters.
+        one_end, other_end = ends[stored[inside]], ends[searching]
+        alike = ((one_end == other_end)[:, 1:].any(axis=1)) | (one_end[:, 0] < 6) | (other_end[:, 0] < 6)
+        for a, b in zip(stored[inside[alike]].tolist(), searching[alike].tolist()):
             one, other = words[a], words[b]
             if home[b] and one >= other:  # two words of one key: once, and not with itself
                 continue
