@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.llm import chat, toxicity
+from cardloom.llm import chat, periodic_runs, toxicity
 from cardloom.llm.exact_dedup import exact_dedup
 from cardloom.llm.line_dedup import dedup_lines
 from cardloom.llm.mixing import mix
@@ -107,6 +107,18 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(vocabulary(docs, min_length=7, min_count=2, edit=DAMAGED_RUN), ratio=10)
 
 
+# Fixed: the contract repeats the words of one document in ten, by the hash of its id.
+_ID_HASH = "crc32(CAST(_id AS STRING))"
+REPEATED_WORDS = (
+    f"IF(_n > 0 AND {_ID_HASH} % 10 = 0, named_struct('from', ({_ID_HASH} DIV 10) % _n, 'period', "
+    f"1 + (_n - ({_ID_HASH} DIV 10) % _n) DIV (3 + ({_ID_HASH} DIV 10) % 8)), NULL)")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return periodic_runs.digest(periodic_runs.with_runs(docs, repeat=REPEATED_WORDS))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_fingerprints": op2_fingerprints,
@@ -119,4 +131,5 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_spelling": op11_spelling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
