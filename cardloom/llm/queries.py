@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.llm import chat, periodic_runs, toxicity
 from cardloom.llm.exact_dedup import exact_dedup
+from cardloom.llm.jaccard_join import jaccard_components
 from cardloom.llm.line_dedup import dedup_lines
 from cardloom.llm.mixing import mix
 from cardloom.llm.packing import pack
@@ -107,6 +108,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(vocabulary(docs, min_length=7, min_count=2, edit=DAMAGED_RUN), ratio=10)
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents", "doc_id", "text"), width=5, percent=80)
+
+
 # Fixed: the contract repeats the words of one document in ten, by the hash of its id.
 _ID_HASH = "crc32(CAST(_id AS STRING))"
 REPEATED_WORDS = (
@@ -131,5 +136,6 @@ QUERIES: dict[str, Query] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_spelling": op11_spelling,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_periodic_runs": op13_periodic_runs,
 }
