@@ -7,8 +7,9 @@ BUCKETS buckets of its hash: a table of fixed size, which sees the frequent ones
 
 1. Equal sets become one representative, so copies cost nothing further.
 2. Prefix tokens are shuffled; those with one representative only go.
-3. Anchor rounds: in each token's group every member meets one anchor only, which joins large groups of
-   near copies without comparing all pairs of them. Rounds go on while they find links.
+3. Anchor rounds, for tokens of many: each representative meets the anchor of one group only, and those
+   linked to their anchor leave the rounds. This joins large groups of near copies without comparing all
+   pairs of them. Rounds go on while they find many links.
 4. All pairs are due that share a token and are not connected yet. The length filter and the positional
    filter (at the first common token, what may follow must suffice) need sizes and places only.
 5. The suffix filter bounds the number of differing tokens from below by bit sketches: one bit for
@@ -135,26 +136,22 @@ def shared_prefixes(reps: DataFrame) -> DataFrame:
     return places.join(loads, "token")
 
 
-def _may_link(percent: int, a: str = "", b: str = "other_") -> str:
-    """SQL: the length filter and the positional filter."""
-    due = f"ceil({percent} * ({a}size + {b}size) / {100 + percent}D)"
-    return (f"100 * least({a}size, {b}size) >= {percent} * greatest({a}size, {b}size) "
-            f"AND least({a}size - {a}pos, {b}size - {b}pos) >= {due}")
+def anchor_pairs(crowded: DataFrame, percent: int, number: int, chunk: int = CHUNK) -> DataFrame:
+    """Candidates ``(a, b)``: representatives and the anchor of their group, one each, within the length limit.
 
-
-def anchor_pairs(members: DataFrame, percent: int, number: int, chunk: int = CHUNK) -> DataFrame:
-    """Candidates ``(a, b)``: each member of a token and the anchor of its chunk, unless they are connected.
-
-    The anchor is another one in each round. A group of any size is dealt to chunks, and its rows are
-    read as a stream.
+    Each representative goes to the group of one of its tokens, that of the smallest hash, so that near
+    copies tend to choose the same; the hash and the anchor are other ones in each round. A group of any
+    size is dealt to chunks, and its rows are read as a stream.
     """
-    dealt = members.selectExpr("*", f"pmod(xxhash64(rep, {number}, 'chunk'), ceil(load / {chunk}D)) AS chunk",
-                               f"xxhash64(rep, {number}) AS turn")
-    met = dealt.selectExpr("*", "first(struct(rep, size, pos, root)) OVER (PARTITION BY token, chunk ORDER BY turn, rep "
-                                "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor")
-    return met.where("root <> anchor.root").selectExpr(
-        "*", "anchor.rep AS other_rep", "anchor.size AS other_size", "anchor.pos AS other_pos",
-    ).where(_may_link(percent)).selectExpr("least(rep, other_rep) AS a", "greatest(rep, other_rep) AS b").distinct()
+    chosen = crowded.groupBy("rep", "size").agg(
+        F.expr(f"min(struct(xxhash64(token, {number}) AS hash, token, load)) AS pick"))
+    dealt = chosen.selectExpr("rep", "size", "pick.token AS token", f"xxhash64(rep, {number}) AS turn",
+                              f"pmod(xxhash64(rep, {number}, 'chunk'), ceil(pick.load / {chunk}D)) AS chunk")
+    met = dealt.selectExpr("rep", "size", "first(struct(rep, size)) OVER (PARTITION BY token, chunk ORDER BY turn, rep "
+                           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor")
+    return met.where(
+        f"rep <> anchor.rep AND 100 * least(size, anchor.size) >= {percent} * greatest(size, anchor.size)",
+    ).selectExpr("rep AS a", "anchor.rep AS b")
 
 
 def all_pairs(members: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame:
@@ -202,6 +199,7 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
         room = size + other_size - 2 * needed(size, other_size, percent)
         return pd.Series([least_difference(a, b) <= most for a, b, most in zip(one, other, room)], dtype=bool)
 
+    # Not for use in inferred filters: those would be worked out before the join that leaves most texts out.
     @F.pandas_udf("node binary, tokens binary")
     def sets(texts: pd.Series) -> pd.DataFrame:
         found = [shingles(text, width).tobytes() for text in texts]
@@ -223,7 +221,7 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
     close = stage(described.where(differ_little("a_bits", "b_bits", "a_size", "b_size")).select("a", "b"), "close-pairs")
     wanted = close.selectExpr("explode(array(a, b)) AS rep").distinct().join(reps.select("rep", "node", "source"), "rep")
     texts = docs.join(wanted.select("source").distinct(), F.expr("_id <=> source"), "left_semi")
-    found = texts.withColumn("_set", sets("_text")).select("_set.*").join(wanted.select("rep", "node"), "node")
+    found = texts.withColumn("_set", sets.asNondeterministic()("_text")).select("_set.*").join(wanted.select("rep", "node"), "node")
     tokens = stage(found.dropDuplicates(["rep"]).select("rep", "tokens"), "token-sets")
     both = close.join(side("a", tokens, "tokens"), "a").join(side("b", tokens, "tokens"), "b")
     return both.where(similar("a_tokens", "b_tokens")).select("a", "b")
@@ -241,16 +239,18 @@ def similar_sets(docs: DataFrame, reps: DataFrame, width: int, percent: int, cro
                  chunk: int = CHUNK) -> DataFrame:
     """Links ``(a, b)`` that join the same components as all pairs of representatives over the threshold."""
     shared = stage(shared_prefixes(reps), "shared-prefixes")
-    links, number, members = None, 0, shared.where(F.col("load") > crowded)
-    due = members.select("rep").distinct().count()
-    while due:
-        pairs = anchor_pairs(_with_roots(members, links), percent, number, chunk)
-        new = stage(linked(pairs, reps, docs, width, percent), "links")
-        found = new.count()
-        links = new if links is None else stage(links.union(new), "links")
+    crowd = stage(shared.where(F.col("load") > crowded), "crowded-prefixes")
+    links, number = None, 0
+    while True:
+        due = crowd.select("rep").distinct().count()
+        if not due:
+            break
+        new = stage(linked(anchor_pairs(crowd, percent, number, chunk), reps, docs, width, percent), "links")
+        links = new if links is None else links.union(new)
         number += 1
-        if found * 50 < due:  # the rest is left to the comparison of all
+        if new.count() * 20 < due:  # the rest is left to the comparison of all
             break
+        crowd = stage(crowd.join(new.select(F.col("a").alias("rep")), "rep", "left_anti"), "crowded-prefixes")
     pairs = all_pairs(_with_roots(shared, links), percent, chunk)
     last = stage(linked(pairs, reps, docs, width, percent), "links")
     return last if links is None else links.union(last)

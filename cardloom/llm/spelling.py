@@ -25,7 +25,7 @@ from cardloom.llm.common import by_key, quoted, stage
 
 GROUPS = 32
 DEEPEST = 8  # levels in a key at most; a count takes a byte of it
-CROWDED = 1 << 15  # words and visitors of a key beyond which it is dealt by halves
+CROWDED = 1 << 18  # words and visitors of a key beyond which it is dealt by halves
 BLOCK = 1 << 16  # (node, word) states that a step of the search expands together
 SPARSE = 16  # a node with so few words is not descended further: its words are compared
 
@@ -229,7 +229,7 @@ def near_words(words: DataFrame, crowded: int = CROWDED) -> DataFrame:
     leaves = counted.groupBy(*(F.expr(cells[order[i]]).alias(name) for i, name in enumerate(top))).agg(F.count("*").alias("size"))
     sizes = leaves.rollup(*top).agg(F.sum("size").alias("size"), F.expr("grouping_id()").alias("open"))
     largest = {row.open: row.most for row in sizes.groupBy("open").agg(F.max("size").alias("most")).collect()}
-    fits = [depth for depth in range(DEEPEST + 1) if largest.get((1 << (DEEPEST - depth)) - 1, 0) <= crowded // 2]
+    fits = [depth for depth in range(DEEPEST + 1) if largest.get((1 << (DEEPEST - depth)) - 1, 0) <= crowded // 16]
     depth = fits[0] if fits else DEEPEST
     steps, levels = _steps(depth), order[:depth]
 
