@@ -137,6 +137,8 @@ class _Trie:
         counts = counts.astype(np.int16)
         while stack:
             level, node, row, surplus, deficit = stack.pop()
+            if not len(node):
+                continue
             if len(node) > BLOCK:
                 stack.append((level, node[BLOCK:], row[BLOCK:], surplus[BLOCK:], deficit[BLOCK:]))
                 node, row, surplus, deficit = node[:BLOCK], row[:BLOCK], surplus[:BLOCK], deficit[:BLOCK]
@@ -148,16 +150,16 @@ class _Trie:
             if not len(node):
                 continue
             pairs, wanted = self.children[level], counts[row, level]
+            ahead = []
             for change in (-1, 0, 1):
-                able = np.flatnonzero((surplus + (change > 0) <= 1) & (deficit + (change < 0) <= 1) & (wanted + change >= 0)
-                                      & (wanted + change <= 255))
-                target = node[able] * 256 + wanted[able] + change
+                able = np.flatnonzero((surplus + (change > 0) <= 1) & (deficit + (change < 0) <= 1))
+                wants = wanted[able] + change
+                target = node[able] * 256 + wants
                 child = np.minimum(np.searchsorted(pairs, target), len(pairs) - 1)
-                hit = pairs[child] == target
-                if hit.any():
-                    go = able[hit]
-                    stack.append((level + 1, child[hit], row[go], surplus[go] + np.int8(change > 0),
-                                  deficit[go] + np.int8(change < 0)))
+                hit = (pairs[child] == target) & (wants >= 0) & (wants <= 255)
+                go = able[hit]
+                ahead.append((child[hit], row[go], surplus[go] + np.int8(change > 0), deficit[go] + np.int8(change < 0)))
+            stack.append((level + 1, *map(np.concatenate, zip(*ahead))))
 
     def _leaves(self, first, last, row, counts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         sizes = last - first
