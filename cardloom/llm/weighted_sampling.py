@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from cardloom.llm.common import quoted, shuffle_partitions, text_batches
 
 SAMPLES = 128
-TERMS = 2048  # terms whose draws are held at once
+TERMS = 2048  # terms that are drawn, or compared, at once
+REMEMBERED = 1 << 15  # terms whose draws a worker keeps: 64 MB at 128 samples
 CHARS = 1 << 18  # of texts fingerprinted together, so that they share the draws of their terms
 RANGE_BYTES = 64 << 20
 MAX_RANGES = 1 << 16  # bounds sent to every task: eight bytes each
@@ -47,56 +49,114 @@ def _uniform(hashes: np.ndarray, samples: int, which: int) -> np.ndarray:
 
 
 class Draws:
-    """What the terms of a vocabulary draw: r, ln c and b, for each sample."""
-
-    def __init__(self, hashes: np.ndarray, samples: int):
-        self.r = -np.log(_uniform(hashes, samples, 0) * _uniform(hashes, samples, 1))
-        self.log_c = np.log(-np.log(_uniform(hashes, samples, 2) * _uniform(hashes, samples, 3)))
-        self.b = _uniform(hashes, samples, 4)
-        # Most terms occur once, and then t is 0.
-        self.once = self.log_c + self.r * self.b - self.r
-
-    def log_a(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What terms draw, by row: r, ln c and b, for each sample."""
+
+    def __init__(self, samples: int, rows: int):
+        self.samples = samples
+        self.r, self.log_c, self.b, self.once = (np.empty((rows, samples), np.float32) for _ in range(4))
+
+    def fill(self, rows: np.ndarray, hashes: np.ndarray) -> None:
+        for start in range(0, len(rows), TERMS):
+            part, some = rows[start:start + TERMS], hashes[start:start + TERMS]
+            r = -np.log(_uniform(some, self.samples, 0) * _uniform(some, self.samples, 1))
+            log_c = np.log(-np.log(_uniform(some, self.samples, 2) * _uniform(some, self.samples, 3)))
+            b = _uniform(some, self.samples, 4)
+            self.r[part], self.log_c[part], self.b[part] = r, log_c, b
+            # Most terms occur once, and then t is 0.
+            self.once[part] = log_c + r * b - r
+
+    def log_a(self, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ln a of each term; the place of each in t, or -1; t of the terms that occur more than once."""
-        value, place = self.once[terms], np.full(len(terms), -1)
+        value, place = self.once[rows], np.full(len(rows), -1)
         many = np.flatnonzero(weights > 1)
         place[many] = np.arange(len(many))
-        at = terms[many]
+        at = rows[many]
         r, b = self.r[at], self.b[at]
         t = np.floor(np.log(weights[many]).astype(np.float32)[:, None] / r + b)
         value[many] = self.log_c[at] - r * (t - b) - r
         return value, place, t
 
 
-def signatures(texts: list[bytes], samples: int = SAMPLES) -> np.ndarray:
-    """A row of ``samples`` bytes for each text. A text without words has one term, the empty one."""
+class KnownDraws:
+    """Draws of the terms met so far, REMEMBERED at most; when full, the half used most often stays."""
+
+    def __init__(self, samples: int, room: int):
+        self.draws, self.room = Draws(samples, room), room
+        self.hashes, self.uses = np.zeros(room, np.uint64), np.zeros(room, np.int64)
+        self.row: dict[int, int] = {}
+
+    def rows_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The rows of ``room`` hashes at most, drawn now where they are new."""
+        rows = np.fromiter((self.row.get(one, -1) for one in hashes.tolist()), np.int64, len(hashes))
+        new = np.flatnonzero(rows < 0)
+        if len(self.row) + len(new) > self.room:
+            self._forget(rows[rows >= 0], max(0, self.room - len(new)))
+            return self.rows_of(hashes)
+        at = np.arange(len(self.row), len(self.row) + len(new))
+        self.draws.fill(at, hashes[new])
+        self.hashes[at], self.uses[at] = hashes[new], 0
+        self.row.update(zip(hashes[new].tolist(), at.tolist()))
+        rows[new] = at
+        self.uses[rows] += 1
+        return rows
+
+    def _forget(self, wanted: np.ndarray, most: int) -> None:
+        """Keep the rows ``wanted`` and the most used others, half of the room if ``most`` allows it."""
+        held = len(self.row)
+        self.uses[wanted] += held + self.uses[:held].max()
+        kept = np.sort(np.argsort(-self.uses[:held], kind="stable")[:min(most, max(len(wanted), self.room // 2))])
+        for table in (self.draws.r, self.draws.log_c, self.draws.b, self.draws.once, self.hashes, self.uses):
+            table[:len(kept)] = table[kept]
+        self.uses[:len(kept)] = np.minimum(self.uses[:len(kept)], 1 << 20) // 2
+        self.row = dict(zip(self.hashes[:len(kept)].tolist(), range(len(kept))))
+
+
+@lru_cache(maxsize=1)
+def known_draws(samples: int, room: int) -> KnownDraws:
+    """One per worker process."""
+    return KnownDraws(samples, room)
+
+
+def signatures(texts: list[bytes], samples: int = SAMPLES, remembered: int = REMEMBERED) -> np.ndarray:
+    """A row of ``samples`` bytes for each text. A text without words has one term, the empty one.
+
+    Of terms that tie in a, that with the smallest hash is taken, so a signature does not depend on
+    the other texts.
+    """
     import xxhash
 
     bags = [Counter(text.lower().split()) or Counter([b""]) for text in texts]
-    vocabulary = list(dict.fromkeys(term for bag in bags for term in bag))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, vocabulary), np.uint64, len(vocabulary))
-    place = {term: at for at, term in enumerate(vocabulary)}
-    members = [np.fromiter((place[term] for term in bag), np.int64, len(bag)) for bag in bags]
-    weights = [np.fromiter(bag.values(), np.float64, len(bag)) for bag in bags]
+    terms = list(dict.fromkeys(term for bag in bags for term in bag))
+    found = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms))
+    order = np.argsort(found, kind="stable")
+    hashes, rank = found[order], np.empty(len(terms), np.int64)
+    rank[order] = np.arange(len(terms))
+    place = dict(zip(terms, rank.tolist()))
+    members, weights = [], []
+    for bag in bags:  # the terms of each text, in order of their hashes
+        at = np.fromiter((place[term] for term in bag), np.int64, len(bag))
+        count = np.fromiter(bag.values(), np.float64, len(bag))
+        sort = np.argsort(at)
+        members.append(at[sort])
+        weights.append(count[sort])
     best = np.full((len(texts), samples), np.inf, np.float32)
     winner, level = np.zeros((len(texts), samples), np.uint64), np.zeros((len(texts), samples), np.float32)
-    columns = np.arange(samples)
-    for start in range(0, len(vocabulary), TERMS):
-        draws = Draws(hashes[start:start + TERMS], samples)
-        for row, (terms, counts) in enumerate(zip(members, weights)):
-            inside = (terms >= start) & (terms < start + TERMS)
-            if not inside.any():
-                continue
-            terms = terms[inside] - start
-            value, many, t = draws.log_a(terms, counts[inside])
-            first = value.argmin(axis=0)
-            least = value[first, columns]
-            lower = least < best[row]
-            np.copyto(best[row], least, where=lower)
-            np.copyto(winner[row], hashes[start + terms[first]], where=lower)
-            # A term that occurs once has level 0; the others' levels are in ``t`` by their place in ``many``.
-            levels = t[many[first], columns] if len(t) else np.float32(0)
-            np.copyto(level[row], np.where(many[first] >= 0, levels, np.float32(0)), where=lower)
+    columns, known = np.arange(samples), known_draws(samples, remembered)
+    for start in range(0, len(hashes), remembered):  # once, unless texts are very rich in words
+        rows = known.rows_of(hashes[start:start + remembered])
+        for row, (at, counts) in enumerate(zip(members, weights)):
+            low, high = np.searchsorted(at, (start, start + remembered))
+            for first in range(low, high, TERMS):
+                some = at[first:min(first + TERMS, high)]
+                value, many, t = known.draws.log_a(rows[some - start], counts[first:first + len(some)])
+                which = value.argmin(axis=0)
+                least = value[which, columns]
+                lower = least < best[row]
+                np.copyto(best[row], least, where=lower)
+                np.copyto(winner[row], hashes[some[which]], where=lower)
+                # A term that occurs once has level 0; the others' levels are in ``t`` by their place in ``many``.
+                levels = t[many[which], columns] if len(t) else np.float32(0)
+                np.copyto(level[row], np.where(many[which] >= 0, levels, np.float32(0)), where=lower)
     kept = winner + level.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (_mix(kept + np.arange(samples, dtype=np.uint64)[None, :]) >> np.uint64(56)).astype(np.uint8)
 

@@ -73,3 +73,23 @@ def test_lone_document_and_empty_table(make_docs, empty):
 def test_extra_columns_do_not_matter(documents):
     docs = documents.selectExpr("*", "1 AS _range", "2 AS fingerprint", "3 AS _id")
     assert ws.fingerprints(docs).count() == documents.count()
+
+
+def test_equal_texts_in_other_company_and_memory():
+    """Ties of float draws go by the term's hash, whatever texts a portion holds and whatever is remembered."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"t{i}" for i in rng.choice(60_000, 5000, replace=False)).encode() for _ in range(300)]
+    alone = np.concatenate([ws.signatures(texts[i:i + 1]) for i in range(len(texts))])
+    together = np.concatenate([ws.signatures(texts[i:i + 7][::-1])[::-1] for i in range(0, len(texts), 7)])
+    small = np.concatenate([ws.signatures(texts[i:i + 3], remembered=1700) for i in range(0, len(texts), 3)])
+    assert (alone == together).all() and (alone == small).all()
+
+
+def test_ties_go_to_the_smallest_hash(monkeypatch):
+    monkeypatch.setattr(ws, "_uniform", lambda hashes, samples, which: np.full(
+        (len(hashes), samples), 0.5, np.float32))  # all terms tie in every sample
+    ws.known_draws.cache_clear()
+    texts = [b"one two three four five", b"five four three two one"]
+    found = [ws.signatures(texts, remembered=room) for room in (64, 2)]
+    ws.known_draws.cache_clear()
+    assert (found[0] == found[1]).all() and (found[0][0] == found[0][1]).all()
