@@ -22,8 +22,9 @@ from cardloom.operators.features import (
 from cardloom.operators.modelling import (
     coefficient_rows, fit_scorer, load_model, save_model, score_rows, score_with_all, summary_rows, tune,
 )
-from cardloom.plans.clean import clean_new_files
+from cardloom.plans.clean import merge_new_files
 from cardloom.plans.monitor import monitor
+from cardloom.plans.stream import start_routed
 from cardloom.plans.train import WEIGHT, TrainOptions, known_model_options, prepare, train_model
 from cardloom.plans.validate import validate
 from cardloom.schema import COLUMNS, KEY, transactions_schema
@@ -31,8 +32,9 @@ from cardloom.session import scratch_path, use_utc
 from cardloom.sources.events import feed_lines, load_transactions, stream_transactions
 from cardloom.sources.feed import read_feed, read_rejected_lines, write_feed_lines
 from cardloom.sources.messages import decode_messages, encode_messages
+from cardloom.sources.snapshots import read_snapshot
 from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import clean_stream, drain_to_files, window_metrics
+from cardloom.streaming.jobs import clean_stream, drain_to_files, merge_transactions, run_batches, window_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -392,21 +394,51 @@ def validate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams
 
 
-def _drained_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = clean_stream(stream_transactions(spark, sf_dir))
-    return drain_to_files(rows, scratch_path(spark, "clean-stream"), scratch_path(spark, "clean-stream-state"))
+FILES = 3  # files into which a table is dealt where a stream shall have several batches
+STREAM_BLOCK = 20_000  # ids in a block of a merged table of the catalog
+
+
+def _dealt(rows: DataFrame, label: str, write: Callable[[DataFrame, str], None]) -> str:
+    """Rows as several files, copies of a transaction in different ones, the later copy first for many."""
+    path = scratch_path(rows.sparkSession, label)
+    write(rows.repartition(FILES), path)
+    return path
+
+
+def _as_parquet(rows: DataFrame, path: str) -> None:
+    rows.write.parquet(path)
 
 
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without the time column: which of two copies a day apart arrives first is open."""
-    return _drained_clean(spark, sf_dir).select(*[c for c in COLUMNS if c != "tx_datetime"])
+    """Transactions that arrive in several files, merged batch by batch."""
+    table, state = scratch_path(spark, "clean-stream"), scratch_path(spark, "clean-stream-state")
+    rows = load_transactions(spark, sf_dir)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(_dealt(rows, "arriving", _as_parquet))
+    run_batches(stream, state, lambda batch, number: merge_transactions(batch, table, state, number, block_ids=STREAM_BLOCK))
+    return _present(read_snapshot(spark, table, rows.schema))
 
 
 def stream_clean_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incremental cleaning of the text feed."""
-    table = clean_new_files(spark, _feed_path(spark, sf_dir), scratch_path(spark, "clean-feed"),
-                            scratch_path(spark, "clean-feed-state"), wide_ids=True)
-    return table.select(*[c for c in COLUMNS if c != "tx_datetime"])
+    """Incremental cleaning of the text feed, a file at a time."""
+    feed = _dealt(feed_lines(load_transactions(spark, sf_dir)), "feed", write_feed_lines)
+    return _present(merge_new_files(spark, feed, scratch_path(spark, "clean-feed"), scratch_path(spark, "clean-feed-state"),
+                                    wide_ids=True, block_ids=STREAM_BLOCK, files_per_batch=1))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of several files, some cut short: scored, rejected and repeated ones, which add up to the input."""
+    state, sink, rejects = (scratch_path(spark, label) for label in ("routed-state", "routed", "routed-rejects"))
+    cut = f"IF({KEY} % 103 = 0, left(value, 40), value) AS value"
+    messages = encode_messages(load_transactions(spark, sf_dir)).selectExpr("key", f"CAST(key AS BIGINT) AS {KEY}", "value")
+    source = _dealt(messages.selectExpr("key", cut), "messages", _as_parquet)
+    start_routed(spark, CANDIDATE, "parquet", "parquet", state, rejects, source, sink, {"maxFilesPerTrigger": "1"},
+                 enveloped=True, block_ids=STREAM_BLOCK).awaitTermination()
+    number = f"CAST(regexp_extract(line, '.transaction_id.:([0-9]+)', 1) AS BIGINT) AS {KEY}"
+    scored = spark.read.parquet(sink).selectExpr("'scored' AS outcome", KEY, "CAST(NULL AS STRING) AS reasons", "1L AS rows")
+    failed = spark.read.parquet(rejects).selectExpr("'rejected' AS outcome", number, "array_join(reasons, ',') AS reasons", "1L AS rows")
+    copies = spark.read.parquet(f"{rejects}-copies").selectExpr("'copy' AS outcome", KEY, "NULL AS reasons", "copies AS rows")
+    every = scored.union(failed).union(copies)
+    return every.groupBy("outcome", KEY, "reasons").agg(F.sum("rows").alias("rows"))
 
 
 def _drained_scores(spark: SparkSession, sf_dir: str, model) -> DataFrame:
@@ -428,15 +460,11 @@ def stream_score_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily metrics of the scored rows, read as a stream of their own.
-
-    The scored rows come from the batch form, so each transaction has its earliest time.
-    """
-    path = scratch_path(spark, "scored-table")
+    """Daily metrics of scored rows that arrive in several files, days mixed, each file read once."""
     scored = score_rows(_cleaned(spark, sf_dir), CANDIDATE)
-    write_table(scored, path)
-    closed = monitor(spark, path, scratch_path(spark, "windows"), scratch_path(spark, "windows-state"))
-    return _present(closed, round_all=True)
+    path = _dealt(scored, "scored-table", _as_parquet)
+    found = monitor(spark, path, scratch_path(spark, "windows"), scratch_path(spark, "windows-state"), files_per_batch=1)
+    return _present(found, round_all=True)
 
 
 def window_metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,7 +482,7 @@ _QUERIES: tuple[Query, ...] = (
     confusion_matrix, label_confusion, classification_metrics, classification_metrics_swapped, hard_auc,
     score_auc, score_auc_exact, bootstrap_counts, bootstrap_aupr, bootstrap_aupr_swapped, bootstrap_by_cell,
     score_histogram, score_interval, ab_ttest, promotion_gate, metrics_long, kpi_error_rates,
-    monthly_missed_loss, validate_models, stream_clean, stream_clean_feed, stream_score, stream_score_model, stream_window_metrics,
+    monthly_missed_loss, validate_models, stream_clean, stream_clean_feed, stream_rejects, stream_score, stream_score_model, stream_window_metrics,
     window_metrics_all,
 )
 

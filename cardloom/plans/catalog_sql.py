@@ -287,6 +287,16 @@ SELECT transaction_id, tx_datetime, concat_ws(',', {named}) AS reasons FROM dirt
 WHERE concat_ws(',', {named}) <> ''"""
 
 
+def _stream_rejects_sql() -> str:
+    named = ", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in _REASONS)
+    return f"""WITH {_DIRTY},
+judged AS (SELECT transaction_id, CASE WHEN transaction_id % 103 = 0 THEN 'malformed' ELSE concat_ws(',', {named}) END AS reasons
+           FROM dirty)
+SELECT 'rejected' AS outcome, transaction_id, reasons, count(*) AS rows FROM judged WHERE reasons <> '' GROUP BY 1, 2, 3
+UNION ALL SELECT DISTINCT 'scored', transaction_id, NULL, 1 FROM judged WHERE reasons = ''
+UNION ALL SELECT 'copy', transaction_id, NULL, count(*) - 1 FROM judged WHERE reasons = '' GROUP BY transaction_id HAVING count(*) > 1"""
+
+
 _LABEL_CELLS = _CELLS.format(y="toxic", p="(1 - quality)")
 
 ORACLE_SQL: dict[str, str] = {
@@ -429,17 +439,12 @@ FROM confusion""",
 SELECT model, strftime(tx_datetime, '%Y-%m') AS month, count(*) AS missed, round(sum(tx_amount), 6) AS loss,
        sum(tx_amount) < 500000 AS within_limit
 FROM predicted WHERE tx_fraud = 1 AND prediction = 0 GROUP BY 1, 2""",
-    "stream_clean": f"""WITH {_CLEAN}
-SELECT transaction_id, customer_id, terminal_id, tx_amount, tx_time_seconds, tx_time_days, tx_fraud,
-       tx_fraud_scenario
-FROM cleaned""",
-    "stream_clean_feed": f"""WITH {_CLEAN}
-SELECT transaction_id, customer_id, terminal_id, tx_amount, tx_time_seconds, tx_time_days, tx_fraud,
-       tx_fraud_scenario
-FROM cleaned WHERE NOT {_BROKEN}""",
+    "stream_clean": f"WITH {_CLEAN} SELECT {_COLUMNS} FROM cleaned",
+    # Whole ids are broken or not, so copies of a transaction are as well.
+    "stream_clean_feed": f"WITH {_CLEAN} SELECT {_COLUMNS} FROM cleaned WHERE NOT {_BROKEN}",
+    "stream_rejects": _stream_rejects_sql(),
     "stream_score": f"""WITH {_SCORED}
 SELECT transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predicted WHERE model = 'candidate'""",
     "window_metrics_all": f"WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows",
-    "stream_window_metrics": f"""WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows
-WHERE window_end <= (SELECT max(tx_datetime) FROM cleaned) - INTERVAL 1 DAY""",
+    "stream_window_metrics": f"WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows",
 }

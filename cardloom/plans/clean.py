@@ -11,9 +11,12 @@ from cardloom.operators.cleaning import clean
 from cardloom.operators.profile import profile_counters, profile_domains, profile_key_count
 from cardloom.schema import transactions_schema
 from cardloom.session import job
-from cardloom.sources.feed import read_feed, read_feed_stream, read_rejected_lines, read_rejects_stream
+from cardloom.sources.feed import (
+    read_feed, read_feed_stream, read_marked_stream, read_rejected_lines, read_rejects_stream, rejected_of, well_formed_of,
+)
+from cardloom.sources.snapshots import drop_old_versions, read_snapshot
 from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import clean_stream, drain_to_files
+from cardloom.streaming.jobs import BLOCK_IDS, clean_stream, drain_to_files, merge_transactions, run_batches
 
 DAYS = ("2018-01-01", None)  # the first day that passes, and the first that does no more, if any
 TX_DATE = "CAST(tx_datetime AS DATE) AS tx_date"
@@ -57,6 +60,29 @@ def clean_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str
     return table
 
 
+def merge_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str, strict: bool = True,
+                    wide_ids: bool = True, glob: str = "*.txt", rejects: str | None = None,
+                    days: tuple[str, str | None] = DAYS, block_ids: int = BLOCK_IDS,
+                    files_per_batch: int | None = None) -> DataFrame:
+    """Clean the files that arrived since the last run, merge them into the table and return the whole table.
+
+    The table equals what ``clean_feed`` makes of all files together, whatever the order in which they
+    arrive; see ``merge_transactions``. The files of a batch are parsed once: what cleaning leaves out
+    goes to ``rejects``, by batch, with its reasons. A batch that comes again changes nothing.
+    """
+    schema, rules = transactions_schema(wide_ids), strict_rules(*days) if strict else parity_rules()
+
+    def enter(batch: DataFrame, number: int) -> None:
+        parsed = stage(batch, "parsed")
+        if rejects:
+            rejected_of(parsed, rules, schema).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        merge_transactions(well_formed_of(parsed), output, checkpoint, number, rules, block_ids=block_ids)
+        drop_old_versions(spark, output)
+
+    run_batches(read_marked_stream(spark, feed, schema, glob, files_per_batch=files_per_batch), checkpoint, enter)
+    return read_snapshot(spark, output, schema)
+
+
 def profile(rows: DataFrame) -> dict[str, DataFrame]:
     """All data-quality reports on uncleaned rows, in three passes.
 
@@ -84,11 +110,16 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--watermark", default="40 days", help="how long copies of a transaction are recognised")
     args.add_argument("--by-day", action="store_true")
     args.add_argument("--checkpoint", help="clean only files that are new since the last run with this folder")
+    args.add_argument("--merge", action="store_true",
+                      help="with --checkpoint: merge new files into a snapshot table, which then equals the full run")
     args.add_argument("--profile", metavar="FOLDER", help="write the reports of the feed below this folder")
     opts = args.parse_args(argv)
     days = opts.first_day, opts.end_day
     with job("clean") as spark:
-        if opts.checkpoint:
+        if opts.checkpoint and opts.merge:
+            merge_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
+                            rejects=opts.rejects, days=days)
+        elif opts.checkpoint:
             clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
                             watermark=opts.watermark, rejects=opts.rejects, by_day=opts.by_day, days=days)
         else:

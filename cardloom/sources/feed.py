@@ -78,6 +78,35 @@ def read_rejected_lines(
     return rows.filter(f"{CORRUPT} IS NOT NULL AND {_reads_every_column(schema)}").selectExpr(f"{CORRUPT} AS line")
 
 
+def read_marked_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    glob: str = "*.txt",
+    comment: str = "#",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Every line of the arriving files, once parsed: the columns, or the line in ``CORRUPT``."""
+    schema = schema or transactions_schema()
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _scan(reader, path, schema, glob, comment).filter(_reads_every_column(schema))
+
+
+def well_formed_of(marked: DataFrame) -> DataFrame:
+    """The well-formed rows of lines that were parsed with their mark and stored."""
+    return marked.filter(f"{CORRUPT} IS NULL").drop(CORRUPT)
+
+
+def rejected_of(marked: DataFrame, rules: Sequence[Rule], schema: T.StructType) -> DataFrame:
+    """What cleaning leaves out of marked rows, ``(line, reasons)``; copies of a transaction are not among it."""
+    return marked.selectExpr(
+        f"coalesce({CORRUPT}, to_json(struct({', '.join(schema.names)}))) AS line",
+        f"CASE WHEN {CORRUPT} IS NOT NULL THEN array('malformed') ELSE {failing_names(rules)} END AS reasons",
+    ).filter("size(reasons) > 0")
+
+
 def read_rejects_stream(
     spark: SparkSession,
     path: str,
@@ -91,11 +120,7 @@ def read_rejects_stream(
     A malformed line has the reason ``malformed``; a row that fails rules is given as JSON with their names.
     """
     schema = schema or transactions_schema()
-    rows = _scan(spark.readStream, path, schema, glob, comment).filter(_reads_every_column(schema))
-    return rows.selectExpr(
-        f"coalesce({CORRUPT}, to_json(struct({', '.join(schema.names)}))) AS line",
-        f"CASE WHEN {CORRUPT} IS NOT NULL THEN array('malformed') ELSE {failing_names(rules)} END AS reasons",
-    ).filter("size(reasons) > 0")
+    return rejected_of(_scan(spark.readStream, path, schema, glob, comment).filter(_reads_every_column(schema)), rules, schema)
 
 
 def write_feed_lines(lines: DataFrame, path: str) -> None:

@@ -1,12 +1,14 @@
 """Incremental cleaning and windowed monitoring; scoring is the same as for tables.
 
 Each step reads one stream and writes another, so they can be run and restarted on their
-own: feed -> clean transactions -> scored transactions -> window metrics.
+own: feed -> clean transactions -> scored transactions -> window metrics. The ``merge_`` functions enter
+batches in tables that further rows correct; ``clean_stream`` and ``window_metrics`` append to sinks that
+cannot be corrected, within watermarks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,10 +16,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cardloom.functions.rules import Rule, all_pass, strict_rules
+from cardloom.operators.cleaning import clean, deduplicate
 from cardloom.schema import EVENT_TIME, KEY, LABEL
 from cardloom.session import use_scalable_state
+from cardloom.sources.snapshots import merge_batch
 
 ARRIVED = "_arrived"
+BLOCK_IDS = 10_000_000  # ids in a block of a merged table: about half a gigabyte
 
 
 def clean_stream(
@@ -69,8 +74,8 @@ def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1
     """Model metrics per tumbling window, emitted once the window is closed.
 
     Of a stream, rows dated after ``arrived`` (SQL) do not come in: one of them would move the
-    watermark and make all true rows late. ``misdated_rows`` has them, ``late_rows`` counts
-    what the watermark leaves out.
+    watermark and make all true rows late. ``misdated_rows`` has them. Rows that come after their
+    window was emitted are left out; ``merge_windows`` enters them.
     """
     if scored.isStreaming:
         scored = scored.filter(f"{EVENT_TIME} <= {arrived}")
@@ -90,22 +95,53 @@ def window_metrics(scored: DataFrame, window: str = "1 day", watermark: str = "1
     )
 
 
-def late_rows(scored: DataFrame, windows: DataFrame, window: str = "1 day", watermark: str = "1 day",
-              arrived: str = "current_timestamp()") -> DataFrame:
-    """``(window_start, window_end, late)``: rows of closed windows that came too late for ``windows``.
+# A window's row in the table that monitoring keeps: sums, which further rows add to.
+WINDOW_SUMS = {"rows": "count(*)", "predicted_fraud": "count_if(prediction = 1)", "known_fraud": f"count_if({LABEL} = 1)",
+               "scored": "count(score)", "score_sum": "coalesce(sum(score), 0D)"}
+_DAYS = "unix_date(CAST(window_start AS DATE)) DIV 64"  # days of a block of the table of windows
 
-    ``scored`` is the whole table behind the stream. A window is closed if it was emitted or ends
-    before the watermark of the newest row. One pass over the times of the table.
+
+def window_sums(scored: DataFrame, window: str = "1 day") -> DataFrame:
+    """``(window_start, window_end, ...)``: what can be added up of each window's metrics; rows without a date have none."""
+    counted = scored.where(f"{EVENT_TIME} IS NOT NULL").groupBy(F.window(EVENT_TIME, window).alias("w")).agg(
+        *(F.expr(f"{sql} AS {name}") for name, sql in WINDOW_SUMS.items()))
+    return counted.select("w.start", "w.end", *WINDOW_SUMS).withColumnsRenamed({"start": "window_start", "end": "window_end"})
+
+
+def metrics_of_sums(sums: DataFrame) -> DataFrame:
+    """The columns of ``window_metrics``."""
+    return sums.selectExpr(
+        "window_start", "window_end", "rows", "predicted_fraud", "known_fraud", "score_sum / nullif(scored, 0) AS mean_score",
+        "predicted_fraud / rows AS predicted_fraud_rate")
+
+
+def merge_windows(batch: DataFrame, path: str, source: str, number: int, window: str = "1 day") -> bool:
+    """Add a batch of scored rows to the table of window sums at ``path``, once; late rows go where they belong."""
+    def added(both: DataFrame) -> DataFrame:
+        return both.groupBy("window_start", "window_end").agg(*(F.sum(name).alias(name) for name in WINDOW_SUMS))
+
+    return merge_batch(window_sums(batch, window), path, _DAYS, added, source, number)
+
+
+def merge_transactions(batch: DataFrame, path: str, source: str, number: int, rules: Sequence[Rule] | None = None,
+                       key: str = KEY, block_ids: int = BLOCK_IDS) -> bool:
+    """Clean a batch of rows and merge it into the table at ``path``, once.
+
+    Of the copies of a transaction the earliest stays, also if it comes last, so the table equals the one
+    that cleaning all rows together gives, however they are dealt to batches. Copies share their id, so
+    a block of the table holds ``block_ids`` following ids, and only blocks of the batch's ids are written.
+    """
+    cleaned = clean(batch, rules or strict_rules())
+    block = f"coalesce(floor({key} / {block_ids}), -1)"
+    return merge_batch(cleaned, path, block, lambda both: deduplicate(both, key), source, number)
+
+
+def run_batches(rows: DataFrame, checkpoint: str, enter: Callable[[DataFrame, int], object]) -> None:
+    """Hand the input that has arrived since the last run to ``enter``, batch by batch, and stop.
+
+    A batch may come again after a failure, with its number.
     """
-    dated = scored.filter(f"{EVENT_TIME} <= {arrived}")
-    held = dated.groupBy(F.window(EVENT_TIME, window).alias("w")).agg(
-        F.expr("count(*) AS held"), F.expr(f"max({EVENT_TIME}) AS newest"))
-    newest = held.agg(F.max("newest").alias("top"))
-    emitted = windows.groupBy("window_start").agg(F.expr("sum(rows) AS emitted"))
-    compared = held.selectExpr("w.start AS window_start", "w.end AS window_end", "held").join(
-        emitted, "window_start", "left").crossJoin(newest)
-    return compared.where(f"emitted IS NOT NULL OR window_end <= top - INTERVAL {watermark}").selectExpr(
-        "window_start", "window_end", "held - coalesce(emitted, 0) AS late").where("late > 0")
+    run_available(rows.writeStream.foreachBatch(enter).option("checkpointLocation", checkpoint))
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:

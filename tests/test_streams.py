@@ -91,16 +91,72 @@ def test_a_wrong_date_makes_no_true_row_late_in_monitoring(folder, tmp_path, spa
     def run(*rows):
         score_rows(folder.make(*rows), model).coalesce(1).write.mode("append").parquet(scored)
         windows = monitor(spark, scored, out, str(tmp_path / "state"))
-        return ({r.window_start.day: r.rows for r in windows.collect()},
-                {r.window_start.day: r.late for r in spark.read.parquet(f"{out}-late").collect()})
+        return {r.window_start.day: (r.rows, round(r.mean_score, 3)) for r in windows.collect()}
 
     far = datetime.now() + timedelta(days=5 * 365)
-    assert run(tx(1, 0.1), tx(2, 0.2), tx(99, tx_datetime=far), tx(98, tx_datetime=None)) == ({}, {})
-    assert run(tx(3, 0.9), tx(4, 1.5), tx(5, 3.5)) == ({1: 3, 2: 1}, {})
-    assert run(tx(6, 0.5), tx(7, 1.1), tx(8, 1.2), tx(9, 3.6)) == ({1: 3, 2: 1}, {1: 1, 2: 2})
+    assert run(tx(1, 0.1), tx(2, 0.2, tx_amount=50.0), tx(99, tx_datetime=far), tx(98, tx_datetime=None)) == {1: (2, 0.25)}
+    assert run(tx(3, 0.9), tx(4, 1.5, tx_amount=50.0), tx(5, 3.5)) == {1: (3, 0.167), 2: (1, 0.5), 4: (1, 0.0)}
+    # Rows of days long past correct their windows; a run without new files changes nothing.
+    late = {1: (4, 0.25), 2: (3, 0.5), 4: (2, 0.0)}
+    assert run(tx(6, 0.5, tx_amount=50.0), tx(7, 1.1, tx_amount=50.0), tx(8, 1.2, tx_amount=50.0), tx(9, 3.6)) == late
+    again = monitor(spark, scored, out, str(tmp_path / "state"))
+    assert {r.window_start.day: (r.rows, round(r.mean_score, 3)) for r in again.collect()} == late
     assert sorted(r.transaction_id for r in spark.read.parquet(f"{out}-misdated").collect()) == [98, 99]
 
 
+def test_a_batch_of_windows_counts_once_and_rows_without_score_have_no_mean(make_transactions, tmp_path, spark):
+    from cardloom.plans.monitor import windows
+    from cardloom.streaming.jobs import merge_windows
+
+    scored = score_rows(make_transactions(tx(1, tx_amount=50.0), tx(2, tx_amount=None), tx(3, 1, tx_amount=None)),
+                        LinearModel({"tx_amount": 1.0}, -50.0))
+    path = str(tmp_path / "windows")
+    assert merge_windows(scored, path, "s", 0) and not merge_windows(scored, path, "s", 0)
+    got = {r.window_start.day: (r.rows, r.mean_score) for r in windows(spark, path, scored.schema).collect()}
+    assert got == {1: (2, 0.5), 2: (1, None)}
+
+
+def test_every_message_is_scored_rejected_or_a_copy(spark, make_transactions, tmp_path):
+    from cardloom.plans.stream import start_routed
+
+    places = {name: str(tmp_path / name) for name in ("in", "state", "out", "bad")}
+
+    def run(rows, *broken):
+        messages = encode_messages(make_transactions(*rows)).selectExpr("key", "value")
+        messages.union(spark.createDataFrame([(None, text) for text in broken], "key STRING, value STRING")).coalesce(
+            1).write.mode("append").parquet(places["in"])
+        start_routed(spark, LinearModel({"tx_amount": 1.0}, -50.0), "parquet", "parquet", places["state"], places["bad"],
+                     places["in"], places["out"], enveloped=True, block_ids=10).awaitTermination()
+        return (sorted(r.transaction_id for r in spark.read.parquet(places["out"]).collect()),
+                sorted((tuple(r.reasons), r.line[:8]) for r in spark.read.parquet(places["bad"]).collect()),
+                sorted((r.transaction_id, r.copies) for r in spark.read.parquet(places["bad"] + "-copies").collect()))
+
+    scored, bad, copies = run([tx(1), tx(1, 1), tx(2), tx(3, customer_id=-1)], "no json", '{"transaction_id": 7', None)
+    assert scored == [1, 2] and copies == [(1, 1)]
+    assert [reasons for reasons, _ in bad] == [("customer_id",), ("malformed",), ("malformed",), ("malformed",)]
+    scored, bad, copies = run([tx(1, -1), tx(25), tx(2), tx(2)])
+    assert scored == [1, 2, 25] and copies == [(1, 1), (1, 1), (2, 2)] and len(bad) == 4
+
+
+def test_merged_feed_equals_the_full_run(spark, tmp_path):
+    from cardloom.plans.clean import clean_feed, merge_new_files
+
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    files = {  # the later copy of 7 comes first, and one copy fails a rule
+        "a.txt": "7,2024-01-03 00:00:00,1,5,10.0,4,4,1,1\n8,2024-01-01 00:00:00,1,5,3.0,4,4,1,1\nno line",
+        "b.txt": "7,2024-01-01 00:00:00,1,5,11.0,4,4,1,1\n9,2024-01-01 00:00:00,1,0,3.0,4,4,1,1",
+        "c.txt": "7,2024-01-02 00:00:00,1,5,12.0,4,4,1,1\n",
+    }
+    for name, lines in files.items():
+        (feed / name).write_text(lines)
+        merged = merge_new_files(spark, str(feed), str(tmp_path / "t"), str(tmp_path / "s"), rejects=str(tmp_path / "bad"))
+    whole = clean_feed(spark, str(feed), str(tmp_path / "whole"))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    assert {r.transaction_id: r.tx_amount for r in merged.collect()} == {7: 11.0, 8: 3.0}
+    assert sorted(tuple(r.reasons) for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [("malformed",), ("terminal_id",)]
+
+
 def test_linear_scores(make_transactions):
     rows = make_transactions(tx(1, tx_amount=50.0), tx(2, tx_amount=51.0), tx(3, tx_amount=None))
     got = score_rows(rows, LinearModel({"tx_amount": 1.0}, -50.0), keep=["transaction_id"]).collect()
