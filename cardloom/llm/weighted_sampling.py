@@ -24,7 +24,7 @@ from cardloom.llm.common import quoted, shuffle_partitions, text_batches
 
 SAMPLES = 128
 TERMS = 2048  # terms that are drawn, or compared, at once
-REMEMBERED = 1 << 15  # terms whose draws a worker keeps: 64 MB at 128 samples
+REMEMBERED = 1 << 16  # terms whose draws a worker keeps: 128 MB at 128 samples
 CHARS = 1 << 18  # of texts fingerprinted together, so that they share the draws of their terms
 RANGE_BYTES = 64 << 20
 MAX_RANGES = 1 << 16  # bounds sent to every task: eight bytes each
@@ -41,11 +41,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _uniform(hashes: np.ndarray, samples: int, which: int) -> np.ndarray:
-    """Numbers in (0, 1): a row for each hash, a column for each sample."""
+def _uniforms(hashes: np.ndarray, samples: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers in (0, 1), of 24 bits each: a row for each hash, a column for each sample."""
     steps = (np.arange(samples, dtype=np.uint64) * np.uint64(8) + np.uint64(which + 1)) * np.uint64(0x9E3779B97F4A7C15)
     bits = _mix(hashes[:, None] + steps[None, :])
-    return ((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24)
+    parts = bits >> np.uint64(40), (bits >> np.uint64(16)) & np.uint64(0xFFFFFF)
+    one, other = ((part.astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -24) for part in parts)
+    return one, other
 
 
 class Draws:
@@ -58,9 +60,9 @@ class Draws:
     def fill(self, rows: np.ndarray, hashes: np.ndarray) -> None:
         for start in range(0, len(rows), TERMS):
             part, some = rows[start:start + TERMS], hashes[start:start + TERMS]
-            r = -np.log(_uniform(some, self.samples, 0) * _uniform(some, self.samples, 1))
-            log_c = np.log(-np.log(_uniform(some, self.samples, 2) * _uniform(some, self.samples, 3)))
-            b = _uniform(some, self.samples, 4)
+            r = -np.log(np.multiply(*_uniforms(some, self.samples, 0)))
+            log_c = np.log(-np.log(np.multiply(*_uniforms(some, self.samples, 1))))
+            b = _uniforms(some, self.samples, 2)[0]
             self.r[part], self.log_c[part], self.b[part] = r, log_c, b
             # Most terms occur once, and then t is 0.
             self.once[part] = log_c + r * b - r

@@ -86,8 +86,8 @@ def test_equal_texts_in_other_company_and_memory():
 
 
 def test_ties_go_to_the_smallest_hash(monkeypatch):
-    monkeypatch.setattr(ws, "_uniform", lambda hashes, samples, which: np.full(
-        (len(hashes), samples), 0.5, np.float32))  # all terms tie in every sample
+    monkeypatch.setattr(ws, "_uniforms", lambda hashes, samples, which: [np.full(
+        (len(hashes), samples), 0.5, np.float32)] * 2)  # all terms tie in every sample
     ws.known_draws.cache_clear()
     texts = [b"one two three four five", b"five four three two one"]
     found = [ws.signatures(texts, remembered=room) for room in (64, 2)]
