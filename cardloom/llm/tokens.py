@@ -17,7 +17,7 @@ from typing import Any
 
 import numpy as np
 
-KNOWN = 150_000  # words, and as many pieces, in each of two generations: about 110 MB of a worker at most
+KNOWN = 90_000  # pieces in each of two generations, and a third as many words: about 45 MB of a worker at most
 _LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")  # no apostrophe: contractions split
 
 
@@ -32,15 +32,15 @@ class _Remembered(dict):
     """Values worked out when first asked for, in two generations.
 
     A full generation becomes the former one, whose values are taken over when asked for again; so
-    what occurs often stays when a long tail passes by. Two generations hold 2 * KNOWN at most.
+    what occurs often stays when a long tail passes by. Two generations hold twice ``room`` at most.
     """
 
-    def __init__(self, work: Callable[[Any], bytes]):
+    def __init__(self, work: Callable[[Any], bytes], room: int):
         super().__init__()
-        self.work, self.former = work, {}
+        self.work, self.room, self.former = work, room, {}
 
     def __missing__(self, asked: Any) -> bytes:
-        if len(self) >= KNOWN:
+        if len(self) >= self.room:
             self.former = dict(self)
             self.clear()
         value = self.former.get(asked)
@@ -60,8 +60,8 @@ class TokenIds:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
         self.latin_words = latin_words
-        self.pieces = _Remembered(self._piece)
-        self.words = _Remembered(self._word)
+        self.pieces = _Remembered(self._piece, KNOWN)
+        self.words = _Remembered(self._word, KNOWN // 3)
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text, packed; NULL and empty texts have none."""
