@@ -7,9 +7,9 @@ BUCKETS buckets of its hash: a table of fixed size, which sees the frequent ones
 
 1. Equal sets become one representative, so copies cost nothing further.
 2. Prefix tokens are shuffled; those with one representative only go.
-3. Anchor rounds, for tokens of many: each representative meets the anchor of one group only, and those
-   linked to their anchor leave the rounds. This joins large groups of near copies without comparing all
-   pairs of them. Rounds go on while they find many links.
+3. Anchor rounds: of the sets that have the same smallest hash of a token, each meets one, the anchor, and
+   those that are linked to it leave the rounds. This joins groups of near copies without comparing all
+   pairs of them, and decides nothing else. Rounds go on while they find many links.
 4. All pairs are due that share a token and are not connected yet. The length filter and the positional
    filter (at the first common token, what may follow must suffice) need sizes and places only.
 5. The suffix filter bounds the number of differing tokens from below by bit sketches: one bit for
@@ -31,8 +31,8 @@ from cardloom.llm.common import by_key, quoted, stage, text_batches
 from cardloom.llm.components import connected_components
 
 BUCKETS = 1 << 16  # counts of how common tokens are: half a megabyte for every task
-CROWDED = 256  # members of a token from which on anchor rounds come before comparing all of them
-CHUNK = 4096  # members of a token that are compared by one task at once
+MARKS = 8  # anchor rounds at most
+CHUNK = 4096  # members of a token, or of a mark, that one task has at once
 PAIRS = 1 << 20  # pairs that a task holds before the filters
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,6 +92,11 @@ def least_difference(one: bytes, other: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def marks_of(tokens: np.ndarray) -> np.ndarray:
+    """The smallest value of each of MARKS hashes over the tokens: sets agree on each as often as they are similar."""
+    return np.array([_mix(tokens ^ (_ODD * np.uint64(seed))).min() for seed in range(1, MARKS + 1)], np.uint64)
+
+
 def common_counts(docs: DataFrame, width: int) -> np.ndarray:
     """How many shingles of all documents (``_text``) fall into each bucket."""
 
@@ -111,10 +116,10 @@ def common_counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(_id, size, node, prefix, bits)`` for each row ``(_id, _text)``; equal sets have equal nodes."""
+    """``(_id, size, node, prefix, bits, marks)`` for each row ``(_id, _text)``; equal sets have equal nodes."""
     counts = common_counts(docs, width)
 
-    @F.pandas_udf("size int, node binary, prefix array<long>, bits binary")
+    @F.pandas_udf("size int, node binary, prefix array<long>, bits binary, marks array<long>")
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
@@ -123,31 +128,30 @@ def token_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 first = prefix_length(len(tokens), percent) if len(tokens) else 0
                 common = counts[tokens >> np.uint64(48)]
                 prefix = tokens[np.lexsort((tokens, common))[:first]]
-                rows.append((len(tokens), hashlib.md5(tokens.tobytes()).digest(), prefix.view(np.int64), sketch(tokens)))
-            yield pd.DataFrame(rows, columns=["size", "node", "prefix", "bits"])
+                marks = marks_of(tokens).view(np.int64) if len(tokens) else None
+                rows.append((len(tokens), hashlib.md5(tokens.tobytes()).digest(), prefix.view(np.int64), sketch(tokens), marks))
+            yield pd.DataFrame(rows, columns=["size", "node", "prefix", "bits", "marks"])
 
     return docs.withColumn("_set", describe("_text")).select("_id", "_set.*")
 
 
 def shared_prefixes(reps: DataFrame) -> DataFrame:
     """``(token, rep, size, pos, load)``: prefix tokens that ``load`` representatives, two or more, have in their prefix."""
+    # One shuffle of the places; the count of a token is a frame over its sorted rows, which may spill.
     places = reps.selectExpr("rep", "size", "posexplode(prefix) AS (pos, token)")
-    loads = places.groupBy("token").agg(F.count("*").alias("load")).where("load > 1")
-    return places.join(loads, "token")
+    return places.selectExpr("*", "count(*) OVER (PARTITION BY token) AS load").where("load > 1")
 
 
-def anchor_pairs(crowded: DataFrame, percent: int, number: int, chunk: int = CHUNK) -> DataFrame:
-    """Candidates ``(a, b)``: representatives and the anchor of their group, one each, within the length limit.
+def anchor_pairs(reps: DataFrame, percent: int, number: int, chunk: int = CHUNK) -> DataFrame:
+    """Candidates ``(a, b)``: representatives and the anchor of those with the same mark, one each, within the length limit.
 
-    Each representative goes to the group of one of its tokens, that of the smallest hash, so that near
-    copies tend to choose the same; the hash and the anchor are other ones in each round. A group of any
-    size is dealt to chunks, and its rows are read as a stream.
+    A mark of many is dealt to chunks with an anchor each; rows are read as a stream.
     """
-    chosen = crowded.groupBy("rep", "size").agg(
-        F.expr(f"min(struct(xxhash64(token, {number}) AS hash, token, load)) AS pick"))
-    dealt = chosen.selectExpr("rep", "size", "pick.token AS token", f"xxhash64(rep, {number}) AS turn",
-                              f"pmod(xxhash64(rep, {number}, 'chunk'), ceil(pick.load / {chunk}D)) AS chunk")
-    met = dealt.selectExpr("rep", "size", "first(struct(rep, size)) OVER (PARTITION BY token, chunk ORDER BY turn, rep "
+    marked = reps.selectExpr("rep", "size", f"marks[{number}] AS mark", f"xxhash64(rep, {number}) AS turn")
+    heavy = marked.groupBy("mark").agg(F.count("*").alias("load")).where(f"load > {chunk}")
+    dealt = marked.join(heavy, "mark", "left").withColumn(
+        "chunk", F.expr(f"pmod(xxhash64(turn), ceil(coalesce(load, 1) / {chunk}D))"))
+    met = dealt.selectExpr("rep", "size", "first(struct(rep, size)) OVER (PARTITION BY mark, chunk ORDER BY turn, rep "
                            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor")
     return met.where(
         f"rep <> anchor.rep AND 100 * least(size, anchor.size) >= {percent} * greatest(size, anchor.size)",
@@ -219,7 +223,9 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
 
     described = pairs.join(side("a", reps, "size", "bits"), "a").join(side("b", reps, "size", "bits"), "b")
     close = stage(described.where(differ_little("a_bits", "b_bits", "a_size", "b_size")).select("a", "b"), "close-pairs")
-    wanted = close.selectExpr("explode(array(a, b)) AS rep").distinct().join(reps.select("rep", "node", "source"), "rep")
+    # Staged, so that its size is known when the join with the texts is planned.
+    wanted = stage(close.selectExpr("explode(array(a, b)) AS rep").distinct().join(reps.select("rep", "node", "source"), "rep"),
+                   "wanted")
     texts = docs.join(wanted.select("source").distinct(), F.expr("_id <=> source"), "left_semi")
     found = texts.withColumn("_set", sets.asNondeterministic()("_text")).select("_set.*").join(wanted.select("rep", "node"), "node")
     tokens = stage(found.dropDuplicates(["rep"]).select("rep", "tokens"), "token-sets")
@@ -227,37 +233,28 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
     return both.where(similar("a_tokens", "b_tokens")).select("a", "b")
 
 
-def _with_roots(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return members.withColumn("root", F.col("rep"))
-    roots = stage(connected_components(links), "roots")
-    return members.join(roots, F.col("rep") == F.col("node"), "left").selectExpr(
-        "token", "rep", "size", "pos", "load", "coalesce(root, rep) AS root")
-
-
-def similar_sets(docs: DataFrame, reps: DataFrame, width: int, percent: int, crowded: int = CROWDED,
-                 chunk: int = CHUNK) -> DataFrame:
+def similar_sets(docs: DataFrame, reps: DataFrame, width: int, percent: int, chunk: int = CHUNK) -> DataFrame:
     """Links ``(a, b)`` that join the same components as all pairs of representatives over the threshold."""
     shared = stage(shared_prefixes(reps), "shared-prefixes")
-    crowd = stage(shared.where(F.col("load") > crowded), "crowded-prefixes")
-    links, number = None, 0
-    while True:
-        due = crowd.select("rep").distinct().count()
-        if not due:
-            break
-        new = stage(linked(anchor_pairs(crowd, percent, number, chunk), reps, docs, width, percent), "links")
-        links = new if links is None else links.union(new)
-        number += 1
-        if new.count() * 20 < due:  # the rest is left to the comparison of all
+    links, total = docs.sparkSession.createDataFrame([], "a long, b long"), 0
+    alone = reps.select("rep", "size", "marks")
+    for number in range(MARKS):
+        new = stage(linked(anchor_pairs(alone, percent, number, chunk), reps, docs, width, percent), "links")
+        links, found = links.union(new), new.count()
+        total += found
+        if found * 50 <= total:  # the rest is left to the comparison of all
             break
-        crowd = stage(crowd.join(new.select(F.col("a").alias("rep")), "rep", "left_anti"), "crowded-prefixes")
-    pairs = all_pairs(_with_roots(shared, links), percent, chunk)
-    last = stage(linked(pairs, reps, docs, width, percent), "links")
-    return last if links is None else links.union(last)
+        alone = stage(alone.join(new.select(F.col("a").alias("rep")), "rep", "left_anti"), "alone")
+    # First among those that are left, then, with what that joins, among all.
+    for members in (shared.join(alone.select("rep"), "rep", "left_semi"), shared):
+        roots = stage(connected_components(links), "roots")
+        rooted = members.join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.expr("coalesce(root, rep)"))
+        links = links.union(stage(linked(all_pairs(rooted, percent, chunk), reps, docs, width, percent), "links"))
+    return links
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80,
-                       crowded: int = CROWDED, chunk: int = CHUNK) -> DataFrame:
+                       chunk: int = CHUNK) -> DataFrame:
     """``(key, n_shingles, component_id)`` for each row of ``docs``.
 
     Words are longest stretches without ASCII white space, A-Z lower-cased. Two documents are linked if the
@@ -275,9 +272,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     sets = stage(token_sets(rows, width, percent), "sets")
     reps = sets.where("size > 0").groupBy("node").agg(
         F.min("_id").alias("source"), F.first("size").alias("size"), F.first("prefix").alias("prefix"),
-        F.first("bits").alias("bits"))
+        F.first("bits").alias("bits"),
+        F.first("marks").alias("marks"))
     reps = stage(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
-    roots = stage(connected_components(similar_sets(rows, reps, width, percent, crowded, chunk)), "components")
+    roots = stage(connected_components(similar_sets(rows, reps, width, percent, chunk)), "components")
     known = stage(reps.select(F.col("node").alias("_node"), "rep", "source").join(
         roots, F.col("rep") == F.col("node"), "left").selectExpr("_node", "source", "coalesce(root, rep) AS root"), "classes")
     lowest = known.groupBy("root").agg(F.min("source").alias("component_id"))
