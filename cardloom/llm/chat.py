@@ -33,14 +33,28 @@ MARKERS = ("none", *ROLES, "first name", "second name", "later name")
 SIZES = (0, 40, 120, 400)
 STATES = [(role, opens) for role in ROLES for opens in (True, False)]
 # Values of each observed feature of a line.
-FEATURES = {"marker": len(MARKERS), "size": len(SIZES) + 1, "question": 2, "after blank": 2, "first": 2}
-PART_TURNS = 256  # a longer conversation is parsed in parts of so many turn numbers
-
-_MARKER = re.compile(r"\s*(?:[#*\[<|]+\s*)?([^\W\d_]{1,20})\s*(?:[*\]>|]+\s*)?(?::\s*|(?<=[\]>|])\s*$|(?<=[\]>|])\s+)")
+FEATURES = {"marker": len(MARKERS), "size": len(SIZES) + 1, "question": 2, "after blank": 2}
+PART_TURNS = 1024  # a longer conversation is written as transcripts of so many turn numbers
+PART_ROWS = 2048  # and of so many rows at most
+
+# A speaker's marker: an optional time, marks, a word with an optional number or time, closing marks, a colon
+# or a closing mark alone. Or the opening mark of a rendered turn, or a role's word before a dash.
+_TIME = r"[\[(]\d{1,2}:\d\d(?::\d\d)?(?:\s?[AaPp][Mm])?[\])]"
+_MARKER = re.compile(
+    rf"\s*(?:{_TIME}\s*)?(?:[#*\[<|]+\s*)?([^\W\d_]{{1,20}}(?: \d{{1,2}})?)(?:\s*{_TIME})?\s*(?:[*\]>|]+\s*)?"
+    r"(?::(?:\*+(?:\s+|$)|[ \t]?)|(?<=[\]>|])\s*$|(?<=[\]>|])\s+)"
+    r"|\s*<\|im_start\|>\s*(system|user|assistant)\s*"
+    r"|\s*(Human|User|Assistant|AI|Bot|System) [-\u2013\u2014] ")
+_CLOSING = re.compile(r"<\|im_end\|>\s*$")
 _ROLE_OF = {word: ROLES.index(role) for role, words in WORDS.items() for word in words.split()}
 _RANK = {word: rank for words in WORDS.values() for rank, word in enumerate(words.split())}
 
 
+def _word(match: re.Match) -> str:
+    """The speaker's word of a marker."""
+    return match[1] or match[2] or match[3]
+
+
 def _speakers(found: list[re.Match | None]) -> tuple[dict[str, int], set[str]]:
     """The words that mark speakers in a transcript, with their markers, and those of them that are surely no text.
 
@@ -51,7 +65,7 @@ def _speakers(found: list[re.Match | None]) -> tuple[dict[str, int], set[str]]:
     turns (twice or more) two count, besides one that only opens the transcript. Where fewer than
     two do so all count, and the third and later ones may still be text.
     """
-    words = [match[1] for match in found if match]
+    words = [_word(match) for match in found if match]
     cases = [word.islower() for word in words if word.lower() in _ROLE_OF]
     named, roles, before, role_before, run = Counter(), Counter(), None, None, set()
     for word in words:
@@ -81,22 +95,32 @@ def _speakers(found: list[re.Match | None]) -> tuple[dict[str, int], set[str]]:
     return {name: 4 + min(2, at) for at, name in enumerate(names)}, set(names if len(often) == 2 else names[:2])
 
 
-def observe(lines: list[str]) -> tuple[np.ndarray, list[str]]:
-    """The features of each line, a row of FEATURES each, and the lines without their markers."""
+def observe(lines: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The features of each line, a row of FEATURES each, the lines without their markers, and which had a sure speaker's."""
     found = [_MARKER.match(line) for line in lines]
-    found = [match if match and (match[1].lower() in _ROLE_OF or match[1][0].isupper()) else None for match in found]
+    found = [match if match and (_word(match).lower() in _ROLE_OF or _word(match)[0].isupper()) else None for match in found]
     markers, sure = _speakers(found)
-    lower = next((match[1].islower() for match in found if match and match[1].lower() in _ROLE_OF), None)
-    rows, bare = [], []
+    lower = next((_word(match).islower() for match in found if match and _word(match).lower() in _ROLE_OF), None)
+    closed = any(match and match[2] for match in found)
+    rows, bare, opening = [], [], []
     for at, (line, match) in enumerate(zip(lines, found)):
-        word = match[1] if match else ""
+        word = _word(match) if match else ""
         if word.lower() in _ROLE_OF:
             word = word.lower() if word.islower() == lower else ""
         marker = markers.get(word, 0)
         size = sum(len(line) - (match.end() if marker else 0) > limit for limit in SIZES)
-        bare.append(line[match.end():] if marker and word in sure else line)
-        rows.append((marker, size, int(line.rstrip().endswith("?")), int(at > 0 and not lines[at - 1].strip()), int(at == 0)))
-    return np.array(rows, np.int64).reshape(len(lines), len(FEATURES)), bare
+        opening.append(bool(marker) and word in sure)
+        without = line[match.end():] if opening[-1] else line
+        bare.append(_CLOSING.sub("", without) if closed else without)
+        rows.append((marker, size, int(line.rstrip().endswith("?")), int(at > 0 and not lines[at - 1].strip())))
+    return np.array(rows, np.int64).reshape(len(lines), len(FEATURES)), bare, np.array(opening, bool)
+
+
+_OPENS = np.array([opens for _, opens in STATES])
+# Whether a state may follow another: a line that opens no turn has the role of the line before.
+_FOLLOWS = np.array([[opens or role == before for role, opens in STATES] for before, _ in STATES])
+# The states of a line that opens a turn, by its marker.
+_ALLOWED = np.array([[opens and (marker not in ROLES or marker == role) for role, opens in STATES] for marker in MARKERS])
 
 
 @dataclass(frozen=True)
@@ -108,12 +132,18 @@ class ChatModel:
     emit: tuple[np.ndarray, ...]
 
     def decode(self, observed: np.ndarray, opening: np.ndarray | None = None) -> np.ndarray:
-        """The likeliest states, by Viterbi; of equally likely ones the first. Lines of ``opening`` open a turn."""
+        """The likeliest states, by Viterbi; of equally likely ones the first.
+
+        Lines of ``opening`` open a turn, and of the role that their marker names, if it names one. With
+        ``opening`` given, an empty line behind another opens none.
+        """
         if not len(observed):
             return np.zeros(0, np.int64)
         scores = sum(table[:, observed[:, number]] for number, table in enumerate(self.emit)).T
         if opening is not None:
-            scores = np.where(opening[:, None] & ~np.array([opens for _, opens in STATES]), -np.inf, scores)
+            empty = (observed[:, 0] == 0) & (observed[:, 1] == 0) & (np.arange(len(observed)) > 0)
+            barred = opening[:, None] & ~_ALLOWED[observed[:, 0]] | empty[:, None] & _OPENS
+            scores = np.where(barred, -np.inf, scores)
         back = np.zeros(scores.shape, np.int64)
         best = self.start + scores[0]
         for line in range(1, len(scores)):
@@ -150,13 +180,15 @@ def count_states(observed: np.ndarray, states: np.ndarray) -> np.ndarray:
 
 
 def model_of(counts: np.ndarray) -> ChatModel:
-    """Probabilities from counts, one added to each; without counts all are alike."""
-    def logs(table: np.ndarray) -> np.ndarray:
-        return np.log((table + 1) / (table + 1).sum(axis=-1, keepdims=True))
+    """Probabilities from counts, one added to each that can occur; without counts all are alike."""
+    def logs(table: np.ndarray, possible: np.ndarray | bool = True) -> np.ndarray:
+        smooth = np.where(possible, table + 1.0, 0.0)
+        with np.errstate(divide="ignore"):
+            return np.log(smooth / smooth.sum(axis=-1, keepdims=True))
 
     size, (_, places) = len(STATES), _slots()
     return ChatModel(
-        logs(counts[:size]), logs(counts[size:size + size * size].reshape(size, size)),
+        logs(counts[:size], _OPENS), logs(counts[size:size + size * size].reshape(size, size), _FOLLOWS),
         tuple(logs(counts[at:at + size * values].reshape(size, values)) for at, values in zip(places, FEATURES.values())))
 
 
@@ -194,16 +226,20 @@ def read_turns(transcript: str, model: ChatModel) -> list[tuple[str, str]]:
 
     A line with the marker of a sure speaker opens a turn, and only such a line loses its marker.
     """
-    whole = transcript.split("\n")
-    observed, bare = observe(whole)
+    observed, bare, opening = observe(transcript.split("\n"))
     turns: list[tuple[str, list[str]]] = []
-    opening = np.array([line != without for line, without in zip(whole, bare)])
     for state, without in zip(model.decode(observed, opening), bare):
         role, opens = STATES[state]
         if opens or not turns or turns[-1][0] != role:
             turns.append((role, []))
         turns[-1][1].append(without)
-    return [(role, "\n".join(lines).strip()) for role, lines in turns]
+    return [(role, _trimmed(lines)) for role, lines in turns]
+
+
+def _trimmed(lines: list[str]) -> str:
+    """The lines of a turn without blank lines and white space around them; the first keeps its indentation."""
+    first = next((at for at, line in enumerate(lines) if line.strip()), len(lines))
+    return "\n".join(lines[first:]).rstrip()
 
 
 def render(turns: list[tuple[str, str]]) -> str:
@@ -213,20 +249,28 @@ def render(turns: list[tuple[str, str]]) -> str:
 
 
 def gathered_turns(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
-    """``(_id, part, style, turns)``: the turns of a conversation in order, by parts of bounded length.
+    """``(_id, part, slice, style, turns)``: the turns of a conversation in order, by parts of bounded length.
 
     A row that repeats turn, role and text counts once, before turns are gathered, so a hot
-    conversation is combined where it is read. Turns of one number are in order of role and
-    text; those without a number come last, in a part of their own.
+    conversation is combined where it is read. A part has PART_TURNS turn numbers and PART_ROWS
+    rows at most; turns of one number are in order of role and text. A row without a number, or
+    without a conversation, belongs to no other row: it is a transcript of its own, with a NULL
+    part and a slice by its hash.
     """
     once = conversations.selectExpr(f"{quoted(key)} AS _id", "turn", "role", "text").distinct()
-    return once.groupBy("_id", F.expr(f"coalesce(floor(turn / {PART_TURNS}), {1 << 53}) AS part")).agg(
+    whole = "_id IS NOT NULL AND turn IS NOT NULL"
+    placed = once.selectExpr("*", f"IF({whole}, floor(turn / {PART_TURNS}), NULL) AS part",
+                             f"IF({whole}, 0L, xxhash64(turn, role, text)) AS alone")
+    # Sorted, so it spills; only rows that share their turn numbers are numbered together, and no list exceeds PART_ROWS.
+    in_order = "row_number() OVER (PARTITION BY _id, part, alone ORDER BY turn, role, text)"
+    numbered = placed.selectExpr("*", f"IF(part IS NULL, alone, floor(({in_order} - 1) / {PART_ROWS})) AS slice")
+    return numbered.groupBy("_id", "part", "alone", "slice").agg(
         F.expr("array_sort(collect_list(struct(turn, role, text))) AS turns")
-    ).selectExpr("_id", "part", "CAST(pmod(xxhash64(_id, part), 6) AS INT) AS style", "turns")
+    ).selectExpr("_id", "part", "slice", "CAST(pmod(xxhash64(_id, alone), 6) AS INT) AS style", "turns")
 
 
 def transcripts(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
-    """``(key, part, transcript)``: conversations as plain text, in a style by the hash of the key."""
+    """``(key, part, slice, transcript)``: conversations as plain text, in a style by the hash of the key."""
 
     @F.pandas_udf("string")
     def written(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -236,7 +280,7 @@ def transcripts(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
 
     text_batches(conversations.sparkSession)
     found = gathered_turns(conversations, key)
-    return found.select(F.col("_id").alias(key), "part", written("turns", "style").alias("transcript"))
+    return found.select(F.col("_id").alias(key), "part", "slice", written("turns", "style").alias("transcript"))
 
 
 def fit(conversations: DataFrame, key: str = "conv_id") -> ChatModel:

@@ -59,7 +59,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as transcripts of several styles, and their roles recovered."""
     turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     model = chat.fit(turns.where(f"NOT ({HELD_OUT.format('conv_id')})"))
-    return chat.format_chats(chat.transcripts(turns), model, keep=["conv_id", "part"]).drop("turns")
+    return chat.format_chats(chat.transcripts(turns), model, keep=["conv_id", "part", "slice"]).drop("turns")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
