@@ -11,6 +11,7 @@ from cardloom.schema import AMOUNT, EVENT_TIME, LABEL
 from cardloom.sources.tables import stage
 
 CELLS = ("tp", "fp", "fn", "tn")
+UNSCORED = ("unscored_fraud", "unscored_normal")
 
 # The limits a first release has to meet.
 MAX_FALSE_POSITIVE_RATE = 0.05
@@ -24,24 +25,36 @@ def _add(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def confusion_counts(df: DataFrame, by: Sequence[str] = (), label: str = LABEL,
-                     prediction: str = "prediction") -> DataFrame:
-    """``(by..., tp, fp, fn, tn)`` in one pass."""
+                     prediction: str = "prediction", unscored: bool = False) -> DataFrame:
+    """``(by..., tp, fp, fn, tn)`` in one pass.
+
+    With ``unscored`` the rows that have a label but no prediction are counted as well, by class.
+    """
+    missing = [f"count_if({label} = {y} AND {prediction} IS NULL) AS {name}" for y, name in zip((1, 0), UNSCORED)]
     actual_and_predicted = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
     return df.groupBy(*by).agg(*[
         F.expr(f"count_if({label} = {y} AND {prediction} = {p}) AS {cell}")
         for cell, (y, p) in actual_and_predicted.items()
-    ])
+    ], *[F.expr(text) for text in missing if unscored])
 
 
 def classification_metrics(counts: DataFrame) -> DataFrame:
-    """Add accuracy, precision, recall and F1; NULL where a rate has no base."""
-    return _add(
+    """Add accuracy, precision, recall and F1; NULL where a rate has no base.
+
+    Where unscored rows were counted, also the share of rows that were scored and the recall among
+    all fraud, scored or not.
+    """
+    rated = _add(
         counts,
         accuracy=ratio("tp + tn", "tp + fp + fn + tn"),
         precision=ratio("tp", "tp + fp"),
         recall=ratio("tp", "tp + fn"),
         f1=ratio("2 * tp", "2 * tp + fp + fn"),
     )
+    if not set(UNSCORED) <= set(counts.columns):
+        return rated
+    return _add(rated, scored_share=ratio("tp + fp + fn + tn", f"tp + fp + fn + tn + {' + '.join(UNSCORED)}"),
+                recall_of_all=ratio("tp", "tp + fn + unscored_fraud"))
 
 
 def hard_areas(counts: DataFrame) -> DataFrame:
@@ -140,8 +153,12 @@ def _class_totals(steps: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def error_rates(counts: DataFrame, max_fp_rate: float = MAX_FALSE_POSITIVE_RATE,
                 max_fn_rate: float = MAX_FALSE_NEGATIVE_RATE) -> DataFrame:
-    """Add the error rates (of normal and of fraud rows) and whether they meet the limits."""
-    rated = _add(counts, fp_rate=ratio("fp", "fp + tn"), fn_rate=ratio("fn", "tp + fn"))
+    """Add the error rates (of normal and of fraud rows) and whether they meet the limits.
+
+    Fraud without a prediction counts as missed where it was counted.
+    """
+    missed = "fn + unscored_fraud" if set(UNSCORED) <= set(counts.columns) else "fn"
+    rated = _add(counts, fp_rate=ratio("fp", "fp + tn"), fn_rate=ratio(missed, f"tp + {missed}"))
     meets = f"coalesce(fp_rate < {max_fp_rate!r}D AND fn_rate < {max_fn_rate!r}D, false)"
     return _add(rated, meets_limits=meets)
 

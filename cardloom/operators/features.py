@@ -47,10 +47,27 @@ def fit_features(train: DataFrame, with_scenario: bool = False, on_unseen: str =
     return Pipeline(stages=feature_stages(with_scenario, on_unseen)).fit(train)
 
 
-def vector_columns(df: DataFrame, vector: str, prefix: str, size: int, digits: int | None = None) -> DataFrame:
-    """Spread the first ``size`` entries of a vector over columns ``<prefix>0``, ``<prefix>1``, ..."""
+def vector_size(df: DataFrame, vector: str) -> int | None:
+    """Number of entries of a vector column, if the stage that made it says so."""
+    return df.schema[vector].metadata.get("ml_attr", {}).get("num_attrs")
+
+
+def vector_columns(df: DataFrame, vector: str, prefix: str, size: int | None = None, digits: int | None = None) -> DataFrame:
+    """Spread a vector over columns ``<prefix>0``, ``<prefix>1``, ... to ``size``, by default the vector's own size.
+
+    A vector with more entries is an error, at once if the column's metadata has the size, else when
+    such a row is met; entries beyond a shorter vector, and those of a NULL vector, are NULL.
+    """
+    known = vector_size(df, vector)
+    if size is None and known is None:
+        raise ValueError(f"the size of {vector} is not known: name it")
+    if size is not None and known is not None and known > size:
+        raise ValueError(f"{vector} has {known} entries, more than {size}")
+    size = known if size is None else size
     spread = df.withColumn("_values", vector_to_array(vector))
-    entries = [f"get(_values, {i})" for i in range(size)]
+    long = f"raise_error(concat('a vector has ', size(_values), ' entries, more than {size}'))"
+    entries = [f"IF(size(_values) > {size}, {long}, get(_values, {i}))" if known is None else f"get(_values, {i})"
+               for i in range(size)]
     if digits is not None:
         entries = [f"round({entry}, {digits})" for entry in entries]
     return spread.selectExpr(*df.columns, *[f"{entry} AS {prefix}{i}" for i, entry in enumerate(entries)])

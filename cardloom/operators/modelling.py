@@ -8,7 +8,6 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardloom.functions.hashing import unit_uniform
 from cardloom.functions.scoring import LinearModel
+from cardloom.operators.evaluation import score_areas
 from cardloom.operators.features import FEATURES, NUMERIC_FEATURES, feature_stages, fit_features
 from cardloom.schema import KEY, LABEL
 from cardloom.sources.tables import stage
@@ -27,6 +27,8 @@ GRID_FIT_INTERCEPT = [False, True]
 GRID_ELASTIC_NET = [0.0, 0.5, 1.0]
 TRAIN_RATIO = 0.75
 
+GRID_BINS = 16_384  # steps of a candidate's curve while tuning
+
 
 class Tuned(NamedTuple):
     model: PipelineModel
@@ -119,20 +121,44 @@ def score_with_all(rows: DataFrame, models: Mapping[str, PipelineModel | LinearM
     return scored.selectExpr(*keep, f"inline(array({', '.join(structs)}))")
 
 
+def grid_areas(rows: DataFrame, candidates: Sequence[tuple[Sequence[float], float]], features: str = FEATURES,
+               label: str = LABEL, bins: int = GRID_BINS) -> DataFrame:
+    """``(candidate, area_under_roc, area_under_pr)`` of many linear models, from one scan of ``rows``.
+
+    A candidate is its coefficients and its intercept; it is named by its position. Features lie
+    between 0 and 1, as the feature chain leaves those it was fitted on, so the least and the
+    greatest margin of a candidate are known beforehand. Margins are counted in ``bins`` equal steps
+    between them, one aggregate for all candidates; at most ``bins`` rows a candidate are sorted. A
+    row without a vector or with a NaN feature is left out. An empty table has no areas.
+    """
+    places = []
+    for at, (coefficients, intercept) in enumerate(candidates):
+        low = sum(min(c, 0.0) for c in coefficients)
+        width = sum(abs(c) for c in coefficients) or 1.0
+        terms = " + ".join(f"{float(c)!r}D * get(_values, {i})" for i, c in enumerate(coefficients) if c) or "0D"
+        # The intercept moves all margins of a candidate alike, so it has no place in the order.
+        places.append(f"named_struct('candidate', {at}, 'place', ({terms} - {float(low)!r}D) / {float(width)!r}D)")
+    spread = rows.select(label, vector_to_array(features).alias("_values"))
+    complete = spread.where("_values IS NOT NULL AND NOT exists(_values, v -> isnan(v))")
+    placed = complete.selectExpr(label, f"inline(array({', '.join(places)}))")
+    return score_areas(placed, by=["candidate"], score="place", label=label, bins=bins)
+
+
 def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = False, on_unseen: str = "error",
          parallelism: int = 2, seed: int = 7, base: LogisticRegression | None = None,
-         keep_sub_models: bool = False) -> Tuned:
+         keep_sub_models: bool = False, method: str = "xxhash64") -> Tuned:
     """Search the grid on one train/validation split by area under the precision-recall curve.
 
     The split is by a hash of the transaction, so it does not depend on partitions, and copies of
     a row stay on one side. The fits are weighted; the area counts each validation row once.
     The features are fitted and applied once, and only label, weight, vector and side are
-    staged; every fit then reads that narrow table. The best point is fitted again on all rows.
+    staged; every fit then reads that narrow table, and one scan of the validation side gives the
+    areas of all candidates. The best point, of equals the first, is fitted again on all rows.
     The models that lose are dropped unless asked for.
     """
     features = fit_features(train, with_scenario, on_unseen)
     columns = [LABEL, FEATURES, *([weight] if weight else [])]
-    side = f"{unit_uniform(f'tune-{seed}', KEY)} < {TRAIN_RATIO!r}D AS _fit"
+    side = f"{unit_uniform(f'tune-{seed}', KEY, method=method)} < {TRAIN_RATIO!r}D AS _fit"
     prepared = stage(features.transform(train).selectExpr(*columns, side), "tuning")
     lr = base or classifier(weight)
     grid = (
@@ -142,20 +168,16 @@ def tune(train: DataFrame, weight: str | None = None, with_scenario: bool = Fals
         .addGrid(lr.elasticNetParam, GRID_ELASTIC_NET)
         .build()
     )
-    evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderPR")
     fits, kept = prepared.where("_fit"), prepared.where("NOT _fit")
     models: list = [None] * len(grid)
-    areas = [0.0] * len(grid)
-
-    def measure(point: tuple) -> None:
-        at, model = point
-        areas[at] = evaluator.evaluate(model.transform(kept))
-        models[at] = model if keep_sub_models else None
-
     todo = lr.fitMultiple(fits, grid)
     with ThreadPool(min(parallelism, len(grid))) as pool:  # each thread takes the next point and fits it
-        for _ in pool.imap_unordered(lambda _: measure(next(todo)), range(len(grid))):
-            pass
+        for at, model in pool.imap_unordered(lambda _: next(todo), range(len(grid))):
+            models[at] = model
+    areas = [0.0] * len(grid)
+    linear = [(list(map(float, model.coefficients)), float(model.intercept)) for model in models]
+    for row in grid_areas(kept, linear).collect():  # a row per candidate
+        areas[row.candidate] = row.area_under_pr or 0.0  # none without fraud on this side
     best = max(range(len(grid)), key=areas.__getitem__)
     rows = [
         (i, point[lr.regParam], point[lr.fitIntercept], point[lr.elasticNetParam],

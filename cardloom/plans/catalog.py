@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cardloom.functions.hashing import unit_uniform
 from cardloom.functions.rules import parity_rules, strict_rules
 from cardloom.functions.scoring import LinearModel
 from cardloom.operators import cleaning, comparison, evaluation, profile, sampling
@@ -20,14 +21,15 @@ from cardloom.operators.features import (
     fit_features, scenario_encoder, scenario_indexer, vector_columns,
 )
 from cardloom.operators.modelling import (
-    coefficient_rows, fit_scorer, load_model, save_model, score_rows, score_with_all, summary_rows, tune,
+    GRID_ELASTIC_NET, GRID_FIT_INTERCEPT, GRID_REG_PARAM, TRAIN_RATIO, coefficient_rows, fit_scorer, grid_areas, load_model,
+    save_model, score_rows, score_with_all, summary_rows, tune,
 )
 from cardloom.plans.clean import merge_new_files
 from cardloom.plans.monitor import monitor
 from cardloom.plans.stream import start_routed
 from cardloom.plans.train import WEIGHT, TrainOptions, known_model_options, prepare, train_model
 from cardloom.plans.validate import validate
-from cardloom.schema import COLUMNS, KEY, transactions_schema
+from cardloom.schema import COLUMNS, KEY, LABEL, transactions_schema
 from cardloom.session import scratch_path, use_utc
 from cardloom.sources.events import feed_lines, load_transactions, stream_transactions
 from cardloom.sources.feed import read_feed, read_rejected_lines, write_feed_lines
@@ -272,6 +274,77 @@ def tune_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(tune(train, WEIGHT, parallelism=4).candidates, round_all=True)
 
 
+# A fit has one result that any method finds: the least of its convex loss. These settings reach it.
+CONVERGED = {"maxIter": 300, "regParam": 0.05, "elasticNetParam": 0.0, "tol": 1e-12}
+
+
+def _converged(spark: SparkSession, sf_dir: str):
+    """The weighted fit on the training part, carried to its end, with the rows of both parts."""
+    train, test = prepare(_staged_clean(spark, sf_dir), TrainOptions(method=PORTABLE))
+    return fit_scorer(train, WEIGHT, **CONVERGED), train, test
+
+
+def train_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coefficient_rows(_converged(spark, sf_dir)[0]).selectExpr("term", "round(coefficient, 4) AS coefficient")
+
+
+def train_converged_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary's weighted accuracy, the areas over all training rows, and whether the summary's area is that one."""
+    model, train, _ = _converged(spark, sf_dir)
+    areas = evaluation.score_areas_exact(score_rows(train, model, keep=[LABEL]))
+    told = summary_rows(model, "converged").groupBy("run").agg(
+        F.expr("max(value) FILTER (WHERE metric = 'training_accuracy') AS accuracy"),
+        F.expr("max(value) FILTER (WHERE metric = 'training_area_under_roc') AS summary_area"))
+    return told.join(areas, F.lit(True)).selectExpr(
+        "run", "round(accuracy, 5) AS accuracy", "round(area_under_roc, 5) AS area_under_roc",
+        "round(area_under_pr, 4) AS area_under_pr", "abs(summary_area - area_under_roc) < 0.002 AS summary_agrees")
+
+
+def train_converged_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells and rates of the test rows by the fitted model, of each day."""
+    model, _, test = _converged(spark, sf_dir)
+    scored = score_rows(test, model, keep=[LABEL, "tx_time_days"])
+    counts = evaluation.confusion_counts(scored, by=["tx_time_days"], unscored=True)
+    return _present(evaluation.classification_metrics(counts), round_all=True)
+
+
+def stream_score_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean score by day of the stream scored by the fitted, saved and loaded model."""
+    path = scratch_path(spark, "stream-converged")
+    save_model(_converged(spark, sf_dir)[0], path)
+    by_day = _drained_scores(spark, sf_dir, load_model(path)).groupBy("tx_time_days")
+    return by_day.agg(F.expr("count(*) AS rows"), F.expr("round(avg(score), 4) AS mean_score"))
+
+
+# Fixed: 18 weight vectors, two kinds of amounts by three of seconds by three of days.
+GRID_VECTORS = [([amount, seconds, days], -1.0) for amount in (3.0, -0.5) for seconds in (0.0, 0.25, -1.0) for days in (0.0, 0.5, -2.0)]
+
+
+def grid_areas_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of 18 linear models on the scaled features, from one scan."""
+    rows = _staged_clean(spark, sf_dir)
+    return _present(grid_areas(fit_features(rows).transform(rows), GRID_VECTORS), round_all=True)
+
+
+def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid's points, the sizes of the two sides, and what must hold of every fit and of the choice.
+
+    A fit without an intercept has none, and the point that was chosen has the largest of the areas.
+    """
+    train, _ = prepare(_staged_clean(spark, sf_dir), TrainOptions(method=PORTABLE))
+    tuned = tune(train, WEIGHT, parallelism=4, keep_sub_models=True, method=PORTABLE)
+    intercepts = [(at, float(model.intercept)) for at, model in enumerate(tuned.sub_models)]
+    fits = spark.createDataFrame(intercepts, "at INT, intercept DOUBLE")
+    sides = train.selectExpr(f"{unit_uniform('tune-7', KEY, method=PORTABLE)} < {TRAIN_RATIO!r}D AS fitted", LABEL).agg(
+        F.expr("count_if(fitted) AS fit_rows"), F.expr("count_if(NOT fitted) AS validation_rows"),
+        F.expr(f"count_if(NOT fitted AND {LABEL} = 1) AS validation_fraud"))
+    best = "max(area_under_pr) OVER ()"
+    return tuned.candidates.join(fits, F.expr("at = candidate")).join(sides, F.lit(True)).selectExpr(
+        "reg_param", "fit_intercept", "elastic_net", "fit_rows", "validation_rows", "validation_fraud",
+        "fit_intercept OR intercept = 0 AS intercept_kept", f"NOT is_best OR area_under_pr = {best} AS best_is_largest",
+        "count_if(is_best) OVER () AS chosen")
+
+
 def model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows scored by the fitted model and by its saved and reloaded copy."""
     trained = train_model(_staged_clean(spark, sf_dir), TrainOptions(method=PORTABLE))
@@ -299,6 +372,13 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _confusion(spark, sf_dir)
 
 
+def confusion_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions cleaned by the parity rules, some without an amount: cells, unscored rows and rates."""
+    scored = score_rows(_cleaned(spark, sf_dir, strict=False), CANDIDATE, keep=[LABEL])
+    counts = evaluation.confusion_counts(scored, unscored=True)
+    return _present(evaluation.error_rates(evaluation.classification_metrics(counts)), round_all=True)
+
+
 def label_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second pair of 0/1 columns: ``toxic`` judged by low ``quality``."""
     labels = read_table(spark, f"{sf_dir}/labels.parquet").selectExpr("toxic", "1 - quality AS guess")
@@ -348,6 +428,19 @@ def bootstrap_by_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(comparison.sample_scores(counts), round_all=True)
 
 
+def bootstrap_by_cell_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each cell its rows, the samples, and whether the draws of all samples lie within six deviations of their mean."""
+    scored = _scored(spark, sf_dir)
+    drawn = comparison.bootstrap_counts_by_cell(scored)
+    cells = ", ".join(f"'{cell}', {cell}" for cell in evaluation.CELLS)
+    totals = drawn.selectExpr("model", "replicate", f"stack(4, {cells}) AS (cell, drawn)").groupBy("model", "cell").agg(
+        F.expr("count(DISTINCT replicate) AS samples"), F.expr("sum(drawn) AS drawn"))
+    held = evaluation.confusion_counts(scored, by=["model"]).selectExpr("model", f"stack(4, {cells}) AS (cell, rows)")
+    mean = f"rows * {comparison.REPLICATES * comparison.FRACTION!r}D"
+    return held.join(totals, ["model", "cell"]).selectExpr(
+        "model", "cell", "rows", "samples", f"abs(drawn - {mean}) <= 6 * sqrt({mean}) AS within_bounds")
+
+
 def score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison.score_histogram(comparison.sample_scores(_bootstrap(spark, sf_dir)))
 
@@ -478,7 +571,8 @@ _QUERIES: tuple[Query, ...] = (
     profile_nulls, profile_violations, profile_domains, profile_key_count,
     sample_rows, sample_with_replacement, sample_first_part, train_test_split, class_counts, oversample_minority, class_weights,
     index_scenario, onehot_scenario, assemble_features, minmax_scale, feature_pipeline,
-    train_baseline, train_known_model, train_summary, tune_candidate, model_reload_score, score_transactions, score_missing_features,
+    train_baseline, train_known_model, train_summary, train_converged, train_converged_summary, train_converged_holdout,
+    grid_areas_fixed, tune_grid, tune_candidate, confusion_unscored, bootstrap_by_cell_bounds, stream_score_converged, model_reload_score, score_transactions, score_missing_features,
     confusion_matrix, label_confusion, classification_metrics, classification_metrics_swapped, hard_auc,
     score_auc, score_auc_exact, bootstrap_counts, bootstrap_aupr, bootstrap_aupr_swapped, bootstrap_by_cell,
     score_histogram, score_interval, ab_ttest, promotion_gate, metrics_long, kpi_error_rates,

@@ -448,3 +448,133 @@ SELECT transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predi
     "window_metrics_all": f"WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows",
     "stream_window_metrics": f"WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows",
 }
+
+
+# ---- a fit carried to its end, by Newton's method
+
+_FITTED_ON = ("1.0::DOUBLE", "x1", "x2", "x3")
+_TERMS = ("intercept", "tx_amount", "tx_time_seconds", "tx_time_days")
+
+
+def _solved(size: int, source: str) -> str:
+    """Columns ``d0..`` that solve ``h * d = g`` for the symmetric matrix ``h<i><j>`` and vector ``g<i>`` of one row."""
+    query, names = f"SELECT * FROM {source}", [f"{i}{j}" for i in range(size) for j in range(i, size)]
+    entry = lambda i, j: f"h{min(i, j)}{max(i, j)}"
+    for k in range(size - 1):  # eliminate one unknown after the other
+        rows = [f"{entry(i, j)} - {entry(k, i)} * {entry(k, j)} / h{k}{k} AS {entry(i, j)}"
+                for i in range(k + 1, size) for j in range(i, size)]
+        right = [f"g{i} - {entry(k, i)} * g{k} / h{k}{k} AS g{i}" for i in range(k + 1, size)]
+        query = f"SELECT * REPLACE ({', '.join(rows + right)}) FROM ({query})"
+    for k in reversed(range(size)):
+        known = "".join(f" - {entry(k, j)} * d{j}" for j in range(k + 1, size))
+        query = f"SELECT *, (g{k}{known}) / h{k}{k} AS d{k} FROM ({query})"
+    return query
+
+
+def _newton_sums() -> str:
+    """Gradient and second derivatives of the mean weighted loss, with a ridge of 0.05 on coefficients of unit deviation."""
+    ridge = ["0::DOUBLE", *[f"any_value(0.05 * s{i} * s{i})" for i in (1, 2, 3)]]
+    x = _FITTED_ON
+    second = [f"sum(w * p * (1 - p) * {x[i]} * {x[j]}) / any_value(total){f' + {ridge[i]}' if i == j else ''} AS h{i}{j}"
+              for i in range(4) for j in range(i, 4)]
+    first = [f"sum(w * (y - p) * {x[i]}) / any_value(total) - {ridge[i]} * b{i} AS g{i}" for i in range(4)]
+    return f"""(SELECT step, b0, b1, b2, b3, {', '.join(second + first)}
+    FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2 + b3 * x3))) AS p FROM newton, points, spread WHERE step < 12)
+    GROUP BY step, b0, b1, b2, b3)"""
+
+
+def _points(source: str) -> str:
+    """The rows of ``source`` with features scaled by the training rows."""
+    scaled = [f"{_scaled(term, 'train_rows')} AS x{i}" for i, term in enumerate(_TERMS) if i]
+    return f"SELECT *, tx_fraud AS y, {', '.join(scaled)} FROM {source}"
+
+
+_CONVERGED = f"""{_CLEAN}, {_TRAIN_ROWS}, {_FACTOR.replace('FROM cleaned', 'FROM train_rows')},
+points AS (SELECT *, CAST(CASE WHEN y = 1 THEN (SELECT k FROM factor) ELSE 1 END AS DOUBLE) AS w FROM ({_points('train_rows')})),
+means AS (SELECT sum(w) AS total, sum(w * w) AS squares, {', '.join(f'sum(w * x{i}) / sum(w) AS m{i}' for i in (1, 2, 3))} FROM points),
+spread AS (SELECT any_value(total) AS total, {', '.join(
+    f'sqrt(sum(w * (x{i} - m{i}) * (x{i} - m{i})) / any_value(total - squares / total)) AS s{i}' for i in (1, 2, 3))} FROM points, means),
+newton AS (
+    SELECT 0 AS step, 0::DOUBLE AS b0, 0::DOUBLE AS b1, 0::DOUBLE AS b2, 0::DOUBLE AS b3
+    UNION ALL
+    SELECT step + 1, b0 + d0, b1 + d1, b2 + d2, b3 + d3 FROM ({_solved(4, _newton_sums())})
+),
+solution AS (SELECT * FROM newton WHERE step = 12)"""
+
+_BY_SOLUTION = "1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2 + b3 * x3))) AS score"
+
+
+def _curve_areas(steps: str, by: str) -> str:
+    """Areas by ``by`` of the curve of ``steps`` ``(by, step, p, n)``, as the relations ``running``, ``curve``, ``edges``, ``areas``."""
+    return f"""running AS (
+    SELECT *, sum(p) OVER w AS cp, sum(n) OVER w AS cn, sum(p) OVER (PARTITION BY {by}) AS pos, sum(n) OVER (PARTITION BY {by}) AS neg
+    FROM {steps} WINDOW w AS (PARTITION BY {by} ORDER BY step DESC ROWS UNBOUNDED PRECEDING)
+),
+curve AS (SELECT *, cp::DOUBLE / pos AS rec, cn::DOUBLE / neg AS fall, cp::DOUBLE / (cp + cn) AS prec FROM running),
+edges AS (
+    SELECT *, coalesce(lag(rec) OVER w, 0) AS rec0, coalesce(lag(fall) OVER w, 0) AS fall0, coalesce(lag(prec) OVER w, prec) AS prec0
+    FROM curve WINDOW w AS (PARTITION BY {by} ORDER BY step DESC)
+),
+areas AS (SELECT {by}, sum((fall - fall0) * (rec + rec0) / 2) AS area_under_roc, sum((rec - rec0) * (prec + prec0) / 2) AS area_under_pr
+    FROM edges GROUP BY {by})"""
+
+
+_CLASSES = "count(*) FILTER (WHERE tx_fraud = 1) AS p, count(*) FILTER (WHERE tx_fraud = 0) AS n"
+_GRID = [(amount, seconds, days) for amount in (3.0, -0.5) for seconds in (0.0, 0.25, -1.0) for days in (0.0, 0.5, -2.0)]
+_GRID_ROWS = ", ".join(f"({at}, {a}::DOUBLE, {s}::DOUBLE, {d}::DOUBLE)" for at, (a, s, d) in enumerate(_GRID))
+_UNSCORED = """count(*) FILTER (WHERE tx_fraud = 1 AND prediction IS NULL) AS unscored_fraud,
+       count(*) FILTER (WHERE tx_fraud = 0 AND prediction IS NULL) AS unscored_normal"""
+_RATES_OF_ALL = """round((tp + fp + fn + tn)::DOUBLE / nullif(tp + fp + fn + tn + unscored_fraud + unscored_normal, 0), 6) AS scored_share,
+       round(tp::DOUBLE / nullif(tp + fn + unscored_fraud, 0), 6) AS recall_of_all"""
+
+ORACLE_SQL |= {
+    "train_converged": f"""WITH RECURSIVE {_CONVERGED}
+SELECT term, round(coefficient, 4) AS coefficient FROM (
+""" + " UNION ALL ".join(f"SELECT '{term}' AS term, b{i} AS coefficient FROM solution" for i, term in enumerate(_TERMS)) + ")",
+    "train_converged_summary": f"""WITH RECURSIVE {_CONVERGED},
+scored AS (SELECT y AS tx_fraud, w, {_BY_SOLUTION} FROM points, solution),
+steps AS (SELECT 1 AS part, score AS step, {_CLASSES} FROM scored GROUP BY score),
+{_curve_areas('steps', 'part')}
+SELECT 'converged' AS run, round((SELECT sum(w) FILTER (WHERE (score > 0.5) = (tx_fraud = 1)) / sum(w) FROM scored), 5) AS accuracy,
+       round(area_under_roc, 5) AS area_under_roc, round(area_under_pr, 4) AS area_under_pr, TRUE AS summary_agrees
+FROM areas""",
+    "train_converged_holdout": f"""WITH RECURSIVE {_CONVERGED},
+test AS (SELECT * FROM cleaned WHERE {_unit('split', 'transaction_id')} >= 0.8),
+judged AS (SELECT *, CASE WHEN score > 0.5 THEN 1 WHEN score <= 0.5 THEN 0 END AS prediction
+    FROM (SELECT *, {_BY_SOLUTION} FROM ({_points('test')}), solution)),
+counts AS (SELECT tx_time_days, {_TX_CELLS}, {_UNSCORED} FROM judged GROUP BY tx_time_days)
+SELECT *, {_metrics()}, {_RATES_OF_ALL} FROM counts""",
+    "stream_score_converged": f"""WITH RECURSIVE {_CONVERGED}
+SELECT tx_time_days, count(*) AS rows, round(avg(score), 4) AS mean_score
+FROM (SELECT tx_time_days, {_BY_SOLUTION} FROM ({_points('cleaned')}), solution) GROUP BY tx_time_days""",
+    "grid_areas_fixed": f"""WITH {_CLEAN},
+points AS (SELECT tx_fraud, {', '.join(f"{_scaled(term, 'cleaned')} AS x{i}" for i, term in enumerate(_TERMS) if i)} FROM cleaned),
+grid(candidate, a, s, d) AS (VALUES {_GRID_ROWS}),
+steps AS (
+    SELECT candidate, least(CAST(floor((a * x1 + s * x2 + d * x3 - (least(a, 0) + least(s, 0) + least(d, 0)))
+           / (abs(a) + abs(s) + abs(d)) * 16384) AS INTEGER), 16383) AS step, {_CLASSES}
+    FROM points, grid GROUP BY ALL
+),
+{_curve_areas('steps', 'candidate')}
+SELECT candidate, round(area_under_roc, 6) AS area_under_roc, round(area_under_pr, 6) AS area_under_pr FROM areas""",
+    "tune_grid": f"""WITH {_CLEAN}, {_TRAIN_ROWS},
+sides AS (SELECT {_unit('tune-7', 'transaction_id')} < 0.75 AS fitted, tx_fraud FROM train_rows)
+SELECT reg_param, fit_intercept, elastic_net, count(*) FILTER (WHERE fitted) AS fit_rows,
+       count(*) FILTER (WHERE NOT fitted) AS validation_rows, count(*) FILTER (WHERE NOT fitted AND tx_fraud = 1) AS validation_fraud,
+       TRUE AS intercept_kept, TRUE AS best_is_largest, CAST(1 AS BIGINT) AS chosen
+FROM sides, (VALUES (0.05::DOUBLE), (0.1::DOUBLE), (0.5::DOUBLE)) AS r(reg_param), (VALUES (FALSE), (TRUE)) AS f(fit_intercept),
+     (VALUES (0.0::DOUBLE), (0.5::DOUBLE), (1.0::DOUBLE)) AS e(elastic_net)
+GROUP BY reg_param, fit_intercept, elastic_net""",
+    "confusion_unscored": f"""WITH {_CLEAN_PARITY},
+scored AS (SELECT tx_fraud, 1 / (1 + exp(-(CASE WHEN NOT isnan(tx_amount) THEN tx_amount END * 0.03::DOUBLE
+    + tx_time_seconds * 0.0000001::DOUBLE + (-4.0)::DOUBLE))) AS score FROM cleaned),
+judged AS (SELECT *, CASE WHEN score > 0.5 THEN 1 WHEN score <= 0.5 THEN 0 END AS prediction FROM scored),
+counts AS (SELECT {_TX_CELLS}, {_UNSCORED} FROM judged),
+rates AS (SELECT *, fp::DOUBLE / nullif(fp + tn, 0) AS of_normal, (fn + unscored_fraud)::DOUBLE / nullif(tp + fn + unscored_fraud, 0) AS of_fraud FROM counts)
+SELECT * EXCLUDE (of_normal, of_fraud), {_metrics()}, {_RATES_OF_ALL}, round(of_normal, 6) AS fp_rate, round(of_fraud, 6) AS fn_rate,
+       coalesce(of_normal < 0.05 AND of_fraud < 0.02, FALSE) AS meets_limits
+FROM rates""",
+    "bootstrap_by_cell_bounds": f"""WITH {_CONFUSION}
+SELECT model, cell, rows, CAST(100 AS BIGINT) AS samples, TRUE AS within_bounds
+FROM (UNPIVOT (SELECT model, tp, fp, fn, tn FROM confusion) ON tp, fp, fn, tn INTO NAME cell VALUE rows)""",
+}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -10,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardloom.operators.evaluation import classification_metrics, confusion_counts, metrics_long
 from cardloom.operators.features import fit_features
-from cardloom.operators.modelling import classifier, fit_scorer, param_rows, save_model, summary_rows
+from cardloom.operators.modelling import classifier, fit_scorer, param_rows, save_model, score_rows, summary_rows
 from cardloom.operators.sampling import class_weights, oversample_minority, sample_rows, split_rows
-from cardloom.schema import KEY
+from cardloom.schema import KEY, LABEL
 from cardloom.session import job
-from cardloom.sources.tables import read_table, stage, write_table
+from cardloom.sources.tables import read_table, stage, write_run
 
 WEIGHT = "class_weight"
 
@@ -82,18 +83,23 @@ def train_model(cleaned: DataFrame, options: TrainOptions = TrainOptions()) -> T
 
 
 def evaluate(trained: Trained, run: str) -> DataFrame:
-    """Training summary and hold-out metrics as ``(run, metric, value)``."""
-    counts = confusion_counts(trained.model.transform(trained.test))
+    """Training summary and hold-out metrics as ``(run, metric, value)``; test rows that cannot be scored are counted."""
+    counts = confusion_counts(score_rows(trained.test, trained.model, keep=[LABEL]), unscored=True)
     held_out = classification_metrics(counts).selectExpr(f"'{run}' AS run", "*")
     return summary_rows(trained.model, run).unionByName(metrics_long(held_out, "run"))
 
 
 def run(spark: SparkSession, cleaned_path: str, model_path: str, metrics_path: str, params_path: str | None = None,
-        name: str = "baseline", options: TrainOptions = TrainOptions()) -> Trained:
+        name: str = "baseline", options: TrainOptions = TrainOptions(), run_id: str | None = None) -> Trained:
+    """Train, and write the metrics and parameters of this run and the model.
+
+    A run that is repeated under its id replaces its own rows and no others.
+    """
     trained = train_model(read_table(spark, cleaned_path), options)
-    write_table(evaluate(trained, name), metrics_path, mode="append")
+    run_id = run_id or uuid.uuid4().hex
+    write_run(evaluate(trained, name), metrics_path, run_id)
     if params_path:
-        write_table(param_rows(trained.model, name), params_path, mode="append")
+        write_run(param_rows(trained.model, name), params_path, run_id)
     save_model(trained.model, model_path)
     return trained
 
@@ -105,12 +111,13 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--metrics", required=True)
     args.add_argument("--params")
     args.add_argument("--run", default="baseline")
+    args.add_argument("--run-id", help="the same id again replaces the rows of that run")
     args.add_argument("--fraction", type=float, default=1.0)
     args.add_argument("--known-model", action="store_true", help="repeat the known order of steps")
     opts = args.parse_args(argv)
     with job("train") as spark:
         options = known_model_options() if opts.known_model else TrainOptions(fraction=opts.fraction)
-        run(spark, opts.cleaned, opts.model, opts.metrics, opts.params, opts.run, options)
+        run(spark, opts.cleaned, opts.model, opts.metrics, opts.params, opts.run, options, opts.run_id)
 
 
 if __name__ == "__main__":

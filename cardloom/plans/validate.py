@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import uuid
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,9 +14,9 @@ from cardloom.operators.comparison import (
 )
 from cardloom.operators.evaluation import classification_metrics, confusion_counts, hard_areas, metrics_long
 from cardloom.operators.modelling import fit_scorer, param_rows, save_model, score_with_all, tune
-from cardloom.plans.train import WEIGHT, TrainOptions, prepare
+from cardloom.plans.train import WEIGHT, TrainOptions, known_model_options, prepare
 from cardloom.session import job
-from cardloom.sources.tables import read_table, stage, write_table
+from cardloom.sources.tables import read_table, stage, write_run, write_table
 
 BASELINE, CANDIDATE = "baseline", "candidate"
 
@@ -39,7 +38,7 @@ def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), paralle
     baseline = fit_scorer(train, weight, options.with_scenario)
     candidate = tune(train, weight, options.with_scenario, parallelism=parallelism).model
     scored = stage(score_with_all(test, {BASELINE: baseline, CANDIDATE: candidate}), "predictions")
-    metrics = metrics_long(hard_areas(classification_metrics(confusion_counts(scored, by=[MODEL]))), MODEL)
+    metrics = metrics_long(hard_areas(classification_metrics(confusion_counts(scored, by=[MODEL], unscored=True))), MODEL)
     scores = sample_scores(bootstrap_counts_by_cell(scored))
     gate = promotion_gate(compare_models(scores, BASELINE, CANDIDATE))
     accepted = F.col("promote" if strict_gate else "differs")
@@ -47,22 +46,17 @@ def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), paralle
 
 
 def run(spark: SparkSession, cleaned_path: str, output: str, options: TrainOptions = TrainOptions(),
-        strict_gate: bool = True, run_id: str | None = None) -> bool:
+        strict_gate: bool = True, run_id: str | None = None, parallelism: int = 2) -> bool:
     """Run the validation, write its tables below ``output`` and the accepted model as ``best_model``.
 
-    Metrics and parameters are appended; each row has the run's id and time.
+    Metrics and parameters go to run tables: each row has the run's id and time, and a run that is
+    repeated under its id replaces its own rows and no others.
     """
-    result = validate(read_table(spark, cleaned_path), options, strict_gate=strict_gate)
+    result = validate(read_table(spark, cleaned_path), options, parallelism, strict_gate)
     run_id = run_id or uuid.uuid4().hex
-    started = datetime.now(timezone.utc)
-
-    def of_this_run(rows: DataFrame) -> DataFrame:
-        return rows.select("*", F.lit(run_id).alias("run_id"), F.lit(started).alias("run_time"))
-
     decided = result.decision.selectExpr(f"'{CANDIDATE}' AS run", "'is_valid' AS metric", "CAST(is_valid AS DOUBLE) AS value")
-    write_table(of_this_run(result.metrics.unionByName(decided)), f"{output}/metrics", mode="append")
-    for model, name in ((result.baseline, BASELINE), (result.candidate, CANDIDATE)):
-        write_table(of_this_run(param_rows(model, name)), f"{output}/params", mode="append")
+    write_run(result.metrics.unionByName(decided), f"{output}/metrics", run_id)
+    write_run(param_rows(result.baseline, BASELINE).unionByName(param_rows(result.candidate, CANDIDATE)), f"{output}/params", run_id)
     write_table(score_intervals(result.scores), f"{output}/intervals")
     write_table(result.scores, f"{output}/scores")
     write_table(result.decision, f"{output}/decision")
@@ -79,10 +73,14 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--cleaned", required=True)
     args.add_argument("--output", required=True)
     args.add_argument("--fraction", type=float, default=1.0)
+    args.add_argument("--run-id", help="the same id again replaces the rows of that run")
+    args.add_argument("--known-order", action="store_true", help="balance before the split, scenario as a feature")
+    args.add_argument("--parallelism", type=int, default=2, help="candidates fitted at a time")
     args.add_argument("--any-difference", action="store_true", help="accept any significant difference")
     opts = args.parse_args(argv)
     with job("validate") as spark:
-        accepted = run(spark, opts.cleaned, opts.output, TrainOptions(fraction=opts.fraction), not opts.any_difference)
+        options = known_model_options(opts.fraction) if opts.known_order else TrainOptions(fraction=opts.fraction)
+        accepted = run(spark, opts.cleaned, opts.output, options, not opts.any_difference, opts.run_id, opts.parallelism)
         print("candidate accepted" if accepted else "candidate rejected")
 
 

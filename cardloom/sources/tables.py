@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardloom.session import scratch_path
 
@@ -28,6 +28,23 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
+def write_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """Enter the rows of one run in a run table, with its id and the time.
+
+    The table has a folder for each run. Only the folder of ``run_id`` is replaced, so a run that is
+    started again leaves one set of rows, and runs at the same time do not touch each other's.
+    """
+    stamped = rows.select("*", F.current_timestamp().alias("run_time"), F.lit(run_id).alias("run_id"))
+    stamped.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """A run table; the ids are text, whatever they look like."""
+    names = spark.read.parquet(path).schema
+    fields = [T.StructField("run_id", T.StringType()) if field.name == "run_id" else field for field in names]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and return it as a table scan.
 

@@ -162,3 +162,16 @@ def test_t_tables(spark):
         "t", "freedom", f"{t_two_sided_p('t', 'freedom')} AS p").collect()
     for row in got:
         assert row.p == pytest.approx(1 - t_inside(abs(row.t), row.freedom), abs=1e-12)
+
+
+def test_unscored_rows_are_in_cells_of_their_own(spark):
+    pairs = [(1, 1.0)] * 6 + [(0, 1.0)] * 2 + [(1, 0.0)] * 3 + [(0, 0.0)] * 9 + [(1, None)] * 3 + [(0, None)] * 2 + [(None, 1.0)]
+    rows = spark.createDataFrame(pairs, "tx_fraud INT, prediction DOUBLE")
+    counts = confusion_counts(rows, unscored=True)
+    assert tuple(counts.first()) == (6, 2, 3, 9, 3, 2)
+    row = error_rates(classification_metrics(counts)).first()
+    assert (row.recall, row.recall_of_all) == (pytest.approx(6 / 9), pytest.approx(6 / 12))
+    assert (row.scored_share, row.fn_rate) == (pytest.approx(20 / 25), pytest.approx(6 / 12))
+    assert confusion_counts(rows).columns == ["tp", "fp", "fn", "tn"]
+    nothing = classification_metrics(confusion_counts(rows.where("false"), unscored=True)).first()
+    assert nothing.unscored_fraud == 0 and nothing.scored_share is None

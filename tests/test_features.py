@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from cardloom.operators.features import (
-    FEATURES, RAW_FEATURES, fit_features, scenario_encoder, scenario_indexer, vector_columns,
+    FEATURES, RAW_FEATURES, fit_features, scenario_encoder, scenario_indexer, vector_columns, vector_size,
 )
 
 
@@ -52,3 +53,20 @@ def test_scenario_is_left_out_by_default(make_transactions):
     for with_scenario, size in ((False, 3), (True, 5)):
         row = fit_features(rows, with_scenario).transform(rows).select(RAW_FEATURES).first()
         assert row[0].size == size
+
+
+def test_a_vector_is_never_cut(spark, make_transactions):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = make_transactions({"tx_amount": 10.0}, {"tx_amount": 20.0})
+    made = fit_features(rows).transform(rows)
+    assert vector_size(made, FEATURES) == 3
+    assert [c for c in vector_columns(made, FEATURES, "x").columns if c.startswith("x")] == ["x0", "x1", "x2"]
+    with pytest.raises(ValueError, match="3 entries"):
+        vector_columns(made, FEATURES, "x", 2)
+    unknown = spark.range(2).select("id", array_to_vector(F.expr("array_repeat(1D, CAST(id AS INT) + 1)")).alias("v"))
+    with pytest.raises(ValueError, match="not known"):
+        vector_columns(unknown, "v", "x")
+    assert [r.x1 for r in vector_columns(unknown, "v", "x", 2).orderBy("id").collect()] == [None, 1.0]
+    with pytest.raises(Exception, match="2 entries"):
+        vector_columns(unknown, "v", "x", 1).collect()

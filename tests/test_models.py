@@ -2,19 +2,20 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from cardloom.functions.scoring import LinearModel
 from cardloom.operators.evaluation import classification_metrics, confusion_counts
-from cardloom.operators.features import NUMERIC_FEATURES
+from cardloom.operators.features import NUMERIC_FEATURES, fit_features
 from cardloom.operators.modelling import (
-    coefficient_rows, fit_scorer, fraud_probability, last_stage, load_model, param_rows, save_model, summary_rows, tune,
+    classifier, coefficient_rows, fit_scorer, fraud_probability, grid_areas, last_stage, load_model, param_rows, save_model, summary_rows, tune,
 )
 from cardloom.operators.sampling import class_weights
 from cardloom.plans import clean, monitor, stream, train, validate
 from cardloom.plans.train import TrainOptions, known_model_options, prepare, train_model
 from cardloom.sources.events import feed_lines, load_transactions
 from cardloom.sources.feed import write_feed_lines
-from cardloom.sources.tables import cached, read_table, stage, write_table
+from cardloom.sources.tables import cached, read_runs, read_table, stage, write_run, write_table
 from tests.conftest import SF_SMALL
 
 
@@ -170,3 +171,48 @@ def test_tuning_does_not_depend_on_partitions(spark, cleaned):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def test_grid_areas_match_the_evaluator(spark, cleaned):
+    """Areas of many candidates from one scan, against one evaluation of all scores for each."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    features = fit_features(cleaned).transform(cleaned)
+    models = [classifier(maxIter=n, regParam=r, elasticNetParam=e).fit(features)
+              for n, r, e in ((1, 0.05, 0.0), (1, 0.5, 1.0), (10, 0.01, 0.5), (20, 0.0, 0.0))]
+    got = {r.candidate: r for r in grid_areas(
+        features, [(list(map(float, m.coefficients)), float(m.intercept)) for m in models]).collect()}
+    for at, model in enumerate(models):
+        for metric, column in (("areaUnderROC", "area_under_roc"), ("areaUnderPR", "area_under_pr")):
+            want = BinaryClassificationEvaluator(labelCol="tx_fraud", metricName=metric, numBins=0).evaluate(model.transform(features))
+            assert got[at][column] == pytest.approx(want, abs=2e-3)
+    assert grid_areas(features.where("false"), [([1.0, 0.0, 0.0], 0.0)]).count() == 0
+    flat = grid_areas(features, [([0.0, 0.0, 0.0], 3.0)]).first()
+    assert flat.area_under_roc == pytest.approx(0.5)
+
+
+def test_grid_areas_sort_bins_only(cleaned):
+    features = fit_features(cleaned).transform(cleaned)
+    plan = grid_areas(features, [([1.0, 2.0, 0.5], 0.0), ([0.5, -1.0, 0.0], 1.0)])._jdf.queryExecution().executedPlan().toString()
+    # Plans are printed from the result down: the aggregate by bin comes before (below) the sort.
+    assert plan.count("FileScan parquet") == 1 and plan.index("Sort [") < plan.rindex("HashAggregate(keys=[candidate")
+
+
+def test_a_repeated_run_replaces_its_rows_only(spark, tmp_path):
+    path = str(tmp_path / "runs")
+
+    def rows(value):
+        return spark.createDataFrame([("m", "recall", value), ("m", "f1", value)], "run STRING, metric STRING, value DOUBLE")
+
+    for run_id, value in (("007", 1.0), ("1e5", 2.0), ("007", 3.0), ("a-b", 4.0)):
+        write_run(rows(value), path, run_id)
+    got = read_runs(spark, path).groupBy("run_id").agg(F.sum("value").alias("s"), F.count("*").alias("n"), F.count("run_time").alias("t"))
+    assert {(r.run_id, r.s, r.n, r.t) for r in got.collect()} == {("007", 6.0, 2, 2), ("1e5", 4.0, 2, 2), ("a-b", 8.0, 2, 2)}
+
+
+def test_hold_out_metrics_count_every_test_row(spark, cleaned):
+    some = cleaned.withColumn("tx_amount", F.expr("IF(transaction_id % 7 = 0, CAST(NULL AS DOUBLE), tx_amount)"))
+    trained = train_model(some)
+    got = {r.metric: r.value for r in train.evaluate(trained, "r").collect()}
+    cells = sum(got[name] for name in ("tp", "fp", "fn", "tn", "unscored_fraud", "unscored_normal"))
+    assert cells == trained.test.count() and got["unscored_normal"] > 0 and 0.5 < got["scored_share"] < 1
