@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -40,3 +42,13 @@ def test_counts_of_the_known_fixture(spark):
         "count(*)", "sum(tx_fraud)", "count_if(isnan(tx_amount))", "sum(transaction_id)").first()
     assert rows.count() == 11000
     assert tuple(kept) == (9133, 997, 105, 45679644)
+
+
+def test_other_queries_stay_without_the_training_data_operators(monkeypatch):
+    def absent(name, *args):
+        raise ImportError(name)
+
+    monkeypatch.setattr(entry_points.importlib, "import_module", absent)
+    with pytest.warns(UserWarning, match="left out") if entry_points.os.path.exists(
+            entry_points.os.path.join(entry_points._HERE, "cardloom", "llm")) else contextlib.nullcontext():
+        assert set(entry_points.queries()) == set(entry_points.QUERIES)

@@ -141,6 +141,12 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert (tmp_path / "validation/best_model").exists() == accepted
     assert read_table(spark, str(tmp_path / "validation/scores")).count() == 200
     assert read_table(spark, str(tmp_path / "validation/intervals")).count() == 2
+    written = {r.metric for r in read_runs(spark, str(tmp_path / "validation/metrics")).where("run = 'baseline'").collect()}
+    assert {"training_accuracy", "training_area_under_roc", "recall_of_all", "area_under_pr"} <= written
+    goals = read_runs(spark, str(tmp_path / "validation/goals"))
+    assert goals.count() == 2 and {"fp_rate", "fn_rate", "meets_limits", "run_id", "run_time"} <= set(goals.columns)
+    losses = read_runs(spark, str(tmp_path / "validation/losses"))
+    assert losses.where("missed > 0 AND within_limit IS NOT NULL").count() == losses.count() > 0
 
     # score the cleaned rows as a stream of files
     query = stream.start(spark, model, "parquet", "parquet", str(tmp_path / "state"), table, str(tmp_path / "scored"))
