@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from cardloom.functions.stats import hard_area_under_pr, hard_area_under_roc, ratio
@@ -122,33 +124,58 @@ def score_areas(df: DataFrame, by: Sequence[str] = (), score: str = "score", lab
     return _areas_from_steps(_add(steps, cum_p=f"sum(p) {falling}", cum_n=f"sum(n) {falling}"), by)
 
 
-def score_areas_exact(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = LABEL) -> DataFrame:
-    """The same areas with every distinct score as a step of its own.
+def score_curve(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = LABEL) -> DataFrame:
+    """The curve of a score, one point for each distinct value: ``(by..., score, p, n, cum_p, cum_n)``.
 
-    One ordered running sum over all scores would be one task's work. The steps are instead
-    range-partitioned by falling score; each part is summed on its own and shifted by the
-    totals of the parts before it, of which there is one row per part. The parts are staged,
-    so that a task run again finds the same boundaries.
+    ``p`` and ``n`` count the rows of both classes at the score, ``cum_p`` and ``cum_n`` those at it or
+    above. One ordered running sum over all scores would be one task's work. The points are cut instead
+    at bounds that deal them evenly, the same for every group. Each part is summed on its own and
+    shifted by the totals of the parts above, one row each. The points are staged, so the input is read
+    once and a task run again finds the same bounds; only these, one fewer than the parts, come to the driver.
     """
-    steps = _class_sums(df.filter(f"{score} IS NOT NULL"), [*by, score], label)
-    ranged = steps.repartitionByRange(*by, F.expr(score).desc()).selectExpr("*", "spark_partition_id() AS part")
-    parts = stage(ranged, "score-steps")
-    earlier = f"OVER ({_partition(by)} ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    offsets = _class_totals(parts, [*by, "part"]).selectExpr(
+    points = stage(_class_sums(df.filter(f"{score} IS NOT NULL"), [*by, score], label), "score-points")
+    parts = _score_parts(points, score)
+    above = f"OVER ({_partition(by)} ORDER BY part DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    totals = parts.groupBy(*by, "part").agg(F.expr("sum(p) AS p"), F.expr("sum(n) AS n"))
+    offsets = totals.selectExpr(
         *[f"{c} AS _{c}" for c in by], "part AS _part",
-        f"coalesce(sum(p) {earlier}, 0L) AS p_before", f"coalesce(sum(n) {earlier}, 0L) AS n_before",
+        f"coalesce(sum(p) {above}, 0L) AS p_before", f"coalesce(sum(n) {above}, 0L) AS n_before",
     )
     inside = f"OVER ({_partition([*by, 'part'])} ORDER BY {score} DESC ROWS UNBOUNDED PRECEDING)"
     # Null-safe, as NULL may name a group. The offsets are small, but their number grows with
     # the groups, so whether to broadcast them is left to their size.
     shifted = parts.join(offsets, F.expr(" AND ".join(f"{c} <=> _{c}" for c in [*by, "part"])))
-    return _areas_from_steps(
-        _add(shifted, cum_p=f"p_before + sum(p) {inside}", cum_n=f"n_before + sum(n) {inside}"), by
-    )
+    return shifted.selectExpr(*by, score, "p", "n", f"p_before + sum(p) {inside} AS cum_p", f"n_before + sum(n) {inside} AS cum_n")
+
 
+def _score_parts(points: DataFrame, score: str) -> DataFrame:
+    """``points`` and ``part``, a number that rises with the score; parts hold about equally many points."""
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = ", ".join(f"{i / parts!r}D" for i in range(1, parts)) or "0.5D"
+    value = f"CAST({score} AS DOUBLE)"
+    bounds = points.filter(f"NOT isnan({value})").selectExpr(
+        f"approx_percentile({value}, array({shares}), {max(10_000, 20 * parts)})").first()[0]
+    splits = [-math.inf, *sorted({bound for bound in bounds or [0.0] if math.isfinite(bound)} or {0.0}), math.inf]
+    # NaN sorts above all numbers, and its bucket is the last one.
+    cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket", handleInvalid="keep")
+    return cut.transform(_add(points, _value=value)).selectExpr(*points.columns, "CAST(_bucket AS INT) AS part")
 
-def _class_totals(steps: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return steps.groupBy(*keys).agg(F.expr("sum(p) AS p"), F.expr("sum(n) AS n"))
+
+def score_areas_exact(df: DataFrame, by: Sequence[str] = (), score: str = "score", label: str = LABEL) -> DataFrame:
+    """The same areas with every distinct score as a step of its own; see :func:`score_curve`."""
+    return _areas_from_steps(score_curve(df, by, score, label), by)
+
+
+def curve_rates(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``precision``, ``recall`` and ``fall_out`` of accepting each point's score and all above it."""
+    totals = curve.groupBy(*by).agg(F.expr("sum(p) AS _p"), F.expr("sum(n) AS _n"))
+    if by:
+        named = totals.selectExpr(*[f"{c} AS _{c}" for c in by], "_p", "_n")
+        rated = curve.join(named, F.expr(" AND ".join(f"{c} <=> _{c}" for c in by))).drop(*[f"_{c}" for c in by])
+    else:
+        rated = _add(curve, **{name: f"{count or 0}L" for name, count in totals.first().asDict().items()})
+    return _add(rated, precision=ratio("cum_p", "cum_p + cum_n"), recall=ratio("cum_p", "_p"),
+                fall_out=ratio("cum_n", "_n")).drop("_p", "_n")
 
 
 def error_rates(counts: DataFrame, max_fp_rate: float = MAX_FALSE_POSITIVE_RATE,

@@ -7,7 +7,9 @@ rounded to six digits, which makes results comparable across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -24,8 +26,9 @@ from cardloom.operators.modelling import (
     GRID_ELASTIC_NET, GRID_FIT_INTERCEPT, GRID_REG_PARAM, TRAIN_RATIO, coefficient_rows, fit_scorer, grid_areas, load_model,
     save_model, score_rows, score_with_all, summary_rows, tune,
 )
-from cardloom.plans.clean import merge_new_files
+from cardloom.plans.clean import clean_feed, feed_reports, merge_new_files, parse_once
 from cardloom.plans.monitor import monitor
+from cardloom.plans.prepare import prepare_tables
 from cardloom.plans.stream import start_routed
 from cardloom.plans.train import WEIGHT, TrainOptions, known_model_options, prepare, train_model
 from cardloom.plans.validate import validate
@@ -35,8 +38,10 @@ from cardloom.sources.events import feed_lines, load_transactions, stream_transa
 from cardloom.sources.feed import read_feed, read_rejected_lines, write_feed_lines
 from cardloom.sources.messages import decode_messages, encode_messages
 from cardloom.sources.snapshots import read_snapshot
-from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import clean_stream, drain_to_files, merge_transactions, run_batches, window_metrics
+from cardloom.sources.tables import read_table, stage, write_bucketed, write_table
+from cardloom.streaming.jobs import (
+    clean_stream, drain_to_files, merge_key_sketches, merge_transactions, run_batches, window_metrics,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,6 +179,50 @@ def profile_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_key_count(load_transactions(spark, sf_dir))
 
 
+def feed_one_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every report on the text feed, the malformed lines and the cleaned rows, from one parse of the text."""
+    parsed = parse_once(spark, _feed_path(spark, sf_dir), strict_rules("2018-01-01", "2025-01-01"))
+    reports = feed_reports(parsed)
+    kept = cleaning.clean(parsed.rows, strict_rules("2018-01-01", "2025-01-01"))
+    pairs = {
+        "lines": reports["lines"].unpivot([], ["lines", "malformed"], "name", "rows"),
+        "nans": reports["missing"].selectExpr("column AS name", "nans AS rows"),
+        "nulls": reports["missing"].selectExpr("column AS name", "nulls AS rows"),
+        "violations": reports["violations"].unpivot([], reports["violations"].columns, "name", "rows"),
+        "reasons": reports["reject_reasons"].selectExpr("reason AS name", "rows"),
+        "domains": reports["domains"].selectExpr("concat(column, '=', value) AS name", "rows"),
+        "keys": reports["keys"].selectExpr("'distinct' AS name", "distinct_keys AS rows"),
+        "malformed": parsed.malformed.selectExpr("concat('fields ', size(split(line, ','))) AS name").groupBy("name").agg(
+            F.expr("count(*) AS rows")),
+        "cleaned": kept.agg(F.expr("count(*) AS rows")).selectExpr("'rows' AS name", "rows"),
+    }
+    parts = [rows.selectExpr(f"'{report}' AS report", "name", "CAST(rows AS BIGINT) AS rows") for report, rows in pairs.items()]
+    return reduce(DataFrame.union, parts)
+
+
+def profile_key_count_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct ids by day, of all days and of a sketch of all rows: exact, and whether stored sketches are near enough.
+
+    The sketches come from several files, batch by batch, so those of a day are put together from several.
+    """
+    rows, table, state = (load_transactions(spark, sf_dir), scratch_path(spark, "sketches"), scratch_path(spark, "sketch-state"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(_dealt(rows, "arriving", _as_parquet))
+    run_batches(stream, state, lambda batch, number: merge_key_sketches(profile.daily_key_sketches(batch), table, state, number))
+    stored = read_snapshot(spark, table, profile.daily_key_sketches(rows).schema)
+    day = f"date_format({profile.DAY}, 'yyyy-MM-dd') AS day"
+    by_day = profile.sketched_key_count(stored.withColumn("day", F.expr("date_format(day, 'yyyy-MM-dd')")), ["day"])
+    exact_by_day = rows.groupBy(F.expr(day)).agg(
+        F.expr("count(*) AS exact_rows"), F.expr(f"count(DISTINCT {KEY}) + max(CAST({KEY} IS NULL AS INT)) AS exact_keys"))
+    whole = profile.sketched_key_count(stored).withColumnsRenamed({"rows": "all_rows", "distinct_keys": "all_keys"})
+    near = f"abs({{}} - exact_keys) <= greatest(1D, {profile.relative_error()!r}D * exact_keys) AS near"
+    days = exact_by_day.join(by_day.withColumnRenamed("day", "_day"), F.expr("day <=> _day")).selectExpr(
+        "coalesce(day, 'none') AS scope", "rows", "exact_keys AS distinct_keys", near.format("distinct_keys"))
+    exact = profile.profile_key_count(rows).selectExpr("1 AS one", "distinct_keys AS exact_keys")
+    every = whole.selectExpr("1 AS one", "*").join(exact, "one").selectExpr(
+        "'all' AS scope", "all_rows AS rows", "exact_keys AS distinct_keys", near.format("all_keys"))
+    return days.union(every)
+
+
 # ---- sampling, splitting, class balance
 
 
@@ -403,6 +452,34 @@ def score_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(evaluation.score_areas(_scored(spark, sf_dir), by=["model"]), round_all=True)
 
 
+def score_curve_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curves themselves: a point for each score (to six digits) of each model."""
+    scored = _scored(spark, sf_dir).selectExpr("model", LABEL, f"round(score, {DIGITS}) AS score")
+    points = evaluation.curve_rates(evaluation.score_curve(scored, by=["model"]), by=["model"])
+    return _present(points, round_all=True)
+
+
+def prepared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train and test tables bucketed by transaction, joined with scores bucketed alike, no row shuffled."""
+    cleaned, name, path = _staged_clean(spark, sf_dir), f"prepared_{uuid.uuid4().hex}", scratch_path(spark, "prepared")
+    parts = prepare_tables(cleaned, name, TrainOptions(method=PORTABLE), PREPARED_BUCKETS, path)
+    scores = score_rows(cleaned, CANDIDATE, keep=[KEY])
+    scores = write_bucketed(scores, f"{name}_scores", KEY, PREPARED_BUCKETS, f"{path}/scores")
+    joined = [
+        cleaning.deduplicate(rows.select(*COLUMNS)).join(scores, KEY).groupBy(F.lit(part).alias("split"), LABEL).agg(
+            F.expr("count(*) AS rows"), F.expr(f"sum({KEY}) AS key_sum"), F.expr("count_if(prediction = 1) AS flagged"))
+        for part, rows in zip(("train", "test"), parts)
+    ]
+    return joined[0].union(joined[1])
+
+
+def snapshot_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot table that one cleaning job writes and another one, with other rules, writes anew."""
+    feed, table = _feed_path(spark, sf_dir), scratch_path(spark, "snapshot")
+    clean_feed(spark, feed, table, strict=False, snapshot=True)
+    return _present(clean_feed(spark, feed, table, days=("2018-01-01", "2025-01-01"), snapshot=True))
+
+
 def score_auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present(evaluation.score_areas_exact(_scored(spark, sf_dir), by=["model"]), round_all=True)
 
@@ -488,6 +565,7 @@ def validate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FILES = 3  # files into which a table is dealt where a stream shall have several batches
+PREPARED_BUCKETS = 8
 STREAM_BLOCK = 20_000  # ids in a block of a merged table of the catalog
 
 
@@ -569,6 +647,7 @@ _QUERIES: tuple[Query, ...] = (
     clean_counts, csv_scan, csv_rejects, parquet_roundtrip, partitioned_roundtrip, message_roundtrip,
     clean_rules, clean_rules_strict, clean_rules_open_end, dedup_transactions, reject_reasons, rejected_rows,
     profile_nulls, profile_violations, profile_domains, profile_key_count,
+    feed_one_parse, profile_key_count_sketched, score_curve_points, prepared_tables, snapshot_rewrite,
     sample_rows, sample_with_replacement, sample_first_part, train_test_split, class_counts, oversample_minority, class_weights,
     index_scenario, onehot_scenario, assemble_features, minmax_scale, feature_pipeline,
     train_baseline, train_known_model, train_summary, train_converged, train_converged_summary, train_converged_holdout,

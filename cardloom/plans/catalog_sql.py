@@ -287,6 +287,53 @@ SELECT transaction_id, tx_datetime, concat_ws(',', {named}) AS reasons FROM dirt
 WHERE concat_ws(',', {named}) <> ''"""
 
 
+_VIOLATIONS = [
+    ("year_out_of_range", "year(tx_datetime) < 2018 OR year(tx_datetime) > 2024"),
+    ("month_out_of_range", "month(tx_datetime) NOT BETWEEN 1 AND 12"),
+    ("day_out_of_range", "day(tx_datetime) NOT BETWEEN 1 AND 31"),
+    ("transaction_id_not_positive", "transaction_id <= 0"),
+    ("customer_id_negative", "customer_id < 0"),
+    ("terminal_id_negative", "terminal_id < 0"),
+    ("tx_amount_not_positive", "tx_amount <= 0"),
+    ("tx_time_seconds_not_positive", "tx_time_seconds <= 0"),
+]
+
+
+def _one_parse_sql() -> str:
+    """All reports on the rows whose line is not broken, counter by counter."""
+    parts = ["SELECT 'lines' AS report, 'lines' AS name, count(*) AS rows FROM dirty",
+             f"SELECT 'lines', 'malformed', count(*) FROM dirty WHERE {_BROKEN}",
+             "SELECT 'violations', 'rows', count(*) FROM fine", "SELECT 'cleaned', 'rows', count(*) FROM kept",
+             "SELECT 'keys', 'distinct', count(DISTINCT transaction_id) FROM fine"]
+    for name, floating in _MISSING:
+        nans = f"count(*) FILTER (WHERE isnan({name}))" if floating else "count(*) FILTER (WHERE false)"
+        parts += [f"SELECT 'nans', '{name}', {nans} FROM fine",
+                  f"SELECT 'nulls', '{name}', count(*) FILTER (WHERE {name} IS NULL) FROM fine"]
+    parts += [f"SELECT 'violations', '{name}', count(*) FILTER (WHERE {broken}) FROM fine" for name, broken in _VIOLATIONS]
+    parts += [f"SELECT 'reasons', '{name}', count(*) FROM fine WHERE {broken} HAVING count(*) > 0" for name, broken in _REASONS]
+    parts += [f"SELECT 'domains', '{name}=' || CAST({name} AS VARCHAR), count(*) FROM fine GROUP BY {name}"
+              for name in ("tx_fraud", "tx_fraud_scenario")]
+    fields = "CASE WHEN transaction_id % 101 = 0 THEN 5 WHEN transaction_id % 107 = 0 THEN 10 ELSE 9 END"
+    parts.append(f"SELECT 'malformed', 'fields ' || CAST({fields} AS VARCHAR), count(*) FROM dirty WHERE {_BROKEN} GROUP BY 2")
+    return (f"WITH {_CLEAN}, fine AS (SELECT * FROM dirty WHERE NOT {_BROKEN}), "
+            f"kept AS (SELECT * FROM cleaned WHERE NOT {_BROKEN}) " + " UNION ALL ".join(parts))
+
+
+def _curve_points_sql() -> str:
+    return f"""WITH {_SCORED},
+points AS (
+    SELECT model, round(score, 6) AS score, count(*) FILTER (WHERE tx_fraud = 1) AS p, count(*) FILTER (WHERE tx_fraud = 0) AS n
+    FROM scored GROUP BY ALL
+),
+running AS (
+    SELECT *, CAST(sum(p) OVER w AS BIGINT) AS cum_p, CAST(sum(n) OVER w AS BIGINT) AS cum_n,
+           sum(p) OVER (PARTITION BY model) AS all_p, sum(n) OVER (PARTITION BY model) AS all_n
+    FROM points WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS UNBOUNDED PRECEDING)
+)
+SELECT model, score, p, n, cum_p, cum_n, round(cum_p::DOUBLE / (cum_p + cum_n), 6) AS precision,
+       round(cum_p::DOUBLE / all_p, 6) AS recall, round(cum_n::DOUBLE / all_n, 6) AS fall_out FROM running"""
+
+
 def _stream_rejects_sql() -> str:
     named = ", ".join(f"CASE WHEN {broken} THEN '{name}' END" for name, broken in _REASONS)
     return f"""WITH {_DIRTY},
@@ -443,6 +490,18 @@ FROM predicted WHERE tx_fraud = 1 AND prediction = 0 GROUP BY 1, 2""",
     # Whole ids are broken or not, so copies of a transaction are as well.
     "stream_clean_feed": f"WITH {_CLEAN} SELECT {_COLUMNS} FROM cleaned WHERE NOT {_BROKEN}",
     "stream_rejects": _stream_rejects_sql(),
+    "feed_one_parse": _one_parse_sql(),
+    "profile_key_count_sketched": f"""WITH {_DIRTY}
+SELECT coalesce(strftime(tx_datetime, '%Y-%m-%d'), 'none') AS scope, count(*) AS rows,
+       count(DISTINCT transaction_id) AS distinct_keys, true AS near FROM dirty GROUP BY 1
+UNION ALL
+SELECT 'all', count(*), count(DISTINCT transaction_id), true FROM dirty""",
+    "score_curve_points": _curve_points_sql(),
+    "prepared_tables": f"""WITH {_SCORED}
+SELECT CASE WHEN {_unit('split', 'transaction_id')} < 0.8 THEN 'train' ELSE 'test' END AS split, tx_fraud,
+       count(*) AS rows, CAST(sum(transaction_id) AS BIGINT) AS key_sum, count(*) FILTER (WHERE prediction = 1) AS flagged
+FROM predicted WHERE model = 'candidate' GROUP BY ALL""",
+    "snapshot_rewrite": f"WITH {_CLEAN} SELECT {_COLUMNS} FROM cleaned WHERE NOT {_BROKEN}",
     "stream_score": f"""WITH {_SCORED}
 SELECT transaction_id, tx_fraud, round(score, 6) AS score, prediction FROM predicted WHERE model = 'candidate'""",
     "window_metrics_all": f"WITH {_WINDOWS} {_WINDOW_COLUMNS} FROM windows",

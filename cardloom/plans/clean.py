@@ -3,44 +3,95 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from cardloom.functions.rules import parity_rules, strict_rules
+from cardloom.functions.rules import Rule, parity_rules, strict_rules
 from cardloom.operators.cleaning import clean
-from cardloom.operators.profile import profile_counters, profile_domains, profile_key_count
+from cardloom.operators.profile import (
+    counter_reports, daily_key_sketches, observed_counters, profile_counters, profile_domains, profile_key_count,
+)
 from cardloom.schema import transactions_schema
-from cardloom.session import job
+from cardloom.session import add_store_arguments, job, scratch_path, sibling_session, store_conf
 from cardloom.sources.feed import (
-    read_feed, read_feed_stream, read_marked_stream, read_rejected_lines, read_rejects_stream, rejected_of, well_formed_of,
+    CORRUPT, malformed_of, read_feed, read_feed_stream, read_marked, read_marked_stream, read_rejects_stream, rejected_of,
+    well_formed_of,
 )
-from cardloom.sources.snapshots import drop_old_versions, read_snapshot
+from cardloom.sources.snapshots import drop_old_versions, open_table, read_snapshot, replace_table
 from cardloom.sources.tables import read_table, stage, write_table
-from cardloom.streaming.jobs import BLOCK_IDS, clean_stream, drain_to_files, merge_transactions, run_batches
+from cardloom.streaming.jobs import (
+    BLOCK_IDS, clean_stream, drain_to_files, merge_key_sketches, merge_transactions, run_batches,
+)
 
 DAYS = ("2018-01-01", None)  # the first day that passes, and the first that does no more, if any
 TX_DATE = "CAST(tx_datetime AS DATE) AS tx_date"
 
 
+@dataclass(frozen=True)
+class ParsedFeed:
+    """A feed after its one parse: ``rows`` and ``malformed`` read the stored result, ``counts`` came with its write."""
+
+    rows: DataFrame
+    malformed: DataFrame
+    counts: dict[str, int]
+
+
+def parse_once(spark: SparkSession, feed: str, rules: list[Rule], wide_ids: bool = True, glob: str = "*.txt") -> ParsedFeed:
+    """Parse every line of a feed once: rows, malformed lines and all plain counters from a single scan of the text.
+
+    The marked lines are stored as Parquet and counted on their way. A counter has each line once, also
+    if tasks fail: only the task whose file is kept adds its counts.
+    """
+    schema, counted = transactions_schema(wide_ids), Observation("feed")
+    marked = read_marked(sibling_session(spark), feed, schema, glob)
+    marked = marked.observe(counted, *observed_counters(schema, rules, f"({CORRUPT} IS NOT NULL)"))
+    path = scratch_path(spark, "parsed")
+    marked.write.parquet(path)
+    parsed = spark.read.schema(marked.schema).parquet(path)
+    return ParsedFeed(well_formed_of(parsed), malformed_of(parsed), dict(counted.get))
+
+
 def clean_feed(spark: SparkSession, feed: str, output: str, strict: bool = True, wide_ids: bool = True,
                glob: str = "*.txt", rejects: str | None = None, by_day: bool = False,
-               days: tuple[str, str | None] = DAYS) -> DataFrame:
+               days: tuple[str, str | None] = DAYS, profile_to: str | None = None, snapshot: bool = False) -> DataFrame:
     """Clean a feed into a Parquet table and return that table.
 
     ``strict=False`` applies the rules of the known cleaned dataset, else ``days`` are the first day
-    and the day after the last, if any. ``rejects`` also keeps the malformed lines; ``by_day``
-    partitions the table by transaction date.
+    and the day after the last, if any. ``rejects`` also keeps the malformed lines and ``profile_to``
+    the reports on the uncleaned rows; with either, the text is still parsed once. ``by_day``
+    partitions the table by transaction date. With ``snapshot`` the output is a snapshot table: the
+    old rows stay readable until the new ones are complete, on object stores too.
     """
-    schema = transactions_schema(wide_ids)
-    rows = clean(read_feed(spark, feed, schema, glob), strict_rules(*days) if strict else parity_rules())
+    if snapshot and by_day:
+        raise ValueError("a snapshot table is partitioned by its blocks, not by day")
+    rules = strict_rules(*days) if strict else parity_rules()
+    if rejects or profile_to:
+        parsed = parse_once(spark, feed, rules, wide_ids, glob)
+        rows = parsed.rows
+        if rejects:
+            write_table(parsed.malformed, rejects)
+        for name, report in (feed_reports(parsed) if profile_to else {}).items():
+            write_table(report, f"{profile_to}/{name}")
+    else:
+        rows = read_feed(spark, feed, transactions_schema(wide_ids), glob)
+    cleaned = clean(rows, rules)
+    if snapshot:
+        replace_table(cleaned, output)
+        drop_old_versions(spark, output)
+        return open_table(spark, output)
     if by_day:
-        rows = rows.selectExpr("*", TX_DATE)
-    write_table(rows, output, partition_by="tx_date" if by_day else None)
-    if rejects:
-        write_table(read_rejected_lines(spark, feed, schema, glob), rejects)
+        cleaned = cleaned.selectExpr("*", TX_DATE)
+    write_table(cleaned, output, partition_by="tx_date" if by_day else None)
     return read_table(spark, output)
 
 
+def feed_reports(parsed: ParsedFeed) -> dict[str, DataFrame]:
+    """All reports of :func:`profile` on a parsed feed, and its ``lines``; the plain counters are there already."""
+    counted = counter_reports(parsed.rows.sparkSession, parsed.counts)
+    return {**counted, "domains": profile_domains(parsed.rows), "keys": profile_key_count(parsed.rows)}
+
+
 def clean_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str, strict: bool = True,
                     wide_ids: bool = True, glob: str = "*.txt", watermark: str = "40 days",
                     rejects: str | None = None, by_day: bool = False, days: tuple[str, str | None] = DAYS) -> DataFrame:
@@ -63,12 +114,13 @@ def clean_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str
 def merge_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str, strict: bool = True,
                     wide_ids: bool = True, glob: str = "*.txt", rejects: str | None = None,
                     days: tuple[str, str | None] = DAYS, block_ids: int = BLOCK_IDS,
-                    files_per_batch: int | None = None) -> DataFrame:
+                    files_per_batch: int | None = None, sketches: str | None = None) -> DataFrame:
     """Clean the files that arrived since the last run, merge them into the table and return the whole table.
 
     The table equals what ``clean_feed`` makes of all files together, whatever the order in which they
     arrive; see ``merge_transactions``. The files of a batch are parsed once: what cleaning leaves out
-    goes to ``rejects``, by batch, with its reasons. A batch that comes again changes nothing.
+    goes to ``rejects``, by batch, with its reasons. ``sketches`` is a table of the distinct ids of each
+    day among the uncleaned rows, for ``sketched_key_count``. A batch that comes again changes nothing.
     """
     schema, rules = transactions_schema(wide_ids), strict_rules(*days) if strict else parity_rules()
 
@@ -76,6 +128,9 @@ def merge_new_files(spark: SparkSession, feed: str, output: str, checkpoint: str
         parsed = stage(batch, "parsed")
         if rejects:
             rejected_of(parsed, rules, schema).write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        if sketches:
+            merge_key_sketches(daily_key_sketches(well_formed_of(parsed)), sketches, checkpoint, number)
+            drop_old_versions(spark, sketches)
         merge_transactions(well_formed_of(parsed), output, checkpoint, number, rules, block_ids=block_ids)
         drop_old_versions(spark, output)
 
@@ -113,20 +168,24 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--merge", action="store_true",
                       help="with --checkpoint: merge new files into a snapshot table, which then equals the full run")
     args.add_argument("--profile", metavar="FOLDER", help="write the reports of the feed below this folder")
+    args.add_argument("--snapshot", action="store_true", help="keep the old table readable until the new one is complete")
+    args.add_argument("--sketches", metavar="FOLDER", help="with --merge: a table of the distinct ids of each day")
+    add_store_arguments(args)
     opts = args.parse_args(argv)
     days = opts.first_day, opts.end_day
-    with job("clean") as spark:
+    with job("clean", store_conf(opts)) as spark:
         if opts.checkpoint and opts.merge:
             merge_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
-                            rejects=opts.rejects, days=days)
+                            rejects=opts.rejects, days=days, sketches=opts.sketches)
         elif opts.checkpoint:
             clean_new_files(spark, opts.feed, opts.output, opts.checkpoint, not opts.parity_rules, not opts.narrow_ids,
                             watermark=opts.watermark, rejects=opts.rejects, by_day=opts.by_day, days=days)
         else:
             clean_feed(spark, opts.feed, opts.output, not opts.parity_rules, not opts.narrow_ids,
-                       rejects=opts.rejects, by_day=opts.by_day, days=days)
-        if opts.profile:
-            for name, report in profile(read_feed(spark, opts.feed, transactions_schema(not opts.narrow_ids))).items():
+                       rejects=opts.rejects, by_day=opts.by_day, days=days, profile_to=opts.profile, snapshot=opts.snapshot)
+        if opts.profile and opts.checkpoint:
+            parsed = parse_once(spark, opts.feed, strict_rules(*days), not opts.narrow_ids)
+            for name, report in feed_reports(parsed).items():
                 write_table(report, f"{opts.profile}/{name}")
 
 

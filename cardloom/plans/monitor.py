@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardloom.session import job
+from cardloom.session import add_store_arguments, job, store_conf
 from cardloom.sources.snapshots import drop_old_versions, read_snapshot
 from cardloom.streaming.jobs import merge_windows, metrics_of_sums, misdated_rows, run_batches, window_sums
 
@@ -48,8 +48,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--output", required=True)
     args.add_argument("--checkpoint", required=True)
     args.add_argument("--window", default="1 day")
+    add_store_arguments(args)
     opts = args.parse_args(argv)
-    with job("monitor") as spark:
+    with job("monitor", store_conf(opts)) as spark:
         monitor(spark, opts.scored, opts.output, opts.checkpoint, opts.window)
 
 

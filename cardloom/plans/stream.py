@@ -12,7 +12,7 @@ from cardloom.functions.scoring import LinearModel
 from cardloom.operators.cleaning import deduplicate
 from cardloom.operators.modelling import load_model, score_rows
 from cardloom.schema import KEY, transactions_schema
-from cardloom.session import job, use_scalable_state
+from cardloom.session import add_store_arguments, job, store_conf, use_scalable_state
 from cardloom.sources.feed import rejected_of, well_formed_of
 from cardloom.sources.messages import read_marked_messages, read_stream, stream_writer, write_batch
 from cardloom.sources.snapshots import drop_old_versions, merge_batch, read_snapshot
@@ -101,8 +101,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--end-day", help="leave out transactions from this day on")
     args.add_argument("--rejects", metavar="FOLDER", help="write what is not scored here, and copies to FOLDER-copies")
     args.add_argument("--every", help="trigger interval; without it, stop after the input at hand")
+    add_store_arguments(args)
     opts = args.parse_args(argv)
-    with job("stream") as spark:
+    with job("stream", store_conf(opts)) as spark:
         if opts.rejects:
             query = start_routed(spark, opts.model, opts.source_format, opts.sink_format, opts.checkpoint, opts.rejects,
                                  opts.source, opts.sink, _options(opts.source_option), _options(opts.sink_option), opts.every,

@@ -14,8 +14,9 @@ from cardloom.operators.features import fit_features
 from cardloom.operators.modelling import classifier, fit_scorer, param_rows, save_model, score_rows, summary_rows
 from cardloom.operators.sampling import class_weights, oversample_minority, sample_rows, split_rows
 from cardloom.schema import KEY, LABEL
-from cardloom.session import job
-from cardloom.sources.tables import read_table, stage, write_run
+from cardloom.session import add_store_arguments, job, store_conf
+from cardloom.sources.snapshots import open_table
+from cardloom.sources.tables import stage, write_run
 
 WEIGHT = "class_weight"
 
@@ -95,7 +96,7 @@ def run(spark: SparkSession, cleaned_path: str, model_path: str, metrics_path: s
 
     A run that is repeated under its id replaces its own rows and no others.
     """
-    trained = train_model(read_table(spark, cleaned_path), options)
+    trained = train_model(open_table(spark, cleaned_path), options)
     run_id = run_id or uuid.uuid4().hex
     write_run(evaluate(trained, name), metrics_path, run_id)
     if params_path:
@@ -114,8 +115,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--run-id", help="the same id again replaces the rows of that run")
     args.add_argument("--fraction", type=float, default=1.0)
     args.add_argument("--known-model", action="store_true", help="repeat the known order of steps")
+    add_store_arguments(args)
     opts = args.parse_args(argv)
-    with job("train") as spark:
+    with job("train", store_conf(opts)) as spark:
         options = known_model_options() if opts.known_model else TrainOptions(fraction=opts.fraction)
         run(spark, opts.cleaned, opts.model, opts.metrics, opts.params, opts.run, options, opts.run_id)
 

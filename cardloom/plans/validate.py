@@ -16,9 +16,11 @@ from cardloom.operators.evaluation import (
     MAX_MONTHLY_LOSS, classification_metrics, confusion_counts, error_rates, hard_areas, metrics_long, monthly_missed_loss,
 )
 from cardloom.operators.modelling import fit_scorer, param_rows, save_model, score_with_all, summary_rows, tune
+from cardloom.plans.prepare import open_prepared
 from cardloom.plans.train import WEIGHT, TrainOptions, known_model_options, prepare
 from cardloom.schema import AMOUNT, EVENT_TIME, KEY, LABEL
-from cardloom.session import job
+from cardloom.session import add_store_arguments, job, store_conf
+from cardloom.sources.snapshots import open_table
 from cardloom.sources.tables import read_table, stage, write_run, write_table
 
 BASELINE, CANDIDATE = "baseline", "candidate"
@@ -37,13 +39,19 @@ class Validation:
 
 def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), parallelism: int = 2,
              strict_gate: bool = True, max_loss: float = MAX_MONTHLY_LOSS) -> Validation:
-    """Fit both models on the training rows and compare them on the test rows.
+    """Split the cleaned rows, fit both models on the training rows and compare them on the test rows."""
+    train, test = prepare(cleaned, options)
+    return validate_prepared(train, test, options, parallelism, strict_gate, max_loss)
+
+
+def validate_prepared(train: DataFrame, test: DataFrame, options: TrainOptions = TrainOptions(), parallelism: int = 2,
+                      strict_gate: bool = True, max_loss: float = MAX_MONTHLY_LOSS) -> Validation:
+    """The same with rows that were prepared before.
 
     ``metrics`` has the baseline's training summary too. ``goals`` holds the error rates of each model
     against their limits and ``losses`` the fraud it missed by month against ``max_loss``; both are of
     the test rows, so a loss is that of their share of the transactions.
     """
-    train, test = prepare(cleaned, options)
     weight = WEIGHT if WEIGHT in train.columns else None
     baseline = fit_scorer(train, weight, options.with_scenario)
     candidate = tune(train, weight, options.with_scenario, parallelism=parallelism).model
@@ -57,15 +65,21 @@ def validate(cleaned: DataFrame, options: TrainOptions = TrainOptions(), paralle
                       error_rates(counts), monthly_missed_loss(scored, by=[MODEL], limit=max_loss))
 
 
-def run(spark: SparkSession, cleaned_path: str, output: str, options: TrainOptions = TrainOptions(),
+def run(spark: SparkSession, cleaned_path: str | None, output: str, options: TrainOptions = TrainOptions(),
         strict_gate: bool = True, run_id: str | None = None, parallelism: int = 2,
-        max_loss: float = MAX_MONTHLY_LOSS) -> bool:
+        max_loss: float = MAX_MONTHLY_LOSS, tables: str | None = None) -> bool:
     """Run the validation, write its tables below ``output`` and the accepted model as ``best_model``.
 
+    The rows come from a cleaned table, or already split from the prepared ``tables`` of that name.
+
     Metrics and parameters go to run tables: each row has the run's id and time, and a run that is
     repeated under its id replaces its own rows and no others.
     """
-    result = validate(read_table(spark, cleaned_path), options, parallelism, strict_gate, max_loss)
+    settings = options, parallelism, strict_gate, max_loss
+    if tables:
+        result = validate_prepared(*open_prepared(spark, tables), *settings)
+    else:
+        result = validate(open_table(spark, cleaned_path), *settings)
     run_id = run_id or uuid.uuid4().hex
     decided = result.decision.selectExpr(f"'{CANDIDATE}' AS run", "'is_valid' AS metric", "CAST(is_valid AS DOUBLE) AS value")
     write_run(result.metrics.unionByName(decided), f"{output}/metrics", run_id)
@@ -85,7 +99,9 @@ def run(spark: SparkSession, cleaned_path: str, output: str, options: TrainOptio
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description=__doc__)
-    args.add_argument("--cleaned", required=True)
+    rows = args.add_mutually_exclusive_group(required=True)
+    rows.add_argument("--cleaned")
+    rows.add_argument("--tables", metavar="NAME", help="prepared tables NAME_train and NAME_test")
     args.add_argument("--output", required=True)
     args.add_argument("--fraction", type=float, default=1.0)
     args.add_argument("--run-id", help="the same id again replaces the rows of that run")
@@ -93,11 +109,12 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--max-loss", type=float, default=MAX_MONTHLY_LOSS, help="limit of the fraud missed in a month")
     args.add_argument("--parallelism", type=int, default=2, help="candidates fitted at a time")
     args.add_argument("--any-difference", action="store_true", help="accept any significant difference")
+    add_store_arguments(args)
     opts = args.parse_args(argv)
-    with job("validate") as spark:
+    with job("validate", store_conf(opts)) as spark:
         options = known_model_options(opts.fraction) if opts.known_order else TrainOptions(fraction=opts.fraction)
         accepted = run(spark, opts.cleaned, opts.output, options, not opts.any_difference, opts.run_id, opts.parallelism,
-                       opts.max_loss)
+                       opts.max_loss, opts.tables)
         print("candidate accepted" if accepted else "candidate rejected")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import re
 import tempfile
 import uuid
@@ -34,11 +35,20 @@ def object_store_conf(
     secret_key: str | None = None,
     credentials_provider: str | None = None,
     path_style: bool | None = None,
+    committer: str | None = None,
 ) -> dict[str, str]:
     """Spark settings for reading and writing ``s3a://`` and ``s3://`` paths.
 
-    Only the values given are set; with none, the cluster's own credentials chain applies.
+    Only the values given are set; with none, the cluster's own credentials chain applies. ``committer``
+    names a committer that needs no rename (``magic``, ``directory`` or ``partitioned``); it asks for
+    Spark's module for cloud stores on the cluster.
     """
+    committing = {
+        "spark.hadoop.fs.s3a.committer.name": committer,
+        "spark.hadoop.fs.s3a.committer.magic.enabled": "true",
+        "spark.sql.sources.commitProtocolClass": "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol",
+        "spark.sql.parquet.output.committer.class": "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter",
+    } if committer else {}
     conf = {
         "spark.hadoop.fs.s3.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
         "spark.hadoop.fs.s3a.endpoint": endpoint,
@@ -46,10 +56,26 @@ def object_store_conf(
         "spark.hadoop.fs.s3a.secret.key": secret_key,
         "spark.hadoop.fs.s3a.aws.credentials.provider": credentials_provider,
         "spark.hadoop.fs.s3a.path.style.access": None if path_style is None else str(path_style).lower(),
+        **committing,
     }
     return {key: value for key, value in conf.items() if value is not None}
 
 
+def add_store_arguments(parser: argparse.ArgumentParser) -> None:
+    """Options of a job for the object store that its paths are in. Keys come from the cluster, never from here."""
+    parser.add_argument("--store-endpoint")
+    parser.add_argument("--store-credentials", metavar="CLASS", help="provider class of the credentials")
+    parser.add_argument("--store-path-style", action="store_true", default=None)
+    parser.add_argument("--store-committer", choices=("magic", "directory", "partitioned"))
+
+
+def store_conf(opts: argparse.Namespace) -> dict[str, str]:
+    """The settings that the options of :func:`add_store_arguments` ask for; without any, none."""
+    given = dict(endpoint=opts.store_endpoint, credentials_provider=opts.store_credentials,
+                 path_style=opts.store_path_style, committer=opts.store_committer)
+    return object_store_conf(**given) if any(given.values()) else {}
+
+
 def build_session(app_name: str, conf: dict[str, str] | None = None, master: str | None = None) -> SparkSession:
     """Get or create a session with the settings the jobs rely on."""
     builder = SparkSession.builder.appName(app_name)
@@ -75,6 +101,19 @@ def use_scalable_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """Another session of the same application with the same settings, for work that leaves its mark on a session.
+
+    A session that has run an observation can no longer be serialised, and the functions of a classifier
+    that still has its training summary carry their session along: scoring with it would fail.
+    """
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    return sibling
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as named by ``spark.checkpoint.dir``.
 
@@ -106,9 +145,9 @@ def _scratch_root(spark: SparkSession) -> str:
 
 
 @contextmanager
-def job(app_name: str) -> Iterator[SparkSession]:
+def job(app_name: str, conf: dict[str, str] | None = None) -> Iterator[SparkSession]:
     """A session for one job. At its end, also a bad one, its scratch paths go and the session stops."""
-    spark = build_session(app_name)
+    spark = build_session(app_name, conf)
     try:
         yield spark
     finally:

@@ -94,11 +94,28 @@ def read_marked_stream(
     return _scan(reader, path, schema, glob, comment).filter(_reads_every_column(schema))
 
 
+def read_marked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    glob: str = "*.txt",
+    comment: str = "#",
+) -> DataFrame:
+    """Every line of the feed, once parsed: the columns, or the line in ``CORRUPT``."""
+    schema = schema or transactions_schema()
+    return _scan(spark.read, path, schema, glob, comment).filter(_reads_every_column(schema))
+
+
 def well_formed_of(marked: DataFrame) -> DataFrame:
     """The well-formed rows of lines that were parsed with their mark and stored."""
     return marked.filter(f"{CORRUPT} IS NULL").drop(CORRUPT)
 
 
+def malformed_of(marked: DataFrame) -> DataFrame:
+    """The malformed lines of stored marked rows, as ``(line)``."""
+    return marked.filter(f"{CORRUPT} IS NOT NULL").selectExpr(f"{CORRUPT} AS line")
+
+
 def rejected_of(marked: DataFrame, rules: Sequence[Rule], schema: T.StructType) -> DataFrame:
     """What cleaning leaves out of marked rows, ``(line, reasons)``; copies of a transaction are not among it."""
     return marked.selectExpr(

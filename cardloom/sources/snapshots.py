@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cardloom.sources.tables import stage
+from cardloom.sources.tables import read_table, stage
 
 LOG = "version LONG, source STRING, batch LONG"
 BLOCKS = "block LONG, standing LONG, version LONG"
@@ -38,6 +38,14 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, version:
     return _rows(spark, path, schema, blocks)
 
 
+def open_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table by its path: the newest version of a snapshot table, or plain Parquet."""
+    if read_log(spark, path).isEmpty():
+        return read_table(spark, path)
+    data = spark.read.parquet(f"{path}/data").schema
+    return read_snapshot(spark, path, T.StructType([field for field in data if field.name not in ("block", "version")]))
+
+
 def merge_batch(rows: DataFrame, path: str, block: str, combine: Combine, source: str, batch: int) -> bool:
     """Enter a batch of rows; False if the log has it already.
 

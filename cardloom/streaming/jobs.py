@@ -17,6 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cardloom.functions.rules import Rule, all_pass, strict_rules
 from cardloom.operators.cleaning import clean, deduplicate
+from cardloom.operators.profile import union_sketches
 from cardloom.schema import EVENT_TIME, KEY, LABEL
 from cardloom.session import use_scalable_state
 from cardloom.sources.snapshots import merge_batch
@@ -123,6 +124,12 @@ def merge_windows(batch: DataFrame, path: str, source: str, number: int, window:
     return merge_batch(window_sums(batch, window), path, _DAYS, added, source, number)
 
 
+def merge_key_sketches(daily: DataFrame, path: str, source: str, number: int) -> bool:
+    """Put a batch of ``daily_key_sketches`` into the table at ``path``, once; rows without a date have a block of their own."""
+    block = "coalesce(unix_date(day) DIV 64, -1000000)"
+    return merge_batch(daily, path, block, union_sketches, source, number)
+
+
 def merge_transactions(batch: DataFrame, path: str, source: str, number: int, rules: Sequence[Rule] | None = None,
                        key: str = KEY, block_ids: int = BLOCK_IDS) -> bool:
     """Clean a batch of rows and merge it into the table at ``path``, once.

@@ -9,7 +9,12 @@ from cardloom.functions.rules import parity_rules, strict_rules
 from cardloom.operators.cleaning import (
     apply_rules, count_reject_reasons, deduplicate, deduplicate_any, with_reject_reasons,
 )
-from cardloom.operators.profile import profile_key_count, profile_key_count_approx
+from cardloom.operators.profile import (
+    SKETCH_BITS, daily_key_sketches, profile_key_count, profile_key_count_approx, relative_error, sketched_key_count,
+    union_sketches,
+)
+from cardloom.sources.snapshots import read_snapshot
+from cardloom.streaming.jobs import merge_key_sketches
 
 DAY = datetime(2024, 1, 1)
 
@@ -103,3 +108,34 @@ def test_strict_rules_reach_the_parquet_scan(spark, make_transactions, tmp_path)
     for part in ("GreaterThanOrEqual(tx_datetime", "LessThan(tx_datetime", "GreaterThanOrEqual(customer_id,0)",
                  "GreaterThan(terminal_id,0)", "In(tx_fraud, [0,1])"):
         assert part in pushed
+
+
+def test_sketches_of_days_add_up_to_the_sketch_of_all_rows(spark):
+    rows = spark.range(30_000).selectExpr(
+        "if(id % 500 = 0, NULL, id % 20000) AS transaction_id",
+        "if(id % 7 = 0, NULL, TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id % 5 AS INT))) AS tx_datetime")
+    daily = daily_key_sketches(rows)
+    again = union_sketches(daily.union(daily))  # the same keys once more
+    whole = union_sketches(rows.groupBy().agg(
+        F.expr("count(*) AS rows"), F.expr("count_if(transaction_id IS NULL) AS null_keys"),
+        F.expr(f"hll_sketch_agg(transaction_id, {SKETCH_BITS}) AS sketch")), [])
+    exact = rows.where("transaction_id IS NOT NULL").select("transaction_id").distinct().count() + 1
+    of_days, of_all = sketched_key_count(daily).first(), sketched_key_count(whole).first()
+    assert of_days.rows == of_all.rows == 30_000
+    assert of_days.distinct_keys == of_all.distinct_keys == sketched_key_count(again).first().distinct_keys
+    assert of_days.distinct_keys == pytest.approx(exact, rel=relative_error())
+    by_day = {r.day: r for r in sketched_key_count(daily, ["day"]).collect()}
+    assert len(by_day) == 6 and sum(r.rows for r in by_day.values()) == 30_000
+    assert tuple(sketched_key_count(daily.where("rows < 0")).first()) == (0, 0)
+    only_null = rows.where("transaction_id IS NULL")
+    assert sketched_key_count(daily_key_sketches(only_null)).first().distinct_keys == 1
+
+
+def test_merged_sketches_do_not_change_when_a_batch_comes_again(spark, tmp_path):
+    rows = spark.range(2_000).selectExpr("id AS transaction_id", "if(id < 10, NULL, TIMESTAMP '2024-01-01') AS tx_datetime")
+    table, daily = str(tmp_path / "sketches"), daily_key_sketches(rows)
+    for number in (0, 1, 1):
+        merge_key_sketches(daily, table, "source", number)
+    counted = sketched_key_count(read_snapshot(spark, table, daily.schema)).first()
+    assert counted.rows == 4_000  # two batches with the same keys
+    assert counted.distinct_keys == pytest.approx(2_000, rel=relative_error())

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import math
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from cardloom.functions.stats import hard_area_under_pr, hard_area_under_roc, t_critical, t_inside, t_two_sided_p
 from cardloom.operators.evaluation import (
     classification_metrics, confusion_counts, error_rates, hard_areas, metrics_long, monthly_missed_loss,
-    score_areas, score_areas_exact, swapped_metrics,
+    curve_rates, score_areas, score_areas_exact, score_curve, swapped_metrics,
 )
 
 # (tp, fp, fn, tn), area under PR, area under ROC, as Spark's own metrics give them
@@ -110,6 +112,35 @@ def test_score_areas_of_groups_with_clustered_scores(spark):
     assert got["a"].area_under_pr == pytest.approx(got["b"].area_under_pr)
 
 
+def test_curve_points_are_running_sums_over_all_scores(spark):
+    rows = scored(spark).selectExpr("if(score < 0.2, NULL, 'm') AS model", "*").union(
+        spark.sql("SELECT 'x' AS model, double('NaN') AS score, 1 AS tx_fraud UNION ALL SELECT 'x', 0.5D, 0 UNION ALL SELECT 'x', NULL, 0"))
+    points = curve_rates(score_curve(rows, by=["model"]), by=["model"]).collect()
+    for model in (None, "m", "x"):
+        own = sorted((r for r in points if r.model == model), key=lambda r: (math.isnan(r.score), r.score), reverse=True)
+        p = n = 0
+        for point in own:
+            p, n = p + point.p, n + point.n
+            assert (point.cum_p, point.cum_n) == (p, n)
+            assert point.precision == pytest.approx(p / (p + n))
+        assert own[-1].recall == own[-1].fall_out == 1
+    assert math.isnan([r for r in points if r.model == "x" and r.cum_p + r.cum_n == 1][0].score)
+    single = curve_rates(score_curve(scored(spark))).agg({"recall": "max", "fall_out": "max"}).first()
+    assert tuple(single) == (1.0, 1.0)
+
+
+def test_curve_shuffles_points_once_after_they_are_stored(spark):
+    plan = score_curve(scored(spark), by=[])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    # the points themselves once; the others carry one row a part
+    assert plan.count("Window [sum(p") == 2 and plan.count("Exchange hashpartitioning(part") == 2
+
+
+def test_curve_of_nothing(spark):
+    none = scored(spark).where("score > 2")
+    assert score_curve(none).count() == 0 and curve_rates(score_curve(none)).count() == 0
+
+
 def test_null_names_a_group_too(spark):
     rows = scored(spark).selectExpr("if(score < 0.4, NULL, 'm') AS model", "*")
     assert {r.model for r in score_areas_exact(rows, by=["model"]).collect()} == {None, "m"}

@@ -1,12 +1,21 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardloom.functions.rules import parity_rules, strict_rules
-from cardloom.operators.cleaning import clean
-from cardloom.plans.clean import clean_feed, clean_new_files, profile
+from cardloom.operators.cleaning import clean, count_reject_reasons
+from cardloom.operators.modelling import fit_scorer, score_rows
+from cardloom.operators.profile import profile_missing, profile_violations
+from cardloom.plans import clean as clean_plan
+from cardloom.plans.clean import clean_feed, clean_new_files, feed_reports, parse_once, profile
+from cardloom.schema import transactions_schema
+from cardloom.sources import feed as feed_source
+from cardloom.sources.events import load_transactions
 from cardloom.sources.feed import read_feed, read_rejected_lines
+from cardloom.sources.snapshots import open_table
 from cardloom.sources.tables import read_table
+from tests.conftest import SF_SMALL
 
 EDGE = """# comment line
 1,2019-08-22 06:51:03,0,711,70.91,5526663,63,0,0
@@ -130,3 +139,68 @@ def test_profile_of_the_edge_feed(spark, feed):
     assert domains[("tx_fraud", 2)] == 1 and domains[("tx_fraud_scenario", 4)] == 1
     reasons = {r.reason: r.rows for r in reports["reject_reasons"].collect()}
     assert reasons["transaction_id"] == 2 and reasons["tx_datetime"] == 2 and reasons["tx_time_days"] == 1
+
+
+def test_one_parse_gives_rows_rejects_and_counters(spark, feed, tmp_path, monkeypatch):
+    scans = []
+    scan = feed_source._scan
+    monkeypatch.setattr(feed_source, "_scan", lambda *args: scans.append(args) or scan(*args))
+    rules = strict_rules("2018-01-01", "2025-01-01")
+    parsed = parse_once(spark, feed, rules)
+    (tmp_path / "feed" / "a.txt").write_text("# the text is not read again\n")
+    assert len(scans) == 1
+    assert parsed.counts["lines"] == 21 and parsed.counts["malformed"] == 5
+    assert parsed.rows.count() == 16
+    assert sorted(int(r.line.split(",")[0]) for r in parsed.malformed.collect()) == [2, 3, 7, 12, 17]
+    reports = feed_reports(parsed)
+    assert len(scans) == 1
+    assert {r.reason: r.rows for r in reports["reject_reasons"].collect()} == {
+        r.reason: r.rows for r in count_reject_reasons(parsed.rows, rules).collect()}
+    assert reports["violations"].collect() == profile_violations(parsed.rows).collect()
+    assert sorted(reports["missing"].collect()) == sorted(profile_missing(parsed.rows).collect())
+    assert reports["lines"].first() == (21, 5) and reports["keys"].first()[0] == 14
+
+
+def test_one_parse_of_an_empty_feed(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("# nothing\n")
+    parsed = parse_once(spark, str(tmp_path), strict_rules())
+    assert parsed.counts["lines"] == parsed.rows.count() == parsed.malformed.count() == 0
+    assert feed_reports(parsed)["reject_reasons"].count() == 0
+
+
+def test_models_still_score_after_an_observed_parse(spark, feed):
+    parse_once(spark, feed, strict_rules())
+    cleaned = clean(load_transactions(spark, SF_SMALL), strict_rules())
+    model = fit_scorer(cleaned)
+    assert score_rows(cleaned, model).where("score IS NOT NULL").count() == cleaned.count()
+
+
+def test_clean_job_with_profile_parses_the_text_once(spark, feed, tmp_path, monkeypatch):
+    scans = []
+    scan = feed_source._scan
+    monkeypatch.setattr(feed_source, "_scan", lambda *args: scans.append(args) or scan(*args))
+    out, bad, reports = (str(tmp_path / name) for name in ("clean", "bad", "reports"))
+    table = clean_feed(spark, feed, out, strict=False, rejects=bad, profile_to=reports)
+    assert len(scans) == 1
+    assert table.count() == 7 and read_table(spark, bad).count() == 5
+    assert read_table(spark, f"{reports}/violations").first().rows == 16
+
+
+def test_clean_job_keeps_the_old_table_if_a_write_fails(spark, feed, tmp_path, monkeypatch):
+    out = str(tmp_path / "clean")
+    assert clean_feed(spark, feed, out, days=("2018-01-01", "2025-01-01"), snapshot=True).count() == 2
+
+    def broken(rows, rules):
+        half = clean_rows(rows, rules)
+        return half.withColumn("tx_amount", F.expr("IF(transaction_id = 11, CAST(raise_error('lost') AS DOUBLE), tx_amount)"))
+
+    clean_rows = clean_plan.clean
+    with monkeypatch.context() as patch:
+        patch.setattr(clean_plan, "clean", broken)
+        with pytest.raises(Exception, match="lost"):
+            clean_feed(spark, feed, out, snapshot=True)
+    assert sorted(r.transaction_id for r in open_table(spark, out).collect()) == [1, 11]
+    assert clean_feed(spark, feed, out, snapshot=True).count() == 3
+    assert open_table(spark, out).columns == list(transactions_schema().names)
+    with pytest.raises(ValueError):
+        clean_feed(spark, feed, out, snapshot=True, by_day=True)
