@@ -37,9 +37,14 @@ SECOND_PERSON = frozenset("""
 LEET = bytes.maketrans(b"0134578@$!|+", b"oieastbasilt")
 SEPARATORS = b".-_*~'^"
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTER_MARKS = b"@$!|+*"  # punctuation that may be the first or last letter of a disguised word
 NEAR = 5  # words between an insult and a second-person word
 
 _UPPER = bytes(range(65, 91))
+_LOOSE = PUNCTUATION.translate(None, LETTER_MARKS)
+_SHAPES: dict[tuple[int, str], list[str]] = {}  # lexicon by length and first letter
+for _word in sorted(word.decode() for word in LEXICON):
+    _SHAPES.setdefault((len(_word), _word[0]), []).append(_word)
 _TO_SPACE = bytes.maketrans(PUNCTUATION, b" " * len(PUNCTUATION))
 FEATURES = (
     "hits_log", "hit_density", "distinct_hits", "disguised_log", "disguised_density", "second_person_density",
@@ -54,12 +59,34 @@ PRIOR_WEIGHT = 3
 THRESHOLD = 0.3
 
 
+def is_disguised(piece: bytes, bare: bytes) -> bool:
+    """Whether a lower-case ASCII piece is a word of the lexicon with marks or digits for letters.
+
+    ``bare`` is the piece without punctuation at its ends. A mark at an end may be a letter or not (``$hit``,
+    ``idiot!``), so both readings are tried. A star inside stands for any one letter (``f*ck``), after a first
+    letter that is given; a single star at the end is a footnote. Numbers are no disguise: ``455`` is not read as letters.
+    """
+    ends = piece.strip(_LOOSE)
+    if bare in LEXICON or (ends == bare and bare.isalpha()):
+        return False
+    for form in (bare, ends, ends.rstrip(b"!|+*")):
+        plain = form.translate(LEET, SEPARATORS)
+        if plain in LEXICON and (form.upper() != form or not any(48 <= c < 58 for c in form)):
+            return True
+    if ends.count(b"*") == 1 and ends.endswith(b"*"):
+        return False  # a footnote
+    if b"*" not in ends[1:]:
+        return False
+    masked = ends.translate(LEET, SEPARATORS.replace(b"*", b"")).decode()
+    return any(all(c in ("*", d) for c, d in zip(masked, word)) for word in _SHAPES.get((len(masked), masked[0]), ()))
+
+
 def text_features(text: str | None, learned: dict[bytes, float]) -> list[float]:
     """The features of one text, in the order of FEATURES; all zero for NULL and empty texts."""
     if not text:
         return [0.0] * len(FEATURES)
     raw = text.encode()
-    low = raw.lower()
+    low = text.lower().encode()
     words = low.translate(_TO_SPACE).split()
     count, size = max(1, len(words)), len(raw)
     present = set(words)
@@ -70,12 +97,12 @@ def text_features(text: str | None, learned: dict[bytes, float]) -> list[float]:
     pieces = low.split()
     disguised = mixed = 0
     for piece in set(pieces):
+        if piece.isalpha() or not piece.isascii():
+            continue
         bare = piece.strip(PUNCTUATION)
-        if not bare.isalpha() and bare.isascii() and bare:
-            mixed += not bare.isdigit()
-            plain = bare.translate(LEET, SEPARATORS)
-            if plain in LEXICON and bare not in LEXICON:
-                disguised += pieces.count(piece)
+        mixed += not bare.isalpha() and not bare.isdigit() and bare != b""
+        if is_disguised(piece, bare):
+            disguised += pieces.count(piece)
     weights = [learned[word] for word in present if word in learned]
     letters = size - len(raw.translate(None, _UPPER))
     shouted = sum(piece.isupper() and len(piece) > 2 for piece in raw.split())
@@ -116,7 +143,8 @@ def labelled_sample(
 ) -> DataFrame:
     """``(_text, label, part)``: at most ``rows`` labelled texts, chosen by a hash of the key.
 
-    Rows with a NULL label or key teach nothing. Of labels that disagree on a key the higher counts.
+    Rows with a NULL label or key teach nothing. Of labels that disagree on a key the higher counts, and of
+    texts with one key the smallest, so the bound on the keys is one on the texts.
     """
     usable = labels.select(F.col(quoted(key)).alias("_key"), F.col("toxic")).where("_key IS NOT NULL AND toxic IS NOT NULL")
     usable = usable.where(F.expr(learn_where.format("_key"))).groupBy("_key").agg(F.max("toxic").alias("label"))
@@ -124,9 +152,10 @@ def labelled_sample(
     # A hash below the share picks about nine tenths of ``rows`` keys; that is the bound of the broadcast.
     chosen = usable.where(f"pmod(xxhash64(_key, 'sample'), 1000000) < {round(share * 1_000_000)}").limit(rows)
     texts = docs.select(F.col(quoted(key)).alias("_id"), F.col(quoted(text)).alias("_text"))
-    return texts.join(F.broadcast(chosen), F.col("_id") == F.col("_key")).selectExpr(
-        "_text", "CAST(label > 0 AS DOUBLE) AS label", "CAST(pmod(xxhash64(_key, 'part'), 10) AS INT) AS part",
-    ).limit(2 * rows)
+    taught = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_key")).groupBy("_key").agg(
+        F.min("_text").alias("_text"), F.max("label").alias("label"))
+    return taught.selectExpr(
+        "_text", "CAST(label > 0 AS DOUBLE) AS label", "CAST(pmod(xxhash64(_key, 'part'), 10) AS INT) AS part")
 
 
 def learn_words(sample: DataFrame, most: int = LEARNED_WORDS) -> dict[bytes, float]:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 
 import pytest
 
@@ -77,3 +79,88 @@ def test_clean_keeps_columns_and_clean_rows(labelled):
 def test_the_sample_is_bounded(labelled):
     docs, labels = labelled
     assert toxicity.labelled_sample(docs, labels, "true", 100).count() <= 100
+
+
+@pytest.mark.parametrize("text", ["$hit", "$tupid", "a$$", "a$$!", "f*ck", "f**k", "(@sshole)", "1d!ot", "s.h.i.t", "id10t,", "b*st@rd", "@$$"])
+def test_disguised_words(text):
+    assert dict(zip(toxicity.FEATURES, toxicity.text_features(f"so {text} here", {})))["disguised_log"] > 0
+
+
+@pytest.mark.parametrize("text", ["$100", "455", "$455", "as*", "**bold**", "5*3", "idiot!", "+1", "hello!", "@user", "c++", "word|", "*", "***", "x*y"])
+def test_no_disguise(text):
+    assert dict(zip(toxicity.FEATURES, toxicity.text_features(f"so {text} here", {})))["disguised_log"] == 0
+
+
+def test_capitals_beyond_ascii():
+    got = dict(zip(toxicity.FEATURES, toxicity.text_features("CRÉTIN et IMBÉCIL", {})))
+    assert got["distinct_hits"] == 2
+
+
+def described(text, learned):
+    """The features by their description, word by word and character by character."""
+    marks = set(toxicity.PUNCTUATION.decode())
+    lexicon = {w.decode() for w in toxicity.LEXICON}
+    persons = {w.decode() for w in toxicity.SECOND_PERSON}
+    blanks = r"[ \t\n\r\f\v]+"
+    words = [w for w in re.split(blanks, "".join(" " if c in marks else c for c in text.lower())) if w]
+    pieces = [w for w in re.split(blanks, text.lower()) if w]
+    leet = dict(zip("0134578@$!|+", "oieastbasilt"))
+
+    def read(form):
+        return "".join(leet.get(c, c) for c in form if c not in ".-_*~'^")
+
+    def disguised(piece):
+        if not piece.isascii() or piece.isalpha():
+            return False
+        bare, loose = piece.strip("".join(marks)), "".join(marks - set("@$!|+*"))
+        ends = piece.strip(loose)
+        if bare in lexicon or (bare == ends and bare.isalpha()):
+            return False
+        for form in (bare, ends, ends.rstrip("!|+*")):
+            if read(form) in lexicon and (re.search("[a-z]", form) or not re.search("[0-9]", form)):
+                return True
+        if "*" not in ends[1:] or re.fullmatch(r"[^*]*\*", ends):
+            return False
+        mask = "".join(leet.get(c, c) for c in ends if c not in ".-_~'^")
+        return mask[0] != "*" and any(re.fullmatch("".join("." if c == "*" else re.escape(c) for c in mask), w) for w in lexicon)
+
+    def mixed(piece):
+        bare = piece.strip("".join(marks))
+        return piece.isascii() and bare and not bare.isalpha() and not bare.isdigit()
+
+    count, size = max(1, len(words)), len(text.encode())
+    at = [i for i, w in enumerate(words) if w in lexicon]
+    near = sum(1 for i in at if any(w in persons for w in words[max(0, i - toxicity.NEAR):i + toxicity.NEAR + 1]))
+    hidden = sum(map(disguised, pieces))
+    weights = [learned[w.encode()] for w in sorted(set(words)) if w.encode() in learned]
+    raw = [w for w in re.split(blanks, text) if w]
+    shouted = sum(w.encode().isupper() and len(w.encode()) > 2 for w in raw)
+    return [math.log1p(len(at)), len(at) / count, len({words[i] for i in at}), math.log1p(hidden), hidden / count,
+            sum(w in persons for w in words) / count, near / max(1, len(at)), sum("A" <= c <= "Z" for c in text) / size,
+            shouted / count, (text.count("!") + text.count("?")) / count, sum(c in marks for c in text) / size,
+            sum("0" <= c <= "9" for c in text) / size, len({p for p in pieces if mixed(p)}) / count,
+            math.log1p(len(words)), len(weights) / count, sum(weights)]
+
+
+def test_features_against_their_description():
+    rng = random.Random(5)
+    parts = [*sorted(w.decode() for w in toxicity.LEXICON), *sorted(w.decode() for w in toxicity.SECOND_PERSON), *WORDS[:40]]
+    learned = {b"plain3": 1.5, b"plain7": 2.0, b"scum": 0.5}
+    for _ in range(400):
+        out = []
+        for _ in range(rng.randint(1, 60)):
+            word = rng.choice(parts)
+            if rng.random() < 0.3:
+                word = "".join(rng.choice("01345$@!|+*.-_9") if rng.random() < 0.3 else c for c in word)
+            if rng.random() < 0.2:
+                word = word.upper()
+            out.append(rng.choice(["", "(", "*", "$", "“"]) + word + rng.choice(["", "", "!", "?", ",", "*", "**", ")."]))
+        text = rng.choice([" ", "\n", "\t "]).join(out)
+        assert toxicity.text_features(text, learned) == pytest.approx(described(text, learned)), text
+
+
+def test_one_text_a_key_in_the_sample(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels, "true", 10_000).select("_text", "label").collect()
+    assert {tuple(r) for r in got} <= {("a", 1.0), (None, 0.0)}
