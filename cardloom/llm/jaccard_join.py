@@ -11,11 +11,14 @@ BUCKETS buckets of its hash: a table of fixed size, which sees the frequent ones
    those that are linked to it leave the rounds. This joins groups of near copies without comparing all
    pairs of them, and decides nothing else. Rounds go on while they find many links.
 4. All pairs are due that share a token and are not connected yet. The length filter and the positional
-   filter (at the first common token, what may follow must suffice) need sizes and places only.
+   filter (at the first common token, what may follow must suffice) need sizes and places only. Rows of a
+   token that many have bring a short sketch along (see 5), so that a pair of them leaves its task only if
+   this allows it. Before all pairs, such a row meets its NEAREST by the sketches, in rounds like those
+   of the anchors: what this connects is not compared again. It decides nothing else.
 5. The suffix filter bounds the number of differing tokens from below by bit sketches: one bit for
    each of many cells says if the cell has an odd number of tokens, and each differing token
    flips one. The tokens before the first match differ anyway, so the bound is that of the suffixes.
-6. Pairs that remain are verified, once each, by their whole sets.
+6. Pairs that remain are verified by their whole sets.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ BUCKETS = 1 << 16  # counts of how common tokens are: half a megabyte for every
 MARKS = 8  # anchor rounds at most
 CHUNK = 4096  # members of a token, or of a mark, that one task has at once
 PAIRS = 1 << 20  # pairs that a task holds before the filters
+CROWD = 32  # rows of a token from which they bring sketches
+ROUNDS = 6  # of the nearest at most
+NEAREST = 4  # partners of a row and a crowded token before all pairs are compared
+WORDS = 32  # 64-bit words of a sketch that is brought along, at most
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +99,46 @@ def least_difference(one: bytes, other: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def folded(bits: bytes, words: int = WORDS) -> bytes:
+    """A sketch with at most ``words`` words, a power of two; it bounds the difference from below, too."""
+    cells = np.frombuffer(bits, np.uint64)
+    while len(cells) > words:
+        cells = cells[:len(cells) // 2] ^ cells[len(cells) // 2:]
+    return cells.tobytes()
+
+
+def least_differences(sketches: list[bytes | None], one: np.ndarray, two: np.ndarray, held: int = 1 << 15) -> np.ndarray:
+    """``least_difference`` of each two of the sketches, given by their numbers; -1 if one of the two is missing.
+
+    ``held`` pairs are worked on at once.
+    """
+    width = np.array([len(bits) // 8 if bits is not None else 0 for bits in sketches], np.int64)
+    common = np.minimum(width[one], width[two])
+    found = np.full(len(one), -1, np.int64)
+    cells = np.zeros((0, 0), np.uint64)
+    for words in sorted({*width.tolist()} - {0}, reverse=True):
+        wider, cells = cells, np.zeros((len(sketches), words), np.uint64)
+        if len(wider):
+            while wider.shape[1] > words:
+                wider = wider[:, :wider.shape[1] // 2] ^ wider[:, wider.shape[1] // 2:]
+            cells ^= wider
+        for row in np.flatnonzero(width == words):
+            cells[row] = np.frombuffer(sketches[row], np.uint64)
+        due = np.flatnonzero(common == words)
+        for start in range(0, len(due), held):
+            some = due[start:start + held]
+            found[some] = np.bitwise_count(cells[one[some]] ^ cells[two[some]]).sum(axis=1)
+    return found
+
+
+def rank(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The place of each value among those of its group, from 0."""
+    order = np.lexsort((value, group))
+    ordered, found = group[order], np.empty(len(group), np.int64)
+    found[order] = np.arange(len(group)) - np.searchsorted(ordered, ordered)
+    return found
+
+
 def marks_of(tokens: np.ndarray) -> np.ndarray:
     """The smallest value of each of MARKS hashes over the tokens: sets agree on each as often as they are similar."""
     return np.array([_mix(tokens ^ (_ODD * np.uint64(seed))).min() for seed in range(1, MARKS + 1)], np.uint64)
@@ -158,15 +205,26 @@ def anchor_pairs(reps: DataFrame, percent: int, number: int, chunk: int = CHUNK)
     ).selectExpr("rep AS a", "anchor.rep AS b")
 
 
-def all_pairs(members: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame:
-    """Candidates ``(a, b)``: all pairs that share a prefix token, pass both filters and are not connected."""
+def all_pairs(members: DataFrame, reps: DataFrame, percent: int, chunk: int = CHUNK, nearest: int | None = None) -> DataFrame:
+    """Candidates ``(a, b)``: all pairs that share a prefix token, pass the filters and are not connected.
+
+    The sketches are a filter for tokens of CROWD representatives or more. With ``nearest``, each row of
+    such a token proposes that many partners at most, those that the sketches tell to be the nearest.
+    """
+
+    @F.pandas_udf("binary")
+    def shorter(sketches: pd.Series) -> pd.Series:
+        return sketches.map(folded)
+
     alive = members.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
-    rows = members.join(alive.select("token"), "token").selectExpr(
-        "token", "rep", "size", "pos", "root", f"CAST(ceil(load / {chunk}D) AS INT) AS chunks",
+    rows = members.join(alive.select("token"), "token")
+    crowded = rows.where(f"load >= {CROWD}").join(reps.select("rep", shorter("bits").alias("brief")), "rep")
+    rows = rows.where(f"load < {CROWD}").withColumn("brief", F.expr("CAST(NULL AS BINARY)")).unionByName(crowded).selectExpr(
+        "token", "rep", "size", "pos", "root", "brief", f"CAST(ceil(load / {chunk}D) AS INT) AS chunks",
     ).selectExpr("*", "CAST(pmod(xxhash64(rep), chunks) AS INT) AS chunk")
     # A token with several chunks: a task for each two of them, and for each one alone.
     rows = rows.selectExpr("*", "explode(sequence(0, chunks - 1)) AS other").selectExpr(
-        "token", "least(chunk, other) AS low", "greatest(chunk, other) AS high", "chunk", "rep", "size", "pos", "root")
+        "token", "least(chunk, other) AS low", "greatest(chunk, other) AS high", "chunk", "rep", "size", "pos", "root", "brief")
     tile = ["token", "low", "high"]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,7 +232,7 @@ def all_pairs(members: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame
             where = piece[tile].to_numpy()
             group = np.cumsum(np.concatenate([[True], (where[1:] != where[:-1]).any(axis=1)]))
             cross = where[:, 1] != where[:, 2]
-            chunk_of, rep = piece["chunk"].to_numpy(), piece["rep"].to_numpy()
+            chunk_of, rep, brief = piece["chunk"].to_numpy(), piece["rep"].to_numpy(), piece["brief"].tolist()
             size, pos, root = (piece[name].to_numpy(np.int64) for name in ("size", "pos", "root"))
             # Rows of a group lie in order of size: a row's partners are the rows after it, up to its length limit.
             reach = np.searchsorted(group * (1 << 40) + size, group * (1 << 40) + 100 * size // percent, side="right")
@@ -188,6 +246,12 @@ def all_pairs(members: DataFrame, percent: int, chunk: int = CHUNK) -> DataFrame
                 left = np.minimum(size[one] - pos[one], size[two] - pos[two])
                 good = (root[one] != root[two]) & (left >= needed(size[one], size[two], percent))
                 good &= ~cross[one] | (chunk_of[one] != chunk_of[two])
+                one, two = one[good], two[good]
+                differ = least_differences(brief, one, two)
+                over = differ - (size[one] + size[two] - 2 * needed(size[one], size[two], percent))
+                good = (differ < 0) | (over <= 0)
+                if nearest is not None:
+                    good &= (differ < 0) | (rank(one, over) < nearest) | (rank(two, over) < nearest)
                 a, b = rep[one[good]], rep[two[good]]
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
                 start = stop
@@ -245,11 +309,22 @@ def similar_sets(docs: DataFrame, reps: DataFrame, width: int, percent: int, chu
         if found * 50 <= total:  # the rest is left to the comparison of all
             break
         alone = stage(alone.join(new.select(F.col("a").alias("rep")), "rep", "left_anti"), "alone")
-    # First among those that are left, then, with what that joins, among all.
-    for members in (shared.join(alone.select("rep"), "rep", "left_semi"), shared):
+
+    def compared(members: DataFrame, nearest: int | None = None) -> DataFrame:
         roots = stage(connected_components(links), "roots")
         rooted = members.join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.expr("coalesce(root, rep)"))
-        links = links.union(stage(linked(all_pairs(rooted, percent, chunk), reps, docs, width, percent), "links"))
+        return stage(linked(all_pairs(rooted, reps, percent, chunk, nearest), reps, docs, width, percent), "links")
+
+    crowded = shared.where(f"load >= {CROWD}")
+    for _ in range(ROUNDS):
+        new = compared(crowded, NEAREST)
+        links, found = links.union(new), new.count()
+        total += found
+        if found * 50 <= total:
+            break
+    # First among those that no anchor has taken, then, with what that joins, among all.
+    for members in (shared.join(alone.select("rep"), "rep", "left_semi"), shared):
+        links = links.union(compared(members))
     return links
 
 

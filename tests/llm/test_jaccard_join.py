@@ -90,6 +90,38 @@ def test_other_thresholds(make_docs, width, percent):
           width=width, percent=percent)
 
 
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(make_docs, monkeypatch):
+    rng, size, pairs, linked = random.Random(1), 500, [], jaccard_join.linked
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(size):  # one to three changes each: pairs lie on both sides of the threshold
+        words = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(len(base))] = f"n{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+
+    def counted(candidates, *rest):
+        pairs.append(candidates.count())
+        return linked(candidates, *rest)
+
+    monkeypatch.setattr(jaccard_join, "linked", counted)
+    check(make_docs(*texts))
+    assert sum(pairs) < 30 * size
+
+
+def test_folded_sketches_bound_the_difference():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 3000), dtype=np.uint64)) for _ in range(30)]
+    sets += [np.unique(np.concatenate([one[3:], rng.integers(0, 1 << 63, 3, dtype=np.uint64)])) for one in sets]
+    brief = [jaccard_join.folded(jaccard_join.sketch(one)) for one in sets]
+    assert max(map(len, brief)) == 8 * jaccard_join.WORDS
+    one, two = (side.ravel() for side in np.indices((len(sets), len(sets))))
+    got = jaccard_join.least_differences([*brief, None], one, two, held=7)
+    assert got.tolist() == [jaccard_join.least_difference(brief[a], brief[b]) for a, b in zip(one, two)]
+    assert all(n <= len(np.setxor1d(sets[a], sets[b])) for n, a, b in zip(got, one, two))
+    assert jaccard_join.least_differences([brief[0], None], np.array([0, 1]), np.array([1, 1])).tolist() == [-1, -1]
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(3)
     for _ in range(500):
