@@ -208,8 +208,8 @@ def anchor_pairs(reps: DataFrame, percent: int, number: int, chunk: int = CHUNK)
 def all_pairs(members: DataFrame, reps: DataFrame, percent: int, chunk: int = CHUNK, nearest: int | None = None) -> DataFrame:
     """Candidates ``(a, b)``: all pairs that share a prefix token, pass the filters and are not connected.
 
-    The sketches are a filter for tokens of CROWD representatives or more. With ``nearest``, each row of
-    such a token proposes that many partners at most, those that the sketches tell to be the nearest.
+    The sketches are a filter for tokens of CROWD representatives or more. With ``nearest``, only these tokens
+    count, and each row of one proposes that many partners at most, those that the sketches tell to be the nearest.
     """
 
     @F.pandas_udf("binary")
@@ -219,7 +219,9 @@ def all_pairs(members: DataFrame, reps: DataFrame, percent: int, chunk: int = CH
     alive = members.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
     rows = members.join(alive.select("token"), "token")
     crowded = rows.where(f"load >= {CROWD}").join(reps.select("rep", shorter("bits").alias("brief")), "rep")
-    rows = rows.where(f"load < {CROWD}").withColumn("brief", F.expr("CAST(NULL AS BINARY)")).unionByName(crowded).selectExpr(
+    if nearest is None:
+        crowded = rows.where(f"load < {CROWD}").withColumn("brief", F.expr("CAST(NULL AS BINARY)")).unionByName(crowded)
+    rows = crowded.selectExpr(
         "token", "rep", "size", "pos", "root", "brief", f"CAST(ceil(load / {chunk}D) AS INT) AS chunks",
     ).selectExpr("*", "CAST(pmod(xxhash64(rep), chunks) AS INT) AS chunk")
     # A token with several chunks: a task for each two of them, and for each one alone.
@@ -285,20 +287,24 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perce
     def side(name: str, table: DataFrame, *columns: str) -> DataFrame:
         return table.select(F.col("rep").alias(name), *(F.col(column).alias(f"{name}_{column}") for column in columns))
 
-    described = pairs.join(side("a", reps, "size", "bits"), "a").join(side("b", reps, "size", "bits"), "b")
-    close = stage(described.where(differ_little("a_bits", "b_bits", "a_size", "b_size")).select("a", "b"), "close-pairs")
+    columns = ["size", "bits", "node", "source"]
+    described = pairs.join(side("a", reps, *columns), "a").join(side("b", reps, *columns), "b")
+    close = stage(described.where(differ_little("a_bits", "b_bits", "a_size", "b_size")).drop(
+        "a_size", "a_bits", "b_size", "b_bits"), "close-pairs")
+    if close.isEmpty():
+        return close.select("a", "b")
     # Staged, so that its size is known when the join with the texts is planned.
-    wanted = stage(close.selectExpr("explode(array(a, b)) AS rep").distinct().join(reps.select("rep", "node", "source"), "rep"),
-                   "wanted")
-    texts = docs.join(wanted.select("source").distinct(), F.expr("_id <=> source"), "left_semi")
+    wanted = stage(close.selectExpr("inline(array(struct(a AS rep, a_node AS node, a_source AS source), "
+                                    "struct(b AS rep, b_node AS node, b_source AS source)))").distinct(), "wanted")
+    texts = docs.join(wanted.select("source"), F.expr("_id <=> source"), "left_semi")
     found = texts.withColumn("_set", sets.asNondeterministic()("_text")).select("_set.*").join(wanted.select("rep", "node"), "node")
     tokens = stage(found.dropDuplicates(["rep"]).select("rep", "tokens"), "token-sets")
-    both = close.join(side("a", tokens, "tokens"), "a").join(side("b", tokens, "tokens"), "b")
+    both = close.select("a", "b").join(side("a", tokens, "tokens"), "a").join(side("b", tokens, "tokens"), "b")
     return both.where(similar("a_tokens", "b_tokens")).select("a", "b")
 
 
 def similar_sets(docs: DataFrame, reps: DataFrame, width: int, percent: int, chunk: int = CHUNK) -> DataFrame:
-    """Links ``(a, b)`` that join the same components as all pairs of representatives over the threshold."""
+    """``(node, root)`` for the representatives that are linked with others: the components of all pairs over the threshold."""
     shared = stage(shared_prefixes(reps), "shared-prefixes")
     links, total = docs.sparkSession.createDataFrame([], "a long, b long"), 0
     alone = reps.select("rep", "size", "marks")
@@ -309,23 +315,26 @@ def similar_sets(docs: DataFrame, reps: DataFrame, width: int, percent: int, chu
         if found * 50 <= total:  # the rest is left to the comparison of all
             break
         alone = stage(alone.join(new.select(F.col("a").alias("rep")), "rep", "left_anti"), "alone")
+    roots = stage(connected_components(links), "roots")
 
-    def compared(members: DataFrame, nearest: int | None = None) -> DataFrame:
-        roots = stage(connected_components(links), "roots")
+    def compared(members: DataFrame, nearest: int | None = None) -> tuple[DataFrame, int]:
+        """The roots after a comparison, and how many links it found; without any, the roots are those before."""
         rooted = members.join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.expr("coalesce(root, rep)"))
-        return stage(linked(all_pairs(rooted, reps, percent, chunk, nearest), reps, docs, width, percent), "links")
+        new = stage(linked(all_pairs(rooted, reps, percent, chunk, nearest), reps, docs, width, percent), "links")
+        found = new.count()
+        known = roots.selectExpr("node AS a", "root AS b")
+        return stage(connected_components(known.union(new)), "roots") if found else roots, found
 
     crowded = shared.where(f"load >= {CROWD}")
     for _ in range(ROUNDS):
-        new = compared(crowded, NEAREST)
-        links, found = links.union(new), new.count()
+        roots, found = compared(crowded, NEAREST)
         total += found
         if found * 50 <= total:
             break
     # First among those that no anchor has taken, then, with what that joins, among all.
     for members in (shared.join(alone.select("rep"), "rep", "left_semi"), shared):
-        links = links.union(compared(members))
-    return links
+        roots, _ = compared(members)
+    return roots
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 80,
@@ -350,7 +359,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         F.first("bits").alias("bits"),
         F.first("marks").alias("marks"))
     reps = stage(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
-    roots = stage(connected_components(similar_sets(rows, reps, width, percent, chunk)), "components")
+    roots = similar_sets(rows, reps, width, percent, chunk)
     known = stage(reps.select(F.col("node").alias("_node"), "rep", "source").join(
         roots, F.col("rep") == F.col("node"), "left").selectExpr("_node", "source", "coalesce(root, rep) AS root"), "classes")
     lowest = known.groupBy("root").agg(F.min("source").alias("component_id"))

@@ -109,6 +109,14 @@ def test_a_group_of_near_copies_is_not_compared_pair_by_pair(make_docs, monkeypa
     assert sum(pairs) < 30 * size
 
 
+def test_rounds_without_work_start_no_jobs_of_their_own(make_docs, monkeypatch):
+    """The driver holds threads, plans and broadcasts of the jobs that it has lately run."""
+    labels, stage = [], jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    check(make_docs(*(" ".join(f"w{i}-{j}" for j in range(30)) for i in range(20))))
+    assert not {"wanted", "token-sets"} & {*labels} and labels.count("roots") == 1
+
+
 def test_folded_sketches_bound_the_difference():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 3000), dtype=np.uint64)) for _ in range(30)]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from cardloom.llm import simhash
+from cardloom.llm import components, simhash
 from cardloom.llm.components import connected_components
 
 
@@ -99,6 +99,19 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_are_not_contracted_again(spark, monkeypatch):
+    rounds, step = [], components._small_star
+    monkeypatch.setattr(components, "_small_star", lambda pairs: rounds.append(1) or step(pairs))
+
+    def roots(*links):
+        rounds.clear()
+        return {row.node: row.root for row in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+
+    assert roots((1, 5), (6, 1), (1, 6), (2, 7), (3, 3), (8, None)) == {1: 1, 5: 1, 6: 1, 2: 2, 7: 2} and not rounds
+    assert roots((5, 1), (5, 2)) == {1: 1, 2: 1, 5: 1} and rounds  # a node with two smaller ones
+    assert roots((1, 2), (2, 3)) == {1: 1, 2: 1, 3: 1} and rounds  # a node that is smaller and larger
+
+
 def test_one_of_each(messy, empty, documents):
     docs = documents.selectExpr("*", "1 AS root", "2 AS _fp", "3 AS component_id")
     kept = simhash.one_of_each(docs)
